@@ -2,14 +2,40 @@
 
 from __future__ import annotations
 
-from terrane.llm import sharding
+from pyspark.sql import functions as F
+
+from terrane.llm import line_dedup, sharding
 from terrane.llm._common import table
 
 ORACLES: dict[str, str] = {}
 
 
+def op3_line_dedup(spark, sf_dir):
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLES["op3_line_dedup"] = """
+WITH lists AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS i FROM lists),
+keyed AS (
+  SELECT doc_id, line, i,
+         translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM lines),
+often AS (SELECT k FROM keyed WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT doc_id) >= 10),
+marked AS (SELECT keyed.*, often.k IS NOT NULL AS gone FROM keyed LEFT JOIN often ON keyed.k = often.k)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
 def op9_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"), n_shards=40)
 
 
-QUERIES = {"op9_sharding": op9_sharding}
+QUERIES = {
+    "op3_line_dedup": op3_line_dedup,
+    "op9_sharding": op9_sharding,
+}
