@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terrane.llm import line_dedup, sharding
+from terrane.llm import line_dedup, sharding, topk
 from terrane.llm._common import table
 
 ORACLES: dict[str, str] = {}
@@ -35,7 +35,26 @@ def op9_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"), n_shards=40)
 
 
+def op10_topk(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5, scale=256.0)
+
+
+ORACLES["op10_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op9_sharding": op9_sharding,
+    "op10_topk": op10_topk,
 }
