@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terrane.llm import line_dedup, sharding, topk
+from terrane.llm import line_dedup, packing, sharding, token_store, topk
 from terrane.llm._common import table
 
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op3_line_dedup(spark, sf_dir):
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -31,6 +37,17 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op4_token_store(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    target = token_store.write_ids(docs, token_store.fresh_target(spark), tokenizer_path("word_bpe_49k.json"), end_id=1)
+    return token_store.read_ids(spark, target, with_ids=False)
+
+
+def op7_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), window=2048, end_id=0)
+
+
 def op9_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"), n_shards=40)
 
@@ -55,6 +72,8 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 
 QUERIES = {
     "op3_line_dedup": op3_line_dedup,
+    "op4_token_store": op4_token_store,
+    "op7_packing": op7_packing,
     "op9_sharding": op9_sharding,
     "op10_topk": op10_topk,
 }
