@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terrane.llm import line_dedup, packing, sharding, token_store, topk
+from terrane.llm import decontam, line_dedup, packing, sharding, token_store, topk
 from terrane.llm._common import table
 
 ORACLES: dict[str, str] = {}
@@ -43,6 +43,38 @@ def op4_token_store(spark, sf_dir):
     return token_store.read_ids(spark, target, with_ids=False)
 
 
+def op6_decontam(spark, sf_dir):
+    docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text")
+    found = decontam.find_contamination(docs, items, window=10)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+ORACLES["op6_decontam"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bl AS (SELECT item_id, w, least(len(w), 10) AS l FROM b WHERE len(w) > 0),
+bs AS (SELECT item_id, w, l, unnest(range(1, len(w) - l + 2)) AS s FROM bl),
+bw AS (SELECT DISTINCT item_id, l, array_to_string(w[s:s + l - 1], ' ') AS win FROM bs),
+dw AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS p, len(w) AS n FROM d),
+ls AS (SELECT DISTINCT l FROM bw),
+runs AS (
+  SELECT doc_id, p, n, l, string_agg(word, ' ') OVER (PARTITION BY doc_id, l ORDER BY p ROWS BETWEEN CURRENT ROW AND (l - 1) FOLLOWING) AS win
+  FROM dw JOIN ls ON p + l <= n + l),
+hits AS (SELECT r.doc_id, r.p, r.l, bw.item_id FROM runs r JOIN bw ON bw.l = r.l AND bw.win = r.win WHERE r.p + r.l <= r.n),
+covered AS (SELECT doc_id, count(DISTINCT q)::BIGINT AS n_hit FROM (SELECT doc_id, unnest(range(p, p + l)) AS q FROM hits) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*)::BIGINT AS n_items, string_agg(i, ',' ORDER BY i) AS s
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
 def op7_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), window=2048, end_id=0)
@@ -73,6 +105,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_token_store": op4_token_store,
+    "op6_decontam": op6_decontam,
     "op7_packing": op7_packing,
     "op9_sharding": op9_sharding,
     "op10_topk": op10_topk,
