@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terrane.llm import decontam, line_dedup, packing, sharding, token_store, topk
+from terrane.llm import decontam, line_dedup, ngram_join, packing, sharding, token_store, topk
 from terrane.llm._common import table
 
 ORACLES: dict[str, str] = {}
@@ -43,6 +43,29 @@ def op4_token_store(spark, sf_dir):
     return token_store.read_ids(spark, target, with_ids=False)
 
 
+def op5_ngram_join(spark, sf_dir):
+    return ngram_join.link_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), n=3, num=90, den=100)
+
+
+ORACLES["op5_ngram_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+w AS (SELECT doc_id, unnest(w) AS a, unnest(range(len(w))) AS p, len(w) AS k FROM d),
+s3 AS (
+  SELECT doc_id, p, k, string_agg(a, ' ') OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS g FROM w),
+grams AS (SELECT DISTINCT doc_id, hash(g) AS g FROM s3 WHERE p = 0 OR p + 3 <= k),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * o >= 90 * (p.n + q.n - o)),
+sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, s.b FROM reach r JOIN sides s ON s.a = r.b)
+SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(r.b) AS component_id
+FROM d LEFT JOIN sizes USING (doc_id) JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id
+"""
+
+
 def op6_decontam(spark, sf_dir):
     docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text")
     found = decontam.find_contamination(docs, items, window=10)
@@ -105,6 +128,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_token_store": op4_token_store,
+    "op5_ngram_join": op5_ngram_join,
     "op6_decontam": op6_decontam,
     "op7_packing": op7_packing,
     "op9_sharding": op9_sharding,
