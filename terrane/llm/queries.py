@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terrane.llm import decontam, line_dedup, ngram_join, packing, sharding, token_store, topk
+from terrane.llm import decontam, lang_id, line_dedup, ngram_join, packing, sharding, token_store, topk
 from terrane.llm._common import table
 
 ORACLES: dict[str, str] = {}
@@ -16,6 +16,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = lang_id.identify(docs.select("doc_id", "text"), lang_id.train(docs))
+    return found.select("doc_id", (lang_id.fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op3_line_dedup(spark, sf_dir):
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -126,6 +132,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op3_line_dedup": op3_line_dedup,
     "op4_token_store": op4_token_store,
     "op5_ngram_join": op5_ngram_join,
