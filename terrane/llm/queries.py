@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terrane.llm import decontam, lang_id, line_dedup, ngram_join, packing, sharding, token_store, topk
+from terrane.llm import decontam, lang_id, line_dedup, ngram_join, packing, quality, sharding, token_store, topk
 from terrane.llm._common import table
 
 ORACLES: dict[str, str] = {}
@@ -109,6 +109,13 @@ def op7_packing(spark, sf_dir):
     return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), window=2048, end_id=0)
 
 
+def op8_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    found = quality.score_quality(docs, model, threshold=0.3)
+    return found.select("doc_id", (lang_id.fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
+
+
 def op9_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"), n_shards=40)
 
@@ -138,6 +145,7 @@ QUERIES = {
     "op5_ngram_join": op5_ngram_join,
     "op6_decontam": op6_decontam,
     "op7_packing": op7_packing,
+    "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
     "op10_topk": op10_topk,
 }
