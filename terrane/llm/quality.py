@@ -195,7 +195,7 @@ def score_quality(docs: DataFrame, model: Gam | None, text_col: str = "text", th
     """
     keep = [c for c in docs.columns if c not in ("score", "predicted")]
     own = f"{OWN}text"
-    schema = docs.select(*keep).schema.add("score", "double").add("predicted", "int")
+    schema = docs.select(*keep).schema.add("score", "double").add("predicted", "integer")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
