@@ -10,6 +10,7 @@ whole. Results equal the library's on whole texts, which the tests check.
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -19,6 +20,12 @@ MEMO_PIECES = 1_500_000
 PIECES_A_CALL = 5_000
 
 
+LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-įı-ɏ", r"!-&(-/:-@\[-`{-~"  # without U+0130, which lower-cases to two; without the apostrophe
+TAILED = re.compile(f"([{LETTERS}]+)([{MARKS}]+)")
+PLAIN = re.compile(f"[{LETTERS}{MARKS}\n]*")
+RUNS = re.compile(f"[{LETTERS}]+|[{MARKS}]+")
+
+
 class PieceEncoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -50,17 +57,37 @@ class PieceEncoder:
             self.memo.update((p, raw[4 * a : 4 * b]) for p, a, b in zip(part, cuts, cuts[1:], strict=False))
 
     def _learn(self, new: list[str]) -> None:
+        """Pieces of plain letters with punctuation behind (or, at word level, between) are learnt by parts."""
         if self.leading:  # inside a piece there is no other space, so one id begins with it
-            bad = [p for p in new if not p or p[-1].isspace()]
-            self.unsafe.update(bad)
-            bad = {*bad, *(p for p in new if p[:1].isspace())}
-            simple = [p for p in new if p not in bad]
-            other = [p for p in new if p in bad]
-        else:  # letters below U+0250 are one pre-token, whatever lower-casing and NFC do, but for one
-            simple = [p for p in new if p.isalpha() and max(p) < "ɐ" and "İ" not in p]
-            known = set(simple)
-            other = [p for p in new if p not in known]
-        self._joined(simple)
+            self.unsafe.update(p for p in new if not p or p[-1].isspace())
+            simple, other, parts = [], [], {}
+            for p in new:
+                if p.isalpha():
+                    simple.append(p)
+                elif found := TAILED.fullmatch(p):
+                    parts[p] = found.groups()
+                elif not p or p[0].isspace() or p[-1].isspace():
+                    other.append(p)
+                else:
+                    simple.append(p)
+            heads = {h for h, _ in parts.values()}.difference(self.memo, simple)
+            self._joined([*simple, *heads])
+            tails = list({t for _, t in parts.values()}.difference(self.first))
+            self.first.update(zip(tails, self._encode(tails), strict=True))
+            self.memo.update((p, self.memo[h] + self.first[t]) for p, (h, t) in parts.items())
+        else:  # a run of letters below U+0250 is one pre-token, whatever lower-casing and NFC do, but for one
+            parts, other = {}, []
+            for p in new:
+                if PLAIN.fullmatch(p):
+                    parts[p] = RUNS.findall(p.lower())
+                else:
+                    other.append(p)
+            runs = {r for x in parts.values() for r in x}.difference(self.memo)
+            self._joined([r for r in runs if r.isalpha()])
+            marks = [r for r in runs if not r.isalpha()]
+            self.memo.update(zip(marks, self._encode(marks), strict=True))
+            get = self.memo.__getitem__
+            self.memo.update([(p, get(x[0]) if len(x) == 1 else b"".join(map(get, x))) for p, x in parts.items()])
         for i in range(0, len(other), PIECES_A_CALL):
             part = other[i : i + PIECES_A_CALL]
             self.memo.update(zip(part, self._encode([" " + p for p in part]), strict=True))
