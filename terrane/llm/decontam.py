@@ -186,9 +186,14 @@ def _scan(bench):
     return run
 
 
-def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _hits(keep_text: bool):
     """Covered words, longest match and digest of the items, from the triples (offset, window, match)."""
-    for batch in batches:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield summed(batch)
+
+    def summed(batch: pa.RecordBatch) -> pa.RecordBatch:
         spans, items, n_words = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("spans", "items", "n_words"))
         hit, longest = [], []
         for s, n in zip(spans, n_words, strict=True):
@@ -198,8 +203,10 @@ def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             longest.append(int(t[:, 2].max(initial=0)))
         digests = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]
         columns = [pa.array(hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array(digests), pa.array([h > 0 for h in hit]), pa.array(longest, pa.int64())]
-        names = [c for c in batch.schema.names if c not in ("text",)]
-        yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in names), *columns], [*names, "n_hit", "n_items", "items_sha256", "contaminated", "longest_match"])
+        names = [c for c in batch.schema.names if keep_text or c != "text"]
+        return pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in names), *columns], [*names, "n_hit", "n_items", "items_sha256", "contaminated", "longest_match"])
+
+    return run
 
 
 def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[str, bytes | None]]]:
@@ -216,14 +223,14 @@ def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iter
         yield held
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """doc_id, n_words, spans, items, n_hit, n_items, items_sha256, contaminated, longest_match of every document.
 
     Words are runs of ASCII letters (A-Z lower-cased), digits and other characters. A window is
     ``window`` consecutive words of an item, or all of an item with fewer; a document word inside
     an occurrence of a window is hit. ``spans`` has, flat, a word offset, the window's length and
     the length of the longest verbatim match from there that the item's suffix has anywhere in the
-    shard (else the window's). Null and empty texts have no words and items without words no window. Every row
+    shard (else the window's). ``keep_text`` adds the text, as binary, after doc_id. Null and empty texts have no words and items without words no window. Every row
     is a document of its own, also with a null or repeated id; a null item id counts as the empty
     string, items of one id are one. Other columns are ignored; empty tables are fine.
     """
@@ -236,5 +243,5 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
     blocks = benchmark_blocks(benchmark, item_col, item_text_col)
     for block in chain([next(blocks, [])], blocks):
         rows = rows.mapInArrow(_scan(spark.sparkContext.broadcast(Benchmark(block, window))), schema)
-    out = f"doc_id {id_type}, n_words long, spans array<bigint>, items array<string>, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest_match long"
-    return rows.mapInArrow(_hits, out)
+    out = f"doc_id {id_type}, {'text binary, ' * keep_text}n_words long, spans array<bigint>, items array<string>, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest_match long"
+    return rows.mapInArrow(_hits(keep_text), out)
