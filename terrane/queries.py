@@ -1,6 +1,711 @@
-"""All queries of the entity engine, by name, with the SQL that checks them."""
+"""All queries of the entity engine, by name, with the SQL that checks them.
+
+Results hold scalar columns only: arrays are joined, times are whole numbers or timestamps, and
+doubles are rounded, so that two engines can be compared by value.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from terrane import views
+from terrane.functions import maths, strings, texts, words
+from terrane.operators import composites, entities, geometry, graphs, partition, translate
+from terrane.plans import compile as plans
+from terrane.plans.rules import parse_rules
+from terrane.streaming import replicate
+from terrane.views import table, with_views
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+FEATURE = ("id", "ord", "type", "low", "high", "label")
+
+
+def features(spark, sf_dir, rules: str, *more) -> DataFrame:
+    return plans.apply_rules(views.nodes(spark, sf_dir), parse_rules(rules)).select(*FEATURE, *more)
+
+
+# Rules -------------------------------------------------------------------------
+
+FIRST_MATCH = """
+ptype = PROMO & size > 25 { name '${pname} (${size})' | '${pname}' } [0x4803 resolution 23]
+ptype = PROMO { name '${pname}' } [0x4804 resolution 20-22]
+ptype = ECONOMY | ptype = SMALL { name '${nick}' | '${brand}' } [0x2f01]
+size < 10 [0x0100 resolution 12 default_name 'tiny']
+ptype = * [0x0200 resolution 14]
+"""
+
+
+@query("""SELECT p_partkey AS id, CASE WHEN p_type = 'PROMO' AND p_size > 25 THEN 0 WHEN p_type = 'PROMO' THEN 1 WHEN p_type IN ('ECONOMY', 'SMALL') THEN 2 WHEN p_size < 10 THEN 3 ELSE 4 END AS ord,
+  CASE ord WHEN 0 THEN 18435 WHEN 1 THEN 18436 WHEN 2 THEN 12033 WHEN 3 THEN 256 ELSE 512 END AS type, CASE ord WHEN 0 THEN 23 WHEN 1 THEN 20 WHEN 2 THEN 24 WHEN 3 THEN 12 ELSE 14 END AS low,
+  CASE ord WHEN 1 THEN 22 ELSE 24 END AS high, CASE ord WHEN 0 THEN p_name || ' (' || p_size || ')' WHEN 1 THEN p_name WHEN 2 THEN p_brand WHEN 3 THEN 'tiny' END AS label FROM part""")
+def rule_first_match(spark, sf_dir):
+    return features(spark, sf_dir, FIRST_MATCH)
+
+
+@query("""SELECT id, ord, type FROM (SELECT p_partkey AS id, p_type AS t, p_size AS s FROM part) JOIN (VALUES (0, 1), (1, 2), (2, 3), (3, 4), (4, 5)) AS f(ord, type)
+  ON (ord = 0 AND t = 'LARGE') OR (ord = 1 AND t = 'LARGE' AND s > 30) OR (ord = 2 AND t <> 'LARGE' AND s > 30) OR ord = 3""")
+def rule_continue_fork(spark, sf_dir):
+    rules = "ptype = LARGE { set routed = yes } [0x01 road_class=4 road_speed=7 continue with_actions]\nrouted = yes & size > 30 [0x02 continue]\nrouted != yes & size > 30 [0x03 continue]\nptype = * { set tmp = 1 } [0x04 continue]\ntmp = 1 [0x05]"
+    return features(spark, sf_dir, rules).select("id", "ord", "type")
+
+
+@query("""SELECT p_partkey AS id, CASE WHEN p_size > 40 THEN 'big' ELSE p_brand END AS brand, coalesce(CASE WHEN p_type = 'PROMO' THEN 'promo' END, 'plain') AS flag, CASE WHEN p_type = 'SMALL' THEN NULL ELSE p_name END AS pname,
+  p_type || '/' || p_brand AS joined FROM part""")
+def rule_set_add_delete(spark, sf_dir):
+    rules = "ptype = * { set joined = '${ptype}/${brand}' }\nsize > 40 { set brand = big; add brand = never }\nptype = PROMO { set flag = promo }\nptype = * { add flag = plain }\nptype = SMALL { delete pname }\nptype = * [0x1]"
+    return features(spark, sf_dir, rules, *[F.element_at("tags", F.lit(k)).alias(k) for k in ("brand", "flag", "pname", "joined")]).select("id", "brand", "flag", "pname", "joined")
+
+
+@query("SELECT p_partkey AS id, p_type IS DISTINCT FROM 'PROMO' AS not_promo, true AS not_missing FROM part")
+def rule_neq_absent(spark, sf_dir):
+    rules = parse_rules("ptype != PROMO { set a = 1 }\nnowhere != x { set b = 1 }\nptype = * [0x1]")
+    got = plans.apply_rules(views.nodes(spark, sf_dir), rules)
+    return got.select("id", F.map_contains_key("tags", "a").alias("not_promo"), F.map_contains_key("tags", "b").alias("not_missing"))
+
+
+@query("SELECT p_partkey AS id, regexp_full_match(p_name, '(?:small|large) .*t') AS whole, regexp_full_match(p_brand, 'Brand#1[0-9]') AS brand FROM part")
+def rule_regex_full(spark, sf_dir):
+    rules = parse_rules("pname ~ '(?:small|large) .*t' { set a = 1 }\nbrand ~ 'Brand#1[0-9]' { set b = 1 }\npname ~ 'widget' { set a = wrong }\nptype = * [0x1]")
+    got = plans.apply_rules(views.nodes(spark, sf_dir), rules)
+    return got.select("id", F.map_contains_key("tags", "a").alias("whole"), F.map_contains_key("tags", "b").alias("brand"))
+
+
+@query("SELECT p_partkey AS id, CASE WHEN p_size > 40 THEN 'xl' WHEN p_size >= 20 THEN 'l' WHEN p_size <= 5 THEN 's' ELSE 'm' END AS class FROM part")
+def rule_numeric_cmp(spark, sf_dir):
+    rules = parse_rules("size > 40 { set c = xl }\nsize >= 20 { add c = l }\nsize <= 5 { add c = s }\nptype = * { add c = m } [0x1]")
+    return plans.apply_rules(views.nodes(spark, sf_dir), rules).select("id", F.element_at("tags", F.lit("c")).alias("class"))
+
+
+@query("SELECT p_partkey AS id, p_type = p_brand AS same, true AS copied FROM part")
+def rule_tag_eq_tag(spark, sf_dir):
+    rules = parse_rules("ptype = ${brand} { set a = 1 }\nptype = * { set copy = '${brand}' }\ncopy = ${brand} { set b = 1 }\nptype = * [0x1]")
+    got = plans.apply_rules(views.nodes(spark, sf_dir), rules)
+    return got.select("id", F.map_contains_key("tags", "a").alias("same"), F.map_contains_key("tags", "b").alias("copied"))
+
+
+@query("SELECT p_partkey AS id, CASE p_type WHEN 'PROMO' THEN 1 WHEN 'MEDIUM' THEN 2 WHEN 'LARGE' THEN 3 END AS type FROM part WHERE p_type IN ('PROMO', 'MEDIUM', 'LARGE')")
+def rule_table_join(spark, sf_dir):
+    rules = parse_rules("ptype = PROMO [0x1]\nptype = MEDIUM [0x2]\nptype = PROMO [0x9]\nptype = LARGE [0x3]")
+    return plans.classify_by_join(views.nodes(spark, sf_dir), rules, "ptype", F.element_at("tags", F.lit("ptype"))).select("id", "type")
+
+
+@query("SELECT p_partkey AS id, ord, type FROM part JOIN (VALUES (0, 1), (1, 2)) f(ord, type) ON (ord = 0 AND p_size > 25) OR (ord = 1 AND p_type = 'PROMO')")
+def rule_interpreter(spark, sf_dir):
+    rules = parse_rules("size > 25 [0x1 continue]\nptype = PROMO [0x2]")
+    return plans.apply_rules(views.nodes(spark, sf_dir), rules, strategy="interpreter").select("id", "ord", "type")
+
+
+@query("SELECT p_partkey AS id, CASE WHEN p_size > 30 THEN p_name WHEN p_type = 'PROMO' THEN p_brand ELSE 'nameless' END AS label FROM part")
+def label_fallback(spark, sf_dir):
+    rules = "size > 30 { set alt = '${pname}' }\nptype = PROMO { add alt = '${brand}' }\nptype = * { name '${nick}' | '${alt}' } [0x1 default_name 'nameless']"
+    return features(spark, sf_dir, rules).select("id", "label")
+
+
+@query("SELECT p_partkey AS id, replace(replace(p_name, 'small ', ''), 'widget', 'gadget') AS v FROM part")
+def filter_subst(spark, sf_dir):
+    rules = "ptype = * { set v = '${pname|subst:\"small \"|subst:widget=>gadget}' } [0x1]"
+    return features(spark, sf_dir, rules, F.element_at("tags", F.lit("v")).alias("v")).select("id", "v")
+
+
+@query("SELECT p_partkey AS id, split_part(p_name, ' ', 1) AS first, coalesce(nullif(split_part(p_name, ' ', 3), ''), 'none') AS third FROM part")
+def filter_part(spark, sf_dir):
+    rules = "ptype = * { set a = '${pname|part: :1}'; set b = '${pname|part: :3}' | 'none' } [0x1]"
+    tag = lambda k: F.element_at("tags", F.lit(k))
+    return features(spark, sf_dir, rules, tag("a").alias("first"), tag("b").alias("third")).select("id", "first", "third")
+
+
+@query("SELECT p_partkey AS id, round(p_size * 3.28084)::BIGINT::VARCHAR || ' ft' AS v FROM part")
+def filter_conv(spark, sf_dir):
+    rules = "size = * { name '${size|conv:m=>ft} ft' } [0x1]"
+    return features(spark, sf_dir, rules).select("id", F.col("label").alias("v"))
+
+
+@query("SELECT p_partkey AS id, 'no nick of ' || p_brand AS v FROM part")
+def filter_default(spark, sf_dir):
+    return features(spark, sf_dir, "ptype = * { name '${nick|def:no nick} of ${brand}' } [0x1]").select("id", F.col("label").alias("v"))
+
+
+@query("SELECT p_partkey AS id, CASE WHEN p_type IN ('PROMO', 'SMALL', 'LARGE') THEN 'listed' ELSE p_type END AS v FROM part")
+def filter_not_contained(spark, sf_dir):
+    rules = "ptype = * { set list = 'PROMO;SMALL;LARGE'; name '${ptype|not-contained:;:list}' | 'listed' } [0x1]"
+    return features(spark, sf_dir, rules).select("id", F.col("label").alias("v"))
+
+
+LEVELS = tuple((i, 24 - i) for i in range(8))
+OVERVIEW = ((8, 16), (9, 14), (10, 12), (11, 11))
+RANGED = "ptype = PROMO [0x1 resolution 20-22]\nsize > 25 [0x2 resolution 18]\nptype = * [0x3 resolution 12]"
+
+
+@query("SELECT p_partkey AS id, type, 24 - r AS level, r AS resolution FROM (SELECT *, CASE WHEN p_type = 'PROMO' THEN 1 WHEN p_size > 25 THEN 2 ELSE 3 END AS type FROM part), range(17, 25) t(r) WHERE (type = 1 AND r BETWEEN 20 AND 22) OR (type = 2 AND r >= 18) OR type = 3")
+def level_explode(spark, sf_dir):
+    return composites.explode_levels(features(spark, sf_dir, RANGED), LEVELS).select("id", "type", "level", "resolution")
+
+
+@query("SELECT p_partkey AS id, level, resolution FROM part, (VALUES (8, 16), (9, 14), (10, 12), (11, 11)) o(level, resolution) WHERE p_type <> 'PROMO' AND p_size <= 25 AND resolution >= 12")
+def overview_levels(spark, sf_dir):
+    return composites.explode_levels(features(spark, sf_dir, RANGED), OVERVIEW).select("id", "level", "resolution")
+
+
+# Composites over orders -----------------------------------------------------------
+
+def order_tags() -> dict:
+    return {
+        "access": F.when(F.col("o_orderstatus") == "F", "private").when(F.col("o_orderstatus") == "P", "permissive"),
+        "vehicle": F.when(F.col("o_orderpriority") == "1-URGENT", "yes"),
+        "motor_vehicle": F.when(F.col("o_orderpriority") == "5-LOW", "forestry"),
+        "foot": F.when(F.col("o_custkey") % 3 == 0, "designated"),
+        "maxspeed": F.when(F.col("o_orderkey") % 4 == 0, F.concat((F.col("o_orderkey") % 90 + 5).cast("string"), F.lit(" mph"))).when(F.col("o_orderkey") % 4 == 1, (F.col("o_orderkey") % 140).cast("string")).when(F.col("o_orderkey") % 4 == 2, "signals"),
+        "highway": F.element_at(F.array(*map(F.lit, ("motorway_link", "trunk", "primary_link", "track", "link_road"))), (F.col("o_orderkey") % 5 + 1).cast("int")),
+        "tracktype": F.when(F.col("o_orderkey") % 7 > 0, F.concat(F.lit("grade"), (F.col("o_orderkey") % 7).cast("string"))),
+        "surface": F.element_at(F.array(*map(F.lit, ("asphalt", "gravel", "sand", "paved"))), (F.col("o_orderkey") % 4 + 1).cast("int")),
+        "smoothness": F.when(F.col("o_orderkey") % 6 == 0, "very_bad").when(F.col("o_orderkey") % 6 == 1, "good"),
+    }
+
+
+ORDER_SQL = """WITH o AS (SELECT o_orderkey AS id, CASE o_orderstatus WHEN 'F' THEN 'private' WHEN 'P' THEN 'permissive' END AS access, CASE WHEN o_orderpriority = '1-URGENT' THEN 'yes' END AS vehicle,
+  CASE WHEN o_orderpriority = '5-LOW' THEN 'forestry' END AS motor_vehicle, CASE WHEN o_custkey % 3 = 0 THEN 'designated' END AS foot,
+  CASE o_orderkey % 4 WHEN 0 THEN (o_orderkey % 90 + 5) || ' mph' WHEN 1 THEN (o_orderkey % 140)::VARCHAR WHEN 2 THEN 'signals' END AS maxspeed,
+  ['motorway_link', 'trunk', 'primary_link', 'track', 'link_road'][o_orderkey % 5 + 1] AS highway, CASE WHEN o_orderkey % 7 > 0 THEN 'grade' || (o_orderkey % 7) END AS tracktype,
+  ['asphalt', 'gravel', 'sand', 'paved'][o_orderkey % 4 + 1] AS surface, CASE o_orderkey % 6 WHEN 0 THEN 'very_bad' WHEN 1 THEN 'good' END AS smoothness FROM orders)
+"""
+
+
+def orders(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), *[c.alias(k) for k, c in order_tags().items()])
+
+
+@query(ORDER_SQL + """, n AS (SELECT id, CASE access WHEN 'private' THEN 'no' WHEN 'permissive' THEN 'yes' END AS access, vehicle, CASE motor_vehicle WHEN 'forestry' THEN 'no' END AS motor_vehicle, CASE foot WHEN 'designated' THEN 'yes' END AS foot FROM o)
+SELECT id, coalesce(motor_vehicle, vehicle, access, 'no') AS car, coalesce(vehicle, access, 'yes') AS bicycle, coalesce(foot, access, 'yes') AS foot,
+  NOT (coalesce(motor_vehicle, vehicle, access, 'no') = 'no' AND coalesce(vehicle, access, 'yes') = 'no' AND coalesce(foot, access, 'yes') = 'no') AS routable FROM n""")
+def access_inherit(spark, sf_dir):
+    o, none = orders(spark, sf_dir), F.lit(None).cast("string")
+    col = F.col
+    o = o.select("id", composites.inherit_access(none, col("motor_vehicle"), col("vehicle"), col("access")).alias("car"), composites.inherit_access(none, none, col("vehicle"), col("access"), "yes").alias("bicycle"), composites.inherit_access(col("foot"), none, none, col("access"), "yes").alias("foot"))
+    return o.withColumn("routable", composites.routable(col("car"), col("bicycle"), col("foot")))
+
+
+@query(ORDER_SQL + "SELECT id, coalesce(vehicle, access) AS vehicle, coalesce(motor_vehicle, vehicle, access) AS motor_vehicle, coalesce(motor_vehicle, vehicle, access) AS bus, coalesce(foot, motor_vehicle, vehicle, access) AS taxi FROM o")
+def access_tree(spark, sf_dir):
+    tree = composites.access_tree(F.col("access"), F.col("vehicle"), F.col("motor_vehicle"), {"bus": F.lit(None).cast("string"), "taxi": F.col("foot")})
+    return orders(spark, sf_dir).select("id", *[c.alias(k) for k, c in tree.items()])
+
+
+@query(ORDER_SQL + """, k AS (SELECT id, CASE WHEN maxspeed LIKE '% mph' THEN round(split_part(maxspeed, ' ', 1)::DOUBLE * 1.609344, 4) WHEN maxspeed <> 'signals' THEN maxspeed::DOUBLE END AS kmh FROM o)
+SELECT id, kmh, CASE WHEN kmh >= 110 THEN 7 WHEN kmh >= 90 THEN 6 WHEN kmh >= 80 THEN 5 WHEN kmh >= 60 THEN 4 WHEN kmh >= 40 THEN 3 WHEN kmh >= 20 THEN 2 WHEN kmh >= 10 THEN 1 END AS class FROM k""")
+def speed_class(spark, sf_dir):
+    o = orders(spark, sf_dir).select("id", F.round(plans.as_speed(F.col("maxspeed")), 4).alias("kmh"))
+    return o.withColumn("class", composites.speed_class(F.col("kmh")))
+
+
+@query(ORDER_SQL + "SELECT id, CASE highway WHEN 'motorway_link' THEN 'motorway' WHEN 'primary_link' THEN 'primary' ELSE highway END AS highway FROM o")
+def link_collapse(spark, sf_dir):
+    return orders(spark, sf_dir).select("id", composites.collapse_link(F.col("highway")).alias("highway"))
+
+
+@query(ORDER_SQL + "SELECT id, CASE tracktype WHEN 'grade1' THEN 'track1' WHEN 'grade4' THEN 'track45' WHEN 'grade5' THEN 'track45' ELSE 'track23' END AS class FROM o WHERE highway = 'track'")
+def track_grade(spark, sf_dir):
+    return orders(spark, sf_dir).where("highway = 'track'").select("id", composites.track_grade(F.col("tracktype")).alias("class"))
+
+
+@query(ORDER_SQL + "SELECT id, surface IN ('gravel', 'sand') OR coalesce(tracktype IN ('grade2', 'grade3', 'grade4', 'grade5'), false) OR coalesce(smoothness = 'very_bad', false) AS unpaved FROM o")
+def unpaved_flag(spark, sf_dir):
+    return orders(spark, sf_dir).select("id", composites.unpaved(F.col("surface"), F.col("tracktype"), F.col("smoothness")).alias("unpaved"))
+
+
+@query(ORDER_SQL + "SELECT id, CASE WHEN surface IN ('sand', 'gravel') THEN NULL ELSE surface END AS surface, CASE WHEN surface IN ('sand', 'gravel') THEN surface ELSE highway END AS highway FROM o")
+def value_move(spark, sf_dir):
+    tags = F.create_map(F.lit("surface"), F.col("surface"), F.lit("highway"), F.col("highway"))
+    moved = composites.move_values(F.col("tags"), "surface", "highway", ("sand", "gravel"))
+    got = orders(spark, sf_dir).select("id", tags.alias("tags")).select("id", moved.alias("tags"))
+    return got.select("id", *[F.element_at("tags", F.lit(k)).alias(k) for k in ("surface", "highway")])
+
+
+ADDRESS_PRIORITIES = [("EUROPE", "mktsegment", 0), ("EUROPE", "nation", 1), ("ASIA", "nation", 0), ("ASIA", "mktsegment", 1), ("AFRICA", "name", 0), ("AMERICA", "region", 0), ("AMERICA", "name", 1), ("MIDDLE EAST", "name", 5), ("MIDDLE EAST", "nation", 2)]
+
+
+@query("""WITH p(region, level, priority) AS (VALUES ('EUROPE', 'mktsegment', 0), ('EUROPE', 'nation', 1), ('ASIA', 'nation', 0), ('ASIA', 'mktsegment', 1), ('AFRICA', 'name', 0), ('AMERICA', 'region', 0), ('AMERICA', 'name', 1), ('MIDDLE EAST', 'name', 5), ('MIDDLE EAST', 'nation', 2)),
+a AS (SELECT c_custkey AS id, r_name AS region, n_name, c_name, CASE WHEN c_mktsegment <> 'FURNITURE' THEN c_mktsegment END AS seg FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey),
+l AS (SELECT id, region, 'mktsegment' AS level, seg AS value FROM a UNION ALL SELECT id, region, 'nation', n_name FROM a UNION ALL SELECT id, region, 'name', c_name FROM a UNION ALL SELECT id, region, 'region', region FROM a)
+SELECT id, arg_min(value, priority) AS city FROM l JOIN p USING (region, level) WHERE value IS NOT NULL GROUP BY id""")
+def address_priority(spark, sf_dir):
+    c, n, r = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
+    a = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    pairs = {"mktsegment": F.when(F.col("c_mktsegment") != "FURNITURE", F.col("c_mktsegment")), "nation": F.col("n_name"), "name": F.col("c_name"), "region": F.col("r_name")}
+    long = a.select(F.col("c_custkey").alias("id"), F.col("r_name").alias("region"), F.explode(F.create_map(*[x for k, v in pairs.items() for x in (F.lit(k), v)])).alias("level", "value")).where("value is not null")
+    priorities = spark.createDataFrame(ADDRESS_PRIORITIES, "region string, level string, priority int")
+    return composites.by_priority(long, priorities, ["region", "level"], "id").withColumnRenamed("value", "city")
+
+
+@query("""SELECT s_suppkey AS id, r_name AS country, CASE r_name WHEN 'EUROPE' THEN 'no' WHEN 'ASIA' THEN 'yes' ELSE 'unknown' END AS moped FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey""")
+def country_override(spark, sf_dir):
+    s, n, r = (table(spark, sf_dir, t) for t in ("supplier", "nation", "region"))
+    defaults = spark.createDataFrame([("EUROPE", "no"), ("ASIA", "yes")], "country string, moped string")
+    a = s.join(n, s.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey).select(F.col("s_suppkey").alias("id"), F.col("r_name").alias("country"))
+    return a.join(F.broadcast(defaults), "country", "left").select("id", "country", F.coalesce("moped", F.lit("unknown")).alias("moped"))  # a rule table
+
+
+@query("""WITH t AS (SELECT doc_id, regexp_replace(left(text, 40), '\\s+', ' ', 'g') AS name FROM documents)
+SELECT doc_id, regexp_extract(name, '^(The|La|Der|A) ', 1) AS prefix, regexp_replace(name, '^(The|La|Der|A) ', '') AS core FROM t""".replace("\\\\", "\\"))
+def road_affix_split(spark, sf_dir):
+    t = table(spark, sf_dir, "documents").select("doc_id", F.regexp_replace(F.substring("text", 1, 40), r"[\t\n\f\r ]+", " ").alias("name"))
+    prefix, core, _ = composites.split_affix(F.col("name"), ("The", "La", "Der", "A"), ())
+    return t.select("doc_id", prefix.alias("prefix"), core.alias("core"))
+
+
+@query("SELECT p_partkey AS id, CASE WHEN p_size * 5 % 100 = 0 THEN 'major' WHEN p_size * 5 % 50 = 0 THEN 'medium' WHEN p_size * 5 % 10 = 0 THEN 'minor' END AS class FROM part")
+def contour_class(spark, sf_dir):
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), composites.contour_class(F.col("p_size") * 5).alias("class"))
+
+
+# Translations -----------------------------------------------------------------------
+
+WORDS = [(0, "PROMO", None, "Angebot"), (1, "PROMO", "EN", "Offer"), (2, "SMALL", None, "Klein"), (3, "SMALL", "FR", "Petit"), (4, "LARGE", "EN", "Large"), (5, "LARGE", None, "Gross"), (6, "PROMO", "EN", "Special"), (7, "MEDIUM", None, "Mittel")]
+WORDS_SQL = "w(ord, key, lang, text) AS (VALUES (0, 'PROMO', NULL, 'Angebot'), (1, 'PROMO', 'EN', 'Offer'), (2, 'SMALL', NULL, 'Klein'), (3, 'SMALL', 'FR', 'Petit'), (4, 'LARGE', 'EN', 'Large'), (5, 'LARGE', NULL, 'Gross'), (6, 'PROMO', 'EN', 'Special'), (7, 'MEDIUM', NULL, 'Mittel'))"
+
+
+def translations(spark) -> DataFrame:
+    return spark.createDataFrame(WORDS, "ord int, key string, lang string, text string")
+
+
+@query(f"WITH {WORDS_SQL}, b AS (SELECT key, text FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY lang IS NULL, ord DESC) r FROM w WHERE lang IS NULL OR lang = 'EN') WHERE r = 1) SELECT p_partkey AS id, coalesce(b.text, p_type) AS label FROM part LEFT JOIN b ON b.key = p_type")
+def i18n_lookup(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_type").alias("key"))
+    return part.join(translate.resolve(translations(spark), "EN"), "key", "left").select("id", F.coalesce("text", "key").alias("label"))
+
+
+@query(f"WITH {WORDS_SQL} SELECT * FROM w UNION ALL SELECT ord, key, 'PL', text FROM w WHERE lang = 'EN'")
+def i18n_add_lang(spark, sf_dir):
+    return translate.change_languages(translations(spark), add="PL", copy="EN")
+
+
+@query(f"WITH {WORDS_SQL} SELECT * FROM w WHERE lang IS DISTINCT FROM 'EN'")
+def i18n_remove_lang(spark, sf_dir):
+    return translate.change_languages(translations(spark), remove="EN")
+
+
+@query("SELECT p_partkey AS id, CASE WHEN p_size > 25 THEN p_name ELSE p_type END AS label FROM part")
+def symbol_language(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.when(F.col("p_size") > 25, F.create_map(F.lit("0x04"), "p_name", F.lit("0x00"), "p_type")).otherwise(F.create_map(F.lit("0x07"), F.lit("other"), F.lit("0x00"), F.col("p_type"))).alias("strings"))
+    added = translate.add_symbol_language(F.col("strings"), "0x15", "0x04")
+    return part.withColumn("strings", added).select("id", translate.symbol_text(F.col("strings"), "0x15").alias("label"))
+
+
+# Geometry -----------------------------------------------------------------------------
+
+POINTS_SQL = with_views("node", "way_node") + ", pt AS (SELECT way_id, seq, node_id, lat_e7, lon_e7 FROM way_node JOIN node ON node.id = node_id) "
+
+
+def points(spark, sf_dir) -> DataFrame:
+    return geometry.way_points(views.way_nodes(spark, sf_dir), views.nodes(spark, sf_dir))
+
+
+@query(POINTS_SQL + 'SELECT way_id, min(lon_e7) AS "left", min(lat_e7) AS bottom, max(lon_e7) AS "right", max(lat_e7) AS top FROM pt GROUP BY way_id')
+def way_bbox(spark, sf_dir):
+    return geometry.way_bbox(points(spark, sf_dir))
+
+
+@query(POINTS_SQL + "SELECT way_id, count(*)::INTEGER AS n, string_agg(lon_e7 || ' ' || lat_e7, ',' ORDER BY seq) AS line FROM pt GROUP BY way_id")
+def way_linestring(spark, sf_dir):
+    lines = geometry.way_lines(points(spark, sf_dir))
+    return lines.select("way_id", F.size("points").alias("n"), F.array_join(F.transform("points", lambda p: F.concat_ws(" ", p["lon_e7"].cast("string"), p["lat_e7"].cast("string"))), ",").alias("line"))
+
+
+@query(POINTS_SQL + "SELECT way_id, CASE WHEN arg_min(node_id, seq) = arg_max(node_id, seq) AND count(*) >= 3 THEN 'polygon' ELSE 'line' END AS kind FROM pt GROUP BY way_id")
+def closed_way_polygon(spark, sf_dir):
+    return geometry.way_lines(points(spark, sf_dir)).select("way_id", geometry.kind(F.col("points")).alias("kind"))
+
+
+@query(POINTS_SQL + """, s AS (SELECT way_id, radians(lat_e7 / 1e7) AS la, radians(lon_e7 / 1e7) AS lo, lead(radians(lat_e7 / 1e7)) OVER w AS lb, lead(radians(lon_e7 / 1e7)) OVER w AS lp FROM pt WINDOW w AS (PARTITION BY way_id ORDER BY seq))
+SELECT way_id, coalesce(round(sum(2 * 6371000.0 * asin(sqrt(least(pow(sin((lb - la) / 2), 2) + cos(la) * cos(lb) * pow(sin((lp - lo) / 2), 2), 1.0)))) FILTER (lb IS NOT NULL))::BIGINT, 0) AS metres FROM s GROUP BY way_id""")
+def way_length(spark, sf_dir):
+    return geometry.way_lines(points(spark, sf_dir)).select("way_id", F.round(geometry.length(F.col("points"))).cast("long").alias("metres"))
+
+
+@query(POINTS_SQL + """, s AS (SELECT way_id, lat_e7 // 1000 AS la, lon_e7 // 1000 AS lo, lead(lat_e7 // 1000) OVER w AS lb, lead(lon_e7 // 1000) OVER w AS lp FROM pt WINDOW w AS (PARTITION BY way_id ORDER BY seq))
+SELECT way_id, coalesce(sum(lo * lb - lp * la), 0)::BIGINT AS area2 FROM s GROUP BY way_id""")
+def shoelace_area(spark, sf_dir):
+    return geometry.way_lines(points(spark, sf_dir)).select("way_id", geometry.area2_micro(F.col("points")).alias("area2"))
+
+
+@query(with_views("node") + """, q AS (SELECT id, round((lon_e7 / 1e7 + 180) * 65535 / 360)::BIGINT AS x, round((lat_e7 / 1e7 + 90) * 65535 / 180)::BIGINT AS y FROM node)
+SELECT id, (SELECT sum((((x >> i) & 1) << (2 * i + 1)) + (((y >> i) & 1) << (2 * i)))::BIGINT FROM range(16) t(i)) AS tile FROM q""")
+def tile_morton(spark, sf_dir):
+    return views.nodes(spark, sf_dir).select("id", geometry.morton(F.col("lat_e7"), F.col("lon_e7")).alias("tile"))
+
+
+@query(with_views("node") + """, q AS (SELECT id, lon_e7 / 1e7 AS lon, radians(greatest(least(lat_e7 / 1e7, 85.0511), -85.0511)) AS lat FROM node)
+SELECT id, greatest(least(floor(round((lon + 180) / 360 * 4096, 6)), 4095), 0)::BIGINT AS x, greatest(least(floor(round((1 - ln(tan(lat) + 1 / cos(lat)) / 3.141592653589793::DOUBLE) / 2 * 4096, 6)), 4095), 0)::BIGINT AS y FROM q""")
+def tile_slippy(spark, sf_dir):
+    x, y = geometry.slippy(F.col("lat_e7"), F.col("lon_e7"), 12)
+    return views.nodes(spark, sf_dir).select("id", x.alias("x"), y.alias("y"))
+
+
+@query("SELECT o_orderkey AS id, CASE WHEN v >= 2147483648 THEN v - 4294967296 ELSE v END AS xid FROM (SELECT o_orderkey, (o_orderkey * 2654435761) % 4294967296 AS v FROM orders)")
+def xid_wrap(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), geometry.wrap32((F.col("o_orderkey") * 2654435761) % 4294967296).alias("xid"))
+
+
+# Partitioning ---------------------------------------------------------------------------
+
+CELL = 450_000_000
+AREAS = [(1, -1800000000, -900000000, 0, 0), (2, 0, -900000000, 1800000001, 0), (3, -1800000000, 0, 900000000, 900000001), (4, 900000000, 0, 1800000001, 900000001)]
+AREAS_SQL = "area(tile_id, l, b, r, t) AS (VALUES (1, -1800000000, -900000000, 0, 0), (2, 0, -900000000, 1800000001, 0), (3, -1800000000, 0, 900000000, 900000001), (4, 900000000, 0, 1800000001, 900000001))"
+TILED_SQL = with_views("node", "way_node") + f", {AREAS_SQL}, nt AS (SELECT id, tile_id::BIGINT AS tile_id FROM node JOIN area ON lon_e7 >= l AND lon_e7 < r AND lat_e7 >= b AND lat_e7 < t) "
+
+
+@query(with_views("node") + "SELECT floor((lon_e7 + 1800000000) / 450000000)::INTEGER AS cx, floor((lat_e7 + 900000000) / 450000000)::INTEGER AS cy, count(*)::BIGINT AS n FROM node GROUP BY ALL")
+def density_histogram(spark, sf_dir):
+    return partition.density(views.nodes(spark, sf_dir), CELL)
+
+
+@query()
+def kd_split(spark, sf_dir):
+    """The tiles that a histogram at a fine grid splits into; the histogram has at most one row a grid cell."""
+    cell_e7 = 100_000_000
+    histogram = [tuple(r) for r in partition.density(views.nodes(spark, sf_dir), cell_e7).collect()]
+    most = max(1, sum(h[2] for h in histogram) // 16)
+    return partition.areas_table(spark, partition.split(histogram, most, cell_e7))
+
+
+@query(TILED_SQL + "SELECT id, tile_id FROM nt")
+def tile_assign(spark, sf_dir):
+    return partition.assign(views.nodes(spark, sf_dir), partition.areas_table(spark, AREAS), CELL).select("id", "tile_id")
+
+
+@query(with_views("node") + f", {AREAS_SQL} SELECT id, tile_id::BIGINT AS tile_id FROM node JOIN area ON lon_e7 >= l - 50000000 AND lon_e7 < r + 50000000 AND lat_e7 >= b - 50000000 AND lat_e7 < t + 50000000")
+def tile_overlap(spark, sf_dir):
+    return partition.assign(views.nodes(spark, sf_dir), partition.areas_table(spark, AREAS), CELL, overlap_e7=50_000_000).select("id", "tile_id")
+
+
+@query(TILED_SQL + "SELECT DISTINCT way_id, tile_id FROM way_node JOIN nt ON nt.id = node_id")
+def way_tiles(spark, sf_dir):
+    tiles = partition.assign(views.nodes(spark, sf_dir), partition.areas_table(spark, AREAS), CELL)
+    return partition.way_tiles(views.way_nodes(spark, sf_dir), tiles)
+
+
+@query(TILED_SQL + "SELECT DISTINCT o_custkey AS relation, tile_id FROM orders JOIN way_node ON way_id = o_orderkey JOIN nt ON nt.id = node_id")
+def relation_tiles(spark, sf_dir):
+    tiles = partition.assign(views.nodes(spark, sf_dir), partition.areas_table(spark, AREAS), CELL)
+    of_ways = partition.way_tiles(views.way_nodes(spark, sf_dir), tiles)
+    return views.ways(spark, sf_dir).select("user_id", F.col("id").alias("way_id")).join(of_ways, "way_id").select(F.col("user_id").alias("relation"), "tile_id").distinct()
+
+
+@query(POINTS_SQL + f", {AREAS_SQL}, box AS (SELECT way_id, min(lon_e7) AS x1, min(lat_e7) AS y1, max(lon_e7) AS x2, max(lat_e7) AS y2 FROM pt GROUP BY way_id) SELECT way_id, tile_id::BIGINT AS tile_id FROM box JOIN area ON x1 < r AND x2 >= l AND y1 < t AND y2 >= b")
+def tile_closure(spark, sf_dir):
+    return partition.bbox_tiles(geometry.way_bbox(points(spark, sf_dir)), partition.areas_table(spark, AREAS), "way_id", CELL)
+
+
+PLACES_SQL = "place AS (SELECT s_name AS name, ((s_suppkey * 5003) % 1800001 - 900000) * 1000 AS lat_e7, ((s_suppkey * 70001) % 3600001 - 1800000) * 1000 AS lon_e7 FROM supplier)"
+
+
+@query(with_views("node") + f", {PLACES_SQL} SELECT id, arg_min(name, ((node.lat_e7 - p.lat_e7)::DOUBLE * (node.lat_e7 - p.lat_e7) + (node.lon_e7 - p.lon_e7)::DOUBLE * (node.lon_e7 - p.lon_e7), name)) AS place FROM node, place p GROUP BY id")
+def city_nearest(spark, sf_dir):
+    places = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"), views.e7("s_suppkey", 5003, 1800001, 900000).alias("lat_e7"), views.e7("s_suppkey", 70001, 3600001, 1800000).alias("lon_e7"))
+    return partition.nearest(views.nodes(spark, sf_dir), places, "id", "name")
+
+
+# Entity dataflow ---------------------------------------------------------------------------
+
+BOX = (-900_000_000, -450_000_000, 1_200_000_000, 600_000_000)
+INSIDE = "lon_e7 BETWEEN -900000000 AND 1200000000 AND lat_e7 BETWEEN -450000000 AND 600000000"
+RING = [(-1_000_000_000, -500_000_000), (1_200_000_000, -300_000_000), (300_000_000, 100_000_000), (900_000_000, 800_000_000), (-700_000_000, 400_000_000)]
+
+
+@query("SELECT p_partkey AS id FROM part WHERE p_type = 'PROMO' OR p_brand = 'Brand#13'")
+def tag_filter(spark, sf_dir):
+    return entities.tag_filter(views.nodes(spark, sf_dir), keys=("nowhere",), pairs=(("ptype", "PROMO"), ("brand", "Brand#13"))).select("id")
+
+
+@query("SELECT p_partkey AS id FROM part SEMI JOIN lineitem ON l_partkey = p_partkey")
+def used_node(spark, sf_dir):
+    return entities.used(views.nodes(spark, sf_dir), views.way_nodes(spark, sf_dir).select("node_id")).select("id")
+
+
+@query("SELECT o_orderkey AS id FROM orders SEMI JOIN customer ON c_custkey = o_custkey AND c_mktsegment = 'FURNITURE'")
+def used_way(spark, sf_dir):
+    owners = table(spark, sf_dir, "customer").where("c_mktsegment = 'FURNITURE'").select(F.col("c_custkey").alias("user_id"))
+    return entities.used(views.ways(spark, sf_dir), owners, id_col="user_id").select("id")
+
+
+@query(with_views("node") + f"SELECT id FROM node WHERE {INSIDE}")
+def bbox_clip(spark, sf_dir):
+    return entities.bbox_clip(views.nodes(spark, sf_dir), *BOX).select("id")
+
+
+@query(with_views("node", "way_node") + f", w AS (SELECT DISTINCT way_id FROM way_node JOIN node ON id = node_id WHERE {INSIDE}) SELECT way_id, count(*)::BIGINT AS n FROM way_node SEMI JOIN w USING (way_id) GROUP BY way_id")
+def complete_ways(spark, sf_dir):
+    nodes = entities.bbox_clip(views.nodes(spark, sf_dir), *BOX)
+    _, refs = entities.clip_ways(views.ways(spark, sf_dir), views.way_nodes(spark, sf_dir), nodes, complete=True)
+    return refs.groupBy("way_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(with_views("node") + ", e(x1, y1, x2, y2) AS (VALUES (-1000000000, -500000000, 1200000000, -300000000), (1200000000, -300000000, 300000000, 100000000), (300000000, 100000000, 900000000, 800000000), (900000000, 800000000, -700000000, 400000000), (-700000000, 400000000, -1000000000, -500000000)) SELECT id FROM node, (SELECT x1::BIGINT AS x1, y1::BIGINT AS y1, x2::BIGINT AS x2, y2::BIGINT AS y2 FROM e) WHERE (y1 > lat_e7) <> (y2 > lat_e7) AND CASE WHEN y1 < y2 THEN (lon_e7 - x1)::HUGEINT * (y2 - y1) < (lat_e7 - y1)::HUGEINT * (x2 - x1) ELSE (lon_e7 - x2)::HUGEINT * (y1 - y2) < (lat_e7 - y2)::HUGEINT * (x1 - x2) END GROUP BY id HAVING count(*) % 2 = 1")
+def polygon_clip(spark, sf_dir):
+    return entities.polygon_clip(views.nodes(spark, sf_dir), [RING]).select("id")
+
+
+@query("SELECT p_partkey AS id, 'pname,size' AS keys FROM part")
+def remove_tags(spark, sf_dir):
+    got = entities.tag_sort(entities.remove_tags(views.nodes(spark, sf_dir), keys=("brand",), prefixes=("pt",)))
+    return got.select("id", F.array_join(F.map_keys("tags"), ",").alias("keys"))
+
+
+@query("SELECT l_orderkey AS way_id, l_partkey AS node_id FROM lineitem ANTI JOIN (SELECT * FROM part WHERE p_size <= 40) p ON p_partkey = l_partkey")
+def integrity_report(spark, sf_dir):
+    kept = table(spark, sf_dir, "part").where("p_size <= 40").select(F.col("p_partkey").alias("id"))
+    return entities.integrity_report(views.way_nodes(spark, sf_dir), kept, ["way_id"], "node_id")
+
+
+@query("SELECT o_custkey AS user_id, count(*)::BIGINT AS n FROM orders GROUP BY ROLLUP (o_custkey)")
+def user_report_rollup(spark, sf_dir):
+    return entities.user_report(views.ways(spark, sf_dir))
+
+
+@query(with_views("node") + 'SELECT min(lon_e7) AS "left", min(lat_e7) AS bottom, max(lon_e7) AS "right", max(lat_e7) AS top FROM node')
+def bound_compute(spark, sf_dir):
+    n = views.nodes(spark, sf_dir)
+    return entities.merge_bounds(entities.bound(n.where("id % 2 = 0")), entities.bound(n.where("id % 2 = 1")))
+
+
+@query("SELECT 'node' AS type, p_partkey AS id, 1 AS version FROM part UNION ALL SELECT 'way', o_orderkey, 1 FROM orders")
+def sort_type_id(spark, sf_dir):
+    n = table(spark, sf_dir, "part").select(F.lit("node").alias("type"), F.col("p_partkey").alias("id"), F.lit(1).alias("version"))
+    w = table(spark, sf_dir, "orders").select(F.lit("way").alias("type"), F.col("o_orderkey").alias("id"), F.lit(1).alias("version"))
+    return entities.sort_entities(w.unionByName(n))
+
+
+LAST = "row_number() OVER (PARTITION BY id ORDER BY version DESC, ts DESC) = 1"
+
+
+@query(with_views("change") + f"SELECT id, version, action, ts FROM change QUALIFY {LAST}")
+def simplify_change(spark, sf_dir):
+    return entities.simplify_change(views.changes(spark, sf_dir)).select("id", "version", "action", "ts")
+
+
+@query(with_views("change") + f"SELECT id, version, k FROM change WHERE action <> 'delete' QUALIFY {LAST}")
+def flatten_latest(spark, sf_dir):
+    return entities.flatten(views.changes(spark, sf_dir).where("action <> 'delete'")).select("id", "version", "k")
+
+
+@query(with_views("change") + f"SELECT id, version, k FROM change QUALIFY {LAST}")
+def merge_dedup(spark, sf_dir):
+    c = views.changes(spark, sf_dir)
+    return entities.merge(c.where("version % 2 = 0"), c.where("version % 3 <> 1").unionByName(c.where("version % 3 = 1"))).select("id", "version", "k")
+
+
+@query(with_views("change") + "SELECT id, version, action FROM change WHERE action = 'create' UNION ALL SELECT id, version, action FROM change WHERE action = 'delete'")
+def append_change(spark, sf_dir):
+    c = views.changes(spark, sf_dir).select("id", "version", "action")
+    return entities.append_change(c.where("action = 'create'"), c.where("action = 'delete'"))
+
+
+def snapshots(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"))
+    new = o.where("id % 7 <> 0").withColumn("status", F.when(F.col("id") % 5 == 0, "X").otherwise(F.col("status"))).withColumn("priority", F.when(F.col("id") % 11 != 0, F.col("priority")))
+    return o.where("id % 3 <> 0"), new
+
+
+SNAPSHOTS_SQL = """WITH a AS (SELECT o_orderkey AS id, o_orderstatus AS status, o_orderpriority AS priority FROM orders WHERE o_orderkey % 3 <> 0),
+b AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END AS status, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderpriority END AS priority FROM orders WHERE o_orderkey % 7 <> 0) """
+
+
+@query(SNAPSHOTS_SQL + """SELECT coalesce(a.id, b.id) AS id, CASE WHEN a.id IS NULL THEN 'create' WHEN b.id IS NULL THEN 'delete' ELSE 'modify' END AS action, b.status, b.priority FROM a FULL JOIN b ON a.id = b.id
+WHERE a.id IS NULL OR b.id IS NULL OR a.status IS DISTINCT FROM b.status OR a.priority IS DISTINCT FROM b.priority""")
+def derive_change(spark, sf_dir):
+    return entities.derive_change(*snapshots(spark, sf_dir))
+
+
+@query(SNAPSHOTS_SQL + "SELECT * FROM b")
+def apply_change(spark, sf_dir):
+    old, new = snapshots(spark, sf_dir)
+    return entities.apply_change(old, entities.derive_change(old, new))
+
+
+@query(with_views("change") + "SELECT id, version, action <> 'delete' AS visible FROM change")
+def history_convert(spark, sf_dir):
+    return entities.to_history(views.changes(spark, sf_dir)).select("id", "version", "visible")
+
+
+# Relations and routing --------------------------------------------------------------------------
+
+
+def applied(spark, sf_dir, rules: str) -> DataFrame:
+    r, n, c = (table(spark, sf_dir, t) for t in ("region", "nation", "customer"))
+    relations = r.select(F.col("r_regionkey").alias("id"), F.create_map(F.lit("name"), "r_name", F.lit("type"), F.lit("boundary")).alias("tags"))
+    members = n.select(F.col("n_regionkey").alias("relation"), F.col("n_nationkey").alias("member"), F.when(F.col("n_nationkey") % 2 == 0, "outer").otherwise("inner").alias("role"))
+    nations = n.select(F.col("n_nationkey").alias("id"), F.create_map(F.lit("name"), "n_name").alias("tags"))
+    return graphs.write_tags(nations, graphs.apply_to_members(relations, members, nations, parse_rules(rules)))
+
+
+@query("SELECT n_nationkey AS id, n_name || '/' || r_name AS path, coalesce(CASE WHEN r_name = 'ASIA' THEN 'east' END, 'any') AS side FROM nation JOIN region ON r_regionkey = n_regionkey")
+def relation_apply(spark, sf_dir):
+    rules = "type = boundary { apply { set path = '$(name)/${name}'; add name = never } }\nname = ASIA { apply { set side = east } }\ntype = * { apply { add side = any } }"
+    return applied(spark, sf_dir, rules).select("id", *[F.element_at("tags", F.lit(k)).alias(k) for k in ("path", "side")])
+
+
+@query("SELECT n_nationkey AS id, CASE WHEN n_nationkey % 2 = 0 THEN r_name END AS ring FROM nation JOIN region ON r_regionkey = n_regionkey")
+def relation_apply_role(spark, sf_dir):
+    got = applied(spark, sf_dir, "type = boundary { apply role=outer { set ring = '${name}' } }")
+    return got.select("id", F.element_at("tags", F.lit("ring")).alias("ring"))
+
+
+@query(with_views("member", recursive=True) + ", d AS (SELECT 'r' || r_regionkey AS root, 'r' || r_regionkey AS member, 0 AS depth FROM region UNION SELECT d.root, m.member, d.depth + 1 FROM d JOIN member m ON m.relation = d.member) SELECT * FROM d WHERE depth > 0")
+def relation_recursive(spark, sf_dir):
+    roots = table(spark, sf_dir, "region").select(F.concat(F.lit("r"), "r_regionkey").alias("id"))
+    return graphs.descendants(views.members(spark, sf_dir), roots)
+
+
+@query(with_views("way_node") + "SELECT way_id, seq, node_id AS a, b FROM (SELECT *, lead(node_id) OVER (PARTITION BY way_id ORDER BY seq) AS b FROM way_node) WHERE b IS NOT NULL")
+def routing_edges(spark, sf_dir):
+    return graphs.routing_edges(views.way_nodes(spark, sf_dir))
+
+
+@query(with_views("way_node", recursive=True) + """, e AS (SELECT node_id AS a, lead(node_id) OVER (PARTITION BY way_id ORDER BY seq) AS b FROM way_node WHERE way_id % 40 = 0),
+g AS (SELECT a, b FROM e WHERE b IS NOT NULL AND a <> b UNION SELECT b, a FROM e WHERE b IS NOT NULL AND a <> b),
+r AS (SELECT a AS node, a AS x FROM g UNION SELECT r.node, g.b FROM r JOIN g ON g.a = r.x) SELECT node, min(x) AS island FROM r GROUP BY node""")
+def islands(spark, sf_dir):
+    ways = views.way_nodes(spark, sf_dir).where("way_id % 40 = 0")  # the network here; all ways together are one part
+    return graphs.islands(graphs.routing_edges(ways).select("a", "b"))
+
+
+@query("SELECT a.c_custkey AS id, min(b.s_suppkey) AS nearest FROM customer a JOIN supplier b ON b.s_nationkey = a.c_nationkey JOIN (SELECT c_custkey, min(abs(c_acctbal - s_acctbal)) AS d FROM customer JOIN supplier ON s_nationkey = c_nationkey GROUP BY 1) m ON m.c_custkey = a.c_custkey AND abs(a.c_acctbal - b.s_acctbal) = m.d GROUP BY 1")
+def housenumber_nearest(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("street"), F.col("c_acctbal").alias("x"))
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("road"), F.col("s_nationkey").alias("street"), F.col("s_acctbal").alias("y"))
+    return c.join(s, "street").groupBy("id").agg(F.min_by("road", F.struct(F.abs(F.col("x") - F.col("y")), "road")).alias("nearest"))
+
+
+@query(with_views("node") + "SELECT id FROM node a WHERE NOT EXISTS (SELECT 1 FROM node b WHERE b.ptype = a.ptype AND b.id < a.id AND abs(a.lat_e7 - b.lat_e7) <= 60000000 AND abs(a.lon_e7 - b.lon_e7) <= 60000000)")
+def nearby_poi_dedup(spark, sf_dir):
+    n = views.nodes(spark, sf_dir).withColumn("ptype", F.element_at("tags", F.lit("ptype")))
+    return graphs.nearby_duplicates(n, "ptype", 60_000_000).select("id")
+
+
+@query("SELECT DISTINCT unnest(string_split(lower(p_name), ' ')) AS word, p_partkey AS id FROM part")
+def name_index(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
+    return graphs.name_index(part, "name", "id").select("word", "id")
+
+
+@query(with_views("way_node") + "SELECT way_id, min(p_type) AS barrier FROM way_node JOIN part ON p_partkey = node_id WHERE p_size > 45 GROUP BY way_id")
+def link_pois(spark, sf_dir):
+    poi = table(spark, sf_dir, "part").where("p_size > 45").select(F.col("p_partkey").alias("id"), F.col("p_type").alias("barrier"))
+    return graphs.link_points_to_ways(views.way_nodes(spark, sf_dir), poi, "barrier")
+
+
+@query("SELECT doc_id, regexp_replace(replace(replace(replace(left(text, 80), 'é', 'e'), 'ß', 'ss'), 'ñ', 'n'), '[^\\x00-\\x7F]', '?', 'g') AS ascii FROM documents".replace("\\\\", "\\"))
+def transliterate(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", strings.transliterate(F.substring("text", 1, 80), {"é": "e", "ß": "ss", "ñ": "n"}).alias("ascii"))
+
+
+# Replication ------------------------------------------------------------------------------------------
+
+BEGIN, END = datetime(2024, 1, 5), datetime(2024, 1, 12)
+
+
+@query(with_views("change") + "SELECT id, version, action FROM change WHERE ts > TIMESTAMP '2024-01-05' AND ts <= TIMESTAMP '2024-01-12'")
+def interval_changes(spark, sf_dir):
+    return replicate.interval(views.changes(spark, sf_dir), BEGIN, END).select("id", "version", "action")
+
+
+@query("SELECT epoch_us(TIMESTAMP '2024-02-01') - epoch_us(max(ts)) AS lag_us FROM events")
+def replication_lag(spark, sf_dir):
+    return replicate.lag_seconds(views.changes(spark, sf_dir), datetime(2024, 2, 1))
+
+
+@query(with_views("change") + "SELECT time_bucket(INTERVAL 1 DAY, ts) AS day, id, version, action FROM change QUALIFY row_number() OVER (PARTITION BY day, id ORDER BY version DESC, ts DESC) = 1")
+def merge_intervals(spark, sf_dir):
+    got = replicate.merge_intervals(views.changes(spark, sf_dir), "1 day")
+    return got.select(F.col("interval_start").cast("timestamp_ntz").alias("day"), "id", "version", "action")
+
+
+@query(with_views("change") + f"SELECT id, version, k FROM (SELECT * FROM change QUALIFY {LAST}) WHERE action <> 'delete'")
+def stream_apply(spark, sf_dir):
+    """The change stream through files, Structured Streaming and the store, in several batches."""
+    import uuid
+
+    root = graphs_root(spark)
+    changes = views.changes(spark, sf_dir).select("id", "version", "action", "ts", "k")
+    path = f"{root}/terrane-stream-{uuid.uuid4().hex}"
+    changes.repartitionByRange(6, "ts").write.parquet(f"{path}/in")
+    store = replicate.Store(spark, f"{path}/store", "id long, version int, ts timestamp_ntz, k string")
+    stream = replicate.read_changes(spark, f"{path}/in", changes.schema, most_files=2)
+    alive = replicate.follow(stream, store, f"{path}/checkpoint")
+    return alive.select("id", "version", "k")
+
+
+def graphs_root(spark) -> str:
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        import tempfile
+
+        found = tempfile.mkdtemp(prefix="terrane-shared-")
+    return found
+
+
+# Scalar library --------------------------------------------------------------------------------------------
+
+def add(name: str, sql: str, columns: Callable[[], dict]) -> None:
+    """A query of scalar functions over part; columns are made when it runs, as they need a session."""
+
+    def run(spark, sf_dir):
+        return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), *[c.alias(k) for k, c in columns().items()])
+
+    QUERIES[name] = run
+    ORACLES[name] = f"SELECT p_partkey AS id, {sql} FROM part"
+
+
+add("str_case", "upper(p_name) AS u, lower(p_brand) AS l, upper(left(p_type, 1)) || lower(substr(p_type, 2)) AS s", lambda: dict(u=strings.str_case(F.col("p_name"), "U"), l=strings.str_case(F.col("p_brand"), "L"), s=strings.str_case(F.col("p_type"), "S")))
+add("str_loc", "nullif(instr(p_name, 'l'), 0)::INTEGER - 1 AS a, nullif(instr(reverse(p_name), 'l'), 0)::INTEGER - 1 AS b", lambda: dict(a=strings.str_loc(F.col("p_name"), "l"), b=strings.str_loc(F.col("p_name"), "l", True)))
+add("str_rep", "replace(p_name, 'l', 'LL') AS v", lambda: dict(v=strings.str_rep(F.col("p_name"), "l", "LL")))
+add("str_sort", "array_to_string(list_sort(string_split(p_name, ' ')), ' ') AS v", lambda: dict(v=strings.str_sort(F.col("p_name"), " ")))
+add("str_str", "CASE WHEN instr(p_name, ' ') > 0 THEN substr(p_name, instr(p_name, ' ')) END AS v", lambda: dict(v=strings.str_str(F.col("p_name"), " ")))
+add("str_tok", "string_split(p_brand, '#')[1] AS a, string_split(p_brand, '#')[2] AS b, NULL::VARCHAR AS c", lambda: dict(a=strings.str_tok(F.col("p_brand"), "#", 0), b=strings.str_tok(F.col("p_brand"), "#", -1), c=strings.str_tok(F.col("p_brand"), "#", 5)))
+add("word_find", "string_split(p_name, ' ')[-1] AS a, len(string_split(p_name, ' '))::VARCHAR AS n, p_name AS beyond", lambda: dict(a=words.word_find(F.col("p_name"), " ", "-1"), n=words.word_find(F.col("p_name"), " ", "#"), beyond=words.word_find(F.col("p_name"), " ", "+9")))
+add("word_replace", "replace(p_name, 'e', 'E') AS a, regexp_replace(p_name, 'l', '_') AS b", lambda: dict(a=words.word_replace(F.col("p_name"), "e", "E"), b=words.word_replace(F.col("p_name"), "l", "_", "+1")))
+add("word_add", "CASE WHEN split_part(p_name, ' ', 2) = 'bolt' THEN p_name ELSE p_name || ' bolt' END AS a", lambda: dict(a=words.word_add(F.col("p_name"), " ", "bolt")))
+add("word_insert", "split_part(p_name, ' ', 1) || ' new ' || split_part(p_name, ' ', 2) AS v", lambda: dict(v=words.word_insert(F.col("p_name"), " ", "new", 2)))
+add("str_filter", "regexp_replace(p_brand, '[^0-9]', '', 'g') AS digits, upper(regexp_replace(p_name, '[aeiou]', '', 'g')) AS consonants", lambda: dict(digits=words.str_filter(F.col("p_brand"), keep="0-9"), consonants=words.str_filter(F.col("p_name"), drop="aeiou", upper=True)))
+add("version_compare", "CASE WHEN p_size % 10 = 5 THEN CASE WHEN p_size < 10 THEN 0 ELSE 1 END WHEN p_size // 10 > 0 OR p_size % 10 > 5 THEN 1 ELSE 2 END AS v", lambda: dict(v=words.version_compare(F.concat((F.col("p_size") / 10).cast("int").cast("string"), F.lit("."), (F.col("p_size") % 10).cast("string")), F.lit("0.5.0"))))
+add("math_functions", "round(sin(p_size), 6) AS s, round(exp(p_size / 50), 6) AS e, round(atan2(p_size, 7), 6) AS t, p_size % 7 AS m", lambda: dict(s=F.round(maths.UNARY["sin"](F.col("p_size")), 6), e=F.round(maths.UNARY["exp"](F.col("p_size") / 50), 6), t=F.round(maths.BINARY["atan2"](F.col("p_size"), F.lit(7)), 6), m=maths.BINARY["fmod"](F.col("p_size"), F.lit(7))))
+add("unsigned_compare", "CASE WHEN p_size > 25 THEN true ELSE p_size < 25 - p_size END AS less", lambda: dict(less=maths.unsigned_less(F.col("p_size").cast("long"), F.lit(25).cast("long") - F.col("p_size"))))
+
+
+@query("SELECT doc_id, coalesce(len(string_split(text, chr(10))), -1)::INTEGER AS lines, string_split(text, chr(10))[1] AS first, string_split(text, chr(10))[-1] AS last FROM documents")
+def text_lines(spark, sf_dir):
+    d, t = table(spark, sf_dir, "documents"), F.col("text")
+    return d.select("doc_id", texts.line_sum(t).alias("lines"), texts.line_read(t, 1).alias("first"), texts.line_read(t, -1).alias("last"))
+
+
+@query("SELECT doc_id, n::INTEGER AS n, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS n, len(string_split(text, chr(10))) AS k FROM documents) WHERE n BETWEEN 2 AND k - 1")
+def text_line_find(spark, sf_dir):
+    return texts.line_find(table(spark, sf_dir, "documents"), "text", "doc_id", 2, -2)
+
+
+@query("SELECT page_id, regexp_extract(url, '([^/]*)$', 1) AS name, regexp_extract(url, '^(.*)/[^/]*$', 1) AS parent FROM pages")
+def path_parts(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", texts.file_name(F.col("url")).alias("name"), texts.parent_path(F.col("url")).alias("parent"))
+
+
+@query("SELECT page_id, nullif(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '') AS title FROM pages WHERE html LIKE '%<title>_%</title>%'")
+def word_find_between(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").where("html like '%<title>_%</title>%'")
+    return p.select("page_id", F.nullif(words.between(F.col("html"), "<title>", "</title>"), F.lit("")).alias("title"))
