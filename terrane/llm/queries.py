@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terrane.llm import decontam, lang_id, line_dedup, ngram_join, packing, quality, sharding, token_store, topk
+from terrane.llm import decontam, lang_id, line_dedup, ngram_join, packing, quality, sharding, token_store, topk, warc_fixity
 from terrane.llm._common import table
 
 ORACLES: dict[str, str] = {}
@@ -22,6 +22,29 @@ def op1_language_id(spark, sf_dir):
     return found.select("doc_id", (lang_id.fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op2_warc_fixity(spark, sf_dir):
+    """Every page as a WARC record, against a replica with planted faults: altered, lost and added records."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    damaged = F.when(F.col("page_id") % 97 == 5, F.concat(F.expr("substring(html, 1, length(html) - 1)"), F.lit("?"))).otherwise(F.col("html"))
+    replica = pages.where("page_id % 211 <> 7").withColumn("html", damaged)
+    added = pages.where("page_id % 389 = 11").withColumn("page_id", F.col("page_id") + 1_000_000_000)
+    found = warc_fixity.locate_corruption(pages, replica.unionByName(added))
+    return found.select("page_id", "length", "status")
+
+
+ORACLES["op2_warc_fixity"] = """
+WITH r AS (
+  SELECT page_id, url, coalesce(html, '') AS html, 'altered' AS status FROM pages
+  WHERE page_id % 97 = 5 AND page_id % 211 <> 7 AND html NOT LIKE '%?' AND length(html) > 0
+  UNION ALL SELECT page_id, url, coalesce(html, ''), 'missing' FROM pages WHERE page_id % 211 = 7
+  UNION ALL SELECT page_id + 1000000000, url, coalesce(html, ''), 'extra' FROM pages WHERE page_id % 389 = 11)
+SELECT page_id, strlen(html) + strlen(url) + length(page_id::VARCHAR) + length(strlen(html)::VARCHAR)
+  + length('WARC/1.0') + length('WARC-Type: resource') + length('WARC-Record-ID: <urn:page:>') + length('WARC-Target-URI: ')
+  + length('Content-Type: text/html') + length('Content-Length: ') + 2 * 6 + 2 + 4 AS length, status
+FROM r
+"""
+
+
 def op3_line_dedup(spark, sf_dir):
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -140,6 +163,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_warc_fixity": op2_warc_fixity,
     "op3_line_dedup": op3_line_dedup,
     "op4_token_store": op4_token_store,
     "op5_ngram_join": op5_ngram_join,
