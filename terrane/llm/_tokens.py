@@ -1,10 +1,10 @@
 """Token ids of whole texts, by the tokenizers library, with a bounded memo of space-separated pieces.
 
-A text is the sequence of its pieces at the spaces. No pre-token of the two tokenizer kinds here
-crosses the boundary before a space that follows a non-space, so a text's ids are its pieces' ids
-in a row: word level (white space dropped) and byte level (a space belongs to what follows). The
-library encodes each distinct piece once; a text for which the boundary is not safe is encoded
-whole. Results equal the library's on whole texts, which the tests check.
+Byte level (a space belongs to what follows): a text is the sequence of its pieces at the spaces,
+and no pre-token crosses the boundary before a space that follows a non-space. Word level (white
+space dropped, lower case): a text is the sequence of its runs of letters, digits and marks. The
+library encodes each distinct piece or run once, and their ids stand in a row; a text for which
+that is not safe is encoded whole. Results equal the library's on whole texts, which the tests check.
 """
 
 from __future__ import annotations
@@ -16,14 +16,17 @@ from functools import lru_cache
 import numpy as np
 
 #: Pieces that a worker remembers; beyond it, the memo starts anew.
-MEMO_PIECES = 1_500_000
+MEMO_PIECES = 1_000_000
 PIECES_A_CALL = 5_000
+#: Characters of texts that are split into pieces at a time.
+CHARS_AT_ONCE = 1 << 20
 
 
-LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-įı-ɏ", r"!-&(-/:-@\[-`{-~"  # without U+0130, which lower-cases to two; without the apostrophe
+LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ɏ", r"!-&(-/:-@\[-`{-~"  # without the apostrophe
 TAILED = re.compile(f"([{LETTERS}]+)([{MARKS}]+)")
-PLAIN = re.compile(f"[{LETTERS}{MARKS}\n]*")
-RUNS = re.compile(f"[{LETTERS}]+|[{MARKS}]+")
+#: The word tokenizer's own pre-tokens for characters below U+0250 and common punctuation; a run of anything else is odd.
+WORD_RUNS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[{MARKS}'‐-‧‰-⁞]+|[^ \n{LETTERS}{MARKS}'‐-‧‰-⁞0-9]+")
+ODD = re.compile(f"[^{LETTERS}{MARKS}'‐-‧‰-⁞0-9]")
 
 
 class PieceEncoder:
@@ -57,64 +60,79 @@ class PieceEncoder:
             self.memo.update((p, raw[4 * a : 4 * b]) for p, a, b in zip(part, cuts, cuts[1:], strict=False))
 
     def _learn(self, new: list[str]) -> None:
-        """Pieces of plain letters with punctuation behind (or, at word level, between) are learnt by parts."""
-        if self.leading:  # inside a piece there is no other space, so one id begins with it
-            self.unsafe.update(p for p in new if not p or p[-1].isspace())
-            simple, other, parts = [], [], {}
-            for p in new:
-                if p.isalpha():
-                    simple.append(p)
-                elif found := TAILED.fullmatch(p):
-                    parts[p] = found.groups()
-                elif not p or p[0].isspace() or p[-1].isspace():
-                    other.append(p)
-                else:
-                    simple.append(p)
-            heads = {h for h, _ in parts.values()}.difference(self.memo, simple)
-            self._joined([*simple, *heads])
-            tails = list({t for _, t in parts.values()}.difference(self.first))
-            self.first.update(zip(tails, self._encode(tails), strict=True))
-            self.memo.update((p, self.memo[h] + self.first[t]) for p, (h, t) in parts.items())
-        else:  # a run of letters below U+0250 is one pre-token, whatever lower-casing and NFC do, but for one
-            parts, other = {}, []
-            for p in new:
-                if PLAIN.fullmatch(p):
-                    parts[p] = RUNS.findall(p.lower())
-                else:
-                    other.append(p)
-            runs = {r for x in parts.values() for r in x}.difference(self.memo)
-            self._joined([r for r in runs if r.isalpha()])
-            marks = [r for r in runs if not r.isalpha()]
-            self.memo.update(zip(marks, self._encode(marks), strict=True))
-            get = self.memo.__getitem__
-            self.memo.update([(p, get(x[0]) if len(x) == 1 else b"".join(map(get, x))) for p, x in parts.items()])
+        """Byte level. Letters with punctuation behind are learnt by parts."""
+        self.unsafe.update(p for p in new if not p or p[-1].isspace())
+        simple, other, parts = [], [], {}
+        for p in new:
+            if p.isalpha():
+                simple.append(p)
+            elif found := TAILED.fullmatch(p):
+                parts[p] = found.groups()
+            elif not p or p[0].isspace() or p[-1].isspace():
+                other.append(p)
+            else:
+                simple.append(p)
+        heads = {h for h, _ in parts.values()}.difference(self.memo, simple)
+        self._joined([*simple, *heads])
+        tails = list({t for _, t in parts.values()}.difference(self.first))
+        self.first.update(zip(tails, self._encode(tails), strict=True))
+        self.memo.update((p, self.memo[h] + self.first[t]) for p, (h, t) in parts.items())
         for i in range(0, len(other), PIECES_A_CALL):
             part = other[i : i + PIECES_A_CALL]
             self.memo.update(zip(part, self._encode([" " + p for p in part]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
+        out, held, size = [], [], 0
+        for t in texts:
+            held.append(t)
+            size += len(t)
+            if size >= CHARS_AT_ONCE:
+                out += self._some(held)
+                held, size = [], 0
+        return out + self._some(held)
+
+    def _some(self, texts: list[str]) -> list[bytes]:
         if len(self.memo) + len(self.first) > MEMO_PIECES:
             self.memo, self.first, self.unsafe = {}, {}, set()
+        if not self.leading:
+            return self._runs(texts)
         split = [t.split(" ") for t in texts]
         starts = list({p[0] for p in split if p[0] not in self.first})
         self.first.update(zip(starts, self._encode(starts), strict=True))
-        if self.leading:
-            self.unsafe.update(p for p in starts if p and p[-1].isspace())
+        self.unsafe.update(p for p in starts if p and p[-1].isspace())
         new: set[str] = set()
         for pieces in split:
             new.update(pieces)
-        new.difference_update(self.memo)
-        self._learn(list(new))
+        self._learn(list(new.difference(self.memo)))
         get, out = self.memo.__getitem__, []
         for pieces in split:
-            safe = not self.leading or self.unsafe.isdisjoint(pieces[1:-1]) and (len(pieces) == 1 or not pieces[0] or pieces[0] not in self.unsafe)
+            safe = self.unsafe.isdisjoint(pieces[1:-1]) and (len(pieces) == 1 or not pieces[0] or pieces[0] not in self.unsafe)
             out.append(self.first[pieces[0]] + b"".join(map(get, pieces[1:])) if safe else None)
         left = [i for i, x in enumerate(out) if x is None]
         for i, ids in zip(left, self._encode([texts[i] for i in left]), strict=True):
             out[i] = ids
         return out
 
+    def _runs(self, texts: list[str]) -> list[bytes]:
+        """Word level: ids of lower-case runs of letters, digits and marks; texts with an odd character go whole."""
+        split = [WORD_RUNS.findall(t.lower()) for t in texts]
+        new: set[str] = set()
+        for runs in split:
+            new.update(runs)
+        fresh = new.difference(self.memo, self.unsafe)
+        self.unsafe.update([r for r in fresh if ODD.search(r)])
+        fresh.difference_update([r for r in fresh if r in self.unsafe])
+        self._joined([r for r in fresh if r.isalpha()])
+        marks = [r for r in fresh if not r.isalpha()]
+        self.memo.update(zip(marks, self._encode(marks), strict=True))
+        odd, get = self.unsafe.intersection(new), self.memo.__getitem__
+        out = [b"".join(map(get, runs)) if odd.isdisjoint(runs) else None for runs in split]
+        left = [i for i, x in enumerate(out) if x is None]
+        for i, ids in zip(left, self._encode([texts[i] for i in left]), strict=True):
+            out[i] = ids
+        return out
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> PieceEncoder:
