@@ -9,6 +9,8 @@ n-gram hashes, dealt to column blocks by hash.
   in a block are candidates. A row close below the next class also takes part there.
 * Product: the candidates' entries are multiplied block by block, overlap counts accumulate, and a
   pair goes once its count and what is left of its rows cannot reach the overlap its sizes need.
+* Size bound on pairs: the parities of a row's entries by hash, 512 bits, differ between two rows in no
+  more bits than the rows differ in entries; a pair with more than its sizes allow is never multiplied.
 * A block that many rows agree in gives a star to its least row, not all pairs. Pairs across
   the components that the stars leave in one block are multiplied in turn, so no link is lost.
 """
@@ -25,9 +27,11 @@ from pyspark.sql import functions as F
 
 from terrane.llm._common import OWN, as_bytes, cut, stored
 from terrane.llm._graph import components
+from terrane.llm._sieve import Sieve
 
 MEMO_WORDS = 1_000_000
 COLUMN_BLOCKS = 4
+BITS = [f"k{i}" for i in range(8)]
 U = np.uint64
 
 
@@ -104,6 +108,14 @@ def block_keys(sets: list[np.ndarray], num: int, den: int) -> list[np.ndarray]:
     return [np.concatenate([*x, np.empty(0, U)]) for x in out]
 
 
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set 512 bits: the parity of its entries by hash. Two sets differ in at least as many entries as bits."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    at = owner * 512 + (np.concatenate([*sets, np.empty(0, U)]) & U(511)).astype(np.int64)
+    odd = np.bincount(at, minlength=512 * len(sets)).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64).reshape(len(sets), len(BITS))
+
+
 def least_overlap(a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
     """The overlap that sizes a and b need: den * o >= num * (a + b - o)."""
     return -(-num * (a + b) // (num + den))
@@ -136,17 +148,36 @@ def masked_product(left: list[np.ndarray], right: list[np.ndarray], num: int, de
     return alive & (count >= need)
 
 
-def _signatures(n: int, num: int, den: int):
+def _signatures(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             sets = ngram_sets(as_bytes(batch, "text"), n, hashes)
             s1 = np.array([mix(s).sum(dtype=U) for s in sets], U).view(np.int64)
             s2 = np.array([mix(s ^ U(0x5555555555555555)).sum(dtype=U) for s in sets], U).view(np.int64)
-            keys = [k.view(np.int64) for k in block_keys(sets, num, den)]
-            ends = np.cumsum([0, *map(len, keys)])
-            packed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*keys, np.empty(0, np.int64)])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(s1), pa.array(s2), packed], ["doc_id", "digest", "n", "s1", "s2", "keys"])
+            bits = [pa.array(x) for x in parities(sets).T]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(s1), pa.array(s2), *bits], ["doc_id", "digest", "n", "s1", "s2", *BITS])
+
+    return run
+
+
+def _entries(n: int, num: int, den: int, table):
+    """(key, node) of every row's column blocks; equal sets of one task give them once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, seen = WordHashes(), set()
+        sieve = None if table is None else Sieve(table.value)
+        for batch in batches:
+            sets = [s for s in ngram_sets(as_bytes(batch, "text"), n, hashes) if len(s)]
+            nodes = [int(mix(s).sum(dtype=U).view(np.int64)) for s in sets]
+            first = [i for i, x in enumerate(nodes) if not (x in seen or seen.add(x))]
+            keys = block_keys([sets[i] for i in first], num, den)
+            key = np.concatenate([*keys, np.empty(0, U)]).view(np.int64)
+            node = np.repeat(np.array([nodes[i] for i in first], np.int64), [len(k) for k in keys])
+            if sieve is not None:
+                some = sieve.holds(key)
+                key, node = key[some], node[some]
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node)], ["key", "node"])
 
     return run
 
@@ -188,34 +219,49 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("digest"), F.col(text_col).cast("binary").alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    signed = stored(rows.mapInArrow(_signatures(n, num, den), f"doc_id {id_type}, digest long, n long, s1 long, s2 long, keys array<long>"), "ngram-rows")
+    signed = stored(rows.mapInArrow(_signatures(n), f"doc_id {id_type}, digest long, n long, s1 long, s2 long, {', '.join(f'{k} long' for k in BITS)}"), "ngram-rows")
     some = signed.where("n > 0")
     first_row = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "digest"))
     classes = cut(some.groupBy("s1", "s2", "n").agg(first_row.alias("lead")))  # one document stands for an equal set
     leads = classes.select("s1", "s2", "n", F.col("lead.doc_id").alias("lead"), F.col("lead.digest").alias("digest"))
-    entries = some.join(leads, ["s1", "s2", "n", "digest"]).where(F.col("doc_id").eqNullSafe(F.col("lead")))
-    entries = entries.select(F.struct(F.col("s1").alias("node"), "n").alias("row"), F.explode("keys").alias("key"))
-    shared = entries.groupBy("key").agg(F.min("row").alias("pivot"), F.max("row").alias("top")).where("pivot < top").select("key", "pivot")
-    met = cut(entries.join(shared, "key"))
-    stars = met.where("row > pivot").select(F.col("pivot").alias("x"), F.col("row").alias("y")).distinct()
-
-    wanted = met.select(F.col("row.node").alias("node")).distinct().join(leads.select(F.col("s1").alias("node"), "lead", "digest"), "node")
-    found = rows.join(wanted, "digest").where(F.col("doc_id").eqNullSafe(F.col("lead")))
+    lead = some.join(leads, ["s1", "s2", "n", "digest"]).where(F.col("doc_id").eqNullSafe(F.col("lead")))
+    texts = rows.select("text")
+    shared = texts.mapInArrow(_entries(n, num, den, None), "key long, node long").groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("top"))
+    shared = cut(shared.where("pivot < top").select("key", "pivot"))
+    entries = texts.mapInArrow(_entries(n, num, den, Sieve.of(shared, "key", raw=True).broadcast(docs.sparkSession)), "key long, node long")
+    met = cut(entries.join(shared, "key").distinct())
+    stars = met.where("node > pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+
+    wanted = cut(met.select("node").distinct().join(leads.select(F.col("s1").alias("node"), "lead", "digest"), "node"))
+    found = Sieve.of(wanted, "digest").keep(rows, "digest").join(wanted, "digest").where(F.col("doc_id").eqNullSafe(F.col("lead")))
     sets = stored(found.select("node", "text").mapInArrow(_sets(n), "node long, ngrams binary"), "ngram-sets")
+    rough = cut(lead.select(F.col("s1").alias("node"), "n", *BITS).join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]))
+
+    def side(c: str) -> DataFrame:
+        return rough.select(F.col("node").alias(c), *[F.col(x).alias(f"{c}{x}") for x in ("n", *BITS)])
+
+    def may_link(a: str, b: str):
+        """No more differing bits than a linked pair of these sizes has differing entries; that also bounds the sizes."""
+        apart = sum((F.bit_count(F.col(f"{a}{k}").bitwiseXOR(F.col(f"{b}{k}"))) for k in BITS), F.lit(0))
+        sizes = F.least(f"{a}n", f"{b}n") * den >= F.greatest(f"{a}n", f"{b}n") * num
+        return sizes & (apart * (num + den) <= (F.col(f"{a}n") + F.col(f"{b}n")) * (den - num))
 
     def linked(pairs: DataFrame) -> DataFrame:
-        near = pairs.where(F.least("x.n", "y.n") * den >= F.greatest("x.n", "y.n") * num).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        a, b = (sets.select(F.col("node").alias(c), F.col("ngrams").alias(f"{OWN}{c}")) for c in "ab")
-        return near.join(b, "b").join(a, "a").select("a", "b", f"{OWN}a", f"{OWN}b").mapInArrow(_multiply(num, den), "a long, b long")
+        named = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+        mine = Sieve.of(named, "node").keep(sets, "node")  # before the joins shuffle the sets
+        a, b = (mine.select(F.col("node").alias(c), F.col("ngrams").alias(f"{OWN}{c}")) for c in "ab")
+        return pairs.join(b, "b").join(a, "a").select("a", "b", f"{OWN}a", f"{OWN}b").mapInArrow(_multiply(num, den), "a long, b long")
 
+    stars = cut(stars.join(side("a"), "a").join(side("b"), "b").where(may_link("a", "b")).select("a", "b"))
     links = cut(linked(stars))
     comps = components(links)
     # Blocks whose rows are still apart: every pair across their components that no star has tried.
-    placed = met.withColumn("node", F.col("row.node")).join(comps, "node", "left").select("key", "row", "pivot", F.coalesce("comp", "node").alias("comp"))
+    placed = met.join(comps, "node", "left").select("key", "node", "pivot", F.coalesce("comp", "node").alias("comp"))
     apart = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    rest = cut(placed.join(apart, "key").where("row <> pivot").select("key", F.col("row").alias("x"), "comp"))
-    other = rest.select("key", F.col("x").alias("y"), F.col("comp").alias("other"))
-    more = cut(linked(rest.join(other, "key").where("x < y and comp <> other").select("x", "y").distinct()))
+    rest = cut(placed.join(apart, "key").where("node <> pivot").select("key", "comp", F.col("node").alias("a")).join(side("a"), "a"))
+    other = rest.select("key", F.col("comp").alias("other"), F.col("a").alias("b"), *[F.col(f"a{x}").alias(f"b{x}") for x in ("n", *BITS)])
+    crossing = (rest["key"] == other["key"]) & (F.col("a") < F.col("b")) & (F.col("comp") != F.col("other")) & may_link("a", "b")
+    more = cut(linked(cut(rest.join(other, crossing).select("a", "b").distinct())))
     if more.take(1):
         comps = components(links.union(more))
     named = leads.select("s1", "s2", "n", "lead").join(comps.withColumnRenamed("node", "s1"), "s1", "left").withColumn("comp", F.coalesce("comp", "s1"))
