@@ -20,9 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrane.llm._common import OWN, as_bytes, text_of
-from terrane.llm.lang_id import fold
+from terrane.llm.lang_id import fold, least_hashes
 
-#: Labelled rows that the fit uses at most, those with the least hash of id and text.
+#: Labelled rows that the fit uses at most, those with the least hash of their id.
 TRAIN_ROWS = 20_000
 FEATURES = (
     "log_bytes", "log_words", "word_bytes", "longest_word", "upper", "digits", "blanks", "newlines", "dots", "exclaimed", "piped", "symbols",
@@ -175,7 +175,7 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = TRAIN_ROWS) -> Gam | None:
     """Fit on at most ``rows`` labelled rows whose fold is not 0; None without labels of both kinds."""
     wanted = labels.where(F.coalesce(fold(F.col(id_col)) != 0, F.lit(False)) & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("quality"))
-    wanted = wanted.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id", "quality").limit(rows)
+    wanted = least_hashes(wanted, "doc_id", rows, wanted.count()).orderBy("h", "doc_id", "quality").limit(rows)
     texts = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     found = texts.join(wanted, "doc_id").select("text", "quality").mapInArrow(_featured, "quality int, x array<double>").toArrow()
     y = found.column("quality").to_numpy().astype(float)
