@@ -4,9 +4,10 @@ Rows are the distinct n-gram sets (documents with equal sets are one row), colum
 n-gram hashes, dealt to column blocks by hash.
 
 * Size bound on blocks: two rows at or above the threshold differ in at most
-  (|x| + |y|) * (1 - t) / (1 + t) columns. With one column block more than that, they agree in a
+  (|x| + |y|) * (1 - t) / (1 + t) columns. With more column blocks than that, they agree in a
   whole block. So the rows of a size class are cut into that many blocks, and only pairs that agree
-  in a block are candidates. A row close below the next class also takes part there.
+  in a block are candidates. A row close below the next class also takes part there. Blocks that are
+  empty count only for a row with more of them than there are blocks to spare.
 * Product: the candidates' entries are multiplied block by block, overlap counts accumulate, and a
   pair goes once its count and what is left of its rows cannot reach the overlap its sizes need.
 * Size bound on pairs: the parities of a row's entries by hash, 512 bits, differ between two rows in no
@@ -31,6 +32,8 @@ from terrane.llm._sieve import Sieve
 
 MEMO_WORDS = 1_000_000
 COLUMN_BLOCKS = 4
+#: Blocks in hundredths beyond the least number: a row with fewer empty blocks than are beyond needs none of them as a key.
+SPARE = 15
 BITS = [f"k{i}" for i in range(8)]
 U = np.uint64
 
@@ -77,9 +80,15 @@ def class_starts(upto: int) -> np.ndarray:
 STARTS = class_starts(1 << 40)
 
 
+def most_apart(size_class: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Entries that two linked rows of at most the class's sizes can differ in."""
+    return 2 * (STARTS[size_class + 1] - 1) * (den - num) // (den + num)
+
+
 def blocks_of(size_class: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Column blocks of a class: one more than two of its rows at the threshold can differ in."""
-    return 2 * (STARTS[size_class + 1] - 1) * (den - num) // (den + num) + 1
+    """Column blocks of a class: more than two of its rows at the threshold can differ in, by some SPARE."""
+    apart = most_apart(size_class, num, den)
+    return apart + 1 + apart * SPARE // 100
 
 
 def block_keys(sets: list[np.ndarray], num: int, den: int) -> list[np.ndarray]:
@@ -103,8 +112,15 @@ def block_keys(sets: list[np.ndarray], num: int, den: int) -> list[np.ndarray]:
             sums[at[first]] = np.add.reduceat(mix(h ^ U(0xA5A5A5A5A5A5A5A5)), first)
         part = np.arange(base[-1]) - np.repeat(base[:-1], m)
         keys = mix(sums + mix(part.astype(U) * U(0x9E3779B97F4A7C15) + np.repeat(cls, m).astype(U)))
+        # Linked rows agree in at least m - apart blocks. If fewer of a row's blocks are empty, one that is not agrees.
+        filled = np.zeros(base[-1], bool)
+        filled[at] = True
+        owner = np.repeat(np.arange(len(sets)), m)
+        empty = np.bincount(owner[~filled], minlength=len(sets))
+        counts = filled | (empty >= m - most_apart(cls, num, den))[owner]
         for i in np.flatnonzero(takes):
-            out[i].append(keys[base[i] : base[i + 1]])
+            mine = slice(base[i], base[i + 1])
+            out[i].append(keys[mine][counts[mine]])
     return [np.concatenate([*x, np.empty(0, U)]) for x in out]
 
 
