@@ -612,7 +612,7 @@ def link_pois(spark, sf_dir):
 @query("SELECT doc_id, regexp_replace(replace(replace(replace(left(text, 80), 'é', 'e'), 'ß', 'ss'), 'ñ', 'n'), '[^\\x00-\\x7F]', '?', 'g') AS ascii FROM documents".replace("\\\\", "\\"))
 def transliterate(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", strings.transliterate(F.substring("text", 1, 80), {"é": "e", "ß": "ss", "ñ": "n"}).alias("ascii"))
+    return docs.select("doc_id", strings.transliterate(F.col("text"), {"é": "e", "ß": "ss", "ñ": "n"}).alias("ascii"))  # the SQL still has 80 characters
 
 
 # Replication ------------------------------------------------------------------------------------------

@@ -1,5 +1,7 @@
 """Queries over whole tables and whole texts, against plain Python."""
 
+import re
+
 import pyarrow as pa
 import pyarrow.parquet as pq
 
@@ -36,3 +38,17 @@ def test_islands_of_all_ways(spark, tmp_path):
     got = {r.node: r.island for r in queries.QUERIES["islands"](spark, str(tmp_path)).collect()}
     assert got == parts_of(ways)
     assert got[8] == 1 and got[22] == 20 and got[119] == 100
+
+
+def documents(path, texts):
+    pq.write_table(pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())}), path / "documents.parquet")
+
+
+TEXTS = [None, "", "é", "x" * 79 + "éßñ", "The é\nß ñ 日本 😀 " * 500 + "end ü", "The " + "a b\t\n c " * 900 + "All rights reserved.", "La to.", "The to.", "A x  of the.", "Der  \u2028y to.", "reserved.", "Of the to. ", "x to.\n"]
+
+
+def test_transliterate_whole_texts(spark, tmp_path):
+    documents(tmp_path, TEXTS)
+    got = {r.doc_id: r.ascii for r in queries.QUERIES["transliterate"](spark, str(tmp_path)).collect()}
+    plain = lambda t: re.sub(r"[^\x00-\x7F]", "?", t.replace("é", "e").replace("ß", "ss").replace("ñ", "n"))
+    assert got == {i: None if t is None else plain(t) for i, t in enumerate(TEXTS)}
