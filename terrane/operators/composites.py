@@ -82,14 +82,12 @@ def by_priority(df: DataFrame, priorities: DataFrame, on: Sequence[str], id_col:
 
 def split_affix(name: Column, prefixes: Sequence[str], suffixes: Sequence[str]) -> tuple[Column, Column, Column]:
     """Longest prefix, core and longest suffix of a road name."""
-    longest = lambda xs: "|".join(sorted(("\\Q" + x + "\\E" if not x.isalnum() and " " not in x else x for x in xs), key=len, reverse=True))
+    longest = lambda xs: "|".join(sorted(("\\Q" + x + "\\E" if not x.isalnum() else x for x in xs), key=len, reverse=True))
     prefix = F.regexp_extract(name, f"^({longest(prefixes)}) ", 1) if prefixes else F.lit("")
-    suffix = F.regexp_extract(name, f" ({longest(suffixes)})$", 1) if suffixes else F.lit("")
-    core = name
-    if prefixes:
-        core = F.regexp_replace(core, f"^({longest(prefixes)}) ", "")
+    core = F.regexp_replace(name, f"^({longest(prefixes)}) ", "") if prefixes else name
+    suffix = F.regexp_extract(core, f" ({longest(suffixes)})\\z", 1) if suffixes else F.lit("")
     if suffixes:
-        core = F.regexp_replace(core, f" ({longest(suffixes)})$", "")
+        core = F.regexp_replace(core, f" ({longest(suffixes)})\\z", "")
     return prefix, core, suffix
 
 

@@ -44,7 +44,7 @@ def documents(path, texts):
     pq.write_table(pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())}), path / "documents.parquet")
 
 
-TEXTS = [None, "", "é", "x" * 79 + "éßñ", "The é\nß ñ 日本 😀 " * 500 + "end ü", "The " + "a b\t\n c " * 900 + "All rights reserved.", "La to.", "The to.", "A x  of the.", "Der  \u2028y to.", "reserved.", "Of the to. ", "x to.\n"]
+TEXTS = [None, "", "é", "x" * 79 + "éßñ", "The é\nß ñ 日本 😀 " * 500 + "end ü", "The " + "a b\t\n c " * 900 + "All rights reserved.", "La to.", "The to.", "A x  of the.", "Der  \u2028y to.", "reserved.", "Of the to. ", "x of then", "x to.\n"]
 
 
 def test_transliterate_whole_texts(spark, tmp_path):
@@ -52,3 +52,18 @@ def test_transliterate_whole_texts(spark, tmp_path):
     got = {r.doc_id: r.ascii for r in queries.QUERIES["transliterate"](spark, str(tmp_path)).collect()}
     plain = lambda t: re.sub(r"[^\x00-\x7F]", "?", t.replace("é", "e").replace("ß", "ss").replace("ñ", "n"))
     assert got == {i: None if t is None else plain(t) for i, t in enumerate(TEXTS)}
+
+
+def test_road_affix_split_whole_texts(spark, tmp_path):
+    documents(tmp_path, TEXTS)
+    got = {r.doc_id: (r.prefix, r.core, r.suffix) for r in queries.QUERIES["road_affix_split"](spark, str(tmp_path)).collect()}
+
+    def split(text):
+        core = re.sub(r"[\t\n\f\r ]+", " ", text)
+        prefix = next((p for p in ("The", "La", "Der", "A") if core.startswith(p + " ")), "")
+        core = core[len(prefix) + 1 :] if prefix else core
+        suffix = next((x for x in ("of the.", "the.", "to.", "reserved.") if core.endswith(" " + x)), "")
+        return prefix, core[: -len(suffix) - 1] if suffix else core, suffix
+
+    assert got == {i: (None,) * 3 if t is None else split(t) for i, t in enumerate(TEXTS)}
+    assert {x[2] for x in got.values()} == {None, "", "of the.", "to.", "reserved."}
