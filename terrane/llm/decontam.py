@@ -66,7 +66,7 @@ def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
     rank = codes.astype(np.int64)
     order = np.argsort(rank, kind="stable")
     k = 1
-    while k < depth and n:
+    while k < depth and k < n:
         ahead = np.zeros(n, np.int64)
         ahead[: n - k] = rank[k:] + 1
         ahead[codes == 0] = 0
