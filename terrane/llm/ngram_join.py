@@ -6,7 +6,7 @@ n-gram hashes, dealt to column blocks by hash.
 * Size bound on blocks: two rows at or above the threshold differ in at most
   (|x| + |y|) * (1 - t) / (1 + t) columns. With more column blocks than that, they agree in a
   whole block. So the rows of a size class are cut into that many blocks, and only pairs that agree
-  in a block are candidates. A row close below the next class also takes part there. Blocks that are
+  in a block are candidates. A row also takes part in every class above in which a partner may be. Blocks that are
   empty count only for a row with more of them than there are blocks to spare.
 * Product: the candidates' entries are multiplied block by block, overlap counts accumulate, and a
   pair goes once its count and what is left of its rows cannot reach the overlap its sizes need.
@@ -92,15 +92,17 @@ def blocks_of(size_class: np.ndarray, num: int, den: int) -> np.ndarray:
 
 
 def block_keys(sets: list[np.ndarray], num: int, den: int) -> list[np.ndarray]:
-    """For each set, one 64-bit key for each column block, of its class and of the next if a partner may be there."""
+    """For each set, one 64-bit key for each column block, of its class and of the further ones where a partner may be."""
     sizes = np.array([len(s) for s in sets], np.int64)
     own = np.searchsorted(STARTS, np.maximum(sizes, 1), "right") - 1
     flat = np.concatenate([*sets, np.empty(0, U)])
     row = np.repeat(np.arange(len(sets)), sizes)
     out: list[list[np.ndarray]] = [[] for _ in sets]
-    for step in (0, 1):
-        cls = own + step
-        takes = (sizes > 0) & ((sizes * den >= STARTS[cls] * num) if step else True)
+    for step in range(len(STARTS) - 1):
+        cls = np.minimum(own + step, len(STARTS) - 2)
+        takes = (sizes > 0) & (own + step == cls) & ((sizes * den >= STARTS[cls] * num) if step else True)
+        if not takes.any():
+            break
         m = np.where(takes, blocks_of(cls, num, den), 0)
         base = np.concatenate([[0], np.cumsum(m)])
         sums = np.zeros(base[-1], U)
