@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,11 +64,11 @@ def write_tags(entities: DataFrame, writes: DataFrame) -> DataFrame:
     return both.select(*entities.columns)
 
 
-def descendants(members: DataFrame, roots: DataFrame, most_rounds: int = 64) -> DataFrame:
+def descendants(members: DataFrame, roots: DataFrame) -> DataFrame:
     """(root, member, depth): everything that a relation reaches through sub-relations; cycles end by themselves."""
     found = roots.select(F.col("id").alias("root"), F.col("id").alias("member"), F.lit(0).alias("depth"))
     edge, reached = found, found
-    for depth in range(1, most_rounds + 1):
+    for depth in count(1):
         step = edge.select("root", F.col("member").alias("relation")).join(members.select("relation", "member"), "relation").select("root", "member").distinct()
         edge = checkpointed(step.join(reached.select("root", "member"), ["root", "member"], "left_anti").withColumn("depth", F.lit(depth)))
         if not edge.take(1):

@@ -6,6 +6,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 
 from terrane import queries
+from terrane.operators import graphs
 
 
 def lines(path, ways):
@@ -67,3 +68,9 @@ def test_road_affix_split_whole_texts(spark, tmp_path):
 
     assert got == {i: (None,) * 3 if t is None else split(t) for i, t in enumerate(TEXTS)}
     assert {x[2] for x in got.values()} == {None, "", "of the.", "to.", "reserved."}
+
+
+def test_descendants_beyond_64_levels(spark):
+    members = spark.createDataFrame([(i, i + 1) for i in range(67)], "relation long, member long").coalesce(1)
+    found = graphs.descendants(members, spark.createDataFrame([(0,)], "id long")).collect()
+    assert sorted((r.member, r.depth) for r in found) == [(i, i) for i in range(1, 68)]
