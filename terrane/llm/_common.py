@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +16,10 @@ OWN = "__terrane_"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set (tests)."""
+    """The folder that driver and executors share; a temporary one only where none is set and all run in one process (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not found:
         found = tempfile.mkdtemp(prefix="terrane-shared-")
         spark.sparkContext.setCheckpointDir(found)
@@ -31,10 +35,43 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df as zstd Parquet into the shared folder and read it back: smaller than a checkpoint."""
+    """Write df as zstd Parquet into the shared folder and read it back: smaller than a checkpoint.
+
+    Its size is known to Spark. That of a checkpoint is guessed from the plan before, which in a loop of joins
+    grows beyond all bounds, so loops use this.
+    """
+    return written(df, name)[0]
+
+
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``stored``, with the folder, for what is to be discarded."""
     path = f"{shared_dir(df.sparkSession)}/terrane-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+#: Folders that the innermost ``spare`` will discard.
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def spare(spark: SparkSession):
+    """Discard at the end what ``stored`` has written inside; whatever reads it must have been written by then."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            discard(spark, path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    if path:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrane.llm._common import cut
+from terrane.llm._common import discard, written
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -15,7 +15,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     shuffle and emit at most one row for each edge, so no task holds the neighbours of a node.
     The edges are a forest of stars when a round changes nothing; a null end drops the edge.
     """
-    now = cut(edges.select("a", "b").where("a is not null and b is not null and a <> b").distinct())
+    now, path = written(edges.select("a", "b").where("a is not null and b is not null and a <> b").distinct(), "edges")
     last = None
     for _ in range(most_rounds):
         both = now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -25,7 +25,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
-        now = cut(small.where("a <> b").distinct())
+        (now, path), before = written(small.where("a <> b").distinct(), "edges"), path
+        discard(now.sparkSession, before)
         mark = now.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(a, b))")).first()
         if mark == last:
             break

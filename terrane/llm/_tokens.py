@@ -15,8 +15,8 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Pieces that a worker remembers; beyond it, the memo starts anew.
-MEMO_PIECES = 1_000_000
+#: Pieces that a worker remembers, some 25 MB; beyond it, the memo starts anew.
+MEMO_PIECES = 100_000
 PIECES_A_CALL = 5_000
 #: Characters of texts that are split into pieces at a time.
 CHARS_AT_ONCE = 1 << 20

@@ -12,13 +12,20 @@ n-gram hashes, dealt to column blocks by hash.
   pair goes once its count and what is left of its rows cannot reach the overlap its sizes need.
 * Size bound on pairs: the parities of a row's entries by hash, 512 bits, differ between two rows in no
   more bits than the rows differ in entries; a pair with more than its sizes allow is never multiplied.
-* A block that many rows agree in gives a star to its least row, not all pairs. Pairs across
-  the components that the stars leave in one block are multiplied in turn, so no link is lost.
+* Rows that agree in a block give a star: each is multiplied with one of them alone. What the stars
+  leave in several components goes on by groups. A group of at most FEW rows gives its pairs. In a
+  larger one rows become differences to a centre, the entries that most of a few of its rows
+  have, and the product of the differences has short columns: of two linked rows either both are
+  so near to the centre that the row nearest to it links with both, or their differences share an
+  entry, and one among as many first entries as linked rows of their sizes can differ in. So the
+  nearest row gives a star, and each such column is a group in turn, of half the rows at most.
+  No link is lost, whatever the centre, and no large group is ever multiplied with itself.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +37,14 @@ from terrane.llm._common import OWN, as_bytes, cut, stored
 from terrane.llm._graph import components
 from terrane.llm._sieve import Sieve
 
-MEMO_WORDS = 1_000_000
+#: Words that a worker remembers, and rows that a task knows to have met: some 10 MB each at most.
+MEMO_WORDS = 1 << 16
+#: Rows of a group whose pairs are compared directly; a larger group gets a centre.
+FEW = 256
+#: Rows that a group's centre is made of, about.
+CENTRE_ROWS = 33
+#: Rounds of centres; groups that are still apart then are compared directly, whatever their size.
+ROUNDS = 12
 COLUMN_BLOCKS = 4
 #: Blocks in hundredths beyond the least number: a row with fewer empty blocks than are beyond needs none of them as a key.
 SPARE = 15
@@ -188,6 +202,8 @@ def _entries(n: int, num: int, den: int, table):
         for batch in batches:
             sets = [s for s in ngram_sets(as_bytes(batch, "text"), n, hashes) if len(s)]
             nodes = [int(mix(s).sum(dtype=U).view(np.int64)) for s in sets]
+            if len(seen) > MEMO_WORDS:
+                seen.clear()
             first = [i for i, x in enumerate(nodes) if not (x in seen or seen.add(x))]
             keys = block_keys([sets[i] for i in first], num, den)
             key = np.concatenate([*keys, np.empty(0, U)]).view(np.int64)
@@ -225,6 +241,41 @@ def _multiply(num: int, den: int):
     return run
 
 
+def differences(centre: np.ndarray, row: np.ndarray, num: int, den: int) -> tuple[int, np.ndarray]:
+    """How many entries two sorted sets differ in, and the first of them: as many as linked rows of this size can differ in, and one.
+
+    Entries that the centre lacks come first, then those that the row lacks, each in order of hash.
+    """
+    own, lost = np.setdiff1d(row, centre, assume_unique=True), np.setdiff1d(centre, row, assume_unique=True)
+    most = len(row) * (den - num) // num + 1
+    return len(own) + len(lost), np.concatenate([own[:most], lost[: max(0, most - len(own))]])
+
+
+def _centre(key, rows):
+    sets = [np.frombuffer(x, U) for x in rows.column("ngrams").to_pylist()]
+    entries, n = np.unique(np.concatenate(sets), return_counts=True)
+    return pa.table({"g": pa.array([key[0].as_py()], pa.int64()), "centre": pa.array([entries[2 * n > len(sets)].tobytes()], pa.binary())})
+
+
+def _columns(num: int, den: int):
+    """For rows and their group's centre: the number of differences, and the first ones with their places after one of place -1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            centres, rows = ([np.frombuffer(x or b"", U) for x in batch.column(c).to_pylist()] for c in ("centre", "ngrams"))
+            found = [differences(c, r, num, den) for c, r in zip(centres, rows, strict=True)]
+            sizes = np.array([len(x) + 1 for _, x in found], np.int64)
+            owner = pa.array(np.repeat(np.arange(len(found)), sizes))
+            column = np.concatenate([y for _, x in found for y in (np.zeros(1, U), x)] or [np.empty(0, U)]).view(np.int64)
+            place = np.concatenate([np.arange(k) - 1 for k in sizes] or [np.empty(0, np.int64)])
+            apart = pa.array([d for d, _ in found], pa.int64()).take(owner)
+            weight = pa.array([d * (num + den) - len(r) * (den - num) for (d, _), r in zip(found, rows, strict=True)], pa.int64()).take(owner)
+            kept = [batch.column(c).take(owner) for c in ("g", "node", "comp")]
+            yield pa.RecordBatch.from_arrays([*kept, apart, weight, pa.array(column), pa.array(place)], ["g", "node", "comp", "d", "w", "col", "place"])
+
+    return run
+
+
 def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id of every row: components of links den * |x & y| >= num * |x | y|.
 
@@ -248,8 +299,6 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
     shared = cut(shared.where("pivot < top").select("key", "pivot"))
     entries = texts.mapInArrow(_entries(n, num, den, Sieve.of(shared, "key", raw=True).broadcast(docs.sparkSession)), "key long, node long")
     met = cut(entries.join(shared, "key").distinct())
-    stars = met.where("node > pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-
     wanted = cut(met.select("node").distinct().join(leads.select(F.col("s1").alias("node"), "lead", "digest"), "node"))
     found = Sieve.of(wanted, "digest").keep(rows, "digest").join(wanted, "digest").where(F.col("doc_id").eqNullSafe(F.col("lead")))
     sets = stored(found.select("node", "text").mapInArrow(_sets(n), "node long, ngrams binary"), "ngram-sets")
@@ -264,24 +313,60 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
         sizes = F.least(f"{a}n", f"{b}n") * den >= F.greatest(f"{a}n", f"{b}n") * num
         return sizes & (apart * (num + den) <= (F.col(f"{a}n") + F.col(f"{b}n")) * (den - num))
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        named = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
-        mine = Sieve.of(named, "node").keep(sets, "node")  # before the joins shuffle the sets
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        return Sieve.of(nodes, "node").keep(sets, "node")  # before a join shuffles the sets
+
+    def with_sets(pairs: DataFrame) -> DataFrame:
+        mine = sets_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")))
         a, b = (mine.select(F.col("node").alias(c), F.col("ngrams").alias(f"{OWN}{c}")) for c in "ab")
-        return pairs.join(b, "b").join(a, "a").select("a", "b", f"{OWN}a", f"{OWN}b").mapInArrow(_multiply(num, den), "a long, b long")
-
-    stars = cut(stars.join(side("a"), "a").join(side("b"), "b").where(may_link("a", "b")).select("a", "b"))
-    links = cut(linked(stars))
-    comps = components(links)
-    # Blocks whose rows are still apart: every pair across their components that no star has tried.
-    placed = met.join(comps, "node", "left").select("key", "node", "pivot", F.coalesce("comp", "node").alias("comp"))
-    apart = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    rest = cut(placed.join(apart, "key").where("node <> pivot").select("key", "comp", F.col("node").alias("a")).join(side("a"), "a"))
-    other = rest.select("key", F.col("comp").alias("other"), F.col("a").alias("b"), *[F.col(f"a{x}").alias(f"b{x}") for x in ("n", *BITS)])
-    crossing = (rest["key"] == other["key"]) & (F.col("a") < F.col("b")) & (F.col("comp") != F.col("other")) & may_link("a", "b")
-    more = cut(linked(cut(rest.join(other, crossing).select("a", "b").distinct())))
-    if more.take(1):
-        comps = components(links.union(more))
+        return pairs.join(b, "b").join(a, "a").select("a", "b", f"{OWN}a", f"{OWN}b")
+
+    def apart(cells: DataFrame, by: list[str]) -> DataFrame:
+        """Cells whose rows are in more than one component, with their number of rows."""
+        return cells.groupBy(*by).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi").drop("lo", "hi")
+
+    def crossing(cells: DataFrame, by: list[str]) -> DataFrame:
+        """Pairs of rows of one cell that may be linked and are not in one component: the one nearer to the centre by its first half."""
+        mine = cells.join(rough, "node")
+        x = mine.where(F.col("place") * (2 * num) <= F.col("n") * (den - num)).select(*by, *[F.col(c).alias(f"a{c}") for c in ("comp", "d", "n", *BITS)], F.col("node").alias("a"))
+        y = mine.select(*by, *[F.col(c).alias(f"b{c}") for c in ("comp", "d", "n", *BITS)], F.col("node").alias("b"))
+        ordered = (F.col("ad") < F.col("bd")) | ((F.col("ad") == F.col("bd")) & (F.col("a") < F.col("b")))
+        met = x.join(y, by).where(ordered & (F.col("acomp") != F.col("bcomp")) & may_link("a", "b"))
+        return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def tied(pairs: DataFrame, comps: DataFrame | None) -> DataFrame:
+        """Components of the links so far and of those among the pairs."""
+        links = with_sets(stored(pairs, "ngram-pairs")).mapInArrow(_multiply(num, den), "a long, b long")
+        return components(links if comps is None else links.union(comps.select("node", "comp")))
+
+    stars = met.where("node > pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    comps = tied(stars.join(side("a"), "a").join(side("b"), "b").where(may_link("a", "b")).select("a", "b"), None)
+    # Blocks of one crowd of rows become one group: a block's name is the least that any of its rows has from a block.
+    least = met.groupBy("node").agg(F.min("pivot").alias("name"))
+    names = met.join(least, "node").groupBy("key").agg(F.min("name").alias("g"))
+    groups = stored(met.join(names, "key").select("g", "node").distinct(), "ngram-groups")
+    for rounds in count():
+        placed = groups.join(comps, "node", "left").select("g", "node", F.coalesce("comp", "node").alias("comp"))
+        still = stored(placed.join(apart(placed, ["g"]), "g"), "ngram-apart")
+        if not still.take(1):
+            break
+        small = (still if rounds >= ROUNDS else still.where(F.col("m") <= FEW)).withColumns({c: F.lit(0).cast("long") for c in ("d", "place")})
+        pairs = crossing(small, ["g"])
+        large = still.where(F.col("m") > FEW)
+        groups = groups.limit(0)
+        if rounds < ROUNDS and large.take(1):
+            some = large.where(F.pmod(F.xxhash64("node"), "m") < CENTRE_ROWS).select("g", "node")
+            centres = some.join(sets_of(some), "node").select("g", "ngrams").groupBy("g").applyInArrow(_centre, "g long, centre binary")
+            rows_there = large.select("g", "node", "comp").join(sets_of(large), "node").join(stored(centres, "ngram-centres"), "g", "left")
+            cells = stored(rows_there.mapInArrow(_columns(num, den), "g long, node long, comp long, d long, w long, col long, place long"), "ngram-cells")
+            nearest = large.join(cells.groupBy("g").agg(F.min_by("node", F.struct("w", "node")).alias("a")), "g").select("a", F.col("node").alias("b"), "comp")
+            nearest = nearest.join(comps.withColumnRenamed("node", "a").withColumnRenamed("comp", "acomp"), "a", "left").where("a <> b and coalesce(acomp, a) <> comp").select("a", "b").distinct()
+            nearest = nearest.join(side("a"), "a").join(side("b"), "b").where(may_link("a", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            cells = cells.where("place >= 0")
+            parts = stored(cells.join(apart(cells, ["g", "col"]), ["g", "col"]), "ngram-cells")
+            pairs = pairs.union(nearest).union(crossing(parts.where(F.col("m") <= FEW), ["g", "col"])).distinct()
+            groups = stored(parts.where(F.col("m") > FEW).select(F.xxhash64("g", "col").alias("g"), "node").distinct(), "ngram-groups")
+        comps = tied(pairs, comps)
     named = leads.select("s1", "s2", "n", "lead").join(comps.withColumnRenamed("node", "s1"), "s1", "left").withColumn("comp", F.coalesce("comp", "s1"))
     smallest = named.groupBy("comp").agg(F.min("lead").alias("component_id"))
     named = named.join(smallest, "comp").select("s1", "s2", "n", "component_id")
