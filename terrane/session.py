@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parent.parent)
 
@@ -41,3 +43,21 @@ def prepare(spark: SparkSession) -> SparkSession:
         if spark.conf.get(key, default) == default:
             spark.conf.set(key, value)
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share; a temporary one only where none is set and all run in one process (tests)."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        found = tempfile.mkdtemp(prefix="terrane-shared-")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(found)
+    return found
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut lineage in the shared folder."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
