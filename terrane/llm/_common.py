@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -11,21 +9,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrane.session import shared_folder
+
 #: Prefix of internal columns, so that no column of the caller clashes.
 OWN = "__terrane_"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set and all run in one process (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found and not re.match(r"local(\[|$)", spark.sparkContext.master):
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    if not found:
-        found = tempfile.mkdtemp(prefix="terrane-shared-")
-        spark.sparkContext.setCheckpointDir(found)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(found)
-    return found
+    """The folder that driver and executors share."""
+    return shared_folder(spark)
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A folder in the shared one that nothing has been written to."""
+    path = f"{shared_dir(spark)}/terrane-{name}-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -45,10 +45,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``stored``, with the folder, for what is to be discarded."""
-    path = f"{shared_dir(df.sparkSession)}/terrane-{name}-{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    if _OPEN:
-        _OPEN[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terrane.llm import decontam, lang_id, line_dedup, ngram_join, packing, quality, sharding, token_store, topk, warc_fixity
-from terrane.llm._common import table
+from terrane.llm._common import fresh_path, table
 
 ORACLES: dict[str, str] = {}
 
@@ -23,13 +23,14 @@ def op1_language_id(spark, sf_dir):
 
 
 def op2_warc_fixity(spark, sf_dir):
-    """Every page as a WARC record, against a replica with planted faults: altered, lost and added records."""
+    """Every page in WARC files, against files of a replica with planted faults: altered, lost and added records."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     damaged = F.when(F.col("page_id") % 97 == 5, F.concat(F.expr("substring(html, 1, length(html) - 1)"), F.lit("?"))).otherwise(F.col("html"))
     replica = pages.where("page_id % 211 <> 7").withColumn("html", damaged)
     added = pages.where("page_id % 389 = 11").withColumn("page_id", F.col("page_id") + 1_000_000_000)
-    found = warc_fixity.locate_corruption(pages, replica.unionByName(added))
-    return found.select("page_id", "length", "status")
+    paths = [warc_fixity.write_warc(x, fresh_path(spark, "warc")) for x in (pages, replica.unionByName(added))]
+    found = warc_fixity.locate_corruption(spark, *paths)
+    return found.select(F.col("key").cast("long").alias("page_id"), "length", "status")
 
 
 ORACLES["op2_warc_fixity"] = """
