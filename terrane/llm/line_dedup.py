@@ -7,7 +7,8 @@
    rank among the set bits is its slot) over two compact arrays, fingerprints and counts.
 3. Documents probe the arrays: their hashes go to the shards, and a task streams them past the
    one shard that it holds. A shard that frequent lines make hot is salted by its known number of
-   probes. Only hits come back, keyed by the text's digest, and the text drops those lines.
+   probes. Only hits come back, keyed by the text's digest, and the text drops those lines. Texts
+   that a bit table of the digests with hits clears are not joined at all.
 
 No line is ever joined, no array collected, and memory in a task is one shard and one batch.
 """
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrane.llm._common import OWN, as_bytes, cut, text_of
+from terrane.llm._sieve import Sieve
 
 #: The white space that a key loses at both ends.
 STRIPPED = b" \t\n\x0b\x0c\r"
@@ -195,14 +197,17 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", min_docs: int = 10, min
     khi, klo, drop = (f"{OWN}{x}" for x in ("khi", "klo", "drop"))
     hits = frequent_lines(docs, text_col, min_docs, min_chars)
     drops = hits.groupBy("khi", "klo").agg(F.collect_set(F.struct("hi", "lo")).alias("drop"))
-    drops = drops.select(F.col("khi").alias(khi), F.col("klo").alias(klo), F.col("drop.hi").alias(f"{OWN}hi"), F.col("drop.lo").alias(f"{OWN}lo"))
+    drops = cut(drops.select(F.col("khi").alias(khi), F.col("klo").alias(klo), F.col("drop.hi").alias(f"{OWN}hi"), F.col("drop.lo").alias(f"{OWN}lo")))
     digest = F.md5(text_of(text_col).cast("binary"))
 
     def half(start: int):  # 64 bits of the digest as a signed long
         return F.conv(F.substring(digest, start, 16), 16, -10).cast("long")
 
     keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    rows = docs.select(*keep).withColumns({khi: half(1), klo: half(17)}).join(drops, [khi, klo], "left").drop(khi, klo)
+    rows, touched = docs.select(*keep).withColumns({khi: half(1), klo: half(17)}), Sieve.of(drops, khi)
+    hit = touched.keep(rows, khi).join(drops, [khi, klo], "left").drop(khi, klo)  # a frequent text has many rows here but one there, so Spark can split it
+    none = F.lit(None).cast("array<long>")
+    rows = hit.unionByName(touched.keep(rows, khi, inside=False).drop(khi, klo).withColumns({f"{OWN}hi": none, f"{OWN}lo": none}))
     schema = docs.select(*keep).withColumn(text_col, F.lit("")).schema
     schema = schema.add("n_lines", "long").add("n_dropped", "long")
 
