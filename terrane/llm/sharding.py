@@ -6,7 +6,7 @@ and the child's name, and takes the least. A child's draw depends on its own wei
 change of weights moves rows only into or out of the subtrees whose weights changed.
 
 DataFrame functions only: the tree is a bounded list of literals inside the plan, placement is a
-projection without shuffle, and slots take one shuffle of narrow rows.
+projection without shuffle, and slots take a checkpoint and one shuffle of narrow rows.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrane.llm._common import OWN
+from terrane.llm._common import OWN, cut
 
 
 class Leaf(NamedTuple):
@@ -32,13 +32,14 @@ def topology(n_shards: int, base: int = 40, region_size: int = 8, rack_size: int
 
     The first ``base`` shards fill regions of ``region_size`` shards in racks of ``rack_size``.
     Every later shard opens a region of its own: it is the only subtree whose weight changes, so
-    growing by one shard moves rows into the new shard and nowhere else.
+    growing by one shard moves rows into the new shard and nowhere else. That holds from ``base``
+    shards up, so fewer are refused; give the base that the shards were first laid out with.
     """
-    if n_shards < 1:
-        raise ValueError("n_shards must be positive")
+    if n_shards < max(1, base):
+        raise ValueError("n_shards must be positive and at least base: below it, growth would move rows between old shards")
     if base % region_size or region_size % rack_size:
         raise ValueError("base must fill its regions, and a region its racks")
-    first = [Leaf(s // region_size, s // rack_size, s) for s in range(min(n_shards, base))]
+    first = [Leaf(s // region_size, s // rack_size, s) for s in range(base)]
     return first + [Leaf(base // region_size + i, base // rack_size + i, base + i) for i in range(n_shards - base)]
 
 
@@ -85,11 +86,12 @@ def place(df: DataFrame, key: Column, tree: list[Leaf], out: str) -> DataFrame:
 def number_slots(df: DataFrame, shard: str, order: list[str], out: str, buckets: int = 256) -> DataFrame:
     """Add column ``out``: gapless numbers from 0 within each shard.
 
-    Rows are numbered inside (shard, hash bucket); the counts of the buckets, at most shards x
-    ``buckets`` rows and so safe to broadcast, give each bucket its offset. No task holds a shard.
+    Rows are numbered inside (shard, bucket); the counts of the buckets, at most shards x
+    ``buckets`` rows and so safe to broadcast, give each bucket its offset. A row's bucket is drawn
+    by its place in the checkpoint, not its content, so no task holds a shard or all equal rows.
     """
     bucket, n, base, inner = (f"{OWN}{x}" for x in ("bucket", "n", "base", "inner"))
-    rows = df.withColumn(bucket, F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
+    rows = cut(df.withColumn(bucket, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(buckets)).cast("int")))
     sizes = rows.groupBy(shard, bucket).agg(F.count(F.lit(1)).alias(n))
     before = Window.partitionBy(shard).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select(shard, bucket, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(base))

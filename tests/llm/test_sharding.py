@@ -2,6 +2,7 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
 import xxhash
 
 from terrane.llm.sharding import Leaf, place, shard_documents, topology
@@ -62,4 +63,22 @@ def test_degenerate_inputs(spark):
     assert shard_documents(spark.createDataFrame([], SCHEMA)).count() == 0
     one = place(spark.range(3), F.col("id"), [Leaf(0, 0, 5), Leaf(0, 0, 6, 0.0)], "s").collect()
     assert {r.s for r in one} == {5}
-    assert topology(3) == topology(40)[:3]
+    assert [x.shard for x in topology(8, base=8)] == list(range(8))
+
+
+@pytest.mark.parametrize("n,base", [(8, 8), (11, 8), (40, 40), (60, 40)])
+def test_growth_moves_rows_only_into_the_new_shard(spark, n, base):
+    ids = place(place(spark.range(4000), F.col("id"), topology(n, base), "a"), F.col("id"), topology(n + 1, base), "b")
+    moved = {r.b for r in ids.where("a <> b").select("b").distinct().collect()}
+    assert moved == {n}
+
+
+def test_fewer_shards_than_the_base_are_refused():
+    with pytest.raises(ValueError):
+        topology(39)
+
+
+def test_equal_rows_and_very_long_texts(spark):
+    rows = [(5, "same", "", 0)] * 700 + [(5, "é" * 500_000, "", 0)]
+    got = shard_documents(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(r.slot for r in got) == list(range(701)) and max(r["size"] for r in got) == 1_000_016
