@@ -2,13 +2,17 @@
 
 Within a bounded shard of pieces:
 
-1. Large pieces are sorted by length and dealt into groups of equal cardinality; every length is
-   rounded up to the largest of its group, which leaves few sizes.
-2. Configurations (multisets of those sizes that fit a window) are optimised: for the largest
-   size left, a subset-sum programme over the sizes finds the fullest window with it, which is
-   used as often as the sizes' demand allows.
-3. Actual pieces take the places of their group's size, so windows keep more room than planned.
-4. What is left, small pieces above all, goes best-fit into the fullest window that still has room.
+1. Large pieces are sorted by length and dealt into GROUPS groups of equal cardinality; every length
+   is rounded up to the largest of its group, which leaves few sizes.
+2. Configurations (multisets of those sizes that fit a window) are optimised by a linear
+   programme: the fewest windows that hold all sizes as often as they are asked for. Its columns
+   are generated as they are needed, each by a knapsack over the sizes' prices.
+3. Every configuration is used as often as the programme says, rounded down; actual pieces take the
+   places of their group's size, longest first, so windows keep more room than planned.
+4. Windows that came out less full than one of FULL are taken apart again. What is left, small pieces
+   above all, goes best-fit into the fullest window that still has room.
+
+Each value of FULL, and best-fit decreasing over all pieces, gives a packing; that with the fewest windows is kept.
 
 Shards hold a random share of all pieces each, of bounded count, so that no task grows with the
 input and lengths are alike everywhere; a shard wastes less than a window or two.
@@ -30,58 +34,59 @@ from terrane.llm._tokens import encoder
 PIECES_PER_SHARD = 20_000
 #: Pieces of at least this share of a window count as large.
 LARGE = 1 / 8
-GROUPS = 400
-
-
-def _fill(sizes: np.ndarray, limits: np.ndarray, room: int, unit: int) -> np.ndarray:
-    """Counts of sizes (within limits) whose sum comes closest to the room from below, fewest pieces first."""
-    steps = room // unit
-    units = -(-sizes // unit)
-    best = np.full(steps + 1, -1, np.int64)  # the size taken last to reach a sum of units
-    best[0] = len(sizes)
-    used = np.zeros(steps + 1, np.int64)  # how many of that size
-    for i in np.argsort(-sizes, kind="stable"):
-        w = int(units[i])
-        if w > steps or not limits[i]:
+GROUPS = 48
+#: Shares of a window that a configuration's pieces must fill to stay together.
+FULL = (0.0, 0.97, 0.99, 0.997)
+#: Columns that are generated at most; the programme is then as good as they allow.
+MOST_COLUMNS = 400
+
+
+def _knapsack(sizes: np.ndarray, prices: np.ndarray, capacity: int) -> np.ndarray:
+    """Counts of sizes that fit the capacity and have the highest total price."""
+    best = np.zeros(capacity + 1)
+    taken = np.zeros((len(sizes), capacity + 1), np.int16)
+    for i, (w, v) in enumerate(zip(sizes.tolist(), prices.tolist(), strict=True)):
+        if v <= 1e-12:
             continue
-        fresh = best < 0
-        for k in range(1, int(min(limits[i], steps // w)) + 1):
-            reach = np.flatnonzero((best >= 0) & ~fresh)
-            to = reach + k * w
-            to = to[(to <= steps)]
-            to = to[best[to] < 0]
-            if not len(to):
-                break
-            best[to], used[to] = i, k
-        if best[steps] >= 0:
-            break
-    out, at = np.zeros(len(sizes), np.int64), int(np.flatnonzero(best >= 0)[-1])
-    while best[at] < len(sizes):
-        i, k = int(best[at]), int(used[at])
-        out[i] += k
-        at -= k * int(units[i])
+        base = best
+        for k in range(1, capacity // w + 1):
+            with_k = np.full(capacity + 1, -np.inf)
+            with_k[k * w :] = base[: capacity + 1 - k * w] + k * v
+            better = with_k > best + 1e-12
+            best = np.where(better, with_k, best)
+            taken[i][better] = k
+    out, at = np.zeros(len(sizes), np.int64), int(np.argmax(best))
+    for i in range(len(sizes) - 1, -1, -1):
+        out[i] = taken[i][at]
+        at -= int(out[i]) * int(sizes[i])
     return out
 
 
 def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
-    """Configurations and how often each is used; together they hold all the demand.
+    """Configurations of few sizes and how often each is used, by the linear programme and rounded down; together they hold no more than the demand.
 
-    The largest size still in demand is the hardest to place: its configuration is the multiset of
-    the sizes left that, with it, fills a window most (a bounded subset-sum programme). It serves as
-    often as its demand allows, so there are few configurations, not one for each window.
+    Revised simplex with columns generated by a knapsack over the dual prices, from configurations of one size each.
     """
-    unit = max(1, capacity // 1024)
+    basis = np.diag((capacity // sizes).astype(float))
+    for _ in range(MOST_COLUMNS):
+        inverse = np.linalg.inv(basis)
+        column = _knapsack(sizes, inverse.sum(0), capacity)  # every configuration costs one window
+        if inverse.sum(0) @ column <= 1 + 1e-7:
+            break
+        amounts, change = np.maximum(inverse @ demand, 0), inverse @ column
+        with np.errstate(divide="ignore", invalid="ignore"):
+            ratio = np.where(change > 1e-9, amounts / change, np.inf)
+        leaves = int(np.argmin(ratio))
+        basis[:, leaves] = column
+    amounts = np.floor(np.linalg.solve(basis, demand.astype(float)) + 1e-7).astype(np.int64)
     left, used = demand.copy(), []
-    for top in np.argsort(-sizes, kind="stable"):
-        while left[top]:
-            left[top] -= 1
-            column = _fill(sizes, left, capacity - int(sizes[top]), unit)
-            left[top] += 1
-            column[top] += 1
-            held = column > 0
-            times = int((left[held] // column[held]).min())
+    for j in np.argsort(-amounts, kind="stable"):
+        column = basis[:, j].astype(np.int64)
+        held = column > 0
+        times = min(int(amounts[j]), int((left[held] // column[held]).min()))
+        if times > 0:
             used.append((column, times))
-            left = left - times * column
+            left -= times * column
     return used
 
 
@@ -112,36 +117,62 @@ class BestFit:
         return b
 
 
-def pack_lengths(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Window and offset of every piece; lengths are 1 to capacity."""
-    window, offset = np.full(len(lengths), -1, np.int64), np.zeros(len(lengths), np.int64)
+def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Window and offset of every piece, longest first into the fullest window that has room."""
+    window, offset, fit = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64), BestFit([], capacity)
+    for i in np.argsort(-lengths, kind="stable"):
+        n = int(lengths[i])
+        window[i] = b = fit.place(n)
+        offset[i] = capacity - fit.room[b] - n
+    return window, offset
+
+
+def linear_grouping(lengths: np.ndarray, capacity: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Window and offset of every piece by grouped sizes and optimised configurations, for each share in FULL."""
+    first, place = np.full(len(lengths), -1, np.int64), np.zeros(len(lengths), np.int64)
     order = np.argsort(-lengths, kind="stable")
     full = order[lengths[order] == capacity]
-    window[full] = np.arange(len(full))
+    first[full] = np.arange(len(full))
     order = order[len(full) :]
     large = order[lengths[order] >= max(1, int(capacity * LARGE))]
-    room: list[int] = [0] * len(full)
+    fills = [np.full(len(full), capacity, np.int64)]
     if len(large):
         groups = np.array_split(large, min(GROUPS, len(large)))
         tops = np.array([lengths[g[0]] for g in groups])
         sizes, member = np.unique(tops, return_inverse=True)
         queues = [np.concatenate([g for g, m in zip(groups, member, strict=True) if m == i]) for i in range(len(sizes))]
-        at = np.zeros(len(sizes), np.int64)
+        at, base = np.zeros(len(sizes), np.int64), len(full)
         for column, times in configurations(sizes, np.array([len(q) for q in queues]), capacity):
-            base, fill = len(room), np.zeros(times, np.int64)
+            fill = np.zeros(times, np.int64)
             for i in np.flatnonzero(column)[::-1]:
                 for _ in range(int(column[i])):
                     mine = queues[i][at[i] : at[i] + times]
                     at[i] += times
-                    window[mine], offset[mine] = base + np.arange(times), fill
+                    first[mine], place[mine] = base + np.arange(times), fill
                     fill += lengths[mine]
-            room += (capacity - fill).tolist()
-    fit = BestFit(room, capacity)
-    for i in order[window[order] < 0]:
-        n = int(lengths[i])
-        b = fit.place(n)
-        window[i], offset[i] = b, capacity - fit.room[b] - n
-    return window, offset
+            base += times
+            fills.append(fill)
+    filled = np.concatenate(fills)
+    out = []
+    for share in FULL:
+        stays = filled >= share * capacity
+        number = np.append(np.where(stays, np.cumsum(stays) - 1, -1), -1)  # the last is that of pieces without a window
+        window, offset = number[first], place.copy()
+        fit = BestFit((capacity - filled[stays]).tolist(), capacity)
+        for i in order[window[order] < 0]:
+            n = int(lengths[i])
+            b = fit.place(n)
+            window[i], offset[i] = b, capacity - fit.room[b] - n
+        out.append((window, offset))
+        if stays.all() and (len(fit.room) * capacity - int(lengths.sum())) < capacity:
+            break
+    return out
+
+
+def pack_lengths(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Window and offset of every piece; lengths are 1 to capacity. Never more windows than best-fit decreasing."""
+    found = [*linear_grouping(lengths, capacity), best_fit_decreasing(lengths, capacity)]
+    return min(found, key=lambda x: x[0].max(initial=-1))
 
 
 PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
@@ -195,5 +226,5 @@ def pack_documents(docs: DataFrame, path: str, window: int = 2048, end_id: int =
     schema = PIECES.format(id=rows.schema["doc_id"].dataType.simpleString()) + (", ids binary" if with_ids else "")
     pieces = cut(rows.mapInArrow(_cut(path, window, end_id, with_ids), schema))
     shards = max(1, -(-pieces.count() // PIECES_PER_SHARD))
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "length"), F.lit(shards)))
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))  # of the checkpoint: equal rows part
     return dealt.groupBy("shard").applyInArrow(_pack(window), schema + ", sequence_id long, offset long")
