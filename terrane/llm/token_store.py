@@ -2,8 +2,8 @@
 
 1. Texts become ids (tokenizers library), kept in the shared folder; global counts give one
    canonical code, length-limited by package-merge.
-2. Every document is coded on its own and dealt to a range of ids; a task sorts its ranges and
-   writes blocks. A block decodes without any other; inside it, checkpoints hold the bit offset of
+2. Every document is coded on its own and dealt to a part: a range of ids of bounded size. An id that
+   fills several parts, or null, is dealt over them. A task sorts its parts and writes blocks. A block decodes without any other; inside it, checkpoints hold the bit offset of
    every 128th id of a document, so that a table decodes all of a block's stretches side by side.
 3. Reading gives back the ids; the number of ids before a document comes from counts of blocks.
 
@@ -17,7 +17,6 @@ code; C times uint32 bit offset within the document's code; the codes, each padd
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -26,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from terrane.llm._common import shared_dir, stored, text_of
+from terrane.llm._common import fresh_path, stored, text_of
 from terrane.llm._tokens import encoder
 
 STRIDE = 128
@@ -173,14 +172,19 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 
 
-def _code(lengths: np.ndarray, bounds: np.ndarray):
+def _code(lengths: np.ndarray, bounds: np.ndarray, null_parts: int):
+    """Code each document and name its part. Parts of null ids come first; an id that is a bound may be on either side of it, and is dealt out in turn."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        book = Codebook(lengths)
+        book, seen = Codebook(lengths), 0
         for batch in batches:
             ids, ends = _ids(batch)
             code, n_bytes, points, n_points = book.encode(ids, ends)
             doc_ids = batch.column(0)
-            part = np.where(np.asarray(doc_ids.is_null()), 0, np.searchsorted(bounds, np.asarray(doc_ids.cast(pa.int64()).fill_null(0)), "right"))
+            known, turn = np.asarray(doc_ids.cast(pa.int64()).fill_null(0)), seen + np.arange(len(doc_ids))
+            low, high = (np.searchsorted(bounds, known, side) for side in ("left", "right"))
+            part = np.where(np.asarray(doc_ids.is_null()), turn % max(1, null_parts), null_parts + low + turn % (high - low + 1))
+            seen += len(doc_ids)
             raw, a, b = points.tobytes(), np.cumsum([0, *n_bytes]), 4 * np.cumsum([0, *n_points])
             columns = [pa.array(part, pa.int64()), doc_ids.cast(pa.int64()), pa.array(np.diff(ends, prepend=0), pa.int64()), pa.array([raw[i:j] for i, j in zip(b, b[1:], strict=False)], pa.binary()), pa.array([code[i:j] for i, j in zip(a, a[1:], strict=False)], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["part", "doc_id", "n", "points", "code"])
@@ -228,10 +232,12 @@ def write_ids(docs: DataFrame, target: str, path: str, end_id: int, id_col: str
     counts[counted["id"]] = counted["n"]
     lengths = code_lengths(counts)
     parts = max(1, -(-int(counts.sum()) // RANGE_IDS))
-    cuts = ids.where("doc_id is not null").approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.2 / parts) if parts > 1 else []
-    bounds = np.unique(np.array(cuts, np.int64))
-    coded = ids.mapInArrow(_code(lengths, bounds), "part long, doc_id long, n long, points binary, code binary")
-    ranged = coded.repartition(max(parts, 1), "part").sortWithinPartitions("part", "doc_id")
+    rows, known = ids.agg(F.count(F.lit(1)), F.count("doc_id")).first()
+    null_parts = -(-parts * (rows - known) // max(1, rows))
+    cuts = ids.where("doc_id is not null").approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.2 / parts) if parts > 1 and known else []
+    bounds = np.sort(np.array(cuts, np.int64))  # a frequent id several times
+    coded = ids.mapInArrow(_code(lengths, bounds, null_parts), "part long, doc_id long, n long, points binary, code binary")
+    ranged = coded.repartitionByRange(parts + null_parts, "part").sortWithinPartitions("part", "doc_id")
     ranged.mapInArrow(_blocks, "part long, block long, n_ids long, blob binary").write.option("compression", "uncompressed").parquet(f"{target}/blocks")
     docs.sparkSession.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").coalesce(1).write.parquet(f"{target}/lengths")
     return target
@@ -264,5 +270,6 @@ def read_ids(spark: SparkSession, target: str, with_ids: bool = True) -> DataFra
     return blocks.select("part", "block", "blob").join(starts, ["part", "block"]).select("start", "blob").mapInArrow(run, schema)
 
 
+
 def fresh_target(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/terrane-token-files-{uuid.uuid4().hex}"
+    return fresh_path(spark, "token-files")

@@ -8,7 +8,7 @@ pytest.importorskip("public_tokenizers")
 import public_tokenizers  # noqa: E402
 from terrane.llm import token_store  # noqa: E402
 from terrane.llm._tokens import PieceEncoder  # noqa: E402
-from terrane.llm.packing import pack_documents, pack_lengths  # noqa: E402
+from terrane.llm.packing import best_fit_decreasing, pack_documents, pack_lengths  # noqa: E402
 
 ODD = [None, "", " ", "  ", "a  b", "a \n b", " a", "a ", "x\n", "\tq  z", "don't  'll", "it 's<|endoftext|> x <|startoftext|>", "a\0b c", "é ́a", "日本 語", "a  b", "A  B c", "x\x1c y", "1²3 ½ _ -- a", "İ ıİ क़ x", "word " * 6000]
 FILES = ["word_bpe_49k.json", "byte_bpe_50k.json"]
@@ -17,9 +17,7 @@ FILES = ["word_bpe_49k.json", "byte_bpe_50k.json"]
 def whole(path, text):
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return t.encode(text or "", add_special_tokens=False).ids
+    return Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("name", FILES)
@@ -60,6 +58,7 @@ def test_files_give_back_all_ids(spark, monkeypatch):
     monkeypatch.setattr(token_store, "RANGE_IDS", 4000)
     path = public_tokenizers.path(FILES[0])
     rows = [(i * 7 % 61 - 5, t, "clash") for i, t in enumerate(ODD * 3)] + [(None, "null id", ""), (3, "repeated id", "")]
+    rows += [(None, f"null {i} " * 40, "") for i in range(50)] + [(17, f"hot {i} " * 40, "") for i in range(50)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, start string").repartition(5)
     target = token_store.write_ids(frame, token_store.fresh_target(spark), path, 1)
     got = sorted(token_store.read_ids(spark, target).collect(), key=lambda r: r.start)
@@ -105,3 +104,23 @@ def test_few_windows():
         window, _ = pack_lengths(lengths, 2048)
         assert np.bincount(window, lengths).max() <= 2048
         assert len(np.unique(window)) <= 1.02 * lengths.sum() / 2048 + 1
+
+
+def test_never_more_windows_than_best_fit_decreasing():
+    rng = np.random.default_rng(4)
+    mixes = [
+        np.concatenate([rng.integers(1025, 1100, 3000), rng.integers(690, 760, 3000), rng.integers(200, 330, 3000)]),
+        rng.integers(1, 2049, 9000), rng.integers(600, 800, 9000), np.concatenate([rng.integers(900, 1024, 3000), rng.integers(1024, 1150, 3000)]), np.clip(rng.lognormal(6, 1, 9000), 1, 2048).astype(np.int64),
+        np.array([5]), np.empty(0, np.int64),
+    ]
+    found = []
+    for lengths in mixes:
+        window, offset = pack_lengths(lengths, 2048)
+        plain = best_fit_decreasing(lengths, 2048)[0].max(initial=-1) + 1
+        assert len(np.unique(window)) == window.max(initial=-1) + 1 <= plain
+        order = np.lexsort((offset, window))
+        w, o, n = window[order], offset[order], lengths[order]
+        follows = w[1:] == w[:-1]
+        assert (o[1:] == np.where(follows, o[:-1] + n[:-1], 0)).all() and (o + n <= 2048).all()
+        found.append((window.max(initial=-1) + 1, plain))
+    assert found[2][0] < 0.95 * found[2][1]  # three to a window, which best-fit decreasing misses
