@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from contextlib import contextmanager
 
@@ -65,6 +66,12 @@ def spare(spark: SparkSession):
             discard(spark, path)
 
 
+def released(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files that no DataFrame refers to any more: it does so when the driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder that nothing reads any more."""
     if path:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrane.llm._common import OWN, as_bytes, cut, stored
+from terrane.llm._common import OWN, as_bytes, cut, released, stored
 from terrane.llm._graph import components
 from terrane.llm._sieve import Sieve
 
@@ -297,8 +297,11 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
     texts = rows.select("text")
     shared = texts.mapInArrow(_entries(n, num, den, None), "key long, node long").groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("top"))
     shared = cut(shared.where("pivot < top").select("key", "pivot"))
+    released(docs.sparkSession)
     entries = texts.mapInArrow(_entries(n, num, den, Sieve.of(shared, "key", raw=True).broadcast(docs.sparkSession)), "key long, node long")
     met = cut(entries.join(shared, "key").distinct())
+    del entries, shared
+    released(docs.sparkSession)
     wanted = cut(met.select("node").distinct().join(leads.select(F.col("s1").alias("node"), "lead", "digest"), "node"))
     found = Sieve.of(wanted, "digest").keep(rows, "digest").join(wanted, "digest").where(F.col("doc_id").eqNullSafe(F.col("lead")))
     sets = stored(found.select("node", "text").mapInArrow(_sets(n), "node long, ngrams binary"), "ngram-sets")
@@ -341,11 +344,15 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
 
     stars = met.where("node > pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     comps = tied(stars.join(side("a"), "a").join(side("b"), "b").where(may_link("a", "b")).select("a", "b"), None)
-    # Blocks of one crowd of rows become one group: a block's name is the least that any of its rows has from a block.
-    least = met.groupBy("node").agg(F.min("pivot").alias("name"))
-    names = met.join(least, "node").groupBy("key").agg(F.min("name").alias("g"))
-    groups = stored(met.join(names, "key").select("g", "node").distinct(), "ngram-groups")
+    # A block of few rows is a group; those of more become one group with others of the same crowd: a
+    # large block's name is the least that any of its rows has from a large block.
+    crowded = cut(met.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > FEW).select("key"))
+    hot = met.join(crowded, "key")
+    least = hot.groupBy("node").agg(F.min("pivot").alias("name"))
+    names = hot.join(least, "node").groupBy("key").agg(F.min("name").alias("g"))
+    groups = met.join(crowded, "key", "left_anti").select(F.col("key").alias("g"), "node").union(hot.join(names, "key").select("g", "node").distinct())
     for rounds in count():
+        released(docs.sparkSession)
         placed = groups.join(comps, "node", "left").select("g", "node", F.coalesce("comp", "node").alias("comp"))
         still = stored(placed.join(apart(placed, ["g"]), "g"), "ngram-apart")
         if not still.take(1):
@@ -353,7 +360,7 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
         small = (still if rounds >= ROUNDS else still.where(F.col("m") <= FEW)).withColumns({c: F.lit(0).cast("long") for c in ("d", "place")})
         pairs = crossing(small, ["g"])
         large = still.where(F.col("m") > FEW)
-        groups = groups.limit(0)
+        groups = still.select("g", "node").limit(0)
         if rounds < ROUNDS and large.take(1):
             some = large.where(F.pmod(F.xxhash64("node"), "m") < CENTRE_ROWS).select("g", "node")
             centres = some.join(sets_of(some), "node").select("g", "ngrams").groupBy("g").applyInArrow(_centre, "g long, centre binary")
