@@ -16,8 +16,9 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Pieces that a worker remembers, some 25 MB; beyond it, the memo starts anew.
-MEMO_PIECES = 100_000
+#: Pieces in a generation of a worker's memo, some 35 MB. Beyond it a new generation begins; pieces that are
+#: met again are taken over from the one before, the others go with it.
+MEMO_PIECES = 180_000
 PIECES_A_CALL = 5_000
 #: Characters of texts that are split into pieces at a time.
 CHARS_AT_ONCE = 1 << 20
@@ -43,6 +44,7 @@ class PieceEncoder:
         self.edge = np.zeros(max(vocab.values()) + 1, bool)  # ids that begin (byte level) or end (word level) a piece
         self.edge[edge] = True
         self.memo: dict[str, bytes] = {}  # of pieces after a space
+        self.older: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}  # of pieces at a text's start
         self.unsafe: set[str] = set()
 
@@ -73,7 +75,7 @@ class PieceEncoder:
                 other.append(p)
             else:
                 simple.append(p)
-        heads = {h for h, _ in parts.values()}.difference(self.memo, simple)
+        heads = self._unknown({h for h, _ in parts.values()}.difference(simple))
         self._joined([*simple, *heads])
         tails = list({t for _, t in parts.values()}.difference(self.first))
         self.first.update(zip(tails, self._encode(tails), strict=True))
@@ -102,9 +104,18 @@ class PieceEncoder:
             out[i] = ids
         return out
 
+    def _unknown(self, pieces: set[str]) -> set[str]:
+        """Pieces that no generation of the memo has; those of the older one are taken over."""
+        new = pieces.difference(self.memo)
+        met = new.intersection(self.older)
+        self.memo.update((p, self.older[p]) for p in met)
+        return new - met
+
     def _some(self, texts: list[str]) -> list[bytes]:
-        if len(self.memo) + len(self.first) > MEMO_PIECES:
-            self.memo, self.first, self.unsafe = {}, {}, set()
+        if len(self.memo) > MEMO_PIECES:
+            self.older, self.memo = self.memo, {}
+        if len(self.first) + len(self.unsafe) > MEMO_PIECES // 4:
+            self.first, self.unsafe, self.memo, self.older = {}, set(), {}, {}
         if not self.leading:
             return self._runs(texts)
         split = [t.split(" ") for t in texts]
@@ -114,7 +125,7 @@ class PieceEncoder:
         new: set[str] = set()
         for pieces in split:
             new.update(pieces)
-        self._learn(list(new.difference(self.memo)))
+        self._learn(list(self._unknown(new)))
         get, out = self.memo.__getitem__, []
         for pieces in split:
             safe = self.unsafe.isdisjoint(pieces[1:-1]) and (len(pieces) == 1 or not pieces[0] or pieces[0] not in self.unsafe)
@@ -130,7 +141,7 @@ class PieceEncoder:
         new: set[str] = set()
         for runs in split:
             new.update(runs)
-        fresh = new.difference(self.memo, self.unsafe)
+        fresh = self._unknown(new.difference(self.unsafe))
         self.unsafe.update([r for r in fresh if ODD.search(r)])
         fresh.difference_update([r for r in fresh if r in self.unsafe])
         self._joined([r for r in fresh if r.isalpha()])
