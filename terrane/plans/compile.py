@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 
 from terrane.plans.interpret import interpret
 from terrane.plans.rules import And, Compare, Not, Or, Ref, Rule, RuleSet, Value, referenced_keys
-from terrane.plans.semantics import ACCESS_CLASSES, COUNTRIES, FACTORS, MPH, NUMBER, PREFIX, SPEED, substitution
+from terrane.plans.semantics import ACCESS_CLASSES, COUNTRIES, FACTORS, MPH, NUMBER, SPEED, substitution
+from terrane.session import checkpointed
 
-#: Rules beyond which a chain of projections costs more to plan than an interpreter to run.
-LONGEST_CHAIN = 120
+#: Projections after which the state is written, so that plans and generated code stay short.
+CHUNK = 24
+#: Rules that are told side by side in one projection, at most.
+RUN = 40
 
 
 def sure(c: Column) -> Column:
@@ -155,20 +158,25 @@ class _Chain:
         return [F.col(c) for c in self.keys.values()]
 
 
-def _keys(rules: RuleSet, prefix: str) -> list[str]:
+def _keys(rules: RuleSet, prefix: str | None) -> list[str]:
     found = referenced_keys(rules)
     kinds = {a.kind for r in [*rules.rules, *rules.finalize] for a in r.actions}
+    if prefix is None and kinds & {"setaccess", "addaccess"}:
+        raise ValueError("setaccess and addaccess need the prefix of the keys that they write")
+    prefix = prefix or ""
     return found + [prefix + c for c in ACCESS_CLASSES if kinds & {"setaccess", "addaccess"} and prefix + c not in found]
 
 
-def apply_rules(df: DataFrame, rules: RuleSet, id_col: str = "id", tags_col: str = "tags", geometry: tuple = (), prefix: str = PREFIX, strategy: str = "auto") -> DataFrame:
+def apply_rules(df: DataFrame, rules: RuleSet, id_col: str = "id", tags_col: str = "tags", geometry: tuple = (), prefix: str | None = None, strategy: str = "columns") -> DataFrame:
     """The features of every entity: id, ord, type, low, high, road_class, road_speed, label, labels, tags.
 
     The first typed rule that holds ends an entity; ``continue`` emits and goes on, with the rule's
     own changes kept only under ``with_actions``. ``geometry`` names columns that stand for
-    functions such as length. strategy: columns, interpreter, or auto (columns up to LONGEST_CHAIN rules).
+    functions such as length. ``prefix`` is that of the keys which setaccess and addaccess write; rules that
+    use them need one. Rules that do not see each other's actions share a projection; a longer rule set
+    runs in chunks of CHUNK projections, between which the state is checkpointed. strategy: columns, or interpreter (row by row, for tests).
     """
-    if strategy == "interpreter" or strategy == "auto" and len(rules.rules) + len(rules.finalize) > LONGEST_CHAIN:
+    if strategy == "interpreter":
         return interpret(df, rules, id_col, tags_col, geometry, prefix)
     keys = _keys(rules, prefix)
     tags = F.col(tags_col)
@@ -176,27 +184,41 @@ def apply_rules(df: DataFrame, rules: RuleSet, id_col: str = "id", tags_col: str
     rest = F.map_filter(tags, lambda k, v: ~k.isin(keys) & v.isNotNull()) if keys else tags
     none = F.lit(None).cast("string")
     df = df.select(F.col(id_col).alias("id"), *geometry, *columns, rest.alias("rest"), none.alias("label"), F.array().cast("array<string>").alias("labels"), F.lit(True).alias("live"), F.lit(None).alias("found"))
-    state = _Chain(df, keys, geometry, prefix)
+    state = _Chain(df, keys, geometry, prefix or "")
     fields = ["ord", "type", "low", "high", "road_class", "road_speed", "default_name"]
     shape = "array<struct<ord:int,type:int,low:int,high:int,road_class:int,road_speed:int,default_name:string,label:string,labels:array<string>,rest:map<string,string>" + "".join(f",{c}:string" for c in state.keys.values()) + ">>"
     df = df.withColumn("found", F.array().cast(shape))
     tag = lambda k: F.col(state.keys[k])
-    for rule in rules.rules:
-        df = df.withColumn("hit", F.col("live") & predicate(rule.predicate, tag, state.geo))
-        now, hit, c = state.act(rule, F.col("hit")), F.col("hit"), rule.clause
-        if c is None:
-            df = df.withColumns(now) if now else df
-            continue
+
+    def feature(rule: Rule, now: dict[str, Column]) -> Column:
+        c = rule.clause
         data = (rule.ord, c.type, c.low, c.high, c.road_class, c.road_speed, c.default_name)
-        feature = F.struct(*[F.lit(x).cast("string" if n == "default_name" else "int").alias(n) for n, x in zip(fields, data, strict=True)], *[now.get(x, F.col(x)).alias(x) for x in ("label", "labels", "rest", *state.keys.values())])
-        changes = {"found": F.when(hit, F.array_append("found", feature)).otherwise(F.col("found"))}
-        if not c.goes_on:
-            changes["live"] = F.col("live") & ~hit
-        elif c.with_actions:
-            changes |= now
-        df = df.withColumns(changes)
-    df = df.select("id", *geometry, F.explode("found").alias("f")).select("id", *geometry, "f.*")
-    for rule in rules.finalize:
+        return F.struct(*[F.lit(x).cast("string" if n == "default_name" else "int").alias(n) for n, x in zip(fields, data, strict=True)], *[now.get(x, F.col(x)).alias(x) for x in ("label", "labels", "rest", *state.keys.values())])
+
+    steps = 0
+    for run in _runs(rules.rules):
+        if steps >= CHUNK:
+            df, steps = checkpointed(df), 0
+        steps += min(len(run), 3)
+        hits = [F.col(f"hit{i}") for i in range(len(run))]
+        df = df.withColumns({f"hit{i}": F.col("live") & predicate(rule.predicate, tag, state.geo) for i, rule in enumerate(run)})
+        now = [state.act(rule, hit) for rule, hit in zip(run, hits, strict=True)]
+        if run[0].clause is None:
+            df = df.withColumns(now[0]) if now[0] else df
+        elif not _apart(run[0]):
+            df = df.withColumns(now[0] | {"found": F.when(hits[0], F.array_append("found", feature(run[0], now[0]))).otherwise(F.col("found"))})
+        else:
+            ends = [F.when(hit, F.lit(i)) for i, (rule, hit) in enumerate(zip(run, hits, strict=True)) if not rule.clause.goes_on]
+            df = df.withColumn("end", F.coalesce(*ends) if ends else F.lit(None).cast("int"))
+            shown = [F.when(hit & (F.col("end").isNull() | (F.col("end") >= i)), feature(rule, acts)) for i, (rule, hit, acts) in enumerate(zip(run, hits, now, strict=True))]
+            anything = F.greatest(*hits) if len(hits) > 1 else hits[0]
+            df = df.withColumns({"found": F.when(anything, F.concat("found", F.filter(F.array(*shown), lambda f: f.isNotNull()))).otherwise(F.col("found")), "live": F.col("live") & F.col("end").isNull()})
+        df = df.drop("end", *[f"hit{i}" for i in range(len(run))])
+    # The outer form: of the plain one Spark infers a filter on ``found``, and pushing it below the rules doubles it with each.
+    df = df.select("id", *geometry, F.explode_outer("found").alias("f")).where("f is not null").select("id", *geometry, "f.*")
+    for n, rule in enumerate(rules.finalize, 1):
+        if n % CHUNK == 0:
+            df = checkpointed(df)
         df = df.withColumn("hit", predicate(rule.predicate, tag, state.geo))
         now = state.act(rule, F.col("hit"))
         df = df.withColumns(now) if now else df
@@ -205,6 +227,22 @@ def apply_rules(df: DataFrame, rules: RuleSet, id_col: str = "id", tags_col: str
     return df.select("id", *fields[:-1], F.coalesce("label", "default_name").alias("label"), "labels", F.map_concat(F.coalesce("rest", F.create_map().cast("map<string,string>")), kept).alias("tags"))
 
 
+def _apart(rule: Rule) -> bool:
+    """Whether no later rule sees what this one does: it ends an entity, or goes on without its actions."""
+    return rule.clause is not None and not (rule.clause.goes_on and rule.clause.with_actions and rule.actions)
+
+
+def _runs(rules: list[Rule]) -> list[list[Rule]]:
+    """Rules that can be told side by side, in order: as many as RUN that do not see each other, or one."""
+    out: list[list[Rule]] = []
+    for rule in rules:
+        if out and len(out[-1]) < RUN and _apart(rule) and _apart(out[-1][0]):
+            out[-1].append(rule)
+        else:
+            out.append([rule])
+    return out
+
+
 def classify_by_join(df: DataFrame, rules: RuleSet, key: str, column: Column) -> DataFrame:
     """First-match classification for a ladder of ``key = value`` rules without actions: a join with the rule table."""
     table = []

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrane.plans.rules import And, Compare, Not, Or, Ref, Rule, RuleSet, Value
-from terrane.plans.semantics import ACCESS_CLASSES, PREFIX, filtered, number, speed
+from terrane.plans.semantics import ACCESS_CLASSES, filtered, number, speed
 
 FEATURE = "ord int, type int, low int, high int, road_class int, road_speed int, label string, labels array<string>, tags map<string,string>"
 
@@ -72,7 +72,7 @@ class State:
     def __init__(self, tags: dict, label: str | None = None, labels: list | None = None):
         self.tags, self.label, self.labels = dict(tags), label, list(labels or [])
 
-    def act(self, rule: Rule, prefix: str) -> None:
+    def act(self, rule: Rule, prefix: str | None) -> None:
         for a in rule.actions:
             if a.kind == "delete":
                 self.tags.pop(a.key, None)
@@ -87,12 +87,12 @@ class State:
                 elif a.kind == "addlabel":
                     self.labels += [value] if value not in self.labels else []
                 else:
-                    for key in [a.key] if a.kind in ("set", "add") else [prefix + c for c in ACCESS_CLASSES]:
+                    for key in [a.key] if a.kind in ("set", "add") else [(prefix or "") + c for c in ACCESS_CLASSES]:
                         if a.kind.startswith("set") or self.tags.get(key) is None:
                             self.tags[key] = value
 
 
-def evaluate(rules: RuleSet, tags: dict, geometry: dict | None = None, prefix: str = PREFIX) -> list[dict]:
+def evaluate(rules: RuleSet, tags: dict, geometry: dict | None = None, prefix: str | None = None) -> list[dict]:
     """The features of one entity, in order."""
     geometry, state, out = geometry or {}, State(tags), []
     for rule in rules.rules:
@@ -117,7 +117,7 @@ def evaluate(rules: RuleSet, tags: dict, geometry: dict | None = None, prefix: s
     return out
 
 
-def interpret(df: DataFrame, rules: RuleSet, id_col: str = "id", tags_col: str = "tags", geometry: tuple = (), prefix: str = PREFIX) -> DataFrame:
+def interpret(df: DataFrame, rules: RuleSet, id_col: str = "id", tags_col: str = "tags", geometry: tuple = (), prefix: str | None = None) -> DataFrame:
     """id, then the columns of a feature, by an Arrow-batched interpreter."""
     id_type = df.schema[id_col].dataType
     schema = f"id {id_type.simpleString()}, {FEATURE}"

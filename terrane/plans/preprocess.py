@@ -101,7 +101,7 @@ def _run(text: str, names: dict[str, object], load, depth: int) -> list[str]:
     live: list[bool] = []
     lines = iter(re.sub(r"\\\n", "", text).split("\n"))
     for line in lines:
-        m = re.match(r"\s*#\s*(define_block|define|undef|ifdef|ifndef|if|else|endif|include)\b\s*(.*)", line)
+        m = re.match(r"#(define_block|define|undef|ifdef|ifndef|if|else|endif|include)\b\s*(.*)", line)
         if not m:
             if all(live):
                 out.append(_expand(line, names))
@@ -120,7 +120,7 @@ def _run(text: str, names: dict[str, object], load, depth: int) -> list[str]:
         elif what == "define_block":
             block = []
             for x in lines:
-                if re.match(r"\s*#\s*enddef\b", x):
+                if re.match(r"#enddef\b", x):
                     break
                 block.append(x)
             if all(live):

@@ -5,9 +5,8 @@ from __future__ import annotations
 import re
 from decimal import ROUND_HALF_UP, Decimal
 
-#: Classes that setaccess and addaccess write, each behind the prefix of control variables.
+#: Classes that setaccess and addaccess write, each behind a prefix that the caller gives.
 ACCESS_CLASSES = ("foot", "bicycle", "car", "delivery", "bus", "taxi", "emergency", "truck")
-PREFIX = "map:"
 
 # Conversion factors and the kilometres of a mile.
 FACTORS = {"m=>ft": "3.28084", "ft=>m": "0.3048", "km/h=>mph": "0.621371", "mph=>km/h": "1.609344", "km=>mi": "0.621371"}

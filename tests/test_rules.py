@@ -36,10 +36,10 @@ def test_plan_equals_interpreter(spark):
     rules = parse_rules(RULES)
     rows = [(i, tags(rng)) for i in range(400)] + [(400, {})]
     frame = spark.createDataFrame(rows, "id long, tags map<string,string>")
-    want = sorted(((i, f) for i, t in rows for f in evaluate(rules, t)), key=lambda x: (x[0], x[1]["ord"]))
+    want = sorted(((i, f) for i, t in rows for f in evaluate(rules, t, prefix="map:")), key=lambda x: (x[0], x[1]["ord"]))
     assert len({f["type"] for _, f in want}) == 9
     for strategy in ("columns", "interpreter"):
-        got = sorted(apply_rules(frame, rules, strategy=strategy).collect(), key=lambda r: (r.id, r.ord))
+        got = sorted(apply_rules(frame, rules, prefix="map:", strategy=strategy).collect(), key=lambda r: (r.id, r.ord))
         assert [(r.id, r.asDict() | {"tags": dict(r.tags)}) for r in got] == [(i, {"id": i} | f) for i, f in want]
 
 
@@ -66,3 +66,17 @@ def test_preprocessor():
     assert preprocess(text, ["WINTER"], lambda _: "").startswith("x = 1 [0x1]")
     with pytest.raises(ValueError):
         preprocess("#ifdef X")
+
+
+def test_plain_comments_are_no_directives():
+    text = "# if a road has no name, leave it\n# else take the ref\n # include nothing here\na = 1 [0x1]"
+    assert preprocess(text) == text
+
+
+def test_500_rules_run_as_a_plan(spark):
+    text = "\n".join(f"k{i % 9} = {i} & n < {i % 40 + 5} {{ set seen = '${{seen|def:}}{i},' }} [0x{i + 1:x} resolution 20" + (" continue with_actions]" if i % 3 else "]") for i in range(500))
+    rows = [(i, {f"k{i % 9}": str(i), "n": str(i % 45)} | ({f"k{(i + 1) % 9}": str(i + 1)} if i % 2 else {})) for i in range(500)]
+    frame = spark.createDataFrame(rows, "id long, tags map<string,string>")
+    rules = parse_rules(text)
+    plan, plain = (sorted((r.id, r.ord, r.type, sorted(r.tags.items())) for r in apply_rules(frame, rules, strategy=s).collect()) for s in ("columns", "interpreter"))
+    assert plan == plain and len(plan) > 300
