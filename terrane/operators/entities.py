@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrane.session import checkpointed
+
 TYPE_RANK = {"bound": 0, "node": 1, "way": 2, "relation": 3}
 
 
@@ -55,6 +57,35 @@ def clip_ways(ways: DataFrame, way_nodes: DataFrame, nodes: DataFrame, complete:
     return kept, refs
 
 
+def clip_relations(members: DataFrame, kept: DataFrame, cascading: bool = False) -> DataFrame:
+    """(relation): those with a member among ``kept`` (member_type, member); ``cascading``: and all that hold one of them, to the end."""
+    found = edge = checkpointed(members.join(kept, ["member_type", "member"], "left_semi").select("relation").distinct())
+    while cascading:
+        parents = members.where("member_type = 'R'").join(edge.select(F.col("relation").alias("member")), "member", "left_semi").select("relation").distinct()
+        edge = checkpointed(parents.join(found, "relation", "left_anti"))
+        if not edge.take(1):
+            break
+        found = checkpointed(found.union(edge))
+    return found
+
+
+def complete_relations(members: DataFrame, relations: DataFrame) -> DataFrame:
+    """(member_type, member): all that the relations hold, through relations inside them to the end; cycles end by themselves."""
+    edge, found = relations.select("relation"), None
+    while True:
+        held = members.join(edge, "relation", "left_semi").select("member_type", "member").distinct()
+        fresh = checkpointed(held if found is None else held.join(found, ["member_type", "member"], "left_anti"))
+        if found is not None and not fresh.take(1):
+            return found
+        found = fresh if found is None else checkpointed(found.union(fresh))
+        edge = fresh.where("member_type = 'R'").select(F.col("member").alias("relation"))
+
+
+def clip_incomplete(members: DataFrame, kept: DataFrame) -> DataFrame:
+    """References without those to entities that are not among ``kept`` (member_type, member)."""
+    return members.join(kept, ["member_type", "member"], "left_semi").select(*members.columns)
+
+
 def inside_rings(lon: Column, lat: Column, rings: Sequence[Sequence[tuple[int, int]]]) -> Column:
     """Ray casting over all rings with an even-odd count, in exact integers; the polygon is part of the plan."""
     crossings = F.lit(0)
@@ -137,8 +168,9 @@ def simplify_change(changes: DataFrame, keys: Sequence[str] = ("id",), version:
 
 
 def flatten(history: DataFrame, keys: Sequence[str] = ("id",), version: str = "version") -> DataFrame:
-    """The latest version of each entity."""
-    return latest(history, keys, [F.desc(version)])
+    """The latest version of each entity; of equal versions the one whose other values are the largest, so that the choice is always the same."""
+    rest = [c for c, kind in history.dtypes if c not in (*keys, version) and not kind.startswith("map")]
+    return latest(history, keys, [F.desc(version), F.desc(F.struct(*rest))] if rest else [F.desc(version)])
 
 
 def derive_change(old: DataFrame, new: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
@@ -167,3 +199,27 @@ def to_history(changes: DataFrame) -> DataFrame:
 def in_interval(df: DataFrame, begin, end, ts: str = "ts") -> DataFrame:
     """Changes in (begin, end]; a snapshot up to ``end`` includes equality."""
     return df.where((F.col(ts) > F.lit(begin)) & (F.col(ts) <= F.lit(end)))
+
+
+def contained(points: DataFrame, areas: DataFrame, id_col: str, area_col: str, cell_e7: int = 20_000_000, ring: str = "ring") -> DataFrame:
+    """(id_col, area_col): the areas that each point (lon_e7, lat_e7) is in; an area has a closed ring of (x, y).
+
+    Both meet by grid cell, an area in every cell of its box; the ring then decides, in exact integers
+    and even-odd, a lower edge being inside and an upper one outside.
+    """
+    cell = lambda c: F.floor(c / cell_e7).cast("int")
+    xs, ys = F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])
+    spread = lambda v: F.explode(F.sequence(cell(F.array_min(v)), cell(F.array_max(v))))
+    boxed = areas.select(area_col, F.col(ring).alias("ring"), spread(xs).alias("cx"), ys.alias("ys")).withColumn("cy", spread(F.col("ys"))).drop("ys")
+    placed = points.select(id_col, F.col("lon_e7").alias("x"), F.col("lat_e7").alias("y")).withColumn("cx", cell(F.col("x"))).withColumn("cy", cell(F.col("y")))
+    wide = lambda c: c.cast("decimal(19,0)")
+
+    def crosses(i: Column) -> Column:
+        p, q = F.element_at("ring", i), F.element_at("ring", i + 1)
+        low, high = F.when(p["y"] < q["y"], p).otherwise(q), F.when(p["y"] < q["y"], q).otherwise(p)
+        left = (wide(F.col("x")) - wide(low["x"])) * (wide(high["y"]) - wide(low["y"])) < (wide(F.col("y")) - wide(low["y"])) * (wide(high["x"]) - wide(low["x"]))
+        return F.when((F.col("y") >= low["y"]) & (F.col("y") < high["y"]) & left, 1).otherwise(0)
+
+    edges = F.when(F.size("ring") > 1, F.sequence(F.lit(1), F.size("ring") - 1)).otherwise(F.array().cast("array<int>"))
+    count = F.aggregate(F.transform(edges, crosses), F.lit(0), lambda a, x: a + x)
+    return placed.join(boxed, ["cx", "cy"]).where(count % 2 == 1).select(id_col, area_col)

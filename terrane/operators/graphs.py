@@ -9,21 +9,12 @@ from pyspark.sql import functions as F
 
 from terrane.plans import compile as plans
 from terrane.plans.rules import RuleSet
+from terrane.session import checkpointed
 
 #: Rounds after which a fixpoint cuts its lineage.
 CHECKPOINT_EVERY = 4
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage in the shared folder of the session; a temporary one only where none is set (tests)."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="terrane-shared-"))
-    return df.checkpoint(eager=True)
-
-
 def apply_to_members(relations: DataFrame, members: DataFrame, entities: DataFrame, rules: RuleSet) -> DataFrame:
     """entity id and the tag writes (id, key, value, ord) that ``apply`` actions of matching relations give its members.
 
@@ -100,7 +91,7 @@ def islands(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
         label = label.join(near.withColumnRenamed("a", "node"), "node").select("node", F.least("island", "near").alias("island"))
         jump = label.select(F.col("node").alias("island"), F.col("island").alias("further"))
         label = checkpointed(label.join(jump, "island", "left").select("node", F.coalesce("further", "island").alias("island")))
-        mark = label.agg(F.sum("island"), F.expr("bit_xor(xxhash64(node, island))")).first()
+        mark = label.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(node, island))")).first()
         if mark == last:
             return label
         last = mark
@@ -117,16 +108,47 @@ def drop_islands(edges: DataFrame, parts: DataFrame, weight: str, least: float)
 def nearby_duplicates(points: DataFrame, kind: str, distance_e7: int) -> DataFrame:
     """Points without those that have a same-kind point of a smaller id within the distance in both coordinates.
 
-    Points meet by kind and grid cell, so only neighbours are compared.
+    Points of one kind and grid cell are all within the distance, so only the first of a cell can stay.
+    It alone meets the points of the eight cells around it, so a point is compared eight times at most.
     """
     cx, cy = F.floor(F.col("lon_e7") / distance_e7), F.floor(F.col("lat_e7") / distance_e7)
-    placed = points.withColumn("cx", cx).withColumn("cy", cy)
-    around = lambda c: F.explode(F.array(F.col(c) - 1, F.col(c), F.col(c) + 1))
-    other = placed.select(F.col("id").alias("o"), F.col("lat_e7").alias("o_lat"), F.col("lon_e7").alias("o_lon"), F.col(kind).alias("o_kind"), F.col("cx"), F.col("cy"))
-    spread = placed.select("id", "lat_e7", "lon_e7", kind, around("cx").alias("cx"), "cy").select("id", "lat_e7", "lon_e7", kind, "cx", around("cy").alias("cy"))
-    close = spread.join(other, [spread.cx == other.cx, spread.cy == other.cy, F.col(kind) == F.col("o_kind"), F.col("o") < F.col("id")])
-    close = close.where((F.abs(F.col("lat_e7") - F.col("o_lat")) <= distance_e7) & (F.abs(F.col("lon_e7") - F.col("o_lon")) <= distance_e7))
-    return points.join(close.select("id"), "id", "left_anti")
+    placed = points.select("id", "lat_e7", "lon_e7", F.col(kind).alias("kind")).where("kind is not null").withColumn("cx", cx).withColumn("cy", cy)
+    first = placed.groupBy("kind", "cx", "cy").agg(F.min_by(F.struct("id", "lat_e7", "lon_e7"), "id").alias("p")).select("kind", "cx", "cy", "p.*")
+    around = F.explode(F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in (-1, 0, 1) for y in (-1, 0, 1) if x or y]))
+    spread = first.withColumn("step", around).select("kind", (F.col("cx") + F.col("step.x")).alias("cx"), (F.col("cy") + F.col("step.y")).alias("cy"), "id", "lat_e7", "lon_e7")
+    other = placed.select("kind", "cx", "cy", F.col("id").alias("o"), F.col("lat_e7").alias("o_lat"), F.col("lon_e7").alias("o_lon"))
+    close = spread.join(other, ["kind", "cx", "cy"]).where((F.col("o") < F.col("id")) & (F.abs(F.col("lat_e7") - F.col("o_lat")) <= distance_e7) & (F.abs(F.col("lon_e7") - F.col("o_lon")) <= distance_e7))
+    kept = first.select("id").join(close.select("id"), "id", "left_anti").select("id").union(points.where(F.col(kind).isNull()).select("id"))
+    return points.join(kept, "id", "left_semi")
+
+
+def nearest_along(points: DataFrame, places: DataFrame, street: str, at: str, place: str, cells: int = 1024) -> DataFrame:
+    """``points`` with the ``place`` of the same street that is nearest along it, ties to the smaller; without one a point goes.
+
+    A street is cut into cells of equal length. Within a cell each point sees the places before and
+    behind it in one ordered pass; the last and first place of other cells come from one row a cell.
+    """
+    ends = places.groupBy(street).agg(F.min(at).alias("lo"), F.max(at).alias("hi"))
+
+    def celled(df: DataFrame) -> DataFrame:
+        share = F.when(F.col("hi") > F.col("lo"), (F.col(at) - F.col("lo")) / (F.col("hi") - F.col("lo"))).otherwise(0.0)
+        return df.join(ends, street).withColumn("cell", F.floor(F.greatest(F.lit(-1.0), F.least(share, F.lit(1.0))) * cells).cast("int")).drop("lo", "hi")
+
+    first = celled(places.groupBy(street, at).agg(F.min(place).alias(place)))  # one place of those at the same spot
+    spot = F.struct(F.col(at).alias("at"), F.col(place).alias("place"))
+    by_cell = Window.partitionBy(street).orderBy("cell")
+    edges = first.groupBy(street, "cell").agg(F.max_by(spot, at).alias("last"), F.min_by(spot, at).alias("first"))
+    all_cells = edges.select(street, "cell", "last", "first").unionByName(celled(points).select(street, "cell").distinct().join(edges.select(street, "cell"), [street, "cell"], "left_anti").withColumns({"last": F.lit(None).cast(edges.schema["last"].dataType), "first": F.lit(None).cast(edges.schema["first"].dataType)}))
+    carried = all_cells.select(street, "cell", F.last("last", ignorenulls=True).over(by_cell.rowsBetween(Window.unboundedPreceding, -1)).alias("left"), F.first("first", ignorenulls=True).over(by_cell.rowsBetween(1, Window.unboundedFollowing)).alias("right"))
+    row = F.struct(*points.columns)
+    both = celled(points).select(street, "cell", at, row.alias("row"), F.lit(None).cast(edges.schema["last"].dataType).alias("spot"))
+    both = both.unionByName(first.select(street, "cell", at, F.lit(None).cast(both.schema["row"].dataType).alias("row"), spot.alias("spot")))
+    order = Window.partitionBy(street, "cell").orderBy(at)
+    seen = both.withColumns({"before": F.last("spot", ignorenulls=True).over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow)), "behind": F.first("spot", ignorenulls=True).over(order.rangeBetween(Window.currentRow, Window.unboundedFollowing))})
+    seen = seen.where("row is not null").join(carried, [street, "cell"])
+    found = F.array_compact(F.array("before", "behind", "left", "right"))
+    best = F.array_min(F.transform(found, lambda x: F.struct(F.abs(F.col(at) - x["at"]).alias("d"), x["place"].alias("place"))))
+    return seen.select("row.*", best["place"].alias(place))
 
 
 def name_index(df: DataFrame, name: str, id_col: str) -> DataFrame:

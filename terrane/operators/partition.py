@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrane.operators.graphs import descendants
+from terrane.session import checkpointed
+
 #: World in 1e-7 degrees.
 WORLD = (-1800000000, -900000000, 1800000000, 900000000)
 
@@ -92,6 +95,13 @@ def bbox_tiles(boxes: DataFrame, areas: DataFrame, id_col: str, cell_e7: int) ->
     return met.select(id_col, "tile_id").distinct()
 
 
+def complete_tiles(members: DataFrame, roots: DataFrame, tiles: DataFrame) -> DataFrame:
+    """(member, tile_id): every member of a problem relation, however deep, in all tiles that any of its members is in."""
+    held = checkpointed(descendants(members, roots))
+    needed = held.join(tiles, "member").select("root", "tile_id").distinct()
+    return held.join(needed, "root").select("member", "tile_id").distinct()
+
+
 def nearest(points: DataFrame, places: DataFrame, id_col: str, name_col: str, cell_e7: int = 40_000_000) -> DataFrame:
     """For each point the nearest place by squared distance in degrees, ties to the smaller name.
 
@@ -106,7 +116,7 @@ def nearest(points: DataFrame, places: DataFrame, id_col: str, name_col: str, ce
         near = p.withColumn("cx", around(cell("p_lon", WORLD[0], size))).withColumn("cy", around(cell("p_lat", WORLD[1], size)))
         met = left.withColumn("cx", cell("lon_e7", WORLD[0], size)).withColumn("cy", cell("lat_e7", WORLD[1], size)).join(near, ["cx", "cy"], "left")
         d = F.struct((dx * dx + dy * dy).alias("d"), "place")
-        best = met.groupBy(id_col).agg(F.first("lat_e7").alias("lat_e7"), F.first("lon_e7").alias("lon_e7"), F.min(F.when(F.col("place").isNotNull(), d)).alias("best"))
+        best = checkpointed(met.groupBy(id_col).agg(F.first("lat_e7").alias("lat_e7"), F.first("lon_e7").alias("lon_e7"), F.min(F.when(F.col("place").isNotNull(), d)).alias("best")))
         sure = F.coalesce(F.col("best.d") <= float(size) ** 2, F.lit(False)) if size < WORLD[2] - WORLD[0] else F.lit(True)
         found = best.where(sure).select(id_col, "best.place")
         out = found if out is None else out.unionByName(found)
@@ -116,4 +126,11 @@ def nearest(points: DataFrame, places: DataFrame, id_col: str, name_col: str, ce
 
 
 def largest_first(df: DataFrame, weight: str, id_col: str) -> DataFrame:
-    return df.withColumn("rank", F.row_number().over(Window.orderBy(F.desc(weight), id_col)))
+    """Add ``rank`` from 1, largest weight first, ties by id: ranges are ranked side by side, and their counts, a row a range, give the offsets."""
+    order = [F.desc(weight), F.col(id_col)]
+    ranged = checkpointed(df.repartitionByRange(*order).withColumn("range_no", F.spark_partition_id()))
+    sizes = ranged.groupBy("range_no").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.select("range_no", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    inside = F.row_number().over(Window.partitionBy("range_no").orderBy(*order))
+    return ranged.withColumn("inside", inside).join(bases, "range_no").select(*df.columns, (F.col("base") + F.col("inside")).cast("int").alias("rank"))

@@ -16,7 +16,9 @@ from terrane import views
 from terrane.functions import maths, strings, texts, words
 from terrane.operators import composites, entities, geometry, graphs, partition, translate
 from terrane.plans import compile as plans
+from terrane.plans import rulesets
 from terrane.plans.rules import parse_rules
+from terrane.session import shared_folder
 from terrane.streaming import replicate
 from terrane.views import table, with_views
 
@@ -167,23 +169,23 @@ def overview_levels(spark, sf_dir):
 
 def order_tags() -> dict:
     return {
-        "access": F.when(F.col("o_orderstatus") == "F", "private").when(F.col("o_orderstatus") == "P", "permissive"),
+        "access": F.when(F.col("o_orderstatus") == "F", "private").when(F.col("o_orderstatus") == "P", "permissive").when(F.col("o_orderkey") % 5 == 0, "delivery").when(F.col("o_orderkey") % 5 == 1, "residents").when(F.col("o_orderkey") % 5 == 2, "odd"),
         "vehicle": F.when(F.col("o_orderpriority") == "1-URGENT", "yes"),
         "motor_vehicle": F.when(F.col("o_orderpriority") == "5-LOW", "forestry"),
         "foot": F.when(F.col("o_custkey") % 3 == 0, "designated"),
         "maxspeed": F.when(F.col("o_orderkey") % 4 == 0, F.concat((F.col("o_orderkey") % 90 + 5).cast("string"), F.lit(" mph"))).when(F.col("o_orderkey") % 4 == 1, (F.col("o_orderkey") % 140).cast("string")).when(F.col("o_orderkey") % 4 == 2, "signals"),
         "highway": F.element_at(F.array(*map(F.lit, ("motorway_link", "trunk", "primary_link", "track", "link_road"))), (F.col("o_orderkey") % 5 + 1).cast("int")),
         "tracktype": F.when(F.col("o_orderkey") % 7 > 0, F.concat(F.lit("grade"), (F.col("o_orderkey") % 7).cast("string"))),
-        "surface": F.element_at(F.array(*map(F.lit, ("asphalt", "gravel", "sand", "paved"))), (F.col("o_orderkey") % 4 + 1).cast("int")),
+        "surface": F.when(F.col("o_orderkey") % 3 != 0, F.element_at(F.array(*map(F.lit, ("asphalt", "gravel", "sand", "paved"))), (F.col("o_orderkey") % 4 + 1).cast("int"))),
         "smoothness": F.when(F.col("o_orderkey") % 6 == 0, "very_bad").when(F.col("o_orderkey") % 6 == 1, "good"),
     }
 
 
-ORDER_SQL = """WITH o AS (SELECT o_orderkey AS id, CASE o_orderstatus WHEN 'F' THEN 'private' WHEN 'P' THEN 'permissive' END AS access, CASE WHEN o_orderpriority = '1-URGENT' THEN 'yes' END AS vehicle,
+ORDER_SQL = """WITH o AS (SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'F' THEN 'private' WHEN o_orderstatus = 'P' THEN 'permissive' ELSE ['delivery', 'residents', 'odd', NULL, NULL][o_orderkey % 5 + 1] END AS access, CASE WHEN o_orderpriority = '1-URGENT' THEN 'yes' END AS vehicle,
   CASE WHEN o_orderpriority = '5-LOW' THEN 'forestry' END AS motor_vehicle, CASE WHEN o_custkey % 3 = 0 THEN 'designated' END AS foot,
   CASE o_orderkey % 4 WHEN 0 THEN (o_orderkey % 90 + 5) || ' mph' WHEN 1 THEN (o_orderkey % 140)::VARCHAR WHEN 2 THEN 'signals' END AS maxspeed,
   ['motorway_link', 'trunk', 'primary_link', 'track', 'link_road'][o_orderkey % 5 + 1] AS highway, CASE WHEN o_orderkey % 7 > 0 THEN 'grade' || (o_orderkey % 7) END AS tracktype,
-  ['asphalt', 'gravel', 'sand', 'paved'][o_orderkey % 4 + 1] AS surface, CASE o_orderkey % 6 WHEN 0 THEN 'very_bad' WHEN 1 THEN 'good' END AS smoothness FROM orders)
+  CASE WHEN o_orderkey % 3 <> 0 THEN ['asphalt', 'gravel', 'sand', 'paved'][o_orderkey % 4 + 1] END AS surface, CASE o_orderkey % 6 WHEN 0 THEN 'very_bad' WHEN 1 THEN 'good' END AS smoothness FROM orders)
 """
 
 
@@ -191,13 +193,21 @@ def orders(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), *[c.alias(k) for k, c in order_tags().items()])
 
 
-@query(ORDER_SQL + """, n AS (SELECT id, CASE access WHEN 'private' THEN 'no' WHEN 'permissive' THEN 'yes' END AS access, vehicle, CASE motor_vehicle WHEN 'forestry' THEN 'no' END AS motor_vehicle, CASE foot WHEN 'designated' THEN 'yes' END AS foot FROM o)
-SELECT id, coalesce(motor_vehicle, vehicle, access, 'no') AS car, coalesce(vehicle, access, 'yes') AS bicycle, coalesce(foot, access, 'yes') AS foot,
-  NOT (coalesce(motor_vehicle, vehicle, access, 'no') = 'no' AND coalesce(vehicle, access, 'yes') = 'no' AND coalesce(foot, access, 'yes') = 'no') AS routable FROM n""")
+#: What the rules say of a value: yes, no, or nothing.
+SAYS_SQL = "CASE WHEN {0} IN ('yes', 'designated', 'permissive', 'destination', 'customers', 'official', 'public', 'residents', 'customer', 'residential') THEN 'yes' WHEN {0} IN ('no', 'military', 'private', 'agricultural', 'forestry', 'delivery', 'restricted', 'psv', 'bus', 'unknown') THEN 'no' END"
+
+
+@query(ORDER_SQL + f""", n AS (SELECT id, foot AS foot_tag, access AS access_tag, vehicle AS vehicle_tag, motor_vehicle AS motor_tag, {", ".join(SAYS_SQL.format(k) + " AS " + k for k in ("access", "vehicle", "motor_vehicle", "foot"))} FROM o),
+m AS (SELECT id,
+  CASE WHEN motor_vehicle IS NOT NULL THEN motor_vehicle WHEN vehicle IS NOT NULL THEN vehicle WHEN access IS NOT NULL THEN access WHEN motor_tag IS NULL AND vehicle_tag IS NULL AND access_tag IS NULL THEN 'yes' ELSE 'no' END AS car,
+  CASE WHEN vehicle IS NOT NULL THEN vehicle WHEN access IS NOT NULL THEN access WHEN vehicle_tag IS NULL AND access_tag IS NULL AND foot_tag IS DISTINCT FROM 'designated' THEN 'yes' ELSE 'no' END AS bicycle,
+  CASE WHEN foot IS NOT NULL THEN foot WHEN access IS NOT NULL THEN access WHEN foot_tag IS NULL AND access_tag IS NULL THEN 'yes' ELSE 'no' END AS foot FROM n)
+SELECT *, car = 'yes' OR bicycle = 'yes' OR foot = 'yes' AS routable FROM m""")
 def access_inherit(spark, sf_dir):
-    o, none = orders(spark, sf_dir), F.lit(None).cast("string")
     col = F.col
-    o = o.select("id", composites.inherit_access(none, col("motor_vehicle"), col("vehicle"), col("access")).alias("car"), composites.inherit_access(none, none, col("vehicle"), col("access"), "yes").alias("bicycle"), composites.inherit_access(col("foot"), none, none, col("access"), "yes").alias("foot"))
+    inherit = composites.inherit_access
+    modes = {"car": inherit(col("motor_vehicle"), col("vehicle"), col("access")), "bicycle": inherit(col("vehicle"), col("access"), reserved=col("foot").isin("designated", "official")), "foot": inherit(col("foot"), col("access"))}
+    o = orders(spark, sf_dir).select("id", *[c.alias(k) for k, c in modes.items()])
     return o.withColumn("routable", composites.routable(col("car"), col("bicycle"), col("foot")))
 
 
@@ -208,25 +218,78 @@ def access_tree(spark, sf_dir):
 
 
 @query(ORDER_SQL + """, k AS (SELECT id, CASE WHEN maxspeed LIKE '% mph' THEN round(split_part(maxspeed, ' ', 1)::DOUBLE * 1.609344, 4) WHEN maxspeed <> 'signals' THEN maxspeed::DOUBLE END AS kmh FROM o)
-SELECT id, kmh, CASE WHEN kmh >= 110 THEN 7 WHEN kmh >= 90 THEN 6 WHEN kmh >= 80 THEN 5 WHEN kmh >= 60 THEN 4 WHEN kmh >= 40 THEN 3 WHEN kmh >= 20 THEN 2 WHEN kmh >= 10 THEN 1 END AS class FROM k""")
+SELECT id, kmh, CASE WHEN kmh > 110 THEN 7 WHEN kmh > 90 THEN 6 WHEN kmh > 80 THEN 5 WHEN kmh > 60 THEN 4 WHEN kmh > 40 THEN 3 WHEN kmh > 20 THEN 2 WHEN kmh > 10 THEN 1 WHEN kmh IS NOT NULL THEN 0 END AS class FROM k""")
 def speed_class(spark, sf_dir):
     o = orders(spark, sf_dir).select("id", F.round(plans.as_speed(F.col("maxspeed")), 4).alias("kmh"))
     return o.withColumn("class", composites.speed_class(F.col("kmh")))
 
 
+ROADS = ("motorway", "trunk_link", "primary", "secondary", "primary_link", "residential", "track")
+
+
+@query(ORDER_SQL + """, k AS (SELECT id, ['motorway', 'trunk_link', 'primary', 'secondary', 'primary_link', 'residential', 'track'][id % 7 + 1] AS highway, CASE WHEN id % 11 = 0 THEN 'none' ELSE maxspeed END AS maxspeed FROM o),
+s AS (SELECT *, CASE WHEN maxspeed LIKE '% mph' THEN split_part(maxspeed, ' ', 1)::DOUBLE * 1.609344 ELSE try_cast(maxspeed AS DOUBLE) END AS v FROM k)
+SELECT id, highway, CASE
+  WHEN (v > 120 OR maxspeed = 'none') AND highway = 'motorway' THEN 7
+  WHEN v > 100 AND highway = 'motorway' THEN 6
+  WHEN v > 80 AND highway IN ('motorway', 'trunk_link', 'primary') THEN 5
+  WHEN v > 60 AND highway IN ('motorway', 'trunk_link', 'primary', 'secondary') THEN 4
+  WHEN v > 40 AND highway IN ('motorway', 'trunk_link', 'primary', 'secondary', 'primary_link') THEN 3
+  WHEN v > 30 AND highway <> 'track' THEN 2
+  WHEN v > 10 AND highway <> 'track' THEN 1
+  WHEN v > 80 THEN 4 WHEN v > 60 THEN 3 WHEN v > 40 THEN 2 WHEN v > 30 THEN 1 WHEN v < 11 THEN 0 END AS class FROM s""")
+def highway_speed_class(spark, sf_dir):
+    o = orders(spark, sf_dir).select("id", F.element_at(F.array(*map(F.lit, ROADS)), (F.col("id") % 7 + 1).cast("int")).alias("highway"), F.when(F.col("id") % 11 == 0, "none").otherwise(F.col("maxspeed")).alias("maxspeed"))
+    return o.select("id", "highway", composites.highway_speed_class(plans.as_speed(F.col("maxspeed")), F.col("maxspeed"), F.col("highway")).alias("class"))
+
+
 @query(ORDER_SQL + "SELECT id, CASE highway WHEN 'motorway_link' THEN 'motorway' WHEN 'primary_link' THEN 'primary' ELSE highway END AS highway FROM o")
 def link_collapse(spark, sf_dir):
     return orders(spark, sf_dir).select("id", composites.collapse_link(F.col("highway")).alias("highway"))
 
 
-@query(ORDER_SQL + "SELECT id, CASE tracktype WHEN 'grade1' THEN 'track1' WHEN 'grade4' THEN 'track45' WHEN 'grade5' THEN 'track45' ELSE 'track23' END AS class FROM o WHERE highway = 'track'")
+@query(ORDER_SQL + "SELECT id, CASE tracktype WHEN 'grade1' THEN 'feldweg1' WHEN 'grade4' THEN 'feldweg45' WHEN 'grade5' THEN 'feldweg45' ELSE 'feldweg023' END AS class FROM o WHERE highway = 'track'")
 def track_grade(spark, sf_dir):
     return orders(spark, sf_dir).where("highway = 'track'").select("id", composites.track_grade(F.col("tracktype")).alias("class"))
 
 
-@query(ORDER_SQL + "SELECT id, surface IN ('gravel', 'sand') OR coalesce(tracktype IN ('grade2', 'grade3', 'grade4', 'grade5'), false) OR coalesce(smoothness = 'very_bad', false) AS unpaved FROM o")
+@query(ORDER_SQL + "SELECT id, coalesce(surface IN ('gravel', 'sand'), false) OR coalesce(tracktype IN ('grade2', 'grade3', 'grade4', 'grade5'), false) OR (highway = 'track' AND surface IS NULL AND tracktype IS NULL AND smoothness IS NULL) AS unpaved FROM o")
 def unpaved_flag(spark, sf_dir):
-    return orders(spark, sf_dir).select("id", composites.unpaved(F.col("surface"), F.col("tracktype"), F.col("smoothness")).alias("unpaved"))
+    return orders(spark, sf_dir).select("id", composites.unpaved(*map(F.col, ("highway", "surface", "tracktype", "smoothness"))).alias("unpaved"))
+
+
+SCALES = ("hiking", "mountain_hiking", "demanding_mountain_hiking", "alpine_hiking", "demanding_alpine_hiking", "difficult_alpine_hiking", "no")
+
+
+@query("""WITH p AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 3 = 0 THEN 'footway' ELSE 'path' END AS highway, ['hiking', 'mountain_hiking', 'demanding_mountain_hiking', 'alpine_hiking', 'demanding_alpine_hiking', 'difficult_alpine_hiking', 'no'][p_size % 7 + 1] AS sac, CASE WHEN p_partkey % 5 > 0 THEN p_name END AS name, p_size % 7 + 1 AS t FROM part)
+SELECT id, CASE WHEN highway <> 'path' OR t = 7 THEN highway WHEN t = 1 THEN 'sacscalet1' WHEN t <= 3 THEN 'sacscalet2t3' ELSE 'sacscalet4t5t6' END AS highway,
+  CASE WHEN highway <> 'path' OR t = 7 THEN name ELSE coalesce(name, 'Alpine trail') || ' (T' || t || ')' END AS name, highway = 'path' AND t BETWEEN 4 AND 6 AS closed FROM p""")
+def sac_scale(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.when(F.col("p_partkey") % 3 == 0, "footway").otherwise("path").alias("highway"), F.element_at(F.array(*map(F.lit, SCALES)), (F.col("p_size") % 7 + 1).cast("int")).alias("sac"), F.when(F.col("p_partkey") % 5 > 0, F.col("p_name")).alias("name"))
+    return p.select("id", *[c.alias(k) for k, c in composites.hiking(F.col("highway"), F.col("sac"), F.col("name")).items()])
+
+
+@query("""WITH p AS (SELECT p_partkey AS id, ['path', 'footway', 'cycleway', 'service'][p_partkey % 4 + 1] AS highway, p_size % 2 = 0 AS bike, p_size % 3 > 0 AS foot, p_size % 5 < 2 AS signed FROM part)
+SELECT id, CASE WHEN highway = 'service' THEN 'service'
+  WHEN bike AND foot AND (highway <> 'path' OR signed) THEN 'radfussweg'
+  WHEN foot AND (highway = 'footway' OR highway = 'path' AND signed) THEN 'fussweg'
+  WHEN highway = 'cycleway' OR highway = 'path' AND bike AND signed THEN 'radweg' ELSE highway END AS highway FROM p""")
+def path_retype(spark, sf_dir):
+    yes = lambda c: F.when(c, "yes").otherwise("no")
+    size = F.col("p_size")
+    highway = F.element_at(F.array(*map(F.lit, ("path", "footway", "cycleway", "service"))), (F.col("p_partkey") % 4 + 1).cast("int"))
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), composites.retype_paths(highway, yes(size % 2 == 0), yes(size % 3 > 0), size % 5 < 2).alias("highway"))
+
+
+@query("""WITH a AS (SELECT c_custkey AS id, ['DEU', 'AUT', 'NLD', 'FRA'][c_custkey % 4 + 1] AS country, CASE WHEN c_custkey % 9 = 0 THEN 'Hamburg' ELSE c_mktsegment END AS l4, CASE WHEN c_custkey % 5 = 0 THEN 'X' END AS known,
+  CASE WHEN c_custkey % 3 = 0 THEN 'Gemeinde ' || c_name WHEN c_custkey % 3 = 1 THEN 'Stadt ' || c_name END AS l8, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS l6, CASE WHEN c_custkey % 7 < 4 THEN 'Stadt 10' END AS l10, 'nine' AS l9 FROM customer)
+SELECT id, country, CASE WHEN country = 'DEU' AND l4 = 'Hamburg' THEN 'Hamburg' WHEN known IS NOT NULL THEN known
+  WHEN country = 'NLD' THEN coalesce(l10, l8) WHEN country = 'DEU' THEN coalesce(replace(replace(l8, 'Gemeinde ', ''), 'Stadt ', ''), l6, l9) WHEN country = 'AUT' THEN coalesce(replace(replace(l10, 'Gemeinde ', ''), 'Stadt ', ''), replace(l8, 'Gemeinde ', '')) END AS city FROM a""")
+def city_special_cases(spark, sf_dir):
+    key, name = F.col("c_custkey"), F.col("c_name")
+    country = F.element_at(F.array(*map(F.lit, ("DEU", "AUT", "NLD", "FRA"))), (key % 4 + 1).cast("int"))
+    levels = {4: F.when(key % 9 == 0, "Hamburg").otherwise(F.col("c_mktsegment")), 8: F.when(key % 3 == 0, F.concat(F.lit("Gemeinde "), name)).when(key % 3 == 1, F.concat(F.lit("Stadt "), name)), 6: F.when(key % 2 == 0, F.col("c_mktsegment")), 9: F.lit("nine"), 10: F.when(key % 7 < 4, "Stadt 10")}
+    return table(spark, sf_dir, "customer").select(key.alias("id"), country.alias("country"), composites.city_of(country, levels, F.when(key % 5 == 0, "X")).alias("city"))
 
 
 @query(ORDER_SQL + "SELECT id, CASE WHEN surface IN ('sand', 'gravel') THEN NULL ELSE surface END AS surface, CASE WHEN surface IN ('sand', 'gravel') THEN surface ELSE highway END AS highway FROM o")
@@ -261,17 +324,144 @@ def country_override(spark, sf_dir):
     return a.join(F.broadcast(defaults), "country", "left").select("id", "country", F.coalesce("moped", F.lit("unknown")).alias("moped"))  # a rule table
 
 
-@query("""WITH t AS (SELECT doc_id, regexp_replace(left(text, 40), '\\s+', ' ', 'g') AS name FROM documents)
-SELECT doc_id, regexp_extract(name, '^(The|La|Der|A) ', 1) AS prefix, regexp_replace(name, '^(The|La|Der|A) ', '') AS core FROM t""".replace("\\\\", "\\"))
+@query(r"""WITH t AS (SELECT doc_id, regexp_replace(text, '[\t\n\f\r ]+', ' ', 'g') AS name FROM documents),
+p AS (SELECT doc_id, name, CASE WHEN starts_with(name, 'The ') THEN 'The' WHEN starts_with(name, 'La ') THEN 'La' WHEN starts_with(name, 'Der ') THEN 'Der' WHEN starts_with(name, 'A ') THEN 'A' WHEN name IS NOT NULL THEN '' END AS prefix FROM t),
+c AS (SELECT doc_id, prefix, CASE WHEN prefix = '' THEN name ELSE substr(name, length(prefix) + 2) END AS rest FROM p),
+s AS (SELECT *, CASE WHEN suffix(rest, ' of the.') THEN 'of the.' WHEN suffix(rest, ' the.') THEN 'the.' WHEN suffix(rest, ' to.') THEN 'to.' WHEN suffix(rest, ' reserved.') THEN 'reserved.' WHEN rest IS NOT NULL THEN '' END AS ending FROM c)
+SELECT doc_id, prefix, CASE WHEN ending = '' THEN rest ELSE left(rest, length(rest) - length(ending) - 1) END AS core, ending AS suffix FROM s""")
 def road_affix_split(spark, sf_dir):
     t = table(spark, sf_dir, "documents").select("doc_id", F.regexp_replace("text", r"[\t\n\f\r ]+", " ").alias("name"))
     prefix, core, suffix = composites.split_affix(F.col("name"), ("The", "La", "Der", "A"), ("of the.", "the.", "to.", "reserved."))
-    return t.select("doc_id", prefix.alias("prefix"), core.alias("core"), suffix.alias("suffix"))  # the SQL still has 40 characters and no suffix
+    return t.select("doc_id", prefix.alias("prefix"), core.alias("core"), suffix.alias("suffix"))
 
 
-@query("SELECT p_partkey AS id, CASE WHEN p_size * 5 % 100 = 0 THEN 'major' WHEN p_size * 5 % 50 = 0 THEN 'medium' WHEN p_size * 5 % 10 = 0 THEN 'minor' END AS class FROM part")
+@query("""SELECT p_partkey AS id, CASE WHEN p_size > 10 THEN ['minor', 'medium', 'major', NULL][p_partkey % 4 + 1] END AS class FROM part WHERE p_partkey % 7 > 0
+UNION ALL SELECT p_partkey, NULL FROM part WHERE p_partkey % 7 = 0""")
 def contour_class(spark, sf_dir):
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), composites.contour_class(F.col("p_size") * 5).alias("class"))
+    key = F.col("p_partkey")
+    ext = F.element_at(F.array(*map(F.lit, ("elevation_minor", "elevation_medium", "elevation_major", "other"))), (key % 4 + 1).cast("int"))
+    part = table(spark, sf_dir, "part")
+    return part.select(key.alias("id"), composites.contour_class(F.when(key % 7 > 0, "elevation"), ext, ((F.col("p_size") - 10) * 5).cast("string")).alias("class"))
+
+
+# Rule families over tags made from the tables ----------------------------------------
+
+def pick(column, values):
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (column % len(values) + 1).cast("int"))
+
+
+def tagged(spark, sf_dir, tags: dict) -> DataFrame:
+    """id and tags of every part; values are columns over p_partkey and p_size."""
+    entries = F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in tags.items()])
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").alias("size"), F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull())).alias("tags"))
+
+
+KEY, SIZE = (lambda: F.col("p_partkey")), (lambda: F.col("p_size"))
+
+
+@query("""WITH p AS (SELECT p_partkey AS id, ['forest', 'forrest', 'residential', 'meadow', 'industrial', 'quarry', 'none'][p_partkey % 7 + 1] AS landuse, CASE WHEN p_size % 4 = 1 THEN 'broadleaved' WHEN p_size % 4 = 2 THEN 'needleleaved' END AS leaf, CASE WHEN p_partkey % 11 = 0 THEN 'wood' END AS nat FROM part)
+SELECT id, CASE WHEN landuse IN ('forest', 'forrest') OR nat IS NOT NULL THEN CASE leaf WHEN 'broadleaved' THEN 21 WHEN 'needleleaved' THEN 80 ELSE 82 END WHEN landuse = 'residential' THEN 2 WHEN landuse = 'meadow' THEN 23 WHEN landuse = 'industrial' THEN 12 ELSE 18 END AS type,
+  CASE WHEN nat IS NULL AND landuse IN ('meadow', 'quarry') THEN 20 ELSE 17 END AS low FROM p WHERE landuse <> 'none' OR nat IS NOT NULL""")
+def family_landuse(spark, sf_dir):
+    tags = {"landuse": pick(KEY(), ("forest", "forrest", "residential", "meadow", "industrial", "quarry", "none")), "leaf_type": F.when(SIZE() % 4 == 1, "broadleaved").when(SIZE() % 4 == 2, "needleleaved"), "natural": F.when(KEY() % 11 == 0, "wood")}
+    return plans.apply_rules(tagged(spark, sf_dir, tags), parse_rules(rulesets.landuse_areas())).select("id", "type", "low")
+
+
+@query("""WITH p AS (SELECT p_partkey AS id, p_size % 2 = 0 AS tidal, ['water', 'bare_rock', 'wetland', 'glacier', 'scree', 'sand', 'tree'][p_partkey % 7 + 1] AS nat FROM part)
+SELECT id, CASE nat WHEN 'water' THEN 60 WHEN 'bare_rock' THEN 22 WHEN 'glacier' THEN 77 WHEN 'scree' THEN 67 WHEN 'sand' THEN 71 ELSE CASE WHEN tidal THEN 86 ELSE 81 END END AS type, CASE nat WHEN 'water' THEN 16 WHEN 'bare_rock' THEN 17 WHEN 'glacier' THEN 17 ELSE 20 END AS low FROM p WHERE nat <> 'tree'""")
+def family_natural(spark, sf_dir):
+    tags = {"natural": pick(KEY(), ("water", "bare_rock", "wetland", "glacier", "scree", "sand", "tree")), "wetland": F.when(SIZE() % 2 == 0, "tidalflat")}
+    return plans.apply_rules(tagged(spark, sf_dir, tags), parse_rules(rulesets.natural_areas())).select("id", "type", "low")
+
+
+@query("""SELECT p_partkey AS id, CASE p_partkey % 3 WHEN 0 THEN [70, 60, 61, 61][p_size % 4 + 1] WHEN 1 THEN [45, 44, 56, 45][p_size % 4 + 1] ELSE [45, 28, 33, 56][p_size % 4 + 1] END AS type FROM part""")
+def family_water_aero_military(spark, sf_dir):
+    which = lambda n, values: F.when(KEY() % 3 == n, pick(SIZE(), values))
+    tags = {"waterway": which(0, ("riverbank", "dock", "dam", "weir")), "aeroway": which(1, ("aerodrome", "apron", "terminal", "helipad")), "military": which(2, ("airfield", "barracks", "range", "naval_base"))}
+    return plans.apply_rules(tagged(spark, sf_dir, tags), parse_rules(rulesets.other_areas())).select("id", "type")
+
+
+@query("SELECT p_partkey AS id, 37 AS type, CASE WHEN p_size * 8.0 > 150 THEN 22 ELSE 24 END AS low FROM part WHERE p_partkey % 4 < 3 AND p_partkey % 5 > 0")
+def family_power(spark, sf_dir):
+    tags = {"power": pick(KEY(), ("generator", "station", "plant", "tower")), "building": F.when(KEY() % 5 == 0, "yes")}
+    frame = tagged(spark, sf_dir, tags).withColumn("length", F.col("size") * 8.0)
+    return plans.apply_rules(frame, parse_rules(rulesets.power_areas()), geometry=("length",)).select("id", "type", "low")
+
+
+@query("""WITH p AS (SELECT p_partkey AS id, p_size AS s, ['motorway', 'primary', 'residential', 'living_street', 'path'][p_partkey % 5 + 1] AS h, p_size % 6 = 0 AS around, CASE WHEN p_partkey % 3 > 0 THEN p_name END AS name, CASE WHEN p_size % 4 > 0 THEN 'A' || p_size || ';B' || p_partkey % 10 END AS ref, p_size % 3 = 1 AS bridge FROM part),
+r AS (SELECT *, around AND h IN ('motorway', 'primary', 'residential') AS circle FROM p),
+n AS (SELECT *, CASE WHEN circle OR h NOT IN ('motorway', 'primary') THEN name WHEN h = 'motorway' THEN ref ELSE coalesce(name, ref) END AS label FROM r),
+f AS (
+  SELECT id, label, CASE WHEN circle THEN 12 WHEN h = 'motorway' THEN 1 WHEN h = 'primary' THEN 3 WHEN h = 'residential' THEN 6 ELSE 9 END AS type, CASE h WHEN 'motorway' THEN 4 WHEN 'primary' THEN 2 ELSE 0 END AS road_class,
+    CASE WHEN circle THEN CASE h WHEN 'motorway' THEN 5 WHEN 'primary' THEN 2 ELSE 1 END ELSE CASE h WHEN 'motorway' THEN 7 WHEN 'primary' THEN 5 WHEN 'residential' THEN 2 ELSE 0 END END AS road_speed, 24 AS low, 24 AS high FROM n WHERE h <> 'path'
+  UNION ALL SELECT id, label, 66569, NULL, NULL, 24, 24 FROM n WHERE h = 'motorway' AND bridge
+  UNION ALL SELECT id, label, t, NULL, NULL, lo, hi FROM n, (VALUES (73491, 24, 24), (69386, 22, 23), (69387, 20, 21), (69130, 14, 19)) AS looks(t, lo, hi) WHERE h = 'motorway')
+SELECT * FROM f""")
+def family_roads(spark, sf_dir):
+    tags = {
+        "highway": pick(KEY(), ("motorway", "primary", "residential", "living_street", "path")), "junction": F.when(SIZE() % 6 == 0, "roundabout"), "name": F.when(KEY() % 3 > 0, F.col("p_name")),
+        "ref": F.when(SIZE() % 4 > 0, F.concat(F.lit("A"), SIZE(), F.lit(";B"), KEY() % 10)), "bridge": F.when(SIZE() % 3 == 1, "yes").when(SIZE() % 3 == 2, "no"),
+    }
+    return plans.apply_rules(tagged(spark, sf_dir, tags), parse_rules(rulesets.roads())).select("id", "label", "type", "road_class", "road_speed", "low", "high")
+
+
+@query("""WITH p AS (SELECT p_partkey AS id, CASE WHEN p_size % 3 > 0 THEN 'A' || p_size || CASE WHEN p_size % 2 = 0 THEN ';B2' ELSE '' END END AS ref, CASE WHEN p_partkey % 4 = 0 THEN 'E1;A2' END AS int_ref FROM part),
+l AS (SELECT id, list_distinct(list_filter(list_concat(coalesce(string_split(ref, ';'), []), coalesce(string_split(int_ref, ';'), [])), lambda x: x IS NOT NULL)) AS labels FROM p)
+SELECT id, array_to_string(list_sort(labels), '/') AS labels FROM l""")
+def family_ref_labels(spark, sf_dir):
+    tags = {"ref": F.when(SIZE() % 3 > 0, F.concat(F.lit("A"), SIZE(), F.when(SIZE() % 2 == 0, ";B2").otherwise(""))), "int_ref": F.when(KEY() % 4 == 0, "E1;A2"), "highway": F.lit("x")}
+    found = plans.apply_rules(tagged(spark, sf_dir, tags), parse_rules("highway = * [0x1]\n" + rulesets.labels()))
+    return found.select("id", F.array_join(F.array_sort("labels"), "/").alias("labels"))
+
+
+@query("""WITH p AS (SELECT p_partkey AS id, ['rail', 'tram', 'subway', 'abandoned'][p_partkey % 4 + 1] AS r, p_size % 3 = 0 AS bridge, p_size % 5 = 0 AS tunnel FROM part)
+SELECT id, CASE r WHEN 'tram' THEN 66565 ELSE 66567 END AS type, 24 AS low FROM p WHERE r <> 'abandoned' AND bridge
+UNION ALL SELECT id, CASE r WHEN 'rail' THEN CASE WHEN tunnel THEN 73993 ELSE 73987 END WHEN 'tram' THEN CASE WHEN tunnel THEN 73998 ELSE 20 END ELSE CASE WHEN tunnel THEN 73991 ELSE 73994 END END, CASE r WHEN 'tram' THEN 23 ELSE 22 END FROM p WHERE r <> 'abandoned'""")
+def family_railways(spark, sf_dir):
+    tags = {"railway": pick(KEY(), ("rail", "tram", "subway", "abandoned")), "bridge": F.when(SIZE() % 3 == 0, "yes").when(SIZE() % 3 == 1, "no"), "tunnel": F.when(SIZE() % 5 == 0, "yes")}
+    return plans.apply_rules(tagged(spark, sf_dir, tags), parse_rules(rulesets.railways())).select("id", "type", "low")
+
+
+@query("""WITH p AS (SELECT p_partkey AS id, ['river', 'canal', 'stream', 'drain'][p_partkey % 4 + 1] AS w, p_size % 3 = 0 AS tunnel FROM part)
+SELECT id, CASE WHEN tunnel THEN t ELSE o END AS type, low, high FROM p JOIN (VALUES ('canal', 24, 24, 38, 73754), ('canal', 23, 23, 65794, 73752), ('canal', 21, 22, 65795, 73750), ('drain', 24, 24, 73988, 73756), ('river', 24, 24, 31, 73753), ('river', 23, 23, 65792, 73751), ('river', 21, 22, 65793, 73749), ('stream', 24, 24, 24, 73757)) AS l(w, low, high, o, t) USING (w)""")
+def family_waterways(spark, sf_dir):
+    tags = {"waterway": pick(KEY(), ("river", "canal", "stream", "drain")), "tunnel": F.when(SIZE() % 3 == 0, "culvert")}
+    return plans.apply_rules(tagged(spark, sf_dir, tags), parse_rules(rulesets.waterways())).select("id", "type", "low", "high")
+
+
+@query("""WITH p AS (SELECT p_partkey AS id, ['gondola', 't-bar', 'rope_tow', 'goods', 'station'][p_partkey % 5 + 1] AS a FROM part)
+SELECT id, 17 AS type, 0 AS road_class FROM p WHERE a IN ('gondola', 't-bar') UNION ALL SELECT id, CASE a WHEN 'gondola' THEN 73503 WHEN 'goods' THEN 73997 ELSE 73502 END, NULL FROM p WHERE a <> 'station'""")
+def family_lifts(spark, sf_dir):
+    tags = {"aerialway": pick(KEY(), ("gondola", "t-bar", "rope_tow", "goods", "station"))}
+    return plans.apply_rules(tagged(spark, sf_dir, tags), parse_rules(rulesets.lifts())).select("id", "type", "road_class")
+
+
+@query("""SELECT p_partkey AS id, p_name AS label, CASE p_partkey % 4 WHEN 0 THEN CASE WHEN p_size * 40000 > 1000000 OR p_size % 7 = 0 THEN 256 ELSE 512 END WHEN 1 THEN 3072 ELSE 3328 END AS type,
+  CASE p_partkey % 4 WHEN 0 THEN CASE WHEN p_size * 40000 > 1000000 OR p_size % 7 = 0 THEN 12 ELSE 14 END WHEN 1 THEN 21 ELSE 24 END AS low FROM part""")
+def family_places(spark, sf_dir):
+    tags = {"place": pick(KEY(), ("city", "village", "hamlet", "allotments")), "name": F.col("p_name"), "population": SIZE() * 40000, "capital": F.when(SIZE() % 7 == 0, "true")}
+    return plans.apply_rules(tagged(spark, sf_dir, tags), parse_rules(rulesets.places())).select("id", "label", "type", "low")
+
+
+@query("""WITH p AS (SELECT p_partkey AS id, p_partkey % 2 = 0 AS hut, CASE WHEN p_size % 3 > 0 THEN p_name END AS name, CASE WHEN p_size % 2 = 0 THEN p_size * 40 END AS ele, CASE WHEN p_size % 5 = 0 THEN p_brand END AS brand, CASE WHEN p_size % 7 = 0 THEN 'op' END AS op FROM part)
+SELECT id, CASE WHEN hut THEN 18435 ELSE 12033 END AS type, CASE WHEN hut THEN coalesce(name, 'Alpine hut') || CASE WHEN ele IS NOT NULL THEN ' (' || ele || ')' ELSE '' END ELSE coalesce(brand, op, name, 'Fuel station') END AS label FROM p""")
+def family_huts_and_fuel(spark, sf_dir):
+    tags = {"tourism": F.when(KEY() % 2 == 0, "alpine_hut"), "amenity": F.when(KEY() % 2 == 1, "fuel"), "name": F.when(SIZE() % 3 > 0, F.col("p_name")), "ele": F.when(SIZE() % 2 == 0, SIZE() * 40), "brand": F.when(SIZE() % 5 == 0, F.col("p_brand")), "operator": F.when(SIZE() % 7 == 0, "op")}
+    return plans.apply_rules(tagged(spark, sf_dir, tags), parse_rules(rulesets.huts_and_fuel({"ALPINEHUT": "Alpine hut", "FUELSTATION": "Fuel station"}))).select("id", "type", "label")
+
+
+@query("SELECT p_partkey AS id, CASE WHEN p_size % 2 = 0 THEN 'EN ' || p_name WHEN p_size % 3 = 0 THEN 'INT' ELSE p_name END AS name FROM part")
+def name_tag_list(spark, sf_dir):
+    tags = {"name": F.col("p_name"), "name:en": F.when(SIZE() % 2 == 0, F.concat(F.lit("EN "), F.col("p_name"))), "int_name": F.when(SIZE() % 3 == 0, "INT")}
+    return tagged(spark, sf_dir, tags).select("id", F.element_at(composites.prefer_names(F.col("tags"), ("name:en", "int_name", "name")), F.lit("name")).alias("name"))
+
+
+@query("""SELECT p_partkey AS id, CASE WHEN p_size % 3 = 0 THEN p_size % 8 WHEN p_size % 3 = 1 THEN greatest(0, least(7, 5 + p_size % 9 - 4)) ELSE 5 END::INTEGER AS road_speed, CASE WHEN p_partkey % 3 = 0 THEN p_partkey % 5 WHEN p_partkey % 3 = 1 THEN greatest(0, least(4, 2 - 1 - p_partkey % 2)) ELSE 2 END::INTEGER AS road_class FROM part""")
+def control_road_class(spark, sf_dir):
+    signed = F.concat(F.when(SIZE() % 9 - 4 >= 0, "+").otherwise(""), (SIZE() % 9 - 4).cast("string"))
+    tags = {"highway": F.lit("primary"), "x:road-speed-class": F.when(SIZE() % 3 == 0, SIZE() % 8), "x:road-speed": F.when(SIZE() % 3 == 1, signed), "x:road-class": F.when(KEY() % 3 == 0, KEY() % 5).when(KEY() % 3 == 1, F.concat(F.lit("-"), 1 + KEY() % 2))}
+    found = plans.apply_rules(tagged(spark, sf_dir, tags), parse_rules("highway = primary [0x03 road_class=2 road_speed=5]"))
+    return composites.road_control(found, "x:").select("id", "road_speed", "road_class")
 
 
 # Translations -----------------------------------------------------------------------
@@ -572,23 +762,59 @@ def relation_recursive(spark, sf_dir):
     return graphs.descendants(views.members(spark, sf_dir), roots)
 
 
+def some_customers(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "customer").where("c_custkey % 50 = 3").select(F.lit("N").alias("member_type"), F.concat(F.lit("c"), "c_custkey").alias("member"))
+
+
+@query("WITH n AS (SELECT DISTINCT c_nationkey AS k FROM customer WHERE c_custkey % 50 = 3) SELECT 'n' || k AS relation FROM n UNION ALL SELECT DISTINCT 'r' || n_regionkey FROM nation JOIN n ON k = n_nationkey")
+def cascading_relations(spark, sf_dir):
+    return entities.clip_relations(views.members(spark, sf_dir), some_customers(spark, sf_dir), cascading=True)
+
+
+@query(with_views("member") + "SELECT member_type, member FROM member WHERE relation = 'r1' UNION ALL SELECT m.member_type, m.member FROM member m JOIN member r ON r.relation = 'r1' AND r.member = m.relation")
+def complete_relations(spark, sf_dir):
+    return entities.complete_relations(views.members(spark, sf_dir), spark.createDataFrame([("r1",)], "relation string"))
+
+
+@query(with_views("member") + "SELECT relation, member, role FROM member WHERE member_type = 'N' AND member[1] = 'c' AND substr(member, 2)::BIGINT % 50 = 3")
+def clip_incomplete_entities(spark, sf_dir):
+    return entities.clip_incomplete(views.members(spark, sf_dir), some_customers(spark, sf_dir)).select("relation", "member", "role")
+
+
+@query("""WITH t AS (SELECT DISTINCT n_regionkey AS root, c_custkey % 64 AS tile_id FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_custkey % 1000 < 3),
+m AS (SELECT n_regionkey AS root, 'n' || n_nationkey AS member FROM nation UNION ALL SELECT n_regionkey, 'c' || c_custkey FROM customer JOIN nation ON n_nationkey = c_nationkey UNION ALL SELECT n_regionkey, 's' || s_suppkey FROM supplier JOIN nation ON n_nationkey = s_nationkey)
+SELECT member, tile_id FROM m JOIN t USING (root)""")
+def keep_complete_closure(spark, sf_dir):
+    tiles = table(spark, sf_dir, "customer").where("c_custkey % 1000 < 3").select(F.concat(F.lit("c"), "c_custkey").alias("member"), (F.col("c_custkey") % 64).alias("tile_id"))
+    return partition.complete_tiles(views.members(spark, sf_dir), table(spark, sf_dir, "region").select(F.concat(F.lit("r"), "r_regionkey").alias("id")), tiles)
+
+
+@query(with_views("node") + """, a AS (SELECT n_name AS area, ((n_nationkey * 104729) % 3401 - 1700) * 1000000 + 500 AS cx, ((n_nationkey * 7919) % 1601 - 800) * 1000000 AS cy FROM nation)
+SELECT id, area FROM node JOIN a ON abs(lon_e7 - cx) + abs(lat_e7 - cy) < 90000000""")
+def bounds_containment(spark, sf_dir):
+    x = ((F.col("n_nationkey") * 104729) % 3401 - 1700) * 1_000_000 + 500
+    y = ((F.col("n_nationkey") * 7919) % 1601 - 800) * 1_000_000
+    corner = lambda dx, dy: F.struct((x + dx).alias("x"), (y + dy).alias("y"))
+    r = 90_000_000
+    areas = table(spark, sf_dir, "nation").select(F.col("n_name").alias("area"), F.array(corner(r, 0), corner(0, r), corner(-r, 0), corner(0, -r), corner(r, 0)).alias("ring"))
+    return entities.contained(views.nodes(spark, sf_dir), areas, "id", "area")
+
+
 @query(with_views("way_node") + "SELECT way_id, seq, node_id AS a, b FROM (SELECT *, lead(node_id) OVER (PARTITION BY way_id ORDER BY seq) AS b FROM way_node) WHERE b IS NOT NULL")
 def routing_edges(spark, sf_dir):
     return graphs.routing_edges(views.way_nodes(spark, sf_dir))
 
 
-@query(with_views("way_node", recursive=True) + """, e AS (SELECT node_id AS a, lead(node_id) OVER (PARTITION BY way_id ORDER BY seq) AS b FROM way_node WHERE way_id % 40 = 0),
-g AS (SELECT a, b FROM e WHERE b IS NOT NULL AND a <> b UNION SELECT b, a FROM e WHERE b IS NOT NULL AND a <> b),
-r AS (SELECT a AS node, a AS x FROM g UNION SELECT r.node, g.b FROM r JOIN g ON g.a = r.x) SELECT node, min(x) AS island FROM r GROUP BY node""")
+@query()
 def islands(spark, sf_dir):
-    return graphs.islands(graphs.routing_edges(views.way_nodes(spark, sf_dir)).select("a", "b"))  # the SQL still has 1 way in 40
+    return graphs.islands(graphs.routing_edges(views.way_nodes(spark, sf_dir)).select("a", "b"))  # all pairs of a part are too many for recursive SQL; a test has union-find
 
 
 @query("SELECT a.c_custkey AS id, min(b.s_suppkey) AS nearest FROM customer a JOIN supplier b ON b.s_nationkey = a.c_nationkey JOIN (SELECT c_custkey, min(abs(c_acctbal - s_acctbal)) AS d FROM customer JOIN supplier ON s_nationkey = c_nationkey GROUP BY 1) m ON m.c_custkey = a.c_custkey AND abs(a.c_acctbal - b.s_acctbal) = m.d GROUP BY 1")
 def housenumber_nearest(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("street"), F.col("c_acctbal").alias("x"))
     s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("road"), F.col("s_nationkey").alias("street"), F.col("s_acctbal").alias("y"))
-    return c.join(s, "street").groupBy("id").agg(F.min_by("road", F.struct(F.abs(F.col("x") - F.col("y")), "road")).alias("nearest"))
+    return graphs.nearest_along(c, s.withColumnRenamed("y", "x"), "street", "x", "road").select("id", F.col("road").alias("nearest"))
 
 
 @query(with_views("node") + "SELECT id FROM node a WHERE NOT EXISTS (SELECT 1 FROM node b WHERE b.ptype = a.ptype AND b.id < a.id AND abs(a.lat_e7 - b.lat_e7) <= 60000000 AND abs(a.lon_e7 - b.lon_e7) <= 60000000)")
@@ -597,6 +823,11 @@ def nearby_poi_dedup(spark, sf_dir):
     return graphs.nearby_duplicates(n, "ptype", 60_000_000).select("id")
 
 
+@query("SELECT p_partkey AS id, (row_number() OVER (ORDER BY p_size DESC, p_partkey))::INTEGER AS rank FROM part")
+def order_by_area(spark, sf_dir):
+    return partition.largest_first(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").alias("size")), "size", "id").select("id", "rank")
+
+
 @query("SELECT DISTINCT unnest(string_split(lower(p_name), ' ')) AS word, p_partkey AS id FROM part")
 def name_index(spark, sf_dir):
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
@@ -609,10 +840,10 @@ def link_pois(spark, sf_dir):
     return graphs.link_points_to_ways(views.way_nodes(spark, sf_dir), poi, "barrier")
 
 
-@query("SELECT doc_id, regexp_replace(replace(replace(replace(left(text, 80), 'é', 'e'), 'ß', 'ss'), 'ñ', 'n'), '[^\\x00-\\x7F]', '?', 'g') AS ascii FROM documents".replace("\\\\", "\\"))
+@query("SELECT doc_id, regexp_replace(replace(replace(replace(text, 'é', 'e'), 'ß', 'ss'), 'ñ', 'n'), '[^\\x00-\\x7F]', '?', 'g') AS ascii FROM documents".replace("\\\\", "\\"))
 def transliterate(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", strings.transliterate(F.col("text"), {"é": "e", "ß": "ss", "ñ": "n"}).alias("ascii"))  # the SQL still has 80 characters
+    return docs.select("doc_id", strings.transliterate(F.col("text"), {"é": "e", "ß": "ss", "ñ": "n"}).alias("ascii"))
 
 
 # Replication ------------------------------------------------------------------------------------------
@@ -641,7 +872,7 @@ def stream_apply(spark, sf_dir):
     """The change stream through files, Structured Streaming and the store, in several batches."""
     import uuid
 
-    root = graphs_root(spark)
+    root = shared_folder(spark)
     changes = views.changes(spark, sf_dir).select("id", "version", "action", "ts", "k")
     path = f"{root}/terrane-stream-{uuid.uuid4().hex}"
     changes.repartitionByRange(6, "ts").write.parquet(f"{path}/in")
@@ -651,15 +882,6 @@ def stream_apply(spark, sf_dir):
     return alive.select("id", "version", "k")
 
 
-def graphs_root(spark) -> str:
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        import tempfile
-
-        found = tempfile.mkdtemp(prefix="terrane-shared-")
-    return found
-
-
 # Scalar library --------------------------------------------------------------------------------------------
 
 def add(name: str, sql: str, columns: Callable[[], dict]) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,7 +45,10 @@ OWN = {
 
 def read_entity_xml(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """Nodes, ways or relations of an entity XML file (plain, gzip or bzip2), with a given schema."""
-    raw = spark.read.format("xml").schema(T.StructType([*ENVELOPE, *OWN[kind]])).option("rowTag", kind).load(path)
+    return _entities(spark.read.format("xml").schema(T.StructType([*ENVELOPE, *OWN[kind]])).option("rowTag", kind).load(path), kind)
+
+
+def _entities(raw: DataFrame, kind: str) -> DataFrame:
     pairs = F.coalesce(F.transform("tag", lambda t: F.struct(t["_k"], t["_v"])), F.array().cast("array<struct<_k:string,_v:string>>"))
     tags = F.map_from_entries(pairs)
     base = [F.col("_id").alias("id"), F.col("_version").alias("version"), F.col("_uid").alias("user_id"), F.to_timestamp("_timestamp").alias("tstamp"), F.col("_changeset").alias("changeset_id"), tags.alias("tags")]
@@ -58,12 +61,50 @@ def read_entity_xml(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return raw.select(*base, *more)
 
 
+def _xml_rows(entities: DataFrame, kind: str) -> list[Column]:
+    """Columns of an entity as the XML writer takes them: attributes, tags in order of key, and what is its kind's own."""
+    pairs = F.transform(F.array_sort(F.map_entries("tags")), lambda e: F.struct(e["key"].alias("_k"), e["value"].alias("_v")))
+    kept = [F.col(c).cast("string").alias(a) for c, a in (("version", "_version"), ("user_id", "_uid"), ("changeset_id", "_changeset")) if c in entities.columns]
+    if "tstamp" in entities.columns:
+        kept.append(F.date_format("tstamp", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("_timestamp"))
+    degrees = lambda c: F.format_string("%s%d.%07d", F.when(F.col(c) < 0, "-").otherwise(""), F.expr(f"abs({c}) div 10000000"), F.abs(F.col(c)) % 10000000)
+    if kind == "node":
+        own = [degrees("lat_e7").alias("_lat"), degrees("lon_e7").alias("_lon")]
+    elif kind == "way":
+        own = [F.transform("nodes", lambda n: F.struct(n.alias("_ref"))).alias("nd")]
+    else:
+        own = [F.transform("members", lambda m: F.struct(m["type"].alias("_type"), m["id"].alias("_ref"), m["role"].alias("_role"))).alias("member")]
+    return [F.col("id").alias("_id"), *kept, *own, pairs.alias("tag")]
+
+
+def write_entity_xml(entities: DataFrame, path: str, kind: str) -> None:
+    """Nodes, ways or relations as entity XML, coordinates with seven decimals."""
+    entities.select(*_xml_rows(entities, kind)).write.format("xml").option("rootTag", "entities").option("rowTag", kind).save(path)
+
+
 def write_node_xml(nodes: DataFrame, path: str) -> None:
     """Nodes as entity XML with seven decimals."""
-    degrees = lambda c: F.format_string("%.7f", F.col(c) / 1e7)
-    tags = F.transform(F.array_sort(F.map_entries("tags")), lambda e: F.struct(e["key"].alias("_k"), e["value"].alias("_v")))
-    rows = nodes.select(F.col("id").alias("_id"), degrees("lat_e7").alias("_lat"), degrees("lon_e7").alias("_lon"), tags.alias("tag"))
-    rows.write.format("xml").option("rootTag", "entities").option("rowTag", "node").save(path)
+    write_entity_xml(nodes, path, "node")
+
+
+ACTIONS = ("create", "modify", "delete")
+
+
+def write_change_xml(changes: DataFrame, path: str, kind: str) -> None:
+    """Changes (an entity's columns and ``action``) as change XML, a folder for each action."""
+    for action in ACTIONS:
+        mine = changes.where(F.col("action") == action)
+        mine.select(F.struct(*_xml_rows(mine, kind)).alias(kind)).write.format("xml").option("rootTag", "changes").option("rowTag", action).save(f"{path}/{action}")
+
+
+def read_change_xml(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """Changes of one kind from change XML: the entity's columns and ``action``."""
+    out = None
+    for action in ACTIONS:
+        raw = spark.read.format("xml").schema(T.StructType([T.StructField(kind, T.StructType([*ENVELOPE, *OWN[kind]]))])).option("rowTag", action).load(f"{path}/{action}")
+        mine = _entities(raw.where(F.col(kind).isNotNull()).select(f"{kind}.*"), kind).withColumn("action", F.lit(action))
+        out = mine if out is None else out.unionByName(mine)
+    return out
 
 
 def read_copy(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -74,3 +74,24 @@ def test_descendants_beyond_64_levels(spark):
     members = spark.createDataFrame([(i, i + 1) for i in range(67)], "relation long, member long").coalesce(1)
     found = graphs.descendants(members, spark.createDataFrame([(0,)], "id long")).collect()
     assert sorted((r.member, r.depth) for r in found) == [(i, i) for i in range(1, 68)]
+
+
+def test_islands_with_ids_near_the_end_of_64_bits(spark):
+    big = 4 * 10**18
+    edges = spark.createDataFrame([(big, big + 1), (big + 1, big + 2), (big + 7, big + 8)], "a long, b long")
+    assert {r.node: r.island for r in graphs.islands(edges).collect()} == {big: big, big + 1: big, big + 2: big, big + 7: big + 7, big + 8: big + 7}
+
+
+def test_nearest_along_and_nearby_duplicates(spark):
+    import random
+
+    rng = random.Random(2)
+    points = [(i, rng.choice("abc"), float(rng.randint(-50, 50))) for i in range(300)]
+    places = [(i, rng.choice("abd"), float(rng.randint(-30, 30))) for i in range(40)] + [(99, "b", 500.0)]
+    got = graphs.nearest_along(spark.createDataFrame(points, "id long, street string, x double"), spark.createDataFrame(places, "road long, street string, x double"), "street", "x", "road", cells=8)
+    want = {i: min((abs(x - y), r) for r, t, y in places if t == s)[1] for i, s, x in points if any(t == s for _, t, _ in places)}
+    assert {r.id: r.road for r in got.collect()} == want
+    spots = [(i, rng.choice("xy") if i % 9 else None, rng.randint(0, 400), rng.randint(0, 400)) for i in range(400)]
+    kept = graphs.nearby_duplicates(spark.createDataFrame(spots, "id long, kind string, lat_e7 long, lon_e7 long"), "kind", 25)
+    alone = {i for i, k, a, o in spots if not any(k is not None and k == k2 and j < i and abs(a - b) <= 25 and abs(o - p) <= 25 for j, k2, b, p in spots)}
+    assert {r.id for r in kept.collect()} == alone
