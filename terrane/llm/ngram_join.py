@@ -12,7 +12,8 @@ n-gram hashes, dealt to column blocks by hash.
   pair goes once its count and what is left of its rows cannot reach the overlap its sizes need.
 * Size bound on pairs: the parities of a row's entries by hash, 512 bits, differ between two rows in no
   more bits than the rows differ in entries; a pair with more than its sizes allow is never multiplied.
-* Rows that agree in a block give a star: each is multiplied with one of them alone. What the stars
+* Rows that agree in a block give a star: each is multiplied with one of them alone, and with those of
+  its other blocks only if they are still apart. What the stars
   leave in several components goes on by groups. A group of at most FEW rows gives its pairs. In a
   larger one rows become differences to a centre, the entries that most of a few of its rows
   have, and the product of the differences has short columns: of two linked rows either both are
@@ -342,8 +343,14 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
         links = with_sets(stored(pairs, "ngram-pairs")).mapInArrow(_multiply(num, den), "a long, b long")
         return components(links if comps is None else links.union(comps.select("node", "comp")))
 
+    # A row meets the least of its stars first; the others only if that has left the two apart.
     stars = met.where("node > pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    comps = tied(stars.join(side("a"), "a").join(side("b"), "b").where(may_link("a", "b")).select("a", "b"), None)
+    stars = stored(stars.join(side("a"), "a").join(side("b"), "b").where(may_link("a", "b")).select("a", "b"), "ngram-stars")
+    comps = tied(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), None)
+    released(docs.sparkSession)
+    at = {c: comps.select(F.col("node").alias(c), F.col("comp").alias(f"{c}comp")) for c in "ab"}
+    far = stars.join(at["a"], "a", "left").join(at["b"], "b", "left").where(F.coalesce("acomp", "a") != F.coalesce("bcomp", "b"))
+    comps = tied(far.select("a", "b"), comps)
     # A block of few rows is a group; those of more become one group with others of the same crowd: a
     # large block's name is the least that any of its rows has from a large block.
     crowded = cut(met.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > FEW).select("key"))
