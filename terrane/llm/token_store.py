@@ -237,7 +237,7 @@ def write_ids(docs: DataFrame, target: str, path: str, end_id: int, id_col: str
     cuts = ids.where("doc_id is not null").approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.2 / parts) if parts > 1 and known else []
     bounds = np.sort(np.array(cuts, np.int64))  # a frequent id several times
     coded = ids.mapInArrow(_code(lengths, bounds, null_parts), "part long, doc_id long, n long, points binary, code binary")
-    ranged = coded.repartitionByRange(parts + null_parts, "part").sortWithinPartitions("part", "doc_id")
+    ranged = coded.repartition(4 * (parts + null_parts), "part").sortWithinPartitions("part", "doc_id")  # so many that few parts share a task; ranges would code everything twice
     ranged.mapInArrow(_blocks, "part long, block long, n_ids long, blob binary").write.option("compression", "uncompressed").parquet(f"{target}/blocks")
     docs.sparkSession.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").coalesce(1).write.parquet(f"{target}/lengths")
     return target
