@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -83,6 +84,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tidy(run):
+    """A task's function that gives its memory back when it ends: Python workers live on from stage to stage."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):
+                ctypes.CDLL(None).malloc_trim(0)  # the C library's, where it has one
+
+    return wrapped
+
+
 def as_bytes(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     """A string or binary column as bytes objects, without decoding."""
     column = batch.column(batch.schema.get_field_index(name))

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrane.llm._common import OWN, as_bytes, cut, released, stored
+from terrane.llm._common import OWN, as_bytes, cut, released, stored, tidy
 from terrane.llm._graph import components
 from terrane.llm._sieve import Sieve
 
@@ -289,23 +289,23 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("digest"), F.col(text_col).cast("binary").alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    signed = stored(rows.mapInArrow(_signatures(n), f"doc_id {id_type}, digest long, n long, s1 long, s2 long, {', '.join(f'{k} long' for k in BITS)}"), "ngram-rows")
+    signed = stored(rows.mapInArrow(tidy(_signatures(n)), f"doc_id {id_type}, digest long, n long, s1 long, s2 long, {', '.join(f'{k} long' for k in BITS)}"), "ngram-rows")
     some = signed.where("n > 0")
     first_row = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "digest"))
     classes = cut(some.groupBy("s1", "s2", "n").agg(first_row.alias("lead")))  # one document stands for an equal set
     leads = classes.select("s1", "s2", "n", F.col("lead.doc_id").alias("lead"), F.col("lead.digest").alias("digest"))
     lead = some.join(leads, ["s1", "s2", "n", "digest"]).where(F.col("doc_id").eqNullSafe(F.col("lead")))
     texts = rows.select("text")
-    shared = texts.mapInArrow(_entries(n, num, den, None), "key long, node long").groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("top"))
+    shared = texts.mapInArrow(tidy(_entries(n, num, den, None)), "key long, node long").groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("top"))
     shared = cut(shared.where("pivot < top").select("key", "pivot"))
     released(docs.sparkSession)
-    entries = texts.mapInArrow(_entries(n, num, den, Sieve.of(shared, "key", raw=True).broadcast(docs.sparkSession)), "key long, node long")
+    entries = texts.mapInArrow(tidy(_entries(n, num, den, Sieve.of(shared, "key", raw=True).broadcast(docs.sparkSession))), "key long, node long")
     met = cut(entries.join(shared, "key").distinct())
     del entries, shared
     released(docs.sparkSession)
     wanted = cut(met.select("node").distinct().join(leads.select(F.col("s1").alias("node"), "lead", "digest"), "node"))
     found = Sieve.of(wanted, "digest").keep(rows, "digest").join(wanted, "digest").where(F.col("doc_id").eqNullSafe(F.col("lead")))
-    sets = stored(found.select("node", "text").mapInArrow(_sets(n), "node long, ngrams binary"), "ngram-sets")
+    sets = stored(found.select("node", "text").mapInArrow(tidy(_sets(n)), "node long, ngrams binary"), "ngram-sets")
     rough = cut(lead.select(F.col("s1").alias("node"), "n", *BITS).join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]))
 
     def side(c: str) -> DataFrame:
@@ -340,7 +340,7 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
 
     def tied(pairs: DataFrame, comps: DataFrame | None) -> DataFrame:
         """Components of the links so far and of those among the pairs."""
-        links = with_sets(stored(pairs, "ngram-pairs")).mapInArrow(_multiply(num, den), "a long, b long")
+        links = with_sets(stored(pairs, "ngram-pairs")).mapInArrow(tidy(_multiply(num, den)), "a long, b long")
         return components(links if comps is None else links.union(comps.select("node", "comp")))
 
     # A row meets the least of its stars first; the others only if that has left the two apart.
@@ -372,7 +372,7 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
             some = large.where(F.pmod(F.xxhash64("node"), "m") < CENTRE_ROWS).select("g", "node")
             centres = some.join(sets_of(some), "node").select("g", "ngrams").groupBy("g").applyInArrow(_centre, "g long, centre binary")
             rows_there = large.select("g", "node", "comp").join(sets_of(large), "node").join(stored(centres, "ngram-centres"), "g", "left")
-            cells = stored(rows_there.mapInArrow(_columns(num, den), "g long, node long, comp long, d long, w long, col long, place long"), "ngram-cells")
+            cells = stored(rows_there.mapInArrow(tidy(_columns(num, den)), "g long, node long, comp long, d long, w long, col long, place long"), "ngram-cells")
             nearest = large.join(cells.groupBy("g").agg(F.min_by("node", F.struct("w", "node")).alias("a")), "g").select("a", F.col("node").alias("b"), "comp")
             nearest = nearest.join(comps.withColumnRenamed("node", "a").withColumnRenamed("comp", "acomp"), "a", "left").where("a <> b and coalesce(acomp, a) <> comp").select("a", "b").distinct()
             nearest = nearest.join(side("a"), "a").join(side("b"), "b").where(may_link("a", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

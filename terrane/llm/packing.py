@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrane.llm._common import cut, text_of
+from terrane.llm._common import cut, text_of, tidy
 from terrane.llm._tokens import encoder
 
 PIECES_PER_SHARD = 20_000
@@ -197,6 +197,7 @@ def _cut(path: str, window: int, end_id: int, with_ids: bool):
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
             columns, names = (columns, names) if with_ids else (columns[:-1], names[:-1])
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(out[0], pa.int64())), *columns], names)
+        encoder.cache_clear()  # the worker may serve other stages next
 
     return run
 
@@ -224,7 +225,7 @@ def pack_documents(docs: DataFrame, path: str, window: int = 2048, end_id: int =
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     schema = PIECES.format(id=rows.schema["doc_id"].dataType.simpleString()) + (", ids binary" if with_ids else "")
-    pieces = cut(rows.mapInArrow(_cut(path, window, end_id, with_ids), schema))
+    pieces = cut(rows.mapInArrow(tidy(_cut(path, window, end_id, with_ids)), schema))
     shards = max(1, -(-pieces.count() // PIECES_PER_SHARD))
     dealt = pieces.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))  # of the checkpoint: equal rows part
     return dealt.groupBy("shard").applyInArrow(_pack(window), schema + ", sequence_id long, offset long")
