@@ -14,7 +14,7 @@ ROOT = str(Path(__file__).resolve().parent.parent)
 #: Set only where the session has no value of its own.
 DEFAULTS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"),
-    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "4194304b"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "2097152b"),
     "spark.sql.session.timeZone": (None, "UTC"),
 }
 
