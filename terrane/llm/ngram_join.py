@@ -42,6 +42,8 @@ from terrane.llm._sieve import Sieve
 MEMO_WORDS = 1 << 16
 #: Rows of a group whose pairs are compared directly; a larger group gets a centre.
 FEW = 256
+#: Entries of sets that one multiplication of pairs sends at least, before it is done in parts.
+LEAST_SENT = 1 << 22
 #: Rows that a group's centre is made of, about.
 CENTRE_ROWS = 33
 #: Rounds of centres; groups that are still apart then are compared directly, whatever their size.
@@ -338,9 +340,20 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
         met = x.join(y, by).where(ordered & (F.col("acomp") != F.col("bcomp")) & may_link("a", "b"))
         return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
+    most = max(LEAST_SENT, rough.agg(F.sum("n")).first()[0] or 0)
+
     def tied(pairs: DataFrame, comps: DataFrame | None) -> DataFrame:
         """Components of the links so far and of those among the pairs."""
-        links = with_sets(stored(pairs, "ngram-pairs")).mapInArrow(tidy(_multiply(num, den)), "a long, b long")
+        listed = stored(pairs, "ngram-pairs")
+        sizes = [rough.select(F.col("node").alias(c), F.col("n").alias(f"{c}n")) for c in "ab"]
+        sent = listed.join(sizes[0], "a").join(sizes[1], "b").agg(F.sum(F.col("an") + F.col("bn"))).first()[0] or 0
+        parts, links = max(1, -(-sent // most)), None
+        for i in range(parts):  # each sends no more than all sets once, about, and its shuffle files go before the next
+            mine = listed.where(F.pmod(F.xxhash64("a", "b"), F.lit(parts)) == i) if parts > 1 else listed
+            found = stored(with_sets(mine).mapInArrow(tidy(_multiply(num, den)), "a long, b long"), "ngram-links")
+            links = found if links is None else links.union(found)
+            if parts > 1:
+                released(docs.sparkSession)
         return components(links if comps is None else links.union(comps.select("node", "comp")))
 
     # A row meets the least of its stars first; the others only if that has left the two apart.
