@@ -6,8 +6,8 @@ has rewritten history (dropped old reasoning, moved a system turn): spans found
 was is closed as one part of the output and the new rendering begins the next, which trains on turns from
 there on only. So every trained text is under exactly one loss mask, in the context that it would be generated in.
 
-Within a turn's span its text lies between what the template puts there when the turn is empty and still open, and
-what it adds to close it. No mark is searched for, so texts that hold the template's own control strings change nothing.
+Within a turn's span its text lies between what the template puts before a text of one letter in a turn that is still
+open, and what it adds to close it. No mark is searched for, so texts that hold the template's own control strings change nothing.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from terrane.llm._common import text_of, tidy
 #: (role, text) of each turn, and whether the last one stays open; the formatted string.
 Template = Callable[[list[tuple[str, str]], bool], str]
 
+#: A text that a template has no reason to change.
+PROBE = "x"
 START, END = "<|im_start|>", "<|im_end|>"
 SPANS = "array<struct<turn: long, start: long, end: long>>"
 FORMATTED = f"part long, formatted string, turns {SPANS}, loss {SPANS}, status string"
@@ -84,10 +86,10 @@ def render(turns: list[tuple[str, str]], template: Template, trained: tuple[str,
         part["formatted"] = now
         part["turns"].append((k, start, len(now)))
         if role in trained:
-            empty = [*turns[:k], (role, "")]
-            head = template(empty, True)
-            close = len(template(empty, False)) - len(head)
-            if close >= 0 and len(head) + close <= len(now) and now.startswith(head):
+            probe = [*turns[:k], (role, PROBE)]
+            head, still_open, sep = template(probe, True).rpartition(PROBE)
+            close = len(template(probe, False)) - len(head) - len(PROBE)
+            if still_open and not sep and close >= 0 and len(head) + close <= len(now) and now.startswith(head):
                 part["loss"].append((k, len(head), len(now) - close))
             else:
                 part["status"] = "unlocated"
@@ -120,7 +122,7 @@ def format_chats(turns: DataFrame, template: Template = marked, trained: tuple[s
 
     ``turns`` has each turn's span in code points of ``formatted``, ``loss`` those of the texts of trained roles; part 0 is all
     that there is unless the template rewrites history. status: ``appended``, ``rewritten`` (this part begins with a turn
-    that changed what stood before it) or ``unlocated`` (the template does other things with an empty turn, so a text's place
+    that changed what stood before it) or ``unlocated`` (the template puts something behind the text of an open turn, so a text's place
     is unknown and it is under no mask).
 
     Rows are in order of turn (null first), then role and text. A null role or text is empty; rows without conv_id are one

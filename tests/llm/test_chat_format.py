@@ -38,8 +38,8 @@ def shows_count(turns, still_open):
     return f"{len(turns)};" + cf.marked(turns, still_open)
 
 
-def hides_empty(turns, still_open):
-    """An empty turn leaves nothing, so that a text's place cannot be told."""
+def closes_always(turns, still_open):
+    """Closes turns that should stay open, so that a text's place cannot be told."""
     return "".join(f"{r}={t};" for r, t in turns if t)
 
 
@@ -63,7 +63,7 @@ def test_rewritten_history_makes_parts_that_train_each_text_once():
 
 
 def test_a_text_that_cannot_be_placed_is_under_no_mask():
-    (part,) = cf.render([("user", "q"), ("assistant", "a")], hides_empty)
+    (part,) = cf.render([("user", "q"), ("assistant", "a")], closes_always)
     assert part["status"] == "unlocated" and part["loss"] == [] and part["formatted"] == "user=q;assistant=a;"
 
 
