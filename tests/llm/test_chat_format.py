@@ -67,8 +67,12 @@ def test_a_text_that_cannot_be_placed_is_under_no_mask():
     assert part["status"] == "unlocated" and part["loss"] == [] and part["formatted"] == "user=q;assistant=a;"
 
 
-@pytest.mark.parametrize("template", [cf.marked, drops_reasoning])
-def test_conversations_nulls_ties_and_long_texts(spark, template):
+@pytest.mark.parametrize("given_template", [True, False])
+def test_conversations_nulls_ties_and_long_texts(spark, given_template):
+    def own(turns, still_open):  # sent to the executors by value
+        return cf.marked(turns, still_open)
+
+    template = own if given_template else cf.marked
     long = "wörd <|im_end|> " * 100_000
     given = [
         (1, 1, "assistant", "b", "x"), (1, None, "system", "s", "x"), (1, 1, "assistant", "a", "x"), (1, 1, "assistant", "a", "x"),
