@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrane.operators import regions
 from terrane.session import checkpointed
 
 TYPE_RANK = {"bound": 0, "node": 1, "way": 2, "relation": 3}
@@ -86,27 +87,13 @@ def clip_incomplete(members: DataFrame, kept: DataFrame) -> DataFrame:
     return members.join(kept, ["member_type", "member"], "left_semi").select(*members.columns)
 
 
-def inside_rings(lon: Column, lat: Column, rings: Sequence[Sequence[tuple[int, int]]]) -> Column:
-    """Ray casting over all rings with an even-odd count, in exact integers; the polygon is part of the plan."""
-    crossings = F.lit(0)
-    for ring in rings:
-        points = list(ring)
-        if points[0] != points[-1]:
-            points.append(points[0])
-        for (x1, y1), (x2, y2) in zip(points, points[1:], strict=False):
-            if y1 == y2:
-                continue
-            (xa, ya), (xb, yb) = ((x1, y1), (x2, y2)) if y1 < y2 else ((x2, y2), (x1, y1))
-            spans = (lat >= F.lit(ya)) & (lat < F.lit(yb))
-            left = (lon.cast("decimal(38,0)") - F.lit(xa)) * F.lit(yb - ya) < (lat.cast("decimal(38,0)") - F.lit(ya)) * F.lit(xb - xa)
-            crossings = crossings + F.when(spans & left, 1).otherwise(0)
-    return crossings % 2 == 1
-
-
 def polygon_clip(nodes: DataFrame, rings: Sequence[Sequence[tuple[int, int]]], lat: str = "lat_e7", lon: str = "lon_e7") -> DataFrame:
-    """Nodes inside a polygon: its box first, which scans prune by, then the rings."""
+    """Nodes inside a polygon of any number of vertices, even-odd over its rings: its box first, which scans prune by, then its cells."""
     xs, ys = [p[0] for r in rings for p in r], [p[1] for r in rings for p in r]
-    return bbox_clip(nodes, min(xs), min(ys), max(xs), max(ys), lat, lon).where(inside_rings(F.col(lon), F.col(lat), rings))
+    if not xs:
+        return nodes.where(F.lit(False))
+    near = bbox_clip(nodes, min(xs), min(ys), max(xs), max(ys), lat, lon)
+    return regions.locate(near, regions.ring_table(nodes.sparkSession, rings), lat=lat, lon=lon).select(*[F.col(f"`{c}`") for c in nodes.columns])
 
 
 def integrity_report(references: DataFrame, targets: DataFrame, by: Sequence[str], ref: str, id_col: str = "id") -> DataFrame:
@@ -201,25 +188,11 @@ def in_interval(df: DataFrame, begin, end, ts: str = "ts") -> DataFrame:
     return df.where((F.col(ts) > F.lit(begin)) & (F.col(ts) <= F.lit(end)))
 
 
-def contained(points: DataFrame, areas: DataFrame, id_col: str, area_col: str, cell_e7: int = 20_000_000, ring: str = "ring") -> DataFrame:
-    """(id_col, area_col): the areas that each point (lon_e7, lat_e7) is in; an area has a closed ring of (x, y).
+def contained(points: DataFrame, areas: DataFrame, id_col: str, area_col: str, cell_e7: int | None = None, ring: str = "ring") -> DataFrame:
+    """(id_col, area_col): the areas that each point (lon_e7, lat_e7) is in; an area has a ring of (x, y), however large.
 
-    Both meet by grid cell, an area in every cell of its box; the ring then decides, in exact integers
-    and even-odd, a lower edge being inside and an upper one outside.
+    Cells follow each area's size and detail, so a point meets the areas whose border or inside is in its cell, and a few edges of these. ``cell_e7``: the largest cell.
     """
-    cell = lambda c: F.floor(c / cell_e7).cast("int")
-    xs, ys = F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])
-    spread = lambda v: F.explode(F.sequence(cell(F.array_min(v)), cell(F.array_max(v))))
-    boxed = areas.select(area_col, F.col(ring).alias("ring"), spread(xs).alias("cx"), ys.alias("ys")).withColumn("cy", spread(F.col("ys"))).drop("ys")
-    placed = points.select(id_col, F.col("lon_e7").alias("x"), F.col("lat_e7").alias("y")).withColumn("cx", cell(F.col("x"))).withColumn("cy", cell(F.col("y")))
-    wide = lambda c: c.cast("decimal(19,0)")
-
-    def crosses(i: Column) -> Column:
-        p, q = F.element_at("ring", i), F.element_at("ring", i + 1)
-        low, high = F.when(p["y"] < q["y"], p).otherwise(q), F.when(p["y"] < q["y"], q).otherwise(p)
-        left = (wide(F.col("x")) - wide(low["x"])) * (wide(high["y"]) - wide(low["y"])) < (wide(F.col("y")) - wide(low["y"])) * (wide(high["x"]) - wide(low["x"]))
-        return F.when((F.col("y") >= low["y"]) & (F.col("y") < high["y"]) & left, 1).otherwise(0)
-
-    edges = F.when(F.size("ring") > 1, F.sequence(F.lit(1), F.size("ring") - 1)).otherwise(F.array().cast("array<int>"))
-    count = F.aggregate(F.transform(edges, crosses), F.lit(0), lambda a, x: a + x)
-    return placed.join(boxed, ["cx", "cy"]).where(count % 2 == 1).select(id_col, area_col)
+    own = areas.select(F.col(area_col).alias("area"), F.array(F.transform(ring, lambda p: F.struct(p["x"].cast("long").alias("x"), p["y"].cast("long").alias("y")))).alias("rings"))
+    found = regions.locate(points.select(id_col, "lon_e7", "lat_e7"), own, side=cell_e7)
+    return found.select(id_col, F.col("__area").alias(area_col))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from terrane import views
 from terrane.functions import maths, strings, texts, words
-from terrane.operators import composites, entities, geometry, graphs, partition, translate
+from terrane.operators import composites, cutting, entities, geometry, graphs, partition, translate
 from terrane.plans import compile as plans
 from terrane.plans import rulesets
 from terrane.plans.rules import parse_rules
@@ -651,6 +651,53 @@ def polygon_clip(spark, sf_dir):
     return entities.polygon_clip(views.nodes(spark, sf_dir), [RING]).select("id")
 
 
+COAST_POINTS = 3000
+
+
+def coast() -> list[tuple[int, int]]:
+    """A ring of 3000 vertices: the border of a square with a tooth at each, by a rule that SQL has too."""
+    out = []
+    for i in range(COAST_POINTS):
+        t, d = (i % 750) * 4 * 1_600_000_000 // COAST_POINTS - 800_000_000, (i * 7919 % 1000) * 500_000
+        out.append([(t, d - 800_000_000), (800_000_000 - d, t), (-t, 800_000_000 - d), (d - 800_000_000, -t)][i // 750])
+    return out
+
+
+COAST_SQL = """v AS (SELECT i, (i % 750) * 4 * 1600000000 // 3000 - 800000000 AS t, (i * 7919 % 1000) * 500000 AS d FROM range(3000) r(i)),
+p AS (SELECT i, CASE i // 750 WHEN 0 THEN t WHEN 1 THEN 800000000 - d WHEN 2 THEN -t ELSE d - 800000000 END AS x,
+             CASE i // 750 WHEN 0 THEN d - 800000000 WHEN 1 THEN t WHEN 2 THEN 800000000 - d ELSE -t END AS y FROM v),
+e AS (SELECT a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM p a JOIN p b ON b.i = (a.i + 1) % 3000) """
+
+
+@query(with_views("node") + ", " + COAST_SQL + """SELECT id FROM node, e WHERE (y1 > lat_e7) <> (y2 > lat_e7)
+AND CASE WHEN y1 < y2 THEN (lon_e7 - x1)::HUGEINT * (y2 - y1) < (lat_e7 - y1)::HUGEINT * (x2 - x1) ELSE (lon_e7 - x2)::HUGEINT * (y1 - y2) < (lat_e7 - y2)::HUGEINT * (x1 - x2) END
+GROUP BY id HAVING count(*) % 2 = 1""")
+def polygon_clip_coast(spark, sf_dir):
+    """Clip by a ring of the size that real ones have."""
+    return entities.polygon_clip(views.nodes(spark, sf_dir), [coast()]).select("id")
+
+
+@query(POINTS_SQL + f""", {AREAS_SQL}, s AS (
+  SELECT way_id, seq, lon_e7 AS x1, lat_e7 AS y1, lead(lon_e7) OVER w AS x2, lead(lat_e7) OVER w AS y2 FROM pt WINDOW w AS (PARTITION BY way_id ORDER BY seq)),
+g AS (SELECT * FROM s WHERE x2 IS NOT NULL AND (x1 <> x2 OR y1 <> y2)),
+c AS (
+  SELECT way_id, seq, x1, y1, x2, y2, 0::HUGEINT AS n, 1::HUGEINT AS m FROM g
+  UNION ALL SELECT way_id, seq, x1, y1, x2, y2, 1, 1 FROM g
+  UNION SELECT way_id, seq, x1, y1, x2, y2, abs(v - x1), abs(x2 - x1) FROM g, (SELECT unnest([l, r]) AS v FROM area) WHERE (x1 < v AND v < x2) OR (x2 < v AND v < x1)
+  UNION SELECT way_id, seq, x1, y1, x2, y2, abs(v - y1), abs(y2 - y1) FROM g, (SELECT unnest([b, t]) AS v FROM area) WHERE (y1 < v AND v < y2) OR (y2 < v AND v < y1)),
+k AS (
+  SELECT way_id, seq, n::DOUBLE / m::DOUBLE AS f, x1 + n::DOUBLE / m::DOUBLE * (x2 - x1) AS fx, y1 + n::DOUBLE / m::DOUBLE * (y2 - y1) AS fy,
+         x1 + ((2 * n * (x2 - x1) + m + 2 * m * 10000000000) // (2 * m) - 10000000000)::BIGINT AS x, y1 + ((2 * n * (y2 - y1) + m + 2 * m * 10000000000) // (2 * m) - 10000000000)::BIGINT AS y FROM c),
+h AS (SELECT *, lead(x) OVER w AS xb, lead(y) OVER w AS yb, (fx + lead(fx) OVER w) / 2 AS mx, (fy + lead(fy) OVER w) / 2 AS my FROM k WINDOW w AS (PARTITION BY way_id, seq ORDER BY f))
+SELECT way_id, tile_id::BIGINT AS tile_id, count(DISTINCT seq)::BIGINT AS n_segments, sum(abs(xb - x) + abs(yb - y))::BIGINT AS length_e7
+FROM h JOIN area ON mx >= l AND mx < r AND my >= b AND my < t WHERE xb IS NOT NULL GROUP BY ALL""")
+def tile_cut_lines(spark, sf_dir):
+    """Ways cut on the borders of tiles: segments and length of each way in each tile."""
+    cut = cutting.cut_segments(cutting.segments(points(spark, sf_dir)), partition.areas_table(spark, AREAS), CELL)
+    length = F.abs(F.col("x2") - F.col("x1")) + F.abs(F.col("y2") - F.col("y1"))
+    return cut.groupBy("way_id", "tile_id").agg(F.count_distinct("seq").alias("n_segments"), F.sum(length).alias("length_e7"))
+
+
 @query("SELECT p_partkey AS id, 'pname,size' AS keys FROM part")
 def remove_tags(spark, sf_dir):
     got = entities.tag_sort(entities.remove_tags(views.nodes(spark, sf_dir), keys=("brand",), prefixes=("pt",)))
