@@ -6,6 +6,7 @@ doubles are rounded, so that two engines can be compared by value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -917,8 +918,6 @@ def merge_intervals(spark, sf_dir):
 @query(with_views("change") + f"SELECT id, version, k FROM (SELECT * FROM change QUALIFY {LAST}) WHERE action <> 'delete'")
 def stream_apply(spark, sf_dir):
     """The change stream through files, Structured Streaming and the store, in several batches."""
-    import uuid
-
     root = shared_folder(spark)
     changes = views.changes(spark, sf_dir).select("id", "version", "action", "ts", "k")
     path = f"{root}/terrane-stream-{uuid.uuid4().hex}"
@@ -929,6 +928,21 @@ def stream_apply(spark, sf_dir):
     return alive.select("id", "version", "k")
 
 
+@query(with_views("change") + """, b AS (SELECT *, event_id * 4 // (SELECT max(event_id) + 1 FROM change) AS part FROM change)
+SELECT id, version, k FROM (SELECT * FROM b WHERE part IN (0, 2) QUALIFY row_number() OVER (PARTITION BY id ORDER BY version DESC, ts DESC) = 1) WHERE action <> 'delete'""")
+def store_snapshot(spark, sf_dir):
+    """Four batches out of order, one of them twice, into the store; and the snapshot that the second one left."""
+    changes = views.changes(spark, sf_dir)
+    most = changes.agg(F.max("event_id")).first()[0] or 0
+    parts = changes.withColumn("part", F.expr(f"event_id * 4 div {most + 1}")).select("id", "version", "action", "ts", "k", "part")
+    store = replicate.Store(spark, f"{shared_folder(spark)}/terrane-store-{uuid.uuid4().hex}", "id long, version int, ts timestamp_ntz, k string")
+    at = None
+    for sequence in (2, 0, 2, 3, 1):
+        store.apply(parts.where(F.col("part") == sequence).drop("part"), sequence)
+        at = store.snapshots()[-1] if sequence == 0 else at
+    return store.read(snapshot=at).select("id", "version", "k")
+
+
 # Scalar library --------------------------------------------------------------------------------------------
 
 def add(name: str, sql: str, columns: Callable[[], dict]) -> None:

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrane.operators.entities import apply_change, latest
+from terrane.operators.entities import latest
+from terrane.streaming.store import Store
 
 
 def read_changes(spark: SparkSession, path: str, schema: str, most_files: int | None = None) -> DataFrame:
@@ -33,43 +34,6 @@ def merge_intervals(changes: DataFrame, width: str, keys: tuple = ("id",), ts: s
     return latest(placed, ["interval_start", *keys], [F.desc("version"), F.desc(ts)])
 
 
-class Store:
-    """A snapshot as numbered Parquet versions; a batch that is applied twice changes nothing."""
-
-    def __init__(self, spark: SparkSession, path: str, snapshot_schema: str):
-        self.spark, self.path, self.schema = spark, path, snapshot_schema
-
-    def versions(self) -> list[int]:
-        jvm = self.spark.sparkContext._jvm
-        top = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = top.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(top):
-            return []
-        done = [s.getPath() for s in fs.listStatus(top) if s.getPath().getName().startswith("v=")]
-        return sorted(int(p.getName()[2:]) for p in done if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
-
-    def _rows(self) -> DataFrame:
-        """The last version with its tombstones: a deleted entity stays, so that a late older change cannot bring it back."""
-        found, schema = self.versions(), f"{self.schema}, deleted boolean"
-        return self.spark.read.schema(schema).parquet(f"{self.path}/v={found[-1]}") if found else self.spark.createDataFrame([], schema)
-
-    def read(self) -> DataFrame:
-        return self._rows().where("not deleted").drop("deleted")
-
-    def apply(self, batch: DataFrame, sequence: int, keys: tuple = ("id",), hook: Callable[[DataFrame], None] | None = None) -> None:
-        """The next version from the last and the batch, by sequence number; stale versions of an entity lose."""
-        if sequence in self.versions():
-            return
-        now = self._rows()
-        last = latest(batch, keys, [F.desc("version"), F.desc("ts")])
-        held = now.select(*keys, F.col("version").alias("held"))
-        fresh = last.join(held, list(keys), "left").where("held is null or version > held").drop("held")
-        if hook:
-            hook(fresh)
-        stones = fresh.withColumn("deleted", F.col("action") == "delete").withColumn("action", F.lit("modify"))
-        apply_change(now, stones, keys).write.mode("overwrite").parquet(f"{self.path}/v={sequence}")
-
-
 def follow(changes: DataFrame, store: Store, checkpoint: str, hook: Callable[[DataFrame], None] | None = None):
     """Apply the stream to the store, batch by batch, until all that is there now has been read."""
     query = changes.writeStream.foreachBatch(lambda df, n: store.apply(df, n, hook=hook)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
