@@ -80,3 +80,22 @@ def test_500_rules_run_as_a_plan(spark):
     rules = parse_rules(text)
     plan, plain = (sorted((r.id, r.ord, r.type, sorted(r.tags.items())) for r in apply_rules(frame, rules, strategy=s).collect()) for s in ("columns", "interpreter"))
     assert plan == plain and len(plan) > 300
+
+
+def test_a_long_set_takes_few_passes(spark):
+    """A quarter of the rules change tags that others read, by chains of many lengths; the rest are typed."""
+    from terrane.plans.compile import passes
+
+    rng = random.Random(5)
+    keys, made, lines = [f"k{i}" for i in range(12)], [f"m{i}" for i in range(20)], []
+    for i in range(90):
+        k, v, to = rng.choice(keys), rng.randrange(3), rng.choice(made)
+        if i % 4 == 0:
+            lines.append([f"{k} = {v} & {rng.choice(keys + made)} != 9 {{ set {to} = '${{{rng.choice(keys + made)}|def:none}}{v}' }}", f"{k} ~ '[0{v}]' {{ add {to} = {v}; name '${{{k}}} ${{{to}}}' }}", f"{rng.choice(made)} = * & {k} = * {{ delete {rng.choice(keys)}; set {to} = x; set {rng.choice(made)} = y }}"][rng.randrange(3)])
+        else:
+            lines.append(f"{rng.choice(keys + made)} = * & {k} = {v} {{ name '${{{rng.choice(keys)}}}'; set own{i % 3} = '${{{rng.choice(made)}}}' }} [0x{i + 1:x} resolution 20" + ["]", " continue]", " continue]", " continue with_actions]"][i % 7 % 4])
+    rules = parse_rules("\n".join(lines))
+    assert passes(rules) <= 3
+    frame = spark.createDataFrame([(i, {k: str(rng.randrange(3)) for k in keys if rng.random() < 0.5}) for i in range(200)], "id long, tags map<string,string>")
+    plan, plain = (sorted((r.id, r.ord, r.type, r.label, sorted(r.tags.items())) for r in apply_rules(frame, rules, strategy=s).collect()) for s in ("columns", "interpreter"))
+    assert plan == plain and len(plan) > 100
