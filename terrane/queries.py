@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from terrane import views
 from terrane.functions import maths, strings, texts, words
-from terrane.operators import composites, cutting, entities, geometry, graphs, partition, translate
+from terrane.operators import composites, cutting, entities, folds, geometry, graphs, partition, translate
 from terrane.plans import compile as plans
 from terrane.plans import rulesets
 from terrane.plans.rules import parse_rules
@@ -928,6 +928,34 @@ def stream_apply(spark, sf_dir):
     return alive.select("id", "version", "k")
 
 
+EVENT_TAGS = "e AS (SELECT user_id AS id, event_type AS key, props->>'$.k' AS value, ts, event_id FROM events)"
+
+
+def event_tags(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "events").select(F.col("user_id").alias("id"), F.col("event_type").alias("key"), F.get_json_object("props", "$.k").alias("value"), "ts", "event_id")
+
+
+@query(f"""WITH {EVENT_TAGS}, l AS (SELECT id, key, value FROM e QUALIFY row_number() OVER (PARTITION BY id, key ORDER BY ts DESC, event_id DESC) = 1)
+SELECT id, string_agg(key || '=' || coalesce(value, ''), ',' ORDER BY key) AS tags FROM l GROUP BY id""")
+def build_tags(spark, sf_dir):
+    """Every user's tags folded from events in order of time, the last of a key winning."""
+    maps = folds.fold_tags(event_tags(spark, sf_dir), ["id"], "key", "value", ["ts", "event_id"])
+    shown = F.transform(F.map_entries("tags"), lambda t: F.concat(t["key"], F.lit("="), F.coalesce(t["value"], F.lit(""))))
+    return maps.select("id", F.array_join(shown, ",").alias("tags"))
+
+
+@query(f"WITH {EVENT_TAGS} SELECT id, key, value FROM e QUALIFY row_number() OVER (PARTITION BY id, key ORDER BY ts DESC, event_id DESC) = 1")
+def unnest_tags(spark, sf_dir):
+    """The folded maps as rows again."""
+    return folds.unfold_tags(folds.fold_tags(event_tags(spark, sf_dir), ["id"], "key", "value", ["ts", "event_id"]), ["id"])
+
+
+@query(f"""WITH {EVENT_TAGS} SELECT id, (list(value ORDER BY ts, event_id) FILTER (value IS NOT NULL))[1] AS value, (list(key ORDER BY ts, event_id) FILTER (key IS NOT NULL))[1] AS key FROM e GROUP BY id""")
+def first_aggregate(spark, sf_dir):
+    """The first value and the first type of each user's events, in order of time."""
+    return folds.first_values(event_tags(spark, sf_dir), ["id"], ["value", "key"], ["ts", "event_id"])
+
+
 @query(with_views("change") + """, b AS (SELECT *, event_id * 4 // (SELECT max(event_id) + 1 FROM change) AS part FROM change)
 SELECT id, version, k FROM (SELECT * FROM b WHERE part IN (0, 2) QUALIFY row_number() OVER (PARTITION BY id ORDER BY version DESC, ts DESC) = 1) WHERE action <> 'delete'""")
 def store_snapshot(spark, sf_dir):
