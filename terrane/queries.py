@@ -481,14 +481,23 @@ def i18n_lookup(spark, sf_dir):
     return part.join(translate.resolve(translations(spark), "EN"), "key", "left").select("id", F.coalesce("text", "key").alias("label"))
 
 
-@query(f"WITH {WORDS_SQL} SELECT * FROM w UNION ALL SELECT ord, key, 'PL', text FROM w WHERE lang = 'EN'")
+LANGUAGES_SQL = "w AS (SELECT p_partkey AS ord, p_type AS key, CASE p_partkey % 4 WHEN 0 THEN 'EN' WHEN 1 THEN 'FR' WHEN 2 THEN 'DE' END AS lang, p_name AS text FROM part)"
+
+
+def part_names(spark, sf_dir) -> DataFrame:
+    """Names of parts as a translation table: a quarter of them in each of three languages, the others in none."""
+    lang = F.get(F.array(*[F.lit(x) for x in ("EN", "FR", "DE", None)]), (F.col("p_partkey") % 4).cast("int"))
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("ord"), F.col("p_type").alias("key"), lang.alias("lang"), F.col("p_name").alias("text"))
+
+
+@query(f"WITH {LANGUAGES_SQL} SELECT * FROM w UNION ALL SELECT ord, key, 'PL', text FROM w WHERE lang = 'EN'")
 def i18n_add_lang(spark, sf_dir):
-    return translate.change_languages(translations(spark), add="PL", copy="EN")
+    return translate.change_languages(part_names(spark, sf_dir), add="PL", copy="EN")
 
 
-@query(f"WITH {WORDS_SQL} SELECT * FROM w WHERE lang IS DISTINCT FROM 'EN'")
+@query(f"WITH {LANGUAGES_SQL} SELECT * FROM w WHERE lang IS DISTINCT FROM 'EN'")
 def i18n_remove_lang(spark, sf_dir):
-    return translate.change_languages(translations(spark), remove="EN")
+    return translate.change_languages(part_names(spark, sf_dir), remove="EN")
 
 
 @query("SELECT p_partkey AS id, CASE WHEN p_size > 25 THEN p_name ELSE p_type END AS label FROM part")
@@ -829,11 +838,11 @@ def clip_incomplete_entities(spark, sf_dir):
     return entities.clip_incomplete(views.members(spark, sf_dir), some_customers(spark, sf_dir)).select("relation", "member", "role")
 
 
-@query("""WITH t AS (SELECT DISTINCT n_regionkey AS root, c_custkey % 64 AS tile_id FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_custkey % 1000 < 3),
+@query("""WITH t AS (SELECT DISTINCT n_regionkey AS root, c_custkey % 64 AS tile_id FROM customer JOIN nation ON n_nationkey = c_nationkey),
 m AS (SELECT n_regionkey AS root, 'n' || n_nationkey AS member FROM nation UNION ALL SELECT n_regionkey, 'c' || c_custkey FROM customer JOIN nation ON n_nationkey = c_nationkey UNION ALL SELECT n_regionkey, 's' || s_suppkey FROM supplier JOIN nation ON n_nationkey = s_nationkey)
 SELECT member, tile_id FROM m JOIN t USING (root)""")
 def keep_complete_closure(spark, sf_dir):
-    tiles = table(spark, sf_dir, "customer").where("c_custkey % 1000 < 3").select(F.concat(F.lit("c"), "c_custkey").alias("member"), (F.col("c_custkey") % 64).alias("tile_id"))
+    tiles = table(spark, sf_dir, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("member"), (F.col("c_custkey") % 64).alias("tile_id"))
     return partition.complete_tiles(views.members(spark, sf_dir), table(spark, sf_dir, "region").select(F.concat(F.lit("r"), "r_regionkey").alias("id")), tiles)
 
 
@@ -1015,7 +1024,6 @@ def path_parts(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", texts.file_name(F.col("url")).alias("name"), texts.parent_path(F.col("url")).alias("parent"))
 
 
-@query("SELECT page_id, nullif(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '') AS title FROM pages WHERE html LIKE '%<title>_%</title>%'")
+@query("SELECT page_id, nullif(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '') AS title FROM pages")
 def word_find_between(spark, sf_dir):
-    p = table(spark, sf_dir, "pages").where("html like '%<title>_%</title>%'")
-    return p.select("page_id", F.nullif(words.between(F.col("html"), "<title>", "</title>"), F.lit("")).alias("title"))
+    return table(spark, sf_dir, "pages").select("page_id", F.nullif(words.between(F.col("html"), "<title>", "</title>"), F.lit("")).alias("title"))
