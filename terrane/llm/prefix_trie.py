@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrane.llm._common import stored, text_of, tidy
+from terrane.llm._common import discard, stored, text_of, tidy, written
 from terrane.llm._rmq import RangeMin, next_smaller, previous_smaller
 
 #: Turns of a block, about.
@@ -286,14 +286,16 @@ def prefix_trie(convs: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFrame:
     turns = F.coalesce("turns", F.array().cast(convs.schema["turns"].dataType))
     key = F.unhex(F.array_join(F.transform(turns, lambda t: t["digest"]), ""))
     rows = convs.where("conv_id is not null").select(F.col("conv_id").cast("long").alias("conv_id"), key.alias("key"), F.transform(turns, lambda t: t["words"].cast("long")).alias("words"))
-    rows = stored(rows, "trie-rows")
+    rows, rows_path = written(rows, "trie-rows")
     total = rows.agg(F.sum(F.size("words") + 1)).first()[0] or 0
     parts = max(-(-total // block_turns), 1)
     ordered = rows.repartitionByRange(parts, "key", "conv_id").sortWithinPartitions("key", "conv_id")
     blobs = ", ".join(f"{c} binary" for c in BLOCK_COLUMNS[4:])
-    blocks = stored(ordered.mapInArrow(tidy(_blocks), f"block long, first binary, last binary, least long, {blobs}"), "trie-blocks")
+    blocks, blocks_path = written(ordered.mapInArrow(tidy(_blocks), f"block long, first binary, last binary, least long, {blobs}"), "trie-blocks")
+    discard(spark, rows_path)
     numbers = sorted(r.block for r in blocks.select("block").toLocalIterator())  # one number a block
     if not numbers:
+        discard(spark, blocks_path)
         return spark.createDataFrame([], ", ".join(f"{c} {'string' if c == NODE[-1] else 'long'}" for c in NODE))
     order = spark.createDataFrame([(b, k, numbers[k - 1] if k else -1) for k, b in enumerate(numbers)], "block long, k long, before long")
     placed = blocks.select("block", "first", "least").join(order, "block")
@@ -304,12 +306,14 @@ def prefix_trie(convs: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFrame:
         least[r.block] = min(r.lcp + 1, r.lcp + 1 if r.least is None else r.least + 1)
     borders = spark.sparkContext.broadcast(Borders(lcp, least))
     work = blocks.drop("first", "last", "least").join(order.select("block", "k"), "block").drop("block")
-    counted = stored(work.mapInArrow(tidy(_count_parts(borders)), PARTS), "trie-parts")
+    counted, counted_path = written(work.mapInArrow(tidy(_count_parts(borders)), PARTS), "trie-parts")
     crossing = stored(counted.groupBy("owner", "depth").agg(*[F.sum(c).alias(c) for c in ("n_convs", "n_children", "words")], F.min("conv_id").alias("conv_id")), "trie-crossing")
     own = crossing.groupBy(F.col("owner").alias("k")).agg(F.collect_list(F.struct("depth", "n_convs", "n_children", "conv_id")).alias("own"))
     at = counted.where("k <> owner").select("k", "owner", "depth").join(crossing.select("owner", "depth", "conv_id"), ["owner", "depth"])
     entering = at.groupBy("k").agg(F.collect_list(F.struct("depth", "conv_id")).alias("entering"))
     found = stored(work.join(own, "k", "left").join(entering, "k", "left").mapInArrow(tidy(_nodes(borders)), OUT), "trie-nodes")
+    for path in (blocks_path, counted_path):  # what is left of them is in the nodes
+        discard(spark, path)
     sums = found.where(F.col("kind") == SUMS).groupBy("owner", "depth").agg(F.sum("n_leaves").alias("n_leaves"), F.sum("saved_tokens").alias("saved_tokens"), F.max("parent_conv_id").alias("parent_conv_id"))
     pieces = found.where(F.col("kind") == ENDS).select("owner", "depth", "k", "ids")
     pieces = pieces.repartition("owner", "depth").sortWithinPartitions("owner", "depth", "k")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terrane.llm import chat_format, decontam, lang_id, line_dedup, ngram_join, packing, prefix_trie, quality, runs, sharding, token_store, topk, warc_fixity
-from terrane.llm._common import fresh_path, stored, table
+from terrane.llm._common import discard, fresh_path, table, written
 
 ORACLES: dict[str, str] = {}
 
@@ -227,14 +227,16 @@ FROM d LEFT JOIN said USING (doc_id) LEFT JOIN kept USING (doc_id)
 
 def op12_prefix_trie(spark, sf_dir):
     """Each conversation begins with up to three turns of the one with the next lower id that 20 divides."""
-    own = stored(prefix_trie.conversation_turns(table(spark, sf_dir, "conversations")), "conversations")
+    own, path = written(prefix_trie.conversation_turns(table(spark, sf_dir, "conversations")), "conversations")
     base, h = F.col("conv_id") - F.col("conv_id") % 20, (crc32_of("conv_id") % 4).cast("int")
     heads = own.where(F.col("conv_id") % 20 == 0).select(F.col("conv_id").alias("base"), F.slice("turns", 1, 3).alias("head"))
     met = own.select("conv_id", "turns", base.alias("base"), h.alias("h")).join(heads, "base", "left")
     none = F.array().cast(own.schema["turns"].dataType)
     taken = F.slice(F.coalesce("head", none), F.lit(1), F.col("h"))
     rest = F.slice("turns", F.col("h") + 1, F.greatest(F.size("turns") - F.col("h"), F.lit(0)))
-    return prefix_trie.prefix_trie(met.select("conv_id", F.concat(taken, rest).alias("turns")))
+    out = prefix_trie.prefix_trie(met.select("conv_id", F.concat(taken, rest).alias("turns")))
+    discard(spark, path)  # the trie has its own rows by now
+    return out
 
 
 ORACLES["op12_prefix_trie"] = rf"""
