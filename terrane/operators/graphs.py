@@ -13,6 +13,8 @@ from terrane.session import checkpointed
 
 #: Rounds after which a fixpoint cuts its lineage.
 CHECKPOINT_EVERY = 4
+#: A key is hot if it holds more than one in HOT of a join's rows, and at least HOT_ROWS; so fewer than HOT keys are.
+HOT, HOT_ROWS = 1024, 1000
 
 
 def apply_to_members(relations: DataFrame, members: DataFrame, entities: DataFrame, rules: RuleSet) -> DataFrame:
@@ -80,17 +82,31 @@ def opposite_edges(edges: DataFrame, where: Column) -> DataFrame:
     return edges.unionByName(edges.where(where).select("way_id", "seq", F.col("b").alias("a"), F.col("a").alias("b")))
 
 
+def _by_key(rows: DataFrame, labels: DataFrame, key: str, how: str) -> DataFrame:
+    """``rows`` joined with ``labels``, one row a key. Keys that hold over 1/HOT of the rows, fewer than HOT, are sent to all executors."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    most = rows.count() // HOT
+    hot = checkpointed(counts.where(F.col("__n") > F.lit(most)).select(key)) if most >= HOT_ROWS else None
+    if hot is None or not hot.take(1):
+        return rows.join(labels, key, how)
+    sent = F.broadcast(hot.join(labels, key, how))  # fewer than HOT rows
+    return rows.join(sent, key).unionByName(rows.join(F.broadcast(hot), key, "left_anti").join(labels, key, how))
+
+
 def islands(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
-    """(node, island): the smallest node of each connected part, by spreading the minimum and jumping to its own."""
+    """(node, island): the smallest node of each connected part, by spreading the minimum and jumping to its own.
+
+    Hubs and large parts are hot keys of these joins; their few labels go to all executors, the rest is shuffled.
+    """
     both = edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct()
     both = checkpointed(both)
     label = both.groupBy("a").agg(F.least(F.first("a"), F.min("b")).alias("island")).withColumnRenamed("a", "node")
     last = None
     for _ in range(most_rounds):
-        near = both.join(label.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("island").alias("near"))
-        label = label.join(near.withColumnRenamed("a", "node"), "node").select("node", F.least("island", "near").alias("island"))
+        near = _by_key(both, label.withColumnRenamed("node", "b"), "b", "inner").groupBy("a").agg(F.min("island").alias("near"))
+        label = checkpointed(label.join(near.withColumnRenamed("a", "node"), "node").select("node", F.least("island", "near").alias("island")))
         jump = label.select(F.col("node").alias("island"), F.col("island").alias("further"))
-        label = checkpointed(label.join(jump, "island", "left").select("node", F.coalesce("further", "island").alias("island")))
+        label = checkpointed(_by_key(label, jump, "island", "left").select("node", F.coalesce("further", "island").alias("island")))
         mark = label.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(node, island))")).first()
         if mark == last:
             return label

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrane.operators import regions
 from terrane.operators.graphs import descendants
 from terrane.session import checkpointed
 
 #: World in 1e-7 degrees.
 WORLD = (-1800000000, -900000000, 1800000000, 900000000)
+#: Corners of a rectilinear polygon that tiles fit exactly.
+MOST_VERTICES = 40
 
 
 def cell(column: str, low: int, size: int):
@@ -23,10 +27,11 @@ def density(nodes: DataFrame, cell_e7: int, lat: str = "lat_e7", lon: str = "lon
     return nodes.groupBy(cell(lon, WORLD[0], cell_e7).alias("cx"), cell(lat, WORLD[1], cell_e7).alias("cy")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def split(histogram: Sequence[tuple[int, int, int]], most: int, cell_e7: int, trim: bool = True, first_id: int = 1) -> list[tuple[int, int, int, int, int]]:
+def split(histogram: Sequence[tuple[int, int, int]], most: int, cell_e7: int, trim: bool = True, first_id: int = 1, area: tuple[int, int, int, int] | None = None) -> list[tuple[int, int, int, int, int]]:
     """(tile_id, left, bottom, right, top) by recursive halving of the weight at cell borders.
 
-    A tile of one cell stays whole even if it holds more than ``most``. ``trim`` cuts empty edges.
+    A tile of one cell stays whole even if it holds more than ``most``. ``trim`` cuts empty edges. ``area`` is the
+    part of the grid to split (left, bottom, right, top in cells), the whole one by default.
     """
     cells = [c for c in histogram if c[2] > 0]
     out: list[tuple[int, int, int, int]] = []
@@ -56,13 +61,68 @@ def split(histogram: Sequence[tuple[int, int, int]], most: int, cell_e7: int, tr
         cut([c for c in part if c[axis] < k], tuple(low))
         cut([c for c in part if c[axis] >= k], tuple(high))
 
-    if cells:
+    if area:
+        cut(cells, area)
+    elif cells:
         n_x, n_y = -(-(WORLD[2] - WORLD[0] + 1) // cell_e7), -(-(WORLD[3] - WORLD[1] + 1) // cell_e7)
         cut(cells, (0, 0, n_x, n_y))
     to = lambda a: (WORLD[0] + a[0] * cell_e7, WORLD[1] + a[1] * cell_e7, WORLD[0] + a[2] * cell_e7, WORLD[1] + a[3] * cell_e7)
     return [(first_id + i, *to(a)) for i, a in enumerate(sorted(out))]
 
 
+def mask(histogram: DataFrame, areas: DataFrame, cell_e7: int) -> DataFrame:
+    """The histogram without the cells of which no area (area, rings) holds the middle."""
+    middle = lambda c, low: (F.col(c).cast("long") * cell_e7 + (low + cell_e7 // 2)).alias
+    placed = histogram.select("*", middle("cx", WORLD[0])("__x"), middle("cy", WORLD[1])("__y"))
+    return regions.locate(placed, areas, lat="__y", lon="__x").select(*histogram.columns).distinct()
+
+
+def rectangles(ring: Sequence[tuple[int, int]]) -> list[tuple[int, int, int, int]] | None:
+    """A rectilinear ring of at most MOST_VERTICES as rectangles (left, bottom, right, top) that fill it without overlap; None for other rings.
+
+    Between two neighbouring x of its corners the ring is a pile of rectangles, even-odd; those that go on unchanged in the next strip grow.
+    """
+    points = [tuple(map(int, p)) for p in ring]
+    points = points[:-1] if points and points[0] == points[-1] else points
+    sides = list(zip(points, points[1:] + points[:1], strict=True))
+    if not points or len(points) > MOST_VERTICES or any(a[0] != b[0] and a[1] != b[1] for a, b in sides):
+        return None
+    xs, out, growing = sorted({x for x, _ in points}), [], {}
+    for left, right in zip(xs, xs[1:], strict=False):
+        ys = sorted(a[1] for a, b in sides if min(a[0], b[0]) <= left and max(a[0], b[0]) >= right and a[0] != b[0])
+        spans = [s for s in zip(ys[::2], ys[1::2], strict=True) if s[0] < s[1]]
+        out += [(growing[s], s[0], left, s[1]) for s in growing if s not in spans]
+        growing = {s: growing.get(s, left) for s in spans}
+    return sorted(out + [(start, s[0], xs[-1], s[1]) for s, start in growing.items()])
+
+
+def fit(nodes: DataFrame, boxes: Sequence[tuple[int, int, int, int]], most: int, cell_e7: int, lat: str = "lat_e7", lon: str = "lon_e7") -> DataFrame:
+    """box (from 1), tile, left, bottom, right, top, n: tiles that fill each rectangle exactly, with the nodes of each.
+
+    Rectangles do not overlap. Each is halved by weight at grid lines, side by side with the others; its own borders stay where they are,
+    on the grid or not. The histogram of a rectangle has at most one row a grid cell. Empty rectangles are one tile; nodes in none go.
+    """
+    areas = areas_table(nodes.sparkSession, [(i, *b) for i, b in enumerate(boxes, 1)])
+    placed = assign(nodes.select(lat, lon), areas, cell_e7, lat=lat, lon=lon).withColumnRenamed("tile_id", "box")
+    counts = placed.groupBy("box", cell(lon, WORLD[0], cell_e7).alias("cx"), cell(lat, WORLD[1], cell_e7).alias("cy")).agg(F.count(F.lit(1)).alias("n"))
+    named = areas.withColumnRenamed("tile_id", "box")
+
+    def tiles(pdf):
+        a = pdf.iloc[0]
+        edges = [int(a[c]) for c in ("left", "bottom", "right", "top")]
+        low = [(edges[i] - WORLD[i]) // cell_e7 for i in (0, 1)]
+        high = [-(-(edges[i + 2] - WORLD[i]) // cell_e7) for i in (0, 1)]
+        known = pdf.dropna(subset=["n"])
+        cells = list(zip(known.cx.astype(int), known.cy.astype(int), known.n.astype(int), strict=True))
+        rows = []
+        for k, (_, x1, y1, x2, y2) in enumerate(split(cells, most, cell_e7, trim=False, area=(*low, *high)), 1):
+            inside = [c[2] for c in cells if x1 <= WORLD[0] + c[0] * cell_e7 < x2 and y1 <= WORLD[1] + c[1] * cell_e7 < y2]
+            rows.append((int(a.box), k, max(x1, edges[0]), max(y1, edges[1]), min(x2, edges[2]), min(y2, edges[3]), sum(inside)))
+        return pd.DataFrame(rows, columns=["box", "tile", "left", "bottom", "right", "top", "n"])
+
+    return named.join(counts, "box", "left").groupBy("box").applyInPandas(tiles, "box long, tile long, left long, bottom long, right long, top long, n long")
+
+
 def areas_table(spark, areas: Sequence[tuple[int, int, int, int, int]]) -> DataFrame:
     return spark.createDataFrame([tuple(map(int, a)) for a in areas], "tile_id long, left long, bottom long, right long, top long")
 

@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 
 from terrane import views
 from terrane.functions import maths, strings, texts, words
-from terrane.operators import composites, cutting, entities, folds, geometry, graphs, partition, translate
+from terrane.operators import composites, cutting, entities, folds, geometry, graphs, partition, regions, translate
 from terrane.plans import compile as plans
 from terrane.plans import rulesets
 from terrane.plans.rules import parse_rules
 from terrane.session import shared_folder
-from terrane.streaming import replicate
+from terrane.streaming import replicate, transactions
 from terrane.views import table, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -584,6 +584,23 @@ def kd_split(spark, sf_dir):
     return partition.areas_table(spark, partition.split(histogram, most, cell_e7))
 
 
+#: A rectilinear polygon off the grid of CELL: a U with a step.
+STEPPED = [(-1700000001, -800000003), (1500000007, -800000003), (1500000007, 700000001), (600000000, 700000001), (600000000, -100000000), (-400000000, -100000000), (-400000000, 650000000), (-900000000, 650000000), (-900000000, 300000011), (-1700000001, 300000011)]
+STEPPED_SQL = "box(box, l, b, r, t) AS (VALUES (1, -1700000001, -800000003, -900000000, 300000011), (2, -900000000, -800000003, -400000000, 650000000), (3, -400000000, -800000003, 600000000, -100000000), (4, 600000000, -800000003, 1500000007, 700000001))"
+
+
+@query(with_views("node") + f", {STEPPED_SQL}, kept AS (SELECT floor((lon_e7 + 1800000000) / 100000000)::INTEGER AS cx, floor((lat_e7 + 900000000) / 100000000)::INTEGER AS cy, count(*) AS n FROM node GROUP BY 1, 2) SELECT cx, cy, n FROM kept JOIN box ON cx::BIGINT * 100000000 - 1750000000 >= l AND cx::BIGINT * 100000000 - 1750000000 < r AND cy::BIGINT * 100000000 - 850000000 >= b AND cy::BIGINT * 100000000 - 850000000 < t")
+def density_mask(spark, sf_dir):
+    return partition.mask(partition.density(views.nodes(spark, sf_dir), 100_000_000), regions.ring_table(spark, [STEPPED]), 100_000_000)
+
+
+@query(with_views("node") + f", {STEPPED_SQL} SELECT box::BIGINT AS box, (r - l)::BIGINT * (t - b)::BIGINT AS area, (SELECT count(*) FROM node WHERE lon_e7 >= l AND lon_e7 < r AND lat_e7 >= b AND lat_e7 < t) AS n FROM box")
+def rectilinear_fit(spark, sf_dir):
+    """For each rectangle of the polygon the summed area and nodes of its tiles: they fill it exactly."""
+    tiles = partition.fit(views.nodes(spark, sf_dir), partition.rectangles(STEPPED), 64, 20_000_000)
+    return tiles.groupBy("box").agg(F.sum((F.col("right") - F.col("left")) * (F.col("top") - F.col("bottom"))).alias("area"), F.sum("n").alias("n"))
+
+
 @query(TILED_SQL + "SELECT id, tile_id FROM nt")
 def tile_assign(spark, sf_dir):
     return partition.assign(views.nodes(spark, sf_dir), partition.areas_table(spark, AREAS), CELL).select("id", "tile_id")
@@ -862,6 +879,16 @@ def routing_edges(spark, sf_dir):
     return graphs.routing_edges(views.way_nodes(spark, sf_dir))
 
 
+@query("SELECT event_id, (floor((epoch_us(ts) + (event_id * 7919 % 90000) * 1000000) / 21600000000) + 1)::BIGINT AS sequence FROM events WHERE event_type <> 'signup'")
+def transaction_deltas(spark, sf_dir):
+    """Events as transactions that last up to 25 hours, sent in deltas of six hours; those of sign-ups never end."""
+    moment = lambda s: F.floor((F.unix_micros(F.col("ts").cast("timestamp")) + s * 1_000_000) / 21_600_000_000) + 1
+    log = table(spark, sf_dir, "events").select("event_id", moment(F.lit(0)).alias("began"), F.when(F.col("event_type") != "signup", moment(F.col("event_id") * 7919 % 90000)).alias("ended"))
+    folder = f"{shared_folder(spark)}/terrane-transactions-{uuid.uuid4().hex}"
+    transactions.snapshots_of(log, "event_id", "began", "ended").write.parquet(f"{folder}/snapshots")
+    return transactions.replicate(spark, log.select("event_id"), f"{folder}/snapshots", f"{folder}/deltas", f"{folder}/state", "event_id")
+
+
 @query()
 def islands(spark, sf_dir):
     return graphs.islands(graphs.routing_edges(views.way_nodes(spark, sf_dir)).select("a", "b"))  # all pairs of a part are too many for recursive SQL; a test has union-find

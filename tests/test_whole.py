@@ -95,3 +95,13 @@ def test_nearest_along_and_nearby_duplicates(spark):
     kept = graphs.nearby_duplicates(spark.createDataFrame(spots, "id long, kind string, lat_e7 long, lon_e7 long"), "kind", 25)
     alone = {i for i, k, a, o in spots if not any(k is not None and k == k2 and j < i and abs(a - b) <= 25 and abs(o - p) <= 25 for j, k2, b, p in spots)}
     assert {r.id for r in kept.collect()} == alone
+
+
+def test_islands_with_a_hub_and_one_large_part(spark, monkeypatch):
+    monkeypatch.setattr(graphs, "HOT", 8)
+    monkeypatch.setattr(graphs, "HOT_ROWS", 5)
+    chain = [(i, i + 1) for i in range(1000, 1200)]
+    star = [(5000, 5001 + i) for i in range(400)] + [(5001, 1000)]
+    edges = spark.createDataFrame(chain + star + [(9000, 9001)], "a long, b long")
+    found = {r.node: r.island for r in graphs.islands(edges).collect()}
+    assert found == {n: 9000 if n >= 9000 else 1000 for pair in chain + star + [(9000, 9001)] for n in pair}
