@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from terrane import views
 from terrane.functions import maths, strings, texts, words
-from terrane.operators import composites, cutting, entities, folds, geometry, graphs, partition, regions, translate
+from terrane.operators import composites, cutting, entities, folds, geometry, graphs, partition, regions, roundabouts, translate
 from terrane.plans import compile as plans
 from terrane.plans import rulesets
 from terrane.plans.rules import parse_rules
@@ -889,6 +889,38 @@ def transaction_deltas(spark, sf_dir):
     return transactions.replicate(spark, log.select("event_id"), f"{folder}/snapshots", f"{folder}/deltas", f"{folder}/state", "event_id")
 
 
+FLARE_SQL = with_views("way", "way_node") + """, step AS (SELECT user_id AS roundabout, way_id AS arm, seq AS pos, node_id % 40 AS node, (node_id % 40) * 37 % 301 - 150 AS x, (node_id % 40) * 53 % 301 - 150 AS y FROM way_node JOIN way ON id = way_id),
+  walked AS (SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py, lead(pos) OVER w IS NOT NULL AS extends FROM step WINDOW w AS (PARTITION BY roundabout, arm ORDER BY pos)),
+  summed AS (SELECT *, sum(coalesce(sqrt((x - px) ** 2 + (y - py) ** 2), 0)) OVER (PARTITION BY roundabout, arm ORDER BY pos) AS length FROM walked),
+  met AS (SELECT * FROM summed WHERE pos > 1 QUALIFY row_number() OVER (PARTITION BY roundabout, node, arm ORDER BY pos) = 1),
+  firsts AS (SELECT roundabout, arm, max(x) FILTER (pos = 1) AS ex, max(y) FILTER (pos = 1) AS ey, max(x) FILTER (pos = 2) AS fx, max(y) FILTER (pos = 2) AS fy FROM step GROUP BY ALL),
+  shared AS (SELECT met.*, ex, ey, fx, fy, priority AS name, status AS access, round(degrees(atan2(ey::DOUBLE, ex::DOUBLE)), 6) AS around, count(*) OVER (PARTITION BY met.roundabout, node) AS n FROM met JOIN firsts USING (roundabout, arm) JOIN way ON id = arm),
+  placed AS (SELECT *, row_number() OVER (PARTITION BY roundabout, node ORDER BY around, arm) AS k FROM shared WHERE n > 1),
+  pair AS (SELECT a.roundabout, a.node, a.n, least(a.arm, b.arm) AS arm_a, greatest(a.arm, b.arm) AS arm_b FROM placed a JOIN placed b ON a.roundabout = b.roundabout AND a.node = b.node AND b.k = a.k % a.n + 1),
+  twins AS (SELECT DISTINCT p.*, a AS a, b AS b FROM pair p JOIN placed a ON a.roundabout = p.roundabout AND a.node = p.node AND a.arm = arm_a JOIN placed b ON b.roundabout = p.roundabout AND b.node = p.node AND b.arm = arm_b),
+  best AS (SELECT * FROM twins QUALIFY row_number() OVER (PARTITION BY roundabout, arm_a, arm_b ORDER BY round(a.length + b.length, 6), node) = 1),
+  told AS (SELECT roundabout, arm_a, arm_b, node, n, a, b, round(a.length, 6) AS length_a, round(b.length, 6) AS length_b, round(sqrt((a.ex - b.ex) ** 2 + (a.ey - b.ey) ** 2), 6) AS separation,
+    degrees(atan2((a.py - a.y)::DOUBLE, (a.px - a.x)::DOUBLE)) - degrees(atan2((b.py - b.y)::DOUBLE, (b.px - b.x)::DOUBLE)) AS d1, degrees(atan2((a.fy - a.ey)::DOUBLE, (a.fx - a.ex)::DOUBLE)) - degrees(atan2((b.fy - b.ey)::DOUBLE, (b.fx - b.ex)::DOUBLE)) AS d2, a.around - b.around AS d3 FROM best),
+  angled AS (SELECT *, round(least(abs(d1), 360 - abs(d1)), 6) AS angle, round(least(abs(d2), 360 - abs(d2)), 6) AS bearing, round(least(abs(d3), 360 - abs(d3)), 6) AS entry_angle FROM told),
+  judged AS (SELECT *, greatest(length_a, length_b) <= 200 AS ok_length, greatest(length_a, length_b) <= 3 * least(length_a, length_b) AS ok_multiple, greatest(length_a, length_b) <= 7 * greatest(separation, 5) AS ok_separation, angle <= 90 AS ok_angle, bearing <= 90 AS ok_bearing, entry_angle <= 145 AS ok_entry,
+    NOT (a.extends AND b.extends) AS ok_extend, n = 2 AS ok_single, a.name = b.name AS ok_name, a.access = b.access AS ok_access FROM angled)
+  SELECT roundabout, arm_a, arm_b, node, round(length_a, 3) AS length_a, round(length_b, 3) AS length_b, round(separation, 3) AS separation, round(angle, 3) AS angle, round(bearing, 3) AS bearing, round(entry_angle, 3) AS entry_angle, ok_length, ok_multiple, ok_separation, ok_angle, ok_bearing, ok_entry, ok_extend, ok_single, ok_name, ok_access,
+    ok_length AND ok_multiple AND ok_separation AND ok_angle AND ok_bearing AND ok_entry AND ok_extend AND ok_single AND ok_name AND ok_access AS flare FROM judged"""
+
+
+@query(FLARE_SQL)
+def roundabout_flares(spark, sf_dir):
+    """Orders of a customer as roads from a roundabout at the origin, over nodes in metres; where they meet and what each rule says."""
+    node = F.col("node_id") % 40
+    ways = views.ways(spark, sf_dir)
+    steps = views.way_nodes(spark, sf_dir).join(ways.select(F.col("id").alias("way_id"), F.col("user_id").alias("roundabout")), "way_id")
+    steps = steps.select("roundabout", F.col("way_id").alias("arm"), F.col("seq").alias("pos"), node.alias("node"), (node * 37 % 301 - 150).alias("x"), (node * 53 % 301 - 150).alias("y"))
+    centres = ways.select(F.col("user_id").alias("roundabout"), F.lit(0.0).alias("cx"), F.lit(0.0).alias("cy")).distinct()
+    arms = ways.select(F.col("id").alias("arm"), F.col("tags")["priority"].alias("name"), F.col("tags")["status"].alias("access"))
+    found = roundabouts.flares(steps, centres, arms)
+    return found.withColumns({c: F.round(c, 3) for c in ("length_a", "length_b", "separation", "angle", "bearing", "entry_angle")})
+
+
 @query()
 def islands(spark, sf_dir):
     return graphs.islands(graphs.routing_edges(views.way_nodes(spark, sf_dir)).select("a", "b"))  # all pairs of a part are too many for recursive SQL; a test has union-find

@@ -57,7 +57,7 @@ def replicate(spark: SparkSession, changes: DataFrame, snapshots: str, out: str,
         seen = df.sparkSession.read.schema(SNAPSHOT).parquet(snapshots).where(F.col("sequence") < lowest)
         before = seen.orderBy(F.desc("sequence")).first()
         found = first_seen(changes, df, txid, before)
-        found.repartition("sequence", F.pmod(F.xxhash64(txid), F.lit(8))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sequence").parquet(out)
+        found.hint("rebalance", "sequence").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sequence").parquet(out)
 
     shape = changes.drop("sequence").withColumn("sequence", F.lit(0).cast("long"))
     shape.where(F.lit(False)).write.mode("append").partitionBy("sequence").parquet(out)  # the folder is there even if no delta is
