@@ -43,12 +43,18 @@ RAILWAYS = (
     ("rail", 0x010407, 0x012109, 22, 0x012103, 22), ("light_rail", 0x010407, 0x012108, 22, 0x012106, 22), ("monorail", 0x010407, 0x012108, 22, 0x012106, 22),
     ("subway", 0x010407, 0x012107, 22, 0x01210A, 22), ("tram", 0x010405, 0x01210E, 23, 0x14, 23),
 )
-# Waterway, resolutions, type in the open, type in a tunnel.
+# Railways drawn like rail; the platform; sidings and disused lines as above, which come before the others.
+LIKE_RAIL = ("preserved", "narrow_gauge", "funicular")
+PLATFORM = 0x010E1D
+SIDINGS = (("rail & service = *", 0x010407, 0x012109, 23, 0x012113, 23), ("disused", 0x010407, 0x012109, 24, 0x012113, 24))
+# Waterway, resolutions, type in the open, type in a tunnel, whether later rules are tried.
 WATERWAYS = (
-    ("canal", 24, 24, 0x26, 0x01201A), ("canal", 23, 23, 0x010102, 0x012018), ("canal", 21, 22, 0x010103, 0x012016),
-    ("ditch", 24, 24, 0x01010A, 0x01201B), ("drain", 24, 24, 0x012104, 0x01201C),
-    ("river", 24, 24, 0x1F, 0x012019), ("river", 23, 23, 0x010100, 0x012017), ("river", 21, 22, 0x010101, 0x012015), ("stream", 24, 24, 0x18, 0x01201D),
+    ("canal", 24, 24, 0x26, 0x01201A, True), ("canal", 23, 23, 0x010102, 0x012018, True), ("canal", 21, 22, 0x010103, 0x012016, True),
+    ("ditch", 24, 24, 0x01010A, 0x01201B, True), ("drain", 24, 24, 0x012104, 0x01201C, False),
+    ("river", 24, 24, 0x1F, 0x012019, True), ("river", 23, 23, 0x010100, 0x012017, True), ("river", 21, 22, 0x010101, 0x012015, False), ("stream", 24, 24, 0x18, 0x01201D, False),
 )
+# Types and resolutions of walls across the water; a weir that is a building is none.
+DAM, WEIR = (0x01010C, 23), (0x012105, 22)
 # Lifts.
 LIFTS = ((("cable_car", "gondola", "mixed_lift"), 0x011F1F), (("chair_lift", "drag_lift", "t-bar", "j-bar", "platter"), 0x011F1E), (("rope_tow",), 0x011F1E), (("magic_carpet",), 0x011F1E), (("goods",), 0x01210D))
 LIFT_ROUTE = 0x11
@@ -101,14 +107,20 @@ def labels() -> str:
 
 
 def railways() -> str:
-    lines = []
-    for value, bridge, tunnel, tunnel_low, plain, low in RAILWAYS:
+    """Preserved, narrow-gauge and funicular railways are rail; sidings and disused lines are told apart before it."""
+    lines = [f"railway = {value} {{ set railway = rail }}" for value in LIKE_RAIL]
+    lines.append(f"railway = platform & (area != * | area = no) [0x{PLATFORM:06x} resolution 24]")
+    for value, bridge, tunnel, tunnel_low, plain, low in SIDINGS + RAILWAYS:
         lines += [f"railway = {value} & bridge = * & bridge != no [0x{bridge:06x} resolution 24 continue]", f"railway = {value} & tunnel = yes [0x{tunnel:06x} resolution {tunnel_low}]", f"railway = {value} [0x{plain:02x} resolution {low}]"]
     return "\n".join(lines)
 
 
 def waterways() -> str:
-    return "\n".join(f"waterway = {value} & tunnel {op} * [0x{kind:02x} resolution {low}-{high} continue]" for value, low, high, open_, closed in WATERWAYS for op, kind in (("!=", open_), ("=", closed)))
+    """Drains, streams and a river's last range end an entity, the others let later rules have it."""
+    lines = [f"waterway = dam [0x{DAM[0]:06x} resolution {DAM[1]} continue]", f"waterway = weir & building != * [0x{WEIR[0]:06x} resolution {WEIR[1]} continue]"]
+    for value, low, high, open_, closed, goes_on in WATERWAYS:
+        lines += [f"waterway = {value} & tunnel {op} * [0x{kind:02x} resolution {low}-{high}{' continue' * goes_on}]" for op, kind in (("!=", open_), ("=", closed))]
+    return "\n".join(lines)
 
 
 def lifts() -> str:

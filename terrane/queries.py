@@ -430,6 +430,25 @@ def family_waterways(spark, sf_dir):
     return plans.apply_rules(tagged(spark, sf_dir, tags), parse_rules(rulesets.waterways())).select("id", "type", "low", "high")
 
 
+@query("""WITH p AS (SELECT p_partkey AS id, ['rail', 'disused', 'narrow_gauge', 'funicular', 'preserved', 'platform'][p_partkey % 6 + 1] AS r, p_size % 2 = 0 AS s, p_size % 3 = 0 AS b, p_size % 5 = 0 AS t, p_size % 4 AS a FROM part)
+SELECT id, 66567 AS type, 24 AS low FROM p WHERE r <> 'platform' AND b
+UNION ALL SELECT id, CASE WHEN t THEN 73993 WHEN r = 'disused' OR s THEN 74003 ELSE 73987 END, CASE WHEN r = 'disused' THEN 24 WHEN s THEN 23 ELSE 22 END FROM p WHERE r <> 'platform'
+UNION ALL SELECT id, 69149, 24 FROM p WHERE r = 'platform' AND a < 3""")
+def family_sidings(spark, sf_dir):
+    tags = {"railway": pick(KEY(), ("rail", "disused", "narrow_gauge", "funicular", "preserved", "platform")), "service": F.when(SIZE() % 2 == 0, "yard"), "bridge": F.when(SIZE() % 3 == 0, "viaduct").when(SIZE() % 3 == 1, "no")}
+    tags |= {"tunnel": F.when(SIZE() % 5 == 0, "yes"), "area": F.when(SIZE() % 4 == 3, "yes").when(SIZE() % 4 == 2, "no")}
+    return plans.apply_rules(tagged(spark, sf_dir, tags), parse_rules(rulesets.railways())).select("id", "type", "low")
+
+
+@query("""WITH p AS (SELECT p_partkey AS id, ['river', 'stream', 'drain', 'ditch', 'dam', 'weir'][p_partkey % 6 + 1] AS w, p_size % 3 = 0 AS tunnel, p_size % 2 = 0 AS building FROM part)
+SELECT id, CASE WHEN tunnel THEN t ELSE o END AS type, low, high FROM p JOIN (VALUES ('ditch', 24, 24, 65802, 73755), ('drain', 24, 24, 73988, 73756), ('river', 24, 24, 31, 73753), ('river', 23, 23, 65792, 73751), ('river', 21, 22, 65793, 73749), ('stream', 24, 24, 24, 73757)) AS l(w, low, high, o, t) USING (w)
+UNION ALL SELECT id, 65804, 23, 24 FROM p WHERE w = 'dam' UNION ALL SELECT id, 73989, 22, 24 FROM p WHERE w = 'weir' AND NOT building UNION ALL SELECT id, 127, 24, 24 FROM p WHERE w IN ('ditch', 'dam', 'weir')""")
+def family_waterways_end(spark, sf_dir):
+    """Waterways with a rule behind them, which those that end an entity keep from it."""
+    tags = {"waterway": pick(KEY(), ("river", "stream", "drain", "ditch", "dam", "weir")), "tunnel": F.when(SIZE() % 3 == 0, "culvert"), "building": F.when(SIZE() % 2 == 0, "yes")}
+    return plans.apply_rules(tagged(spark, sf_dir, tags), parse_rules(rulesets.waterways() + "\nwaterway = * [0x7f resolution 24]")).select("id", "type", "low", "high")
+
+
 @query("""WITH p AS (SELECT p_partkey AS id, ['gondola', 't-bar', 'rope_tow', 'goods', 'station'][p_partkey % 5 + 1] AS a FROM part)
 SELECT id, 17 AS type, 0 AS road_class FROM p WHERE a IN ('gondola', 't-bar') UNION ALL SELECT id, CASE a WHEN 'gondola' THEN 73503 WHEN 'goods' THEN 73997 ELSE 73502 END, NULL FROM p WHERE a <> 'station'""")
 def family_lifts(spark, sf_dir):
