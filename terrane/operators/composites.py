@@ -36,6 +36,37 @@ CITY_LEVELS = (
 #: Country, level and the names there that are cities, whatever else is known.
 CITY_STATES = (("DEU", 4, ("Hamburg", "Berlin")),)
 
+# What a way that is official for one mode says of the others where nothing is set; earlier modes come first.
+OFFICIAL = {
+    "foot": {"bicycle": "no", "vehicle": "no", "motor_vehicle": "no", "motorcar": "no", "access": "no"},
+    "bicycle": {"foot": "no", "vehicle": "no", "motor_vehicle": "no", "motorcar": "no", "access": "no"},
+    "vehicle": {"bicycle": "yes", "foot": "no", "motor_vehicle": "yes", "motorcar": "yes", "access": "no"},
+    "motor_vehicle": {"bicycle": "no", "vehicle": "no", "foot": "no", "motorcar": "yes", "access": "no"},
+    "motorcar": {"bicycle": "no", "vehicle": "no", "motor_vehicle": "no", "foot": "no", "access": "no"},
+    "access": {"foot": "yes", "bicycle": "yes", "vehicle": "yes", "motor_vehicle": "yes"},
+}
+
+
+def official_access(tags: Mapping[str, Column], highway: Column | None = None) -> dict[str, Column]:
+    """The access tags (keys of OFFICIAL) after ``official`` has been resolved, and ``bfdesignated``; what comes before ``inherit_access``.
+
+    A cycleway without access or vehicle is open to bicycles, a footway without access to pedestrians. A mode that is official
+    closes or opens the others, but only where they are unset. bfdesignated is yes where foot or bicycle is official or designated.
+    """
+    none = F.lit(None).cast("string")
+    own = {k: tags.get(k, none) for k in OFFICIAL}
+    if highway is not None:
+        free = own["access"].isNull()
+        own["bicycle"] = F.coalesce(own["bicycle"], F.when((highway == "cycleway") & free & own["vehicle"].isNull(), "yes"))
+        own["foot"] = F.coalesce(own["foot"], F.when((highway == "footway") & free, "yes"))
+    out = {}
+    for k, c in own.items():
+        mine = F.when(c == "official", "yes").otherwise(c) if k in ("foot", "bicycle", "access") else c
+        out[k] = F.coalesce(mine, *(F.when(own[m] == "official", says[k]) for m, says in OFFICIAL.items() if k in says))
+    for k in ("foot", "bicycle"):
+        out[k] = F.when(own[k] == "designated", "yes").otherwise(out[k])
+    return out | {"bfdesignated": F.when(F.coalesce(own["foot"].isin("official", "designated"), F.lit(False)) | F.coalesce(own["bicycle"].isin("official", "designated"), F.lit(False)), "yes")}
+
 
 def normal_access(c: Column) -> Column:
     return F.when(c.isin(*ACCESS_YES), "yes").when(c.isin(*ACCESS_NO), "no").otherwise(c)

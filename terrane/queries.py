@@ -212,6 +212,39 @@ def access_inherit(spark, sf_dir):
     return o.withColumn("routable", composites.routable(col("car"), col("bicycle"), col("foot")))
 
 
+#: One step for each mode: (mode, what it says where nothing is set, whether it becomes a plain yes).
+OFFICIAL_STEPS = (
+    ("foot", "bicycle no, vehicle no, motor_vehicle no, motorcar no, access no", True), ("bicycle", "foot no, vehicle no, motor_vehicle no, motorcar no, access no", True),
+    ("vehicle", "bicycle yes, foot no, motor_vehicle yes, motorcar yes, access no", False), ("motor_vehicle", "bicycle no, vehicle no, foot no, motorcar yes, access no", False),
+    ("motorcar", "bicycle no, vehicle no, motor_vehicle no, foot no, access no", False), ("access", "foot yes, bicycle yes, vehicle yes, motor_vehicle yes", True),
+)
+
+
+def official_sql() -> str:
+    """The steps one after the other, each a table."""
+    modes, steps = [m for m, _, _ in OFFICIAL_STEPS], []
+    for i, (mode, says, plain) in enumerate(OFFICIAL_STEPS):
+        fills = dict(x.split() for x in says.split(", "))
+        new = [f"CASE WHEN {mode} = 'official' AND {k} IS NULL THEN '{fills[k]}' ELSE {k} END AS {k}" if k in fills else f"CASE WHEN {k} = 'official' THEN 'yes' ELSE {k} END AS {k}" if plain and k == mode else k for k in modes]
+        signed = f"CASE WHEN {mode} = 'official' THEN 'yes' ELSE bfdesignated END AS bfdesignated" if i < 2 else "bfdesignated"
+        steps.append(f"s{i + 1} AS (SELECT id, {', '.join(new)}, {signed} FROM s{i})")
+    tags = ", ".join(f"CASE WHEN o_orderkey % {p} = 0 THEN 'official' WHEN o_orderkey % {p} = 1 THEN '{other}' END AS {k}" for k, p, other in OFFICIAL_DATA)
+    start = f"t AS (SELECT o_orderkey AS id, {tags}, ['cycleway', 'footway', 'track'][o_custkey % 3 + 1] AS highway FROM orders), s0 AS (SELECT id, CASE WHEN foot IS NULL AND highway = 'footway' AND access IS NULL THEN 'yes' ELSE foot END AS foot, CASE WHEN bicycle IS NULL AND highway = 'cycleway' AND access IS NULL AND vehicle IS NULL THEN 'yes' ELSE bicycle END AS bicycle, vehicle, motor_vehicle, motorcar, access, NULL::VARCHAR AS bfdesignated FROM t)"
+    last = "SELECT id, vehicle, motor_vehicle, motorcar, access, CASE WHEN foot = 'designated' OR bicycle = 'designated' THEN 'yes' ELSE bfdesignated END AS bfdesignated, CASE WHEN foot = 'designated' THEN 'yes' ELSE foot END AS foot, CASE WHEN bicycle = 'designated' THEN 'yes' ELSE bicycle END AS bicycle FROM s6"
+    return f"WITH {start}, {', '.join(steps)} {last}"
+
+
+OFFICIAL_DATA = (("foot", 3, "designated"), ("bicycle", 5, "designated"), ("vehicle", 7, "private"), ("motor_vehicle", 4, "destination"), ("motorcar", 6, "no"), ("access", 11, "private"))
+
+
+@query(official_sql())
+def access_official(spark, sf_dir):
+    key = F.col("o_orderkey")
+    tags = {k: F.when(key % p == 0, "official").when(key % p == 1, other) for k, p, other in OFFICIAL_DATA}
+    highway = F.element_at(F.array(F.lit("cycleway"), F.lit("footway"), F.lit("track")), (F.col("o_custkey") % 3 + 1).cast("int"))
+    return table(spark, sf_dir, "orders").select(key.alias("id"), *[c.alias(k) for k, c in composites.official_access(tags, highway).items()])
+
+
 @query(ORDER_SQL + "SELECT id, coalesce(vehicle, access) AS vehicle, coalesce(motor_vehicle, vehicle, access) AS motor_vehicle, coalesce(motor_vehicle, vehicle, access) AS bus, coalesce(foot, motor_vehicle, vehicle, access) AS taxi FROM o")
 def access_tree(spark, sf_dir):
     tree = composites.access_tree(F.col("access"), F.col("vehicle"), F.col("motor_vehicle"), {"bus": F.lit(None).cast("string"), "taxi": F.col("foot")})
