@@ -86,8 +86,9 @@ def other_areas() -> str:
 
 
 def power_areas() -> str:
-    """Power stations show earlier if they are long; needs a column ``length``."""
-    return "\n".join(f"(power = generator | power = station | power = plant) & building != yes & length() {op} 150 [0x25 resolution {low} continue]" for op, low in ((">", 22), ("<=", 24)))
+    """Power stations, and substations, which end an entity, show earlier if they are long; needs a column ``length``."""
+    kinds = (("power = generator | power = station | power = plant", " continue"), ("power = sub_station | power = substation", ""))
+    return "\n".join(f"({any_of}) & building != yes & length() {op} 150 [0x25 resolution {low}{goes_on}]" for any_of, goes_on in kinds for op, low in ((">", 22), ("<=", 24)))
 
 
 def roads() -> str:

@@ -422,6 +422,15 @@ def family_power(spark, sf_dir):
     return plans.apply_rules(frame, parse_rules(rulesets.power_areas()), geometry=("length",)).select("id", "type", "low")
 
 
+@query("""WITH p AS (SELECT p_partkey AS id, ['substation', 'sub_station', 'plant', 'line'][p_partkey % 4 + 1] AS p, p_partkey % 5 = 0 AS building, p_size * 8.0 > 150 AS long FROM part)
+SELECT id, 37 AS type, CASE WHEN long THEN 22 ELSE 24 END AS low FROM p WHERE p <> 'line' AND NOT building UNION ALL SELECT id, 127, 24 FROM p WHERE building OR p IN ('plant', 'line')""")
+def family_substations(spark, sf_dir):
+    """Substations end an entity, power stations leave it to the rule behind."""
+    tags = {"power": pick(KEY(), ("substation", "sub_station", "plant", "line")), "building": F.when(KEY() % 5 == 0, "yes")}
+    frame = tagged(spark, sf_dir, tags).withColumn("length", F.col("size") * 8.0)
+    return plans.apply_rules(frame, parse_rules(rulesets.power_areas() + "\npower = * [0x7f resolution 24]"), geometry=("length",)).select("id", "type", "low")
+
+
 @query("""WITH p AS (SELECT p_partkey AS id, p_size AS s, ['motorway', 'primary', 'residential', 'living_street', 'path'][p_partkey % 5 + 1] AS h, p_size % 6 = 0 AS around, CASE WHEN p_partkey % 3 > 0 THEN p_name END AS name, CASE WHEN p_size % 4 > 0 THEN 'A' || p_size || ';B' || p_partkey % 10 END AS ref, p_size % 3 = 1 AS bridge FROM part),
 r AS (SELECT *, around AND h IN ('motorway', 'primary', 'residential') AS circle FROM p),
 n AS (SELECT *, CASE WHEN circle OR h NOT IN ('motorway', 'primary') THEN name WHEN h = 'motorway' THEN ref ELSE coalesce(name, ref) END AS label FROM r),
