@@ -19,7 +19,9 @@ from __future__ import annotations
 import gzip
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
+from contextlib import suppress
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -65,6 +67,10 @@ LENGTH = re.compile(rb"Content-Length: (\d+)\Z")
 NEXT = b"\r\n\r\nWARC/1.0\r\n"
 
 
+#: Bytes of a damaged file that are inflated at a time.
+PIECE = 1 << 16
+
+
 def records_of(data: bytes) -> Iterator[tuple[int, int, str]]:
     """Offset, length and key of each record of a WARC file; bytes that are no record go up to where the next one begins."""
     at = 0
@@ -79,10 +85,33 @@ def records_of(data: bytes) -> Iterator[tuple[int, int, str]]:
         at = end
 
 
+def inflated(content: bytes) -> bytes:
+    """The bytes of a gzip file; of a damaged or cut one those that come before its fault, with what its bits now say."""
+    try:
+        return gzip.decompress(content)
+    except (OSError, EOFError, zlib.error):
+        out, inflate = [], zlib.decompressobj(31)
+    for a in range(0, len(content), PIECE):
+        piece = content[a : a + PIECE]
+        while piece:
+            before = inflate.copy()
+            try:
+                out.append(inflate.decompress(piece))
+            except zlib.error:  # byte by byte, so that nothing before the fault is lost
+                with suppress(zlib.error):
+                    for i in range(len(piece)):
+                        out.append(before.decompress(piece[i : i + 1]))
+                return b"".join(out)
+            piece = inflate.unused_data
+            if inflate.eof:
+                inflate = zlib.decompressobj(31)
+    return b"".join(out)
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            data, place = gzip.decompress(content.as_py()), re.search(r"part-(\d+)-.*-c(\d+)", path)
+            data, place = inflated(content.as_py()), re.search(r"part-(\d+)-.*-c(\d+)", path)
             found = [(a, n, key, hashlib.sha256(data[a : a + n]).digest()) for a, n, key in records_of(data)]
             offsets, lengths, keys, digests = zip(*found, strict=True) if found else ((), (), (), ())
             segment = [f"{place[1]}-{place[2]}"] * len(found)
@@ -178,7 +207,8 @@ def locate_corruption(spark: SparkSession, replica_a: str, replica_b: str) -> Da
     segment and offset are of a, of extra ones of b. Repeated keys are told apart by digest, those
     with unlike digests pair in any order; equal records count by their number of copies. Records
     without a key share the empty one. Two empty folders differ in nothing; against an empty one all
-    records are missing or extra.
+    records are missing or extra. A damaged or cut gzip file counts as far as it can be inflated: the record at its fault is altered,
+    extra or missing, and those behind it are missing.
     """
     a, b = (stored(read_warc(spark, path), "warc-index") for path in (replica_a, replica_b))
     return compare(a, b)
