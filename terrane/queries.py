@@ -20,6 +20,7 @@ from terrane.plans import compile as plans
 from terrane.plans import rulesets
 from terrane.plans.rules import parse_rules
 from terrane.session import shared_folder
+from terrane.sources import pbf
 from terrane.streaming import replicate, transactions
 from terrane.views import table, with_views
 
@@ -1057,6 +1058,39 @@ def stream_apply(spark, sf_dir):
     return alive.select("id", "version", "k")
 
 
+# Binary entity files ---------------------------------------------------------------------------------------
+
+def through_pbf(entities: DataFrame, kind: str) -> DataFrame:
+    """Entities written as binary files and read back from them, in splits of 1 MB."""
+    path = f"{shared_folder(entities.sparkSession)}/terrane-pbf-{uuid.uuid4().hex}"
+    pbf.write_pbf(entities, path, kind)
+    return pbf.read_pbf(entities.sparkSession, path, kind, split_bytes=1 << 20)
+
+
+@query(with_views("node") + "SELECT id, lat_e7, lon_e7, ptype, brand, pname, size::VARCHAR AS size FROM node")
+def pbf_nodes(spark, sf_dir):
+    back = through_pbf(views.nodes(spark, sf_dir), "node")
+    return back.select("id", "lat_e7", "lon_e7", *[F.col("tags")[k].alias(k) for k in ("ptype", "brand", "pname", "size")])
+
+
+@query(with_views("way", "way_node") + """SELECT id, user_id::INTEGER AS user_id, tstamp::TIMESTAMP AS tstamp, status, priority, nodes FROM way
+JOIN (SELECT way_id, string_agg(node_id, ',' ORDER BY seq) AS nodes FROM way_node GROUP BY way_id) ON id = way_id""")
+def pbf_ways(spark, sf_dir):
+    """Ways with the ordered nodes of their lines."""
+    lists = views.way_nodes(spark, sf_dir).groupBy(F.col("way_id").alias("id")).agg(F.array_sort(F.collect_list(F.struct("seq", "node_id")))["node_id"].alias("nodes"))
+    back = through_pbf(views.ways(spark, sf_dir).join(lists, "id"), "way")
+    return back.select("id", "user_id", F.col("tstamp").cast("timestamp_ntz").alias("tstamp"), F.col("tags")["status"].alias("status"), F.col("tags")["priority"].alias("priority"), F.array_join("nodes", ",").alias("nodes"))
+
+
+@query("SELECT o_custkey AS id, count(*) AS n, string_agg('way' || o_orderkey || o_orderstatus, ',' ORDER BY o_orderkey) AS members FROM orders GROUP BY o_custkey")
+def pbf_relations(spark, sf_dir):
+    """A relation for each customer, its orders as members with the status as their role."""
+    member = F.struct(F.lit("way").alias("type"), F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("role"))
+    relations = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.sort_array(F.collect_list(member)).alias("members"))
+    shown = F.transform("members", lambda m: F.concat(m["type"], m["id"].cast("string"), m["role"]))
+    return through_pbf(relations, "relation").select("id", F.size("members").cast("long").alias("n"), F.array_join(shown, ",").alias("members"))
+
+
 EVENT_TAGS = "e AS (SELECT user_id AS id, event_type AS key, props->>'$.k' AS value, ts, event_id FROM events)"
 
 
