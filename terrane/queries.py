@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from terrane import views
 from terrane.functions import maths, strings, texts, words
-from terrane.operators import composites, cutting, entities, folds, geometry, graphs, partition, regions, roundabouts, translate
+from terrane.operators import composites, cutting, entities, folds, geometry, graphs, partition, regions, roundabouts, sea, translate
 from terrane.plans import compile as plans
 from terrane.plans import rulesets
 from terrane.plans.rules import parse_rules
@@ -1058,6 +1058,63 @@ def stream_apply(spark, sf_dir):
     return alive.select("id", "version", "k")
 
 
+# Coast and sea ---------------------------------------------------------------------------------------------
+
+SEA_TILE = 100_000_000
+#: Islands by a rule that SQL has too: a rectangle for each part, some with a lake, in squares of their own up to 500 000 parts.
+ISLAND_SQL = """island AS (SELECT p_partkey AS k, p_size AS size, ((p_partkey * 7919) % 1000) * 3600000 - 1800000000 + 200000 AS x0, ((p_partkey * 7919) // 1000 % 500) * 3600000 - 900000000 + 200000 AS y0,
+  600000 + p_size * 50000 AS w, 600000 + (p_partkey % 50) * 50000 AS h FROM part),
+box AS (SELECT k, size, 0 AS lake, x0, y0, x0 + w AS x1, y0 + h AS y1 FROM island UNION ALL
+  SELECT k, size, 1, x0 + 200000, y0 + 200000, x0 + 400000, y0 + 400000 FROM island WHERE size > 25)"""
+
+
+def coast_pieces(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Pieces (id, first_node, last_node) and their points: four sides of an island in scrambled order of ids, of a lake the other way round.
+
+    Where size % 10 is 9 the last side of the island is missing, where it is 8 it ends 10 units before the first begins.
+    """
+    k, size = F.col("p_partkey"), F.col("p_size").cast("long")
+    x0, y0 = (k * 7919 % 1000) * 3600000 - 1800000000 + 200000, F.expr("(p_partkey * 7919) div 1000 % 500") * 3600000 - 900000000 + 200000
+    part = table(spark, sf_dir, "part").select(k.alias("k"), size.alias("size"), x0.alias("x0"), y0.alias("y0"), (x0 + 600000 + size * 50000).alias("x1"), (y0 + 600000 + k % 50 * 50000).alias("y1"))
+    land = part.withColumn("lake", F.lit(0))
+    lakes = part.where("size > 25").select("k", "size", (F.col("x0") + 200000).alias("x0"), (F.col("y0") + 200000).alias("y0"), (F.col("x0") + 400000).alias("x1"), (F.col("y0") + 400000).alias("y1"), F.lit(1).alias("lake"))
+    corners = [("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1")]
+
+    def side(c: int, lake: bool) -> list:
+        (xa, ya), (xb, yb) = (corners[-c], corners[-c - 1]) if lake else (corners[c], corners[(c + 1) % 4])
+        end = F.lit((c + 1) % 4 + 4 * lake)
+        short = (F.col("size") % 10 == 8) & F.lit(c == 3 and not lake)
+        return [F.lit(4 * lake + c * 3 % 4).alias("o"), F.lit(4 * lake + c).alias("a"), F.when(short, 8).otherwise(end).alias("b"), F.lit(c).alias("c"),
+                F.col(xa).alias("xa"), F.col(ya).alias("ya"), F.col(xb).alias("xb"), F.when(short, F.col(yb) + 10).otherwise(F.col(yb)).alias("yb")]
+
+    sides = F.when(F.col("lake") == 1, F.array(*[F.struct(*side(c, True)) for c in range(4)])).otherwise(F.array(*[F.struct(*side(c, False)) for c in range(4)]))
+    rows = land.unionByName(lakes).select("k", "size", "lake", F.explode(sides).alias("s")).where("NOT (size % 10 = 9 AND lake = 0 AND s.c = 3)")
+    pieces = rows.select((F.col("k") * 16 + F.col("s.o")).alias("id"), (F.col("k") * 16 + F.col("s.a")).alias("first_node"), (F.col("k") * 16 + F.col("s.b")).alias("last_node"))
+    ends = F.array(*[F.struct(F.lit(n).alias("seq"), F.col(f"s.x{e}").alias("lon_e7"), F.col(f"s.y{e}").alias("lat_e7")) for n, e in enumerate("ab")])
+    return pieces, rows.select((F.col("k") * 16 + F.col("s.o")).alias("id"), F.explode(ends).alias("p")).select("id", "p.*")
+
+
+@query(f"""WITH {ISLAND_SQL} SELECT k * 16 + lake * 4 + c * 3 % 4 AS id, k * 16 + lake * 4 AS ring, c AS position, lake = 1 OR size % 10 NOT IN (8, 9) AS closed,
+  CASE WHEN lake = 1 THEN 'lake' WHEN size % 10 <> 9 THEN 'land' END AS kind FROM box, range(4) r(c) WHERE NOT (lake = 0 AND size % 10 = 9 AND c = 3)""")
+def coast_rings(spark, sf_dir):
+    """Every coastline piece with its ring, place and what the ring encloses (null where it stays open)."""
+    pieces, points = coast_pieces(spark, sf_dir)
+    members = sea.join_pieces(pieces)
+    areas = sea.ring_areas(sea.coast_segments(members, points, gap_e7=10))
+    return members.join(areas.select("ring", "kind"), "ring", "left").select("id", "ring", "position", "closed", "kind")
+
+
+@query(f"""WITH {ISLAND_SQL}, tile AS (SELECT c AS col, r AS row, c * {SEA_TILE} - 1800000000 AS l, r * {SEA_TILE} - 900000000 AS b FROM range(36) x(c), range(18) y(r)),
+a AS (SELECT col, row, sum((1 - 2 * lake) * (least(x1, l + {SEA_TILE}) - greatest(x0, l)) * (least(y1, b + {SEA_TILE}) - greatest(y0, b))) AS area
+  FROM box JOIN tile ON x0 < l + {SEA_TILE} AND x1 > l AND y0 < b + {SEA_TILE} AND y1 > b WHERE lake = 1 OR size % 10 <> 9 GROUP BY col, row)
+SELECT col AS "column", row AS "row", (2 * coalesce(area, 0))::BIGINT AS double_land, CASE WHEN coalesce(area, 0) = 0 THEN 'sea' ELSE 'mixed' END AS kind FROM tile LEFT JOIN a USING (col, row)""")
+def sea_land_tiles(spark, sf_dir):
+    """Land of every tile of 10 degrees, from the coastline."""
+    pieces, points = coast_pieces(spark, sf_dir)
+    parts = sea.coast_segments(sea.join_pieces(pieces), points, gap_e7=10)
+    return sea.sea_tiles(parts, SEA_TILE).select("column", "row", F.col("double_land").cast("long").alias("double_land"), "kind")
+
+
 # Binary entity files ---------------------------------------------------------------------------------------
 
 def through_pbf(entities: DataFrame, kind: str) -> DataFrame:

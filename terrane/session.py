@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,3 +62,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage in the shared folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """A table written in the shared folder and read back, and its path.
+
+    For loops that join a table with itself: a checkpoint keeps the plan's estimate of its size, the digits of which double with each such join.
+    """
+    path = f"{shared_folder(df.sparkSession)}/terrane-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``stored`` wrote."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -142,7 +142,14 @@ def signed(value: int) -> int:
 
 
 def small(value: int) -> bytes:
-    return pack(np.array([value]))[0]
+    """One varint."""
+    value &= (1 << 64) - 1
+    out = bytearray()
+    while value > 127:
+        out.append(value & 127 | 128)
+        value >>= 7
+    out.append(value)
+    return bytes(out)
 
 
 def number(field: int, value: int) -> bytes:
