@@ -24,8 +24,8 @@ def _wide(c: Column) -> Column:
     return c.cast(WIDE)
 
 
-def _jumped(before: DataFrame) -> DataFrame:
-    """(id, far, steps, done, least) from (id, before): the first piece of a chain and the steps to it, or, where ``done`` is
+def _jumped(before: DataFrame) -> tuple[DataFrame, str]:
+    """(id, far, steps, done, least) from (id, before), and the folder that they are in: the first piece of a chain and the steps to it, or, where ``done`` is
     false, pieces on a ring with its smallest id in ``least``."""
     start = F.col("before").isNull()
     names = ["far", "steps", "done", "least"]
@@ -37,7 +37,7 @@ def _jumped(before: DataFrame) -> DataFrame:
         mark = tuple(state.agg(*active).first())
         if not mark[0] or mark == last:
             # Minima over windows of twice the length that are all the same as before are those of whole rings.
-            return state.select("id", "s.*")
+            return state.select("id", "s.*"), path
         last = mark
         # A piece that is done meets itself: every key occurs once on both sides, and the partitions stay as many as they are.
         ahead = state.select(F.col("id").alias("__key"), F.col("s").alias("t"))
@@ -60,13 +60,18 @@ def join_pieces(pieces: DataFrame) -> DataFrame:
     begins = open_pieces.where("first_node IS NOT NULL").groupBy(F.col("first_node").alias("node")).agg(F.min("id").alias("id"))
     ends = open_pieces.where("last_node IS NOT NULL").groupBy(F.col("last_node").alias("node")).agg(F.min("id").alias("before"))
     linked = open_pieces.select("id").join(begins.join(ends, "node").select("id", "before"), "id", "left")
-    state = _jumped(checkpointed(linked))
+    linked = checkpointed(linked)
+    state, first = _jumped(linked)
     chains = state.where("done").select("id", F.col("far").alias("ring"), F.col("steps").alias("position"), F.lit(False).alias("closed"))
     on_rings = state.where("NOT done").select("id", F.col("least").alias("ring"))
     cut = on_rings.join(linked, "id").select("id", F.when(F.col("id") != F.col("ring"), F.col("before")).alias("before"))
-    placed = _jumped(cut).select("id", F.col("far").alias("ring"), F.col("steps").alias("position"), F.lit(True).alias("closed"))
+    ranks, second = _jumped(cut)
+    placed = ranks.select("id", F.col("far").alias("ring"), F.col("steps").alias("position"), F.lit(True).alias("closed"))
     single = pieces.where(alone).select("id", F.col("id").alias("ring"), F.lit(0).cast("long").alias("position"), F.lit(True).alias("closed"))
-    return checkpointed(chains.unionByName(placed).unionByName(single))
+    out = checkpointed(chains.unionByName(placed).unionByName(single))
+    for path in (first, second):
+        discard(out.sparkSession, path)
+    return out
 
 
 def coast_segments(members: DataFrame, points: DataFrame, gap_e7: int = 0) -> DataFrame:
