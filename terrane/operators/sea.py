@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from terrane.operators import cutting
 from terrane.operators.partition import WORLD
-from terrane.session import checkpointed, discard, stored
+from terrane.session import checkpointed, discard, shuffled, stored
 
 WIDE = "decimal(20,0)"
 
@@ -41,7 +41,7 @@ def _jumped(before: DataFrame) -> tuple[DataFrame, str]:
         last = mark
         # A piece that is done meets itself: every key occurs once on both sides, and the partitions stay as many as they are.
         ahead = state.select(F.col("id").alias("__key"), F.col("s").alias("t"))
-        met = state.withColumn("__key", F.when(F.col("s.done"), F.col("id")).otherwise(F.col("s.far"))).join(ahead, "__key")
+        met = state.withColumn("__key", F.when(F.col("s.done"), F.col("id")).otherwise(F.col("s.far"))).join(shuffled(ahead), "__key")
         step = [F.col("t.far"), F.col("s.steps") + F.col("t.steps"), F.col("t.done"), F.least("s.least", "t.least")]
         moved = F.struct(*[c.alias(n) for n, c in zip(names, step)])
         old = path
@@ -59,12 +59,12 @@ def join_pieces(pieces: DataFrame) -> DataFrame:
     open_pieces = pieces.where(~F.coalesce(alone, F.lit(False)))
     begins = open_pieces.where("first_node IS NOT NULL").groupBy(F.col("first_node").alias("node")).agg(F.min("id").alias("id"))
     ends = open_pieces.where("last_node IS NOT NULL").groupBy(F.col("last_node").alias("node")).agg(F.min("id").alias("before"))
-    linked = open_pieces.select("id").join(begins.join(ends, "node").select("id", "before"), "id", "left")
+    linked = open_pieces.select("id").join(shuffled(begins.join(shuffled(ends), "node").select("id", "before")), "id", "left")
     linked = checkpointed(linked)
     state, first = _jumped(linked)
     chains = state.where("done").select("id", F.col("far").alias("ring"), F.col("steps").alias("position"), F.lit(False).alias("closed"))
     on_rings = state.where("NOT done").select("id", F.col("least").alias("ring"))
-    cut = on_rings.join(linked, "id").select("id", F.when(F.col("id") != F.col("ring"), F.col("before")).alias("before"))
+    cut = on_rings.join(shuffled(linked), "id").select("id", F.when(F.col("id") != F.col("ring"), F.col("before")).alias("before"))
     ranks, second = _jumped(cut)
     placed = ranks.select("id", F.col("far").alias("ring"), F.col("steps").alias("position"), F.lit(True).alias("closed"))
     single = pieces.where(alone).select("id", F.col("id").alias("ring"), F.lit(0).cast("long").alias("position"), F.lit(True).alias("closed"))
@@ -79,14 +79,14 @@ def coast_segments(members: DataFrame, points: DataFrame, gap_e7: int = 0) -> Da
 
     A chain whose ends are within ``gap_e7`` of each other in both coordinates is closed by a straight line.
     """
-    parts = cutting.segments(points.where("lon_e7 IS NOT NULL AND lat_e7 IS NOT NULL"), "id").join(members, "id")
+    parts = cutting.segments(points.where("lon_e7 IS NOT NULL AND lat_e7 IS NOT NULL"), "id").join(shuffled(members), "id")
     ends = parts.where("NOT closed").groupBy("ring").agg(
         F.max_by(F.struct("x2", "y2"), F.struct("position", "seq")).alias("a"), F.min_by(F.struct("x1", "y1"), F.struct("position", "seq")).alias("b")
     )
     near = ends.where((F.abs(F.col("a.x2") - F.col("b.x1")) <= gap_e7) & (F.abs(F.col("a.y2") - F.col("b.y1")) <= gap_e7))
     closing = near.select("ring", F.col("a.x2").alias("x1"), F.col("a.y2").alias("y1"), F.col("b.x1").alias("x2"), F.col("b.y1").alias("y2"))
     columns = ["ring", "x1", "y1", "x2", "y2"]
-    mended = parts.where("NOT closed").join(near.select("ring"), "ring", "left_semi")
+    mended = parts.where("NOT closed").join(shuffled(near.select("ring")), "ring", "left_semi")
     return parts.where("closed").select(columns).unionByName(mended.select(columns)).unionByName(closing)
 
 

@@ -19,7 +19,7 @@ from terrane.operators import composites, cutting, entities, folds, geometry, gr
 from terrane.plans import compile as plans
 from terrane.plans import rulesets
 from terrane.plans.rules import parse_rules
-from terrane.session import shared_folder
+from terrane.session import shared_folder, shuffled
 from terrane.sources import pbf
 from terrane.streaming import replicate, transactions
 from terrane.views import table, with_views
@@ -1101,7 +1101,7 @@ def coast_rings(spark, sf_dir):
     pieces, points = coast_pieces(spark, sf_dir)
     members = sea.join_pieces(pieces)
     areas = sea.ring_areas(sea.coast_segments(members, points, gap_e7=10))
-    return members.join(areas.select("ring", "kind"), "ring", "left").select("id", "ring", "position", "closed", "kind")
+    return members.join(shuffled(areas.select("ring", "kind")), "ring", "left").select("id", "ring", "position", "closed", "kind")
 
 
 @query(f"""WITH {ISLAND_SQL}, tile AS (SELECT c AS col, r AS row, c * {SEA_TILE} - 1800000000 AS l, r * {SEA_TILE} - 900000000 AS b FROM range(36) x(c), range(18) y(r)),

@@ -74,6 +74,14 @@ def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` for a join in which both sides grow with the input: neither is sent whole to the driver and all executors.
+
+    The planner's estimate goes by the bytes of compressed files and does not see what explode adds, so it takes millions of rows for a small table.
+    """
+    return df.hint("merge")
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder that ``stored`` wrote."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

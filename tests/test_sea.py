@@ -112,3 +112,27 @@ def test_open_coasts_gaps_and_empty_tables(spark):
     assert sea.sea_tiles(none, TILE).where("kind = 'sea'").count() == 72
     nulls = spark.createDataFrame([(1, None, 2), (2, 2, None)], "id long, first_node long, last_node long")
     assert sorted(map(tuple, sea.join_pieces(nulls).collect())) == [(1, 1, 0, False), (2, 1, 1, False)]
+
+
+def test_no_table_of_pieces_is_sent_whole(spark, tmp_path, monkeypatch):
+    """Small files may hold millions of pieces, so the planner's estimate by their bytes must not make them broadcasts."""
+    plans = []
+
+    def seen(run):
+        def wrapped(df, *args):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return run(df, *args)
+
+        return wrapped
+
+    monkeypatch.setattr(sea, "checkpointed", seen(sea.checkpointed))
+    monkeypatch.setattr(sea, "stored", seen(sea.stored))
+    pieces, points = rings_as_tables(spark, [[(0, 0), (TILE, 0), (TILE, TILE)], [(0, 0), (-TILE, 0), (-TILE, -TILE)]])
+    for name, df in (("pieces", pieces), ("points", points)):
+        df.write.parquet(f"{tmp_path}/{name}")
+    members = sea.join_pieces(spark.read.parquet(f"{tmp_path}/pieces"))
+    members.write.parquet(f"{tmp_path}/members")
+    parts = sea.coast_segments(spark.read.parquet(f"{tmp_path}/members"), spark.read.parquet(f"{tmp_path}/points"), 10)
+    plans.append(parts._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 4 and sum(p.count("SortMergeJoin") for p in plans) > 4
+    assert not [p for p in plans if "Broadcast" in p]
