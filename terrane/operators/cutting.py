@@ -29,10 +29,13 @@ def _cells(df: DataFrame, cell_e7: int, left: str, bottom: str, right: str, top:
 
 
 def _meeting(boxes: DataFrame, areas: DataFrame, cell_e7: int) -> DataFrame:
-    """Each box (x_lo, y_lo, x_hi, y_hi) with each tile (tile_id, l, b, r, t) that it meets, once: in the first cell that both are in."""
+    """Each box (x_lo, y_lo, x_hi, y_hi) with each tile (tile_id, l, b, r, t) that it meets, once: in the first cell that both are in.
+
+    Tiles come from a split on the driver and are sent to all executors: boxes stay where they are, however many share the few cells of a coarse grid.
+    """
     tiles = areas.select("tile_id", F.col("left").alias("l"), F.col("bottom").alias("b"), F.col("right").alias("r"), F.col("top").alias("t"))
     tiles = _cells(tiles, cell_e7, "l", "b", "r", "t").withColumnsRenamed({"fx": "tx", "fy": "ty"})
-    met = _cells(boxes, cell_e7, "x_lo", "y_lo", "x_hi", "y_hi").join(tiles, ["cx", "cy"])
+    met = _cells(boxes, cell_e7, "x_lo", "y_lo", "x_hi", "y_hi").join(F.broadcast(tiles), ["cx", "cy"])
     first = (F.col("cx") == F.greatest("fx", "tx")) & (F.col("cy") == F.greatest("fy", "ty"))
     return met.where(first & F.expr("x_lo <= r AND x_hi >= l AND y_lo <= t AND y_hi >= b")).drop("cx", "cy", "fx", "fy", "tx", "ty")
 
@@ -62,14 +65,14 @@ def cut_segments(parts: DataFrame, areas: DataFrame, cell_e7: int) -> DataFrame:
 
     ex, lx, nx_in, nx_out = side("x1", dx, "l", "r")
     ey, ly, ny_in, ny_out = side("y1", dy, "b", "t")
-    met = met.withColumns({"dx": dx, "dy": dy, "ax": F.abs(dx), "ay": F.abs(dy), "ex": ex, "lx": lx, "ey": ey, "ly": ly, "nxi": nx_in, "nxo": nx_out, "nyi": ny_in, "nyo": ny_out})
+    met = _apart(met, {"dx": dx, "dy": dy, "ax": F.abs(dx), "ay": F.abs(dy), "ex": ex, "lx": lx, "ey": ey, "ly": ly, "nxi": nx_in, "nxo": nx_out, "nyi": ny_in, "nyo": ny_out})
     along = "(dx <> 0 OR (x1 >= l AND x1 < r)) AND (dy <> 0 OR (y1 >= b AND y1 < t))"
     # in: the later of 0 and both entries; out: the sooner of 1 and both exits; kinds: 0 an end, 1 a vertical border, 2 a level one.
     first = F.expr("CASE WHEN dx <> 0 AND nxi > 0 AND (dy = 0 OR nyi <= 0 OR nxi * ay >= nyi * ax) THEN 1 WHEN dy <> 0 AND nyi > 0 THEN 2 ELSE 0 END")
     last = F.expr("CASE WHEN dx <> 0 AND nxo < ax AND (dy = 0 OR nyo >= ay OR nxo * ay <= nyo * ax) THEN 1 WHEN dy <> 0 AND nyo < ay THEN 2 ELSE 0 END")
-    met = met.where(along).withColumns({"first": first, "last": last})
+    met = _apart(met.where(along), {"first": first, "last": last})
     fraction = lambda kind, x, y, end: F.expr(f"CASE {kind} WHEN 1 THEN {x} WHEN 2 THEN {y} ELSE {end} END")
-    met = met.withColumns({"n1": fraction("first", "nxi", "nyi", "0"), "d1": fraction("first", "ax", "ay", "1"), "n2": fraction("last", "nxo", "nyo", "1"), "d2": fraction("last", "ax", "ay", "1")})
+    met = _apart(met, {"n1": fraction("first", "nxi", "nyi", "0"), "d1": fraction("first", "ax", "ay", "1"), "n2": fraction("last", "nxo", "nyo", "1"), "d2": fraction("last", "ax", "ay", "1")})
     met = met.where("n1 * d2 < n2 * d1 AND n1 < d1 AND n2 > 0")
 
     def point(kind: str, n: str, border_x: str, border_y: str, end: int) -> tuple[Column, Column]:
@@ -146,6 +149,11 @@ def cut_rings(rings: DataFrame, areas: DataFrame, cell_e7: int, id_col: str = "i
     return _once(cut, "double_area", double_area(F.col("ring"))).where((F.size("ring") > 2) & (F.col("double_area") != 0)).select(id_col, "tile_id", "ring")
 
 
+def _apart(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """df with columns that filters after them read as they are. Else the filter goes into the join below with all of them written out, for every pair of the cell."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def _once(df: DataFrame, name: str, column: Column) -> DataFrame:
     """df with a column that is computed here and not merged into expressions that name it several times: that would double it with every step."""
     others = [F.col(c) for c in df.columns if c != name]

@@ -784,7 +784,7 @@ def tile_cut_lines(spark, sf_dir):
     """Ways cut on the borders of tiles: segments and length of each way in each tile."""
     cut = cutting.cut_segments(cutting.segments(points(spark, sf_dir)), partition.areas_table(spark, AREAS), CELL)
     length = F.abs(F.col("x2") - F.col("x1")) + F.abs(F.col("y2") - F.col("y1"))
-    return cut.groupBy("way_id", "tile_id").agg(F.count_distinct("seq").alias("n_segments"), F.sum(length).alias("length_e7"))
+    return cut.groupBy("way_id", "tile_id").agg(F.count(F.lit(1)).alias("n_segments"), F.sum(length).alias("length_e7"))
 
 
 @query("SELECT p_partkey AS id, 'pname,size' AS keys FROM part")

@@ -136,3 +136,14 @@ def test_cut_rings_add_up(spark):
         parts = [int(r.a) for r in got if r.id == i]
         assert abs(sum(parts) - area(rings[i])) <= 4_000_000 * (i == 1)  # border points are rounded to a unit
     assert {r.id for r in got} == {0, 1, 2} and len([r for r in got if r.id == 0]) == len(areas)
+
+
+def test_clip_tests_stay_out_of_the_join(spark, tmp_path):
+    """Written out within the join's condition, the fractions were computed for every pair of a cell, and too long to be compiled."""
+    points = spark.createDataFrame([(1, i, x, y) for i, (x, y) in enumerate([(0, 0), (900, 300), (20, 700)])], "way_id long, seq int, lon_e7 long, lat_e7 long")
+    points.write.parquet(f"{tmp_path}/points")
+    areas = partition.areas_table(spark, [(1, 0, 0, 500, 1000), (2, 500, 0, 1000, 1000)])
+    cut = cutting.cut_segments(cutting.segments(spark.read.parquet(f"{tmp_path}/points")), areas, 400_000_000)
+    joins = [line for line in cut._jdf.queryExecution().executedPlan().toString().splitlines() if "HashJoin" in line or "SortMergeJoin" in line]
+    assert len(joins) == 1 and "BroadcastHashJoin" in joins[0] and "CASE WHEN" not in joins[0]
+    assert sorted((r.seq, r.tile_id) for r in cut.collect()) == [(0, 1), (0, 2), (1, 1), (1, 2)]
