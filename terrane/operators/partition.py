@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from terrane.operators import regions
 from terrane.operators.graphs import descendants
-from terrane.session import checkpointed
+from terrane.session import checkpointed, shuffled
 
 #: World in 1e-7 degrees.
 WORLD = (-1800000000, -900000000, 1800000000, 900000000)
@@ -162,27 +162,42 @@ def complete_tiles(members: DataFrame, roots: DataFrame, tiles: DataFrame) -> Da
     return held.join(needed, "root").select("member", "tile_id").distinct()
 
 
-def nearest(points: DataFrame, places: DataFrame, id_col: str, name_col: str, cell_e7: int = 40_000_000) -> DataFrame:
+def crowding(places: DataFrame, lat: str = "p_lat", lon: str = "p_lon", most: float = 4.0, halvings: int = 20) -> int:
+    """The largest cell size, of the world's width halved up to ``halvings`` times, at which a place shares its cell with ``most`` places on average, itself counted."""
+    sizes = [(WORLD[2] - WORLD[0]) >> i for i in range(halvings + 1)]
+    levels = F.explode(F.array(*[F.lit(s).cast("long") for s in sizes]))
+    at = lambda c, low: F.floor((F.col(c) - low) / F.col("size"))
+    shared = places.select(lat, lon, levels.alias("size")).groupBy("size", at(lon, WORLD[0]).alias("cx"), at(lat, WORLD[1]).alias("cy")).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    known = shared.groupBy("size").agg((F.sum(F.col("n") * F.col("n")) / F.sum("n")).alias("mean"))
+    found = known.where(F.col("mean") <= most).agg(F.max("size")).first()[0]
+    return sizes[-1] if found is None else found
+
+
+def nearest(points: DataFrame, places: DataFrame, id_col: str, name_col: str, cell_e7: int | None = None) -> DataFrame:
     """For each point the nearest place by squared distance in degrees, ties to the smaller name.
 
     A point meets the places of its grid cell and the eight around it. A find within one cell's size
-    is the nearest of all; the points without one go on to a grid of double the size.
+    is the nearest of all; the points without one go on to a grid of double the size. The first grid follows how densely places
+    lie. Points far from places that crowd together still meet many of them.
     """
     p = places.select(F.col("lat_e7").alias("p_lat"), F.col("lon_e7").alias("p_lon"), F.col(name_col).alias("place"))
+    p = checkpointed(p.groupBy("p_lat", "p_lon").agg(F.min("place").alias("place")))
     dx, dy = (F.col("lon_e7") - F.col("p_lon")).cast("double"), (F.col("lat_e7") - F.col("p_lat")).cast("double")
     around = lambda c: F.explode(F.array(c - 1, c, c + 1))
-    left, out, size = points.select(id_col, "lat_e7", "lon_e7"), None, cell_e7
+    left, out, size = points.select(id_col, "lat_e7", "lon_e7"), None, cell_e7 or crowding(p)
     while True:
         near = p.withColumn("cx", around(cell("p_lon", WORLD[0], size))).withColumn("cy", around(cell("p_lat", WORLD[1], size)))
-        met = left.withColumn("cx", cell("lon_e7", WORLD[0], size)).withColumn("cy", cell("lat_e7", WORLD[1], size)).join(near, ["cx", "cy"], "left")
+        # Without the shuffle the points of a small file would meet their places in one task.
+        met = left.withColumn("cx", cell("lon_e7", WORLD[0], size)).withColumn("cy", cell("lat_e7", WORLD[1], size)).join(shuffled(near), ["cx", "cy"], "left")
         d = F.struct((dx * dx + dy * dy).alias("d"), "place")
         best = checkpointed(met.groupBy(id_col).agg(F.first("lat_e7").alias("lat_e7"), F.first("lon_e7").alias("lon_e7"), F.min(F.when(F.col("place").isNotNull(), d)).alias("best")))
         sure = F.coalesce(F.col("best.d") <= float(size) ** 2, F.lit(False)) if size < WORLD[2] - WORLD[0] else F.lit(True)
         found = best.where(sure).select(id_col, "best.place")
         out = found if out is None else out.unionByName(found)
-        if size >= WORLD[2] - WORLD[0]:
+        left = best.where(~sure).select(id_col, "lat_e7", "lon_e7")
+        if size >= WORLD[2] - WORLD[0] or not left.take(1):
             return out
-        left, size = best.where(~sure).select(id_col, "lat_e7", "lon_e7"), size * 2
+        size *= 2
 
 
 def largest_first(df: DataFrame, weight: str, id_col: str) -> DataFrame:
