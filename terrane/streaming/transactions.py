@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from terrane.session import shuffled
+
 SNAPSHOT = "sequence long, xmax long, active array<long>"
 #: Ids in a block of the join between changes and the ranges of ids of snapshots.
 BLOCK = 4096
@@ -79,5 +81,6 @@ def snapshots_of(transactions: DataFrame, txid: str, began: str, ended: str) ->
     open_at = transactions.join(F.broadcast(bounds)).where(F.col(began) <= until)  # one row
     active = open_at.select(F.explode(F.sequence(F.col(began), until)).alias("sequence"), txid).groupBy("sequence").agg(F.array_sort(F.collect_set(txid)).alias("active"))
     highest = transactions.groupBy(F.col(began).alias("sequence")).agg((F.max(txid) + 1).alias("xmax"))
-    known = moments.join(highest, "sequence", "left").join(active, "sequence", "left")
-    return known.select("sequence", F.max("xmax").over(Window.orderBy("sequence")).alias("xmax"), F.coalesce("active", F.array().cast("array<long>")).alias("active"))
+    # The running maximum is one task's, over a row a moment; the ids in flight, which grow with the input, are joined after it.
+    reached = moments.join(highest, "sequence", "left").select("sequence", F.max("xmax").over(Window.orderBy("sequence")).alias("xmax"))
+    return reached.join(shuffled(active), "sequence", "left").select("sequence", "xmax", F.coalesce("active", F.array().cast("array<long>")).alias("active"))
