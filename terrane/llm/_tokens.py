@@ -1,88 +1,136 @@
 """Token ids of whole texts, by the tokenizers library, with a bounded memo of space-separated pieces.
 
 Byte level (a space belongs to what follows): a text is the sequence of its pieces at the spaces,
-and no pre-token crosses the boundary before a space that follows a non-space. Word level (white
-space dropped, lower case): a text is the sequence of its runs of letters, digits and marks. The
-library encodes each distinct piece or run once, and their ids stand in a row; a text for which
-that is not safe, or that holds an added token of the file, is encoded whole. Results equal the
-library's plain call on whole texts, which the tests check.
+and no pre-token crosses the boundary before a space that follows a non-space, nor those around a
+single line end. Word level (white space dropped, lower case): a text is the sequence of its pieces at
+white space. Marks behind a word are a piece of their own. The library encodes each distinct piece
+once, words of Latin letters by its model without the pre-tokenizer, which has nothing to part
+there. Pieces are split, told apart, looked up and put together as Arrow columns, so a batch costs
+Python objects for its new pieces only. A text for which that is not safe, or that holds an added
+token of the file, is encoded whole. Results equal the library's plain call on whole texts, which the tests check.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Pieces in a generation of a worker's memo, some 35 MB. Beyond it a new generation begins; pieces that are
-#: met again are taken over from the one before, the others go with it.
+#: Pieces that a worker remembers, some 10 MB. Beyond it only those of the last batch stay.
 MEMO_PIECES = 180_000
 PIECES_A_CALL = 5_000
 #: Characters of texts that are split into pieces at a time.
-CHARS_AT_ONCE = 1 << 20
-
+CHARS_AT_ONCE = 1 << 21
 
+#: Begins a piece that has no space before it: one at a line end or behind it, at a text's start, or behind a word.
+BARE = "\x01"
 LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ɏ", r"!-&(-/:-@\[-`{-~"  # without the apostrophe
-TAILED = re.compile(f"([{LETTERS}]+)([{MARKS}]+)")
-#: The word tokenizer's own pre-tokens for characters below U+0250 and common punctuation; a run of anything else is odd.
-WORD_RUNS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[{MARKS}'‐-‧‰-⁞]+|[^ \n{LETTERS}{MARKS}'‐-‧‰-⁞0-9]+")
-ODD = re.compile(f"[^{LETTERS}{MARKS}'‐-‧‰-⁞0-9]")
+WORD, BARE_WORD = f"^[{LETTERS}]+$", f"^{BARE}[{LETTERS}]+$"
+TAILED = f"^(?P<head>{BARE}?[{LETTERS}]+)(?P<tail>[{MARKS}]+)$"
+SPACES = "\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Word level: anything but characters below U+0250 and common punctuation, which the normalizer may join to others.
+ODD = f"[^{LETTERS}{MARKS}'‐-‧‰-⁞0-9]"
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a vocabulary; spaces stay."""
+    own = [*range(32, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in own[1:]]
+    return {b: chr(256 + i) for i, b in enumerate(others)} | {b: chr(b) for b in own}
+
+
+def blobs(ids: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """Ids between the cuts as little-endian unsigned 32-bit integers."""
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer((4 * cuts).astype(np.int64)), pa.py_buffer(ids.astype("<u4"))])
 
 
 class PieceEncoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
+        self.model = Tokenizer(self.whole.model)  # of words in byte letters
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         vocab = self.whole.get_vocab()
         self.leading = "Ġthe" in vocab  # a space belongs to the word after it
+        self.letters, self.space = byte_letters(), vocab.get("Ġ")
         edge = [i for t, i in vocab.items() if (t.startswith("Ġ") if self.leading else t.endswith("</w>"))]
         self.edge = np.zeros(max(vocab.values()) + 1, bool)  # ids that begin (byte level) or end (word level) a piece
         self.edge[edge] = True
-        self.memo: dict[str, bytes] = {}  # of pieces after a space
-        self.older: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}  # of pieces at a text's start
-        self.unsafe: set[str] = set()
+        self.pieces, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _joined(self, pieces: list[str]) -> None:
-        """Learn pieces that have one edge each: encoded as one text, cut at the edges."""
-        for i in range(0, len(pieces), PIECES_A_CALL):
-            part = pieces[i : i + PIECES_A_CALL]
-            raw = self._encode([" " + " ".join(part)])[0]
-            at = np.flatnonzero(self.edge[np.frombuffer(raw, "<u4")])
-            cuts = [*at.tolist(), len(raw) // 4] if self.leading else [0, *(at + 1).tolist()]
-            if len(cuts) != len(part) + 1 or cuts[0] or cuts[-1] * 4 != len(raw):
-                raise RuntimeError("a piece has other than one edge")
-            self.memo.update((p, raw[4 * a : 4 * b]) for p, a, b in zip(part, cuts, cuts[1:], strict=False))
-
-    def _learn(self, new: list[str]) -> None:
-        """Byte level. Letters with punctuation behind are learnt by parts."""
-        self.unsafe.update(p for p in new if not p or p[-1].isspace())
-        simple, other, parts = [], [], {}
-        for p in new:
-            if p.isalpha():
-                simple.append(p)
-            elif found := TAILED.fullmatch(p):
-                parts[p] = found.groups()
-            elif not p or p[0].isspace() or p[-1].isspace():
-                other.append(p)
-            else:
-                simple.append(p)
-        heads = self._unknown({h for h, _ in parts.values()}.difference(simple))
-        self._joined([*simple, *heads])
-        tails = list({t for _, t in parts.values()}.difference(self.first))
-        self.first.update(zip(tails, self._encode(tails), strict=True))
-        self.memo.update((p, self.memo[h] + self.first[t]) for p, (h, t) in parts.items())
-        for i in range(0, len(other), PIECES_A_CALL):
-            part = other[i : i + PIECES_A_CALL]
-            self.memo.update(zip(part, self._encode([" " + p for p in part]), strict=True))
+    def _modelled(self, words: list[str], before: str) -> np.ndarray:
+        """Ids of words by the model alone; ``before`` stands in front of each."""
+        text = " ".join(words)
+        if not text.isascii():
+            text = text.encode().decode("latin-1").translate(self.letters)
+        text = before + text.replace(" ", f" {before}")
+        return np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    def _words(self, words: list[str], bare: bool) -> pa.Array:
+        """Ids of words that have one edge each; bare ones stand behind a space of their own, which goes."""
+        if not bare or not self.leading:
+            ids = self._modelled(words, "Ġ" if self.leading else "")
+            at = np.flatnonzero(self.edge[ids])
+            cuts = np.append(at, len(ids)) if self.leading else np.concatenate([[0], at + 1])
+        else:
+            ids = self._modelled(words, "Ġ ")
+            at = np.flatnonzero(ids == self.space)
+            ids, cuts = np.delete(ids, at), np.append(at - np.arange(len(at)), len(ids) - len(at))
+        if len(cuts) != len(words) + 1 or cuts[0] or cuts[-1] != len(ids):
+            raise RuntimeError("a word has other than one edge")
+        return blobs(ids, cuts)
+
+    def _learn(self, new: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """The same pieces in some order, and their ids."""
+        word, bare = pc.match_substring_regex(new, WORD), pc.match_substring_regex(new, BARE_WORD)
+        pieces, ids = [], []
+        for kind, mine in (("word", new.filter(word)), ("bare", new.filter(bare)), ("other", new.filter(pc.invert(pc.or_(word, bare))))):
+            for i in range(0, len(mine), PIECES_A_CALL):
+                part = mine[i : i + PIECES_A_CALL]
+                texts = part.to_pylist()
+                pieces.append(part)
+                if kind != "other":
+                    ids.append(self._words([t.lstrip(BARE) for t in texts], kind == "bare"))
+                else:
+                    texts = [t[1:] if t[:1] == BARE else f" {t}" if self.leading else t for t in texts]
+                    ids.append(pa.array(self._encode(texts), pa.large_binary()))
+        return pa.concat_arrays(pieces), pa.concat_arrays(ids)
+
+    def _known(self, pieces: pa.Array) -> pa.Array:
+        """The ids of distinct pieces, learnt where they are new."""
+        at = pc.index_in(pieces, value_set=self.pieces)
+        if at.null_count:
+            learnt, ids = self._learn(pieces.filter(at.is_null()))
+            self.pieces, self.ids = pa.concat_arrays([self.pieces, learnt]), pa.concat_arrays([self.ids, ids])
+            at = pc.index_in(pieces, value_set=self.pieces)
+        found = self.ids.take(at)
+        if len(self.pieces) > MEMO_PIECES:
+            self.pieces, self.ids = pieces, found
+        return found
+
+    def _by_parts(self, pieces: pa.Array) -> pa.Array:
+        """The ids of distinct pieces; marks behind a word are looked up on their own."""
+        both = pc.extract_regex(pieces, TAILED)
+        one = both.is_null()
+        heads, tails = (both.field(i).filter(pc.invert(one)) for i in (0, 1))
+        if self.leading:
+            tails = pc.binary_join_element_wise(pa.scalar(BARE, pa.large_string()), tails, pa.scalar("", pa.large_string()))
+        parts = pa.concat_arrays([pieces.filter(one), heads, tails]).dictionary_encode()
+        ids = self._known(parts.dictionary).take(parts.indices)
+        n, k = len(pieces) - len(heads), len(heads)
+        joined = pc.binary_join_element_wise(ids[n : n + k], ids[n + k :], pa.scalar(b"", pa.large_binary()))
+        tailed = np.flatnonzero(~one.to_numpy(zero_copy_only=False))
+        place = np.argsort(np.concatenate([np.setdiff1d(np.arange(n + k), tailed, assume_unique=True), tailed]))
+        return pa.concat_arrays([ids[:n], joined]).take(pa.array(place))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
@@ -96,7 +144,7 @@ class PieceEncoder:
         return out + self._mixed(held)
 
     def _mixed(self, texts: list[str]) -> list[bytes]:
-        special = [i for i, t in enumerate(texts) if "<" in t and any(x in t or x in t.lower() for x in self.added)]
+        special = [i for i, t in enumerate(texts) if BARE in t or "<" in t and any(x in t or x in t.lower() for x in self.added)]
         if not special:
             return self._some(texts)
         out = self._some(["" if i in set(special) else t for i, t in enumerate(texts)])
@@ -104,54 +152,42 @@ class PieceEncoder:
             out[i] = ids
         return out
 
-    def _unknown(self, pieces: set[str]) -> set[str]:
-        """Pieces that no generation of the memo has; those of the older one are taken over."""
-        new = pieces.difference(self.memo)
-        met = new.intersection(self.older)
-        self.memo.update((p, self.older[p]) for p in met)
-        return new - met
+    def _ready(self, text: str) -> str:
+        """A text whose pieces stand between spaces; single line ends are pieces too, or dropped."""
+        if not self.leading:
+            return text.lower().replace("\n", " ")
+        return BARE + (text if "\n" not in text or "\n\n" in text or "\r" in text else text.replace("\n", f" {BARE}\n {BARE}"))
+
+    def _harmed(self, pieces: pa.Array, piece: np.ndarray, ends: np.ndarray) -> list[int]:
+        """The texts that are to be encoded whole."""
+
+        def where(kind: str) -> np.ndarray:
+            return np.flatnonzero(pc.match_substring_regex(pieces, kind).to_numpy(zero_copy_only=False)[piece])
+
+        def text(at: np.ndarray) -> np.ndarray:
+            return np.searchsorted(ends, at, "right") - 1
 
-    def _some(self, texts: list[str]) -> list[bytes]:
-        if len(self.memo) > MEMO_PIECES:
-            self.older, self.memo = self.memo, {}
-        if len(self.first) + len(self.unsafe) > MEMO_PIECES // 4:
-            self.first, self.unsafe, self.memo, self.older = {}, set(), {}, {}
         if not self.leading:
-            return self._runs(texts)
-        split = [t.split(" ") for t in texts]
-        starts = list({p[0] for p in split if p[0] not in self.first})
-        self.first.update(zip(starts, self._encode(starts), strict=True))
-        self.unsafe.update(p for p in starts if p and p[-1].isspace())
-        new: set[str] = set()
-        for pieces in split:
-            new.update(pieces)
-        self._learn(list(self._unknown(new)))
-        get, out = self.memo.__getitem__, []
-        for pieces in split:
-            safe = self.unsafe.isdisjoint(pieces[1:-1]) and (len(pieces) == 1 or not pieces[0] or pieces[0] not in self.unsafe)
-            out.append(self.first[pieces[0]] + b"".join(map(get, pieces[1:])) if safe else None)
-        left = [i for i, x in enumerate(out) if x is None]
-        for i, ids in zip(left, self._encode([texts[i] for i in left]), strict=True):
-            out[i] = ids
-        return out
+            return np.unique(text(where(ODD))).tolist()
+        alone, blank = where(f"^$|[{SPACES}]$"), where(f"^{BARE}$")
+        line_end = pc.equal(pieces, f"{BARE}\n").to_numpy(zero_copy_only=False)
+        alone = alone[(alone != ends[text(alone) + 1] - 1) & ~line_end[piece[alone]]]
+        blank = blank[(blank != ends[text(blank) + 1] - 1) & (blank != ends[text(blank)])]
+        opens = where(f"^{BARE}[{SPACES}]")
+        return np.unique(text(np.concatenate([alone, blank, opens[~line_end[piece[opens]]]]))).tolist()
 
-    def _runs(self, texts: list[str]) -> list[bytes]:
-        """Word level: ids of lower-case runs of letters, digits and marks; texts with an odd character go whole."""
-        split = [WORD_RUNS.findall(t.lower()) for t in texts]
-        new: set[str] = set()
-        for runs in split:
-            new.update(runs)
-        fresh = self._unknown(new.difference(self.unsafe))
-        self.unsafe.update([r for r in fresh if ODD.search(r)])
-        fresh.difference_update([r for r in fresh if r in self.unsafe])
-        self._joined([r for r in fresh if r.isalpha()])
-        marks = [r for r in fresh if not r.isalpha()]
-        self.memo.update(zip(marks, self._encode(marks), strict=True))
-        odd, get = self.unsafe.intersection(new), self.memo.__getitem__
-        out = [b"".join(map(get, runs)) if odd.isdisjoint(runs) else None for runs in split]
-        left = [i for i, x in enumerate(out) if x is None]
-        for i, ids in zip(left, self._encode([texts[i] for i in left]), strict=True):
-            out[i] = ids
+    def _some(self, texts: list[str]) -> list[bytes]:
+        if not texts:
+            return []
+        lists = pc.split_pattern(pa.array([self._ready(t) for t in texts], pa.large_string()), " ")
+        coded, ends = lists.flatten().dictionary_encode(), lists.offsets.to_numpy()
+        ids = self._by_parts(coded.dictionary).take(coded.indices)
+        raw = ids.buffers()[2].to_pybytes()
+        cuts = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)[ends].tolist()
+        out = [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        left = self._harmed(coded.dictionary, coded.indices.to_numpy(), ends)
+        for i, found in zip(left, self._encode([texts[i] for i in left]), strict=True):
+            out[i] = found
         return out
 
 

@@ -197,7 +197,6 @@ def _cut(path: str, window: int, end_id: int, with_ids: bool):
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
             columns, names = (columns, names) if with_ids else (columns[:-1], names[:-1])
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(out[0], pa.int64())), *columns], names)
-        encoder.cache_clear()  # the worker may serve other stages next
 
     return run
 

@@ -30,6 +30,38 @@ def test_pieces_equal_whole_texts(name):
     assert encoder.encode(texts) == want and encoder.encode(texts[::-1]) == want[::-1]
 
 
+class Counting:
+    """A tokenizer that counts the characters it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.chars = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **kw):
+        self.chars += sum(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, **kw)
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_each_word_is_encoded_once_and_by_the_model(name):
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdeéñz") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    texts = ["".join(f"{rng.choice(words)}{rng.choice(['', ',', '.', '!?', ').'])}{rng.choice([' ', ' ', chr(10)])}" for _ in range(400)) for _ in range(50)]
+    encoder = PieceEncoder(public_tokenizers.path(name))
+    want = [np.array(e.ids, "<u4").tobytes() for e in encoder.whole.encode_batch(texts, add_special_tokens=False)]
+    encoder.whole, encoder.model = whole, model = Counting(encoder.whole), Counting(encoder.model)
+    assert encoder.encode(texts) == want and encoder.encode(texts) == want
+    assert whole.chars < 500 and model.chars < 10 * 3 * len(words)
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_line_ends_and_blanks_anywhere(name):
+    rng = random.Random(7)
+    texts = ["".join(rng.choice(["\n", "\n", " ", "\t", "\r", "\x01", "\x85", "a", "Foo", "é,", "x.", "'s", "Ж", "12", "<"]) for _ in range(rng.randint(0, 7))) for _ in range(6000)]
+    encoder = PieceEncoder(public_tokenizers.path(name))
+    want = [np.array(e.ids, "<u4").tobytes() for e in encoder.whole.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.encode(texts) == want
+
+
 def test_lengths_are_optimal_and_limited():
     rng = np.random.default_rng(0)
     for n, limit in ((1, 16), (2, 16), (300, 9), (5000, 16), (40, 6)):
