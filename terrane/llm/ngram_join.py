@@ -72,19 +72,21 @@ class WordHashes(dict):
 
 def ngram_sets(texts: list[bytes | None], n: int, hashes: WordHashes) -> list[np.ndarray]:
     """Sorted distinct hashes of each text's n-word shingles; all words as one if there are fewer; empty without words."""
-    get, out = hashes.__getitem__, []
-    for text in texts:
-        words = (text or b"").lower().split()  # bytes: only A-Z change, only ASCII white space splits
-        h = np.fromiter(map(get, words), U, len(words))
-        if not len(h):
-            out.append(h)
-            continue
-        k = min(n, len(h))
-        total = np.full(len(h) - k + 1, k, U)
-        for i in range(k):
-            total = mix(total + h[i : len(h) - k + 1 + i] + U(0x9E3779B97F4A7C15))
-        out.append(np.unique(total))
-    return out
+    get = hashes.__getitem__
+    words = [np.fromiter(map(get, w), U, len(w)) for w in ((text or b"").lower().split() for text in texts)]  # bytes: only A-Z change, only ASCII white space splits
+    ends = np.cumsum([len(w) for w in words]).tolist()
+    all_texts = shingles(np.concatenate([*words, np.empty(0, U)]), n)  # at once; those across two texts are left out
+    return [np.unique(all_texts[end - len(w) : end - n + 1] if len(w) >= n else shingles(w, len(w))) for w, end in zip(words, ends, strict=True)]
+
+
+def shingles(h: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of the k words from each place on, where there are as many."""
+    if not 0 < k <= len(h):
+        return np.empty(0, U)
+    total = np.full(len(h) - k + 1, k, U)
+    for i in range(k):
+        total = mix(total + h[i : len(h) - k + 1 + i] + U(0x9E3779B97F4A7C15))
+    return total
 
 
 def class_starts(upto: int) -> np.ndarray:
