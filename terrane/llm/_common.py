@@ -68,8 +68,11 @@ def spare(spark: SparkSession):
 
 
 def released(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files that no DataFrame refers to any more: it does so when the driver collects garbage."""
-    gc.collect()
+    """Let Spark remove the shuffle files that no DataFrame refers to any more: it does so when the driver collects garbage.
+
+    The driver's Python gives back what it has freed, too.
+    """
+    trim()
     spark._jvm.System.gc()
 
 
@@ -84,6 +87,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def trim() -> None:
+    """Give this process's freed memory back."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)  # the C library's, where it has one
+
+
 def tidy(run):
     """A task's function that gives its memory back when it ends: Python workers live on from stage to stage."""
 
@@ -91,10 +102,7 @@ def tidy(run):
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            with suppress(OSError, AttributeError):
-                ctypes.CDLL(None).malloc_trim(0)  # the C library's, where it has one
+            trim()
 
     return wrapped
 

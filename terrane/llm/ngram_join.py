@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrane.llm._common import OWN, as_bytes, cut, released, stored, tidy
+from terrane.llm._common import OWN, as_bytes, cut, discard, released, stored, tidy, written
 from terrane.llm._graph import components
 from terrane.llm._sieve import Sieve
 
@@ -49,6 +49,8 @@ CENTRE_ROWS = 33
 #: Rounds of centres; groups that are still apart then are compared directly, whatever their size.
 ROUNDS = 12
 COLUMN_BLOCKS = 4
+#: Keys are told apart by a name of 44 bits before they are compared whole; a task holds so many of them at once.
+NAMES, HELD = 1 << 44, 1 << 21
 #: Blocks in hundredths beyond the least number: a row with fewer empty blocks than are beyond needs none of them as a key.
 SPARE = 15
 BITS = [f"k{i}" for i in range(8)]
@@ -185,53 +187,142 @@ def masked_product(left: list[np.ndarray], right: list[np.ndarray], num: int, de
     return alive & (count >= need)
 
 
+def sketch(entries: np.ndarray) -> bytes:
+    """The parity of a set's entries by hash, in two to four bits an entry, 512 at least: it bounds where ``parities`` is full."""
+    bits = max(512, 2 << int(len(entries)).bit_length())
+    odd = np.bincount((entries & U(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").tobytes()
+
+
+def bits_apart(a: bytes, b: bytes) -> int:
+    """In how many bits two sketches differ, the longer one folded to the length of the other: no more than their sets do in entries."""
+    x, y = (np.frombuffer(s, U) for s in (a, b))
+    size = min(len(x), len(y))  # both are powers of two
+    x, y = (np.bitwise_xor.reduce(s.reshape(-1, size), axis=0) for s in (x, y))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _signatures(n: int):
+    """A row's set with its signatures. A set that a task has just had is left out, and so is its tag: equal sets need one of them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, seen = WordHashes(), set()
         for batch in batches:
             sets = ngram_sets(as_bytes(batch, "text"), n, hashes)
             s1 = np.array([mix(s).sum(dtype=U) for s in sets], U).view(np.int64)
             s2 = np.array([mix(s ^ U(0x5555555555555555)).sum(dtype=U) for s in sets], U).view(np.int64)
+            if len(seen) > MEMO_WORDS:
+                seen.clear()
+            first = [len(s) > 0 and not (x in seen or seen.add(x)) for s, x in zip(sets, zip(s1.tolist(), s2.tolist(), map(len, sets)), strict=True)]
+            tag = pa.array(batch.column(1).to_numpy(), pa.int64(), mask=~np.array(first, bool))
+            ngrams = pa.array([s.tobytes() if f else None for s, f in zip(sets, first, strict=True)], pa.binary())
             bits = [pa.array(x) for x in parities(sets).T]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(s1), pa.array(s2), *bits], ["doc_id", "digest", "n", "s1", "s2", *BITS])
+            yield pa.RecordBatch.from_arrays([batch.column(0), tag, pa.array([len(s) for s in sets], pa.int64()), pa.array(s1), pa.array(s2), *bits, ngrams], ["doc_id", "tag", "n", "s1", "s2", *BITS, "ngrams"])
 
     return run
 
 
-def _entries(n: int, num: int, den: int, table):
-    """(key, node) of every row's column blocks; equal sets of one task give them once."""
+def _block_keys(num: int, den: int, table):
+    """(node, keys) of the sets of a batch of (node, hashed tag, ngrams) whose tag passes the sieve of the classes."""
+    sieve = Sieve(table)
+
+    def run(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        mine = np.flatnonzero(sieve.holds(batch.column(1).to_numpy()))
+        ngrams = batch.column(2)
+        keys = block_keys([np.frombuffer(ngrams[i].as_buffer(), U) for i in mine.tolist()], num, den)
+        node = np.repeat(batch.column(0).to_numpy()[mine], [len(k) for k in keys])
+        return node, np.concatenate([*keys, np.empty(0, U)])
+
+    return run
+
+
+def _dealt_keys(num: int, den: int, classes):
+    """(slot, names): all keys by 12 of their bits, and 32 further ones of each in one string, since most keys occur once and meet none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = WordHashes(), set()
-        sieve = None if table is None else Sieve(table.value)
+        of, held, n = _block_keys(num, den, classes.value), [], 0
+
+        def dealt() -> pa.RecordBatch:
+            names = np.sort(np.concatenate([*held, np.empty(0, U)]) & U(NAMES - 1))
+            slots, at = np.unique(names >> U(32), return_index=True)
+            ends = [*at[1:].tolist(), len(names)][: len(at)]
+            low = names.astype(np.uint32)
+            blobs = [low[i:j].tobytes() for i, j in zip(at.tolist(), ends, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int64)), pa.array(blobs, pa.binary())], ["slot", "names"])
+
         for batch in batches:
-            sets = [s for s in ngram_sets(as_bytes(batch, "text"), n, hashes) if len(s)]
-            nodes = [int(mix(s).sum(dtype=U).view(np.int64)) for s in sets]
-            if len(seen) > MEMO_WORDS:
-                seen.clear()
-            first = [i for i, x in enumerate(nodes) if not (x in seen or seen.add(x))]
-            keys = block_keys([sets[i] for i in first], num, den)
-            key = np.concatenate([*keys, np.empty(0, U)]).view(np.int64)
-            node = np.repeat(np.array([nodes[i] for i in first], np.int64), [len(k) for k in keys])
-            if sieve is not None:
-                some = sieve.holds(key)
-                key, node = key[some], node[some]
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node)], ["key", "node"])
+            held.append(of(batch)[1])
+            n += len(held[-1])
+            if n >= HELD:
+                yield dealt()
+                held, n = [], 0
+        yield dealt()
+
+    return run
+
+
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The names that occur more than once, of strings in order of their slots; slots are held until they are whole."""
+    held: list[np.ndarray] = []
+
+    def found(names: np.ndarray) -> pa.RecordBatch:
+        names.sort()
+        twice = names[1:][names[1:] == names[:-1]]
+        return pa.RecordBatch.from_arrays([pa.array(np.unique(twice).view(np.int64))], ["name"])
+
+    n = 0
+    for batch in batches:
+        parts = [np.frombuffer(x, np.uint32) for x in batch.column(1).to_pylist()]
+        slot = np.repeat(batch.column(0).to_numpy().astype(U), [len(x) for x in parts])
+        held.append((slot << U(32)) | np.concatenate([*parts, np.empty(0, np.uint32)]).astype(U))
+        n += len(held[-1])
+        if n >= HELD:
+            names = np.concatenate(held)
+            whole = (names >> U(32)) < names[-1] >> U(32)
+            if whole.any():
+                yield found(names[whole])
+            held = [names[~whole]]
+            n = len(held[0])
+    if held:
+        yield found(np.concatenate(held))
+
+
+def _entries(num: int, den: int, classes, table):
+    """(key, node) of the sets' column blocks whose name may occur more than once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, sieve = _block_keys(num, den, classes.value), Sieve(table.value)
+        for batch in batches:
+            node, key = of(batch)
+            some = sieve.holds(key.view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)[some]), pa.array(node[some])], ["key", "node"])
 
     return run
 
 
-def _sets(n: int):
-    """(node, ngrams) of the rows whose text has the wanted signature."""
+def _wanted(table):
+    """(node, ngrams, sketch, n) of the sets whose tag may be wanted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        sieve = Sieve(table.value)
         for batch in batches:
-            sets = ngram_sets(as_bytes(batch, "text"), n, hashes)
-            node = np.asarray(batch.column(batch.schema.get_field_index("node")))
-            s1 = np.array([mix(s).sum(dtype=U) for s in sets], U).view(np.int64)
-            mine = np.flatnonzero(s1 == node)
-            yield pa.RecordBatch.from_arrays([pa.array(node[mine]), pa.array([sets[i].tobytes() for i in mine], pa.binary())], ["node", "ngrams"])
+            mine = pa.array(sieve.holds(batch.column(1).to_numpy()))
+            node, ngrams = batch.column(0).filter(mine), batch.column(2).filter(mine)
+            sets = [np.frombuffer(x, U) for x in ngrams.to_pylist()]
+            yield pa.RecordBatch.from_arrays([node, ngrams, pa.array([sketch(x) for x in sets], pa.binary()), pa.array([len(x) for x in sets], pa.int64())], ["node", "ngrams", "sketch", "n"])
+
+    return run
+
+
+def _near(num: int, den: int):
+    """(a, b, entries of both) of the pairs whose sketches differ in no more bits than a linked pair of these sizes in entries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            apart = np.array([bits_apart(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)], np.int64)
+            both = batch.column(4).to_numpy()
+            near = pa.array(apart * (num + den) <= both * (den - num))
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(near) for i in (0, 1, 4)], ["a", "b", "entries"])
 
     return run
 
@@ -291,26 +382,33 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
     null ids are never the smallest, and a component of null ids alone has null. Repeated rows are in one component. Other
     columns are ignored; an empty table gives no rows.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("digest"), F.col(text_col).cast("binary").alias("text"))
+    spark = docs.sparkSession
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("tag"), F.col(text_col).cast("binary").alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    signed = stored(rows.mapInArrow(tidy(_signatures(n)), f"doc_id {id_type}, digest long, n long, s1 long, s2 long, {', '.join(f'{k} long' for k in BITS)}"), "ngram-rows")
+    columns = f"doc_id {id_type}, tag long, n long, s1 long, s2 long, {', '.join(f'{k} long' for k in BITS)}, ngrams binary"
+    hashed, folder = written(rows.mapInArrow(tidy(_signatures(n)), columns), "ngram-rows")  # texts are cut into words once
+    signed = stored(hashed.drop("ngrams"), "ngram-signed")
     some = signed.where("n > 0")
-    first_row = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "digest"))
-    classes = cut(some.groupBy("s1", "s2", "n").agg(first_row.alias("lead")))  # one document stands for an equal set
-    leads = classes.select("s1", "s2", "n", F.col("lead.doc_id").alias("lead"), F.col("lead.digest").alias("digest"))
-    lead = some.join(leads, ["s1", "s2", "n", "digest"]).where(F.col("doc_id").eqNullSafe(F.col("lead")))
-    texts = rows.select("text")
-    shared = texts.mapInArrow(tidy(_entries(n, num, den, None)), "key long, node long").groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("top"))
-    shared = cut(shared.where("pivot < top").select("key", "pivot"))
-    released(docs.sparkSession)
-    entries = texts.mapInArrow(tidy(_entries(n, num, den, Sieve.of(shared, "key", raw=True).broadcast(docs.sparkSession))), "key long, node long")
-    met = cut(entries.join(shared, "key").distinct())
-    del entries, shared
-    released(docs.sparkSession)
-    wanted = cut(met.select("node").distinct().join(leads.select(F.col("s1").alias("node"), "lead", "digest"), "node"))
-    found = Sieve.of(wanted, "digest").keep(rows, "digest").join(wanted, "digest").where(F.col("doc_id").eqNullSafe(F.col("lead")))
-    sets = stored(found.select("node", "text").mapInArrow(tidy(_sets(n)), "node long, ngrams binary"), "ngram-sets")
-    rough = cut(lead.select(F.col("s1").alias("node"), "n", *BITS).join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]))
+    first_row = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id"))
+    classes = cut(some.groupBy("s1", "s2", "n").agg(first_row.alias("lead"), F.min("tag").alias("tag")))  # one document stands for an equal set
+    leads = classes.select("s1", "s2", "n", F.col("lead.doc_id").alias("lead"), "tag")
+    tagged = hashed.where("tag is not null").select(F.col("s1").alias("node"), F.xxhash64("tag").alias("slot"), "ngrams")
+    one = Sieve.of(leads, "tag").broadcast(spark)
+    dealt = tagged.mapInArrow(tidy(_dealt_keys(num, den, one)), "slot long, names binary")
+    shared = stored(dealt.repartition("slot").sortWithinPartitions("slot").mapInArrow(tidy(_repeated), "name long"), "ngram-shared")
+    del dealt
+    released(spark)
+    entries, entries_folder = written(tagged.mapInArrow(tidy(_entries(num, den, one, Sieve.of(shared, "name", raw=True).broadcast(spark))), "key long, node long"), "ngram-entries")
+    pivots = entries.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("top")).where("pivot < top").select("key", "pivot")
+    met = cut(entries.join(pivots, "key").distinct())
+    del entries, pivots
+    discard(spark, entries_folder)
+    wanted = cut(met.select("node").distinct().join(leads.select(F.col("s1").alias("node"), "tag"), "node"))
+    released(spark)
+    sets = stored(tagged.mapInArrow(tidy(_wanted(Sieve.of(wanted, "tag").broadcast(spark))), "node long, ngrams binary, sketch binary, n long"), "ngram-sets")
+    discard(spark, folder)
+    lead = some.join(wanted.select("tag"), "tag", "left_semi")
+    rough = cut(lead.select(F.col("s1").alias("node"), "n", *BITS).dropDuplicates(["node"]))
 
     def side(c: str) -> DataFrame:
         return rough.select(F.col("node").alias(c), *[F.col(x).alias(f"{c}{x}") for x in ("n", *BITS)])
@@ -322,7 +420,7 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
         return sizes & (apart * (num + den) <= (F.col(f"{a}n") + F.col(f"{b}n")) * (den - num))
 
     def sets_of(nodes: DataFrame) -> DataFrame:
-        return Sieve.of(nodes, "node").keep(sets, "node")  # before a join shuffles the sets
+        return Sieve.of(nodes, "node").keep(sets.select("node", "ngrams"), "node")  # before a join shuffles the sets
 
     def with_sets(pairs: DataFrame) -> DataFrame:
         mine = sets_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")))
@@ -346,23 +444,24 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
 
     def tied(pairs: DataFrame, comps: DataFrame | None) -> DataFrame:
         """Components of the links so far and of those among the pairs."""
-        listed = stored(pairs, "ngram-pairs")
-        sizes = [rough.select(F.col("node").alias(c), F.col("n").alias(f"{c}n")) for c in "ab"]
-        sent = listed.join(sizes[0], "a").join(sizes[1], "b").agg(F.sum(F.col("an") + F.col("bn"))).first()[0] or 0
+        x, y = (sets.select(F.col("node").alias(c), F.col("sketch").alias(f"{OWN}{c}"), F.col("n").alias(f"{c}n")) for c in "ab")
+        both = pairs.join(y, "b").join(x, "a").select("a", "b", f"{OWN}a", f"{OWN}b", (F.col("an") + F.col("bn")).alias("entries"))
+        listed = stored(both.mapInArrow(tidy(_near(num, den)), "a long, b long, entries long"), "ngram-pairs")
+        sent = listed.agg(F.sum("entries")).first()[0] or 0
         parts, links = max(1, -(-sent // most)), None
         for i in range(parts):  # each sends no more than all sets once, about, and its shuffle files go before the next
             mine = listed.where(F.pmod(F.xxhash64("a", "b"), F.lit(parts)) == i) if parts > 1 else listed
             found = stored(with_sets(mine).mapInArrow(tidy(_multiply(num, den)), "a long, b long"), "ngram-links")
             links = found if links is None else links.union(found)
             if parts > 1:
-                released(docs.sparkSession)
+                released(spark)
         return components(links if comps is None else links.union(comps.select("node", "comp")))
 
     # A row meets the least of its stars first; the others only if that has left the two apart.
     stars = met.where("node > pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     stars = stored(stars.join(side("a"), "a").join(side("b"), "b").where(may_link("a", "b")).select("a", "b"), "ngram-stars")
     comps = tied(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), None)
-    released(docs.sparkSession)
+    released(spark)
     at = {c: comps.select(F.col("node").alias(c), F.col("comp").alias(f"{c}comp")) for c in "ab"}
     far = stars.join(at["a"], "a", "left").join(at["b"], "b", "left").where(F.coalesce("acomp", "a") != F.coalesce("bcomp", "b"))
     comps = tied(far.select("a", "b"), comps)
@@ -374,7 +473,7 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
     names = hot.join(least, "node").groupBy("key").agg(F.min("name").alias("g"))
     groups = met.join(crowded, "key", "left_anti").select(F.col("key").alias("g"), "node").union(hot.join(names, "key").select("g", "node").distinct())
     for rounds in count():
-        released(docs.sparkSession)
+        released(spark)
         placed = groups.join(comps, "node", "left").select("g", "node", F.coalesce("comp", "node").alias("comp"))
         still = stored(placed.join(apart(placed, ["g"]), "g"), "ngram-apart")
         if not still.take(1):
