@@ -438,16 +438,19 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
         y = mine.select(*by, *[F.col(c).alias(f"b{c}") for c in ("comp", "d", "n", *BITS)], F.col("node").alias("b"))
         ordered = (F.col("ad") < F.col("bd")) | ((F.col("ad") == F.col("bd")) & (F.col("a") < F.col("b")))
         met = x.join(y, by).where(ordered & (F.col("acomp") != F.col("bcomp")) & may_link("a", "b"))
-        return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
     most = max(LEAST_SENT, rough.agg(F.sum("n")).first()[0] or 0)
 
     def tied(pairs: DataFrame, comps: DataFrame | None) -> DataFrame:
         """Components of the links so far and of those among the pairs."""
         x, y = (sets.select(F.col("node").alias(c), F.col("sketch").alias(f"{OWN}{c}"), F.col("n").alias(f"{c}n")) for c in "ab")
-        both = pairs.join(y, "b").join(x, "a").select("a", "b", f"{OWN}a", f"{OWN}b", (F.col("an") + F.col("bn")).alias("entries"))
+        both = pairs.join(y, "b").join(x, "a").where(F.least("an", "bn") * den >= F.greatest("an", "bn") * num)
+        both = both.select("a", "b", f"{OWN}a", f"{OWN}b", (F.col("an") + F.col("bn")).alias("entries"))
         listed = stored(both.mapInArrow(tidy(_near(num, den)), "a long, b long, entries long"), "ngram-pairs")
         sent = listed.agg(F.sum("entries")).first()[0] or 0
+        if not sent and comps is not None:
+            return comps
         parts, links = max(1, -(-sent // most)), None
         for i in range(parts):  # each sends no more than all sets once, about, and its shuffle files go before the next
             mine = listed.where(F.pmod(F.xxhash64("a", "b"), F.lit(parts)) == i) if parts > 1 else listed
@@ -472,28 +475,30 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
     least = hot.groupBy("node").agg(F.min("pivot").alias("name"))
     names = hot.join(least, "node").groupBy("key").agg(F.min("name").alias("g"))
     groups = met.join(crowded, "key", "left_anti").select(F.col("key").alias("g"), "node").union(hot.join(names, "key").select("g", "node").distinct())
+    groups = stored(groups, "ngram-groups")  # a round reads them twice
     for rounds in count():
         released(spark)
         placed = groups.join(comps, "node", "left").select("g", "node", F.coalesce("comp", "node").alias("comp"))
         still = stored(placed.join(apart(placed, ["g"]), "g"), "ngram-apart")
         if not still.take(1):
             break
-        small = (still if rounds >= ROUNDS else still.where(F.col("m") <= FEW)).withColumns({c: F.lit(0).cast("long") for c in ("d", "place")})
-        pairs = crossing(small, ["g"])
-        large = still.where(F.col("m") > FEW)
+        small = still if rounds >= ROUNDS else still.where(F.col("m") <= FEW)
+        cells = small.select("g", *(F.lit(0).cast("long").alias(c) for c in ("col", "d", "place")), "node", "comp")
+        large, nearest = still.where(F.col("m") > FEW), None
         groups = still.select("g", "node").limit(0)
         if rounds < ROUNDS and large.take(1):
             some = large.where(F.pmod(F.xxhash64("node"), "m") < CENTRE_ROWS).select("g", "node")
             centres = some.join(sets_of(some), "node").select("g", "ngrams").groupBy("g").applyInArrow(_centre, "g long, centre binary")
             rows_there = large.select("g", "node", "comp").join(sets_of(large), "node").join(stored(centres, "ngram-centres"), "g", "left")
-            cells = stored(rows_there.mapInArrow(tidy(_columns(num, den)), "g long, node long, comp long, d long, w long, col long, place long"), "ngram-cells")
-            nearest = large.join(cells.groupBy("g").agg(F.min_by("node", F.struct("w", "node")).alias("a")), "g").select("a", F.col("node").alias("b"), "comp")
-            nearest = nearest.join(comps.withColumnRenamed("node", "a").withColumnRenamed("comp", "acomp"), "a", "left").where("a <> b and coalesce(acomp, a) <> comp").select("a", "b").distinct()
-            nearest = nearest.join(side("a"), "a").join(side("b"), "b").where(may_link("a", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            cells = cells.where("place >= 0")
-            parts = stored(cells.join(apart(cells, ["g", "col"]), ["g", "col"]), "ngram-cells")
-            pairs = pairs.union(nearest).union(crossing(parts.where(F.col("m") <= FEW), ["g", "col"])).distinct()
+            placed = stored(rows_there.mapInArrow(tidy(_columns(num, den)), "g long, node long, comp long, d long, w long, col long, place long"), "ngram-cells")
+            nearest = placed.where("place < 0").groupBy("g").agg(F.min_by(F.struct("node", "comp"), F.struct("w", "node")).alias("near"))
+            nearest = large.join(nearest, "g").where("near.node <> node and near.comp <> comp").select(F.least("near.node", "node").alias("a"), F.greatest("near.node", "node").alias("b"))
+            placed = placed.where("place >= 0")
+            parts = stored(placed.join(apart(placed, ["g", "col"]), ["g", "col"]), "ngram-cells")
+            cells = cells.unionByName(parts.where(F.col("m") <= FEW).select(*cells.columns))
             groups = stored(parts.where(F.col("m") > FEW).select(F.xxhash64("g", "col").alias("g"), "node").distinct(), "ngram-groups")
+        pairs = crossing(cells, ["g", "col"])
+        pairs = (pairs if nearest is None else pairs.union(nearest)).distinct()
         comps = tied(pairs, comps)
     named = leads.select("s1", "s2", "n", "lead").join(comps.withColumnRenamed("node", "s1"), "s1", "left").withColumn("comp", F.coalesce("comp", "s1"))
     smallest = named.groupBy("comp").agg(F.min("lead").alias("component_id"))
