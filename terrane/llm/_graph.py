@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrane.llm._common import discard, released, tidy, written
+from terrane.session import shuffled
 
 #: Edges that one task joins by itself, some 2 MB there: a round of stars costs eight stages of tasks, however few the edges are.
 AT_ONCE = 1 << 14
@@ -58,11 +59,11 @@ def _stars(now: DataFrame, path: str, most_rounds: int) -> tuple[DataFrame, str]
     for _ in range(most_rounds):
         both = now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))  # larger ends to the least
+        large = both.join(shuffled(least), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))  # larger ends to the least
         large = large.where("a <> b")
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
+        small = down.join(shuffled(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
         (now, path), before = written(small.where("a <> b").distinct(), "edges"), path
         discard(now.sparkSession, before)
         released(now.sparkSession)  # a round has many small plans, and the driver's heap grows before it is cleared

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from terrane.llm._common import OWN, as_bytes, cut, discard, released, stored, tidy, written
 from terrane.llm._graph import components
 from terrane.llm._sieve import Sieve
+from terrane.session import shuffled
 
 #: Words that a worker remembers, and rows that a task knows to have met: some 10 MB each at most.
 MEMO_WORDS = 1 << 16
@@ -44,6 +45,9 @@ MEMO_WORDS = 1 << 16
 FEW = 256
 #: Entries of sets that one multiplication of pairs sends at least, before it is done in parts.
 LEAST_SENT = 1 << 22
+#: Bytes of centres that are sent to all executors; all else that grows with the input is joined by merges, since
+#: the planner goes by the bytes of compressed files, of which a twentieth of their rows' may be left.
+MOST_SENT = 1 << 21
 #: Rows that a group's centre is made of, about.
 CENTRE_ROWS = 33
 #: Rounds of centres; groups that are still apart then are compared directly, whatever their size.
@@ -372,6 +376,12 @@ def _columns(num: int, den: int):
     return run
 
 
+def small_or_shuffled(df: DataFrame, blob: str) -> DataFrame:
+    """``df`` for a join: sent to all executors only if its blobs have few bytes, counted and not estimated."""
+    sent = df.agg(F.sum(F.octet_length(blob) + 16)).first()[0] or 0
+    return F.broadcast(df) if sent <= MOST_SENT else shuffled(df)
+
+
 def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id of every row: components of links den * |x & y| >= num * |x | y|.
 
@@ -400,18 +410,18 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
     released(spark)
     entries, entries_folder = written(tagged.mapInArrow(tidy(_entries(num, den, one, Sieve.of(shared, "name", raw=True).broadcast(spark))), "key long, node long"), "ngram-entries")
     pivots = entries.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("top")).where("pivot < top").select("key", "pivot")
-    met = cut(entries.join(pivots, "key").distinct())
+    met = cut(entries.join(shuffled(pivots), "key").distinct())
     del entries, pivots
     discard(spark, entries_folder)
-    wanted = cut(met.select("node").distinct().join(leads.select(F.col("s1").alias("node"), "tag"), "node"))
+    wanted = cut(met.select("node").distinct().join(shuffled(leads.select(F.col("s1").alias("node"), "tag")), "node"))
     released(spark)
     sets = stored(tagged.mapInArrow(tidy(_wanted(Sieve.of(wanted, "tag").broadcast(spark))), "node long, ngrams binary, sketch binary, n long"), "ngram-sets")
     discard(spark, folder)
-    lead = some.join(wanted.select("tag"), "tag", "left_semi")
+    lead = some.join(shuffled(wanted.select("tag")), "tag", "left_semi")
     rough = cut(lead.select(F.col("s1").alias("node"), "n", *BITS).dropDuplicates(["node"]))
 
     def side(c: str) -> DataFrame:
-        return rough.select(F.col("node").alias(c), *[F.col(x).alias(f"{c}{x}") for x in ("n", *BITS)])
+        return shuffled(rough.select(F.col("node").alias(c), *[F.col(x).alias(f"{c}{x}") for x in ("n", *BITS)]))
 
     def may_link(a: str, b: str):
         """No more differing bits than a linked pair of these sizes has differing entries; that also bounds the sizes."""
@@ -424,7 +434,7 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
 
     def with_sets(pairs: DataFrame) -> DataFrame:
         mine = sets_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")))
-        a, b = (mine.select(F.col("node").alias(c), F.col("ngrams").alias(f"{OWN}{c}")) for c in "ab")
+        a, b = (shuffled(mine.select(F.col("node").alias(c), F.col("ngrams").alias(f"{OWN}{c}"))) for c in "ab")
         return pairs.join(b, "b").join(a, "a").select("a", "b", f"{OWN}a", f"{OWN}b")
 
     def apart(cells: DataFrame, by: list[str]) -> DataFrame:
@@ -433,7 +443,7 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
 
     def crossing(cells: DataFrame, by: list[str]) -> DataFrame:
         """Pairs of rows of one cell that may be linked and are not in one component: the one nearer to the centre by its first half."""
-        mine = cells.join(rough, "node")
+        mine = cells.join(shuffled(rough), "node")
         x = mine.where(F.col("place") * (2 * num) <= F.col("n") * (den - num)).select(*by, *[F.col(c).alias(f"a{c}") for c in ("comp", "d", "n", *BITS)], F.col("node").alias("a"))
         y = mine.select(*by, *[F.col(c).alias(f"b{c}") for c in ("comp", "d", "n", *BITS)], F.col("node").alias("b"))
         ordered = (F.col("ad") < F.col("bd")) | ((F.col("ad") == F.col("bd")) & (F.col("a") < F.col("b")))
@@ -444,7 +454,7 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
 
     def tied(pairs: DataFrame, comps: DataFrame | None) -> DataFrame:
         """Components of the links so far and of those among the pairs."""
-        x, y = (sets.select(F.col("node").alias(c), F.col("sketch").alias(f"{OWN}{c}"), F.col("n").alias(f"{c}n")) for c in "ab")
+        x, y = (shuffled(sets.select(F.col("node").alias(c), F.col("sketch").alias(f"{OWN}{c}"), F.col("n").alias(f"{c}n"))) for c in "ab")
         both = pairs.join(y, "b").join(x, "a").where(F.least("an", "bn") * den >= F.greatest("an", "bn") * num)
         both = both.select("a", "b", f"{OWN}a", f"{OWN}b", (F.col("an") + F.col("bn")).alias("entries"))
         listed = stored(both.mapInArrow(tidy(_near(num, den)), "a long, b long, entries long"), "ngram-pairs")
@@ -465,7 +475,7 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
     stars = stored(stars.join(side("a"), "a").join(side("b"), "b").where(may_link("a", "b")).select("a", "b"), "ngram-stars")
     comps = tied(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), None)
     released(spark)
-    at = {c: comps.select(F.col("node").alias(c), F.col("comp").alias(f"{c}comp")) for c in "ab"}
+    at = {c: shuffled(comps.select(F.col("node").alias(c), F.col("comp").alias(f"{c}comp"))) for c in "ab"}
     far = stars.join(at["a"], "a", "left").join(at["b"], "b", "left").where(F.coalesce("acomp", "a") != F.coalesce("bcomp", "b"))
     comps = tied(far.select("a", "b"), comps)
     # A block of few rows is a group; those of more become one group with others of the same crowd: a
@@ -478,7 +488,7 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
     groups = stored(groups, "ngram-groups")  # a round reads them twice
     for rounds in count():
         released(spark)
-        placed = groups.join(comps, "node", "left").select("g", "node", F.coalesce("comp", "node").alias("comp"))
+        placed = groups.join(shuffled(comps), "node", "left").select("g", "node", F.coalesce("comp", "node").alias("comp"))
         still = stored(placed.join(apart(placed, ["g"]), "g"), "ngram-apart")
         if not still.take(1):
             break
@@ -488,19 +498,19 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
         groups = still.select("g", "node").limit(0)
         if rounds < ROUNDS and large.take(1):
             some = large.where(F.pmod(F.xxhash64("node"), "m") < CENTRE_ROWS).select("g", "node")
-            centres = some.join(sets_of(some), "node").select("g", "ngrams").groupBy("g").applyInArrow(_centre, "g long, centre binary")
-            rows_there = large.select("g", "node", "comp").join(sets_of(large), "node").join(stored(centres, "ngram-centres"), "g", "left")
+            centres = some.join(shuffled(sets_of(some)), "node").select("g", "ngrams").groupBy("g").applyInArrow(_centre, "g long, centre binary")
+            rows_there = large.select("g", "node", "comp").join(shuffled(sets_of(large)), "node").join(small_or_shuffled(stored(centres, "ngram-centres"), "centre"), "g", "left")
             placed = stored(rows_there.mapInArrow(tidy(_columns(num, den)), "g long, node long, comp long, d long, w long, col long, place long"), "ngram-cells")
             nearest = placed.where("place < 0").groupBy("g").agg(F.min_by(F.struct("node", "comp"), F.struct("w", "node")).alias("near"))
-            nearest = large.join(nearest, "g").where("near.node <> node and near.comp <> comp").select(F.least("near.node", "node").alias("a"), F.greatest("near.node", "node").alias("b"))
+            nearest = large.join(shuffled(nearest), "g").where("near.node <> node and near.comp <> comp").select(F.least("near.node", "node").alias("a"), F.greatest("near.node", "node").alias("b"))
             placed = placed.where("place >= 0")
-            parts = stored(placed.join(apart(placed, ["g", "col"]), ["g", "col"]), "ngram-cells")
+            parts = stored(placed.join(shuffled(apart(placed, ["g", "col"])), ["g", "col"]), "ngram-cells")
             cells = cells.unionByName(parts.where(F.col("m") <= FEW).select(*cells.columns))
             groups = stored(parts.where(F.col("m") > FEW).select(F.xxhash64("g", "col").alias("g"), "node").distinct(), "ngram-groups")
         pairs = crossing(cells, ["g", "col"])
         pairs = (pairs if nearest is None else pairs.union(nearest)).distinct()
         comps = tied(pairs, comps)
-    named = leads.select("s1", "s2", "n", "lead").join(comps.withColumnRenamed("node", "s1"), "s1", "left").withColumn("comp", F.coalesce("comp", "s1"))
+    named = leads.select("s1", "s2", "n", "lead").join(shuffled(comps.withColumnRenamed("node", "s1")), "s1", "left").withColumn("comp", F.coalesce("comp", "s1"))
     smallest = named.groupBy("comp").agg(F.min("lead").alias("component_id"))
     named = named.join(smallest, "comp").select("s1", "s2", "n", "component_id")
     out = signed.select("doc_id", "n", "s1", "s2").join(named, ["s1", "s2", "n"], "left")
