@@ -53,8 +53,10 @@ CENTRE_ROWS = 33
 #: Rounds of centres; groups that are still apart then are compared directly, whatever their size.
 ROUNDS = 12
 COLUMN_BLOCKS = 4
-#: Keys are told apart by a name of 44 bits before they are compared whole; a task holds so many of them at once.
+#: Keys are told apart by a name of 44 bits, since candidates are compared whole; a task holds so many of them at once.
 NAMES, HELD = 1 << 44, 1 << 21
+#: Bytes that are kept of a hash until the rows with a partner are known.
+SHORT = 5
 #: Blocks in hundredths beyond the least number: a row with fewer empty blocks than are beyond needs none of them as a key.
 SPARE = 15
 BITS = [f"k{i}" for i in range(8)]
@@ -206,57 +208,75 @@ def bits_apart(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def shortened(entries: np.ndarray) -> bytes:
+    """The first SHORT bytes of each hash of a sorted set, as differences; as many as there are entries, also if some become equal."""
+    steps = np.diff(entries >> U(64 - 8 * SHORT), prepend=U(0))
+    return steps.view(np.uint8).reshape(-1, 8)[:, :SHORT].tobytes()
+
+
+def lengthened(blob) -> np.ndarray:
+    """The sorted hashes of ``shortened``, with zeros in place of what was left out.
+
+    Two sets differ in no more of them than in whole ones, so rows that must agree in a block still do.
+    """
+    steps = np.zeros((len(blob) // SHORT, 8), np.uint8)
+    steps[:, :SHORT] = np.frombuffer(blob, np.uint8).reshape(-1, SHORT)
+    return np.cumsum(steps.view(U).ravel(), dtype=U) << U(64 - 8 * SHORT)
+
+
+def _sums(sets: list[np.ndarray], salt: int = 0) -> np.ndarray:
+    return np.array([mix(s ^ U(salt)).sum(dtype=U) for s in sets], U).view(np.int64)
+
+
 def _signatures(n: int):
-    """A row's set with its signatures. A set that a task has just had is left out, and so is its tag: equal sets need one of them."""
+    """A row's shortened set with its signatures. A set that a task has just had is left out, and so is its tag: equal sets need one of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = WordHashes(), set()
         for batch in batches:
             sets = ngram_sets(as_bytes(batch, "text"), n, hashes)
-            s1 = np.array([mix(s).sum(dtype=U) for s in sets], U).view(np.int64)
-            s2 = np.array([mix(s ^ U(0x5555555555555555)).sum(dtype=U) for s in sets], U).view(np.int64)
+            s1, s2 = _sums(sets), _sums(sets, 0x5555555555555555)
             if len(seen) > MEMO_WORDS:
                 seen.clear()
             first = [len(s) > 0 and not (x in seen or seen.add(x)) for s, x in zip(sets, zip(s1.tolist(), s2.tolist(), map(len, sets)), strict=True)]
             tag = pa.array(batch.column(1).to_numpy(), pa.int64(), mask=~np.array(first, bool))
-            ngrams = pa.array([s.tobytes() if f else None for s, f in zip(sets, first, strict=True)], pa.binary())
+            short = pa.array([shortened(s) if f else None for s, f in zip(sets, first, strict=True)], pa.binary())
             bits = [pa.array(x) for x in parities(sets).T]
-            yield pa.RecordBatch.from_arrays([batch.column(0), tag, pa.array([len(s) for s in sets], pa.int64()), pa.array(s1), pa.array(s2), *bits, ngrams], ["doc_id", "tag", "n", "s1", "s2", *BITS, "ngrams"])
-
-    return run
-
-
-def _block_keys(num: int, den: int, table):
-    """(node, keys) of the sets of a batch of (node, hashed tag, ngrams) whose tag passes the sieve of the classes."""
-    sieve = Sieve(table)
-
-    def run(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        mine = np.flatnonzero(sieve.holds(batch.column(1).to_numpy()))
-        ngrams = batch.column(2)
-        keys = block_keys([np.frombuffer(ngrams[i].as_buffer(), U) for i in mine.tolist()], num, den)
-        node = np.repeat(batch.column(0).to_numpy()[mine], [len(k) for k in keys])
-        return node, np.concatenate([*keys, np.empty(0, U)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), tag, batch.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(s1), pa.array(s2), *bits, short], ["doc_id", "tag", "digest", "n", "s1", "s2", *BITS, "short"])
 
     return run
 
 
 def _dealt_keys(num: int, den: int, classes):
-    """(slot, names): all keys by 12 of their bits, and 32 further ones of each in one string, since most keys occur once and meet none."""
+    """(slot, names, first, steps) of the sets of (tag, hashed tag, short) whose tag passes the sieve of the classes.
+
+    All keys by 12 bits of their names; 32 further bits of each are one string, and the tags of their rows, which rise by little, are
+    the first one and steps of a byte or two in another, since most keys occur once and meet none.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, held, n = _block_keys(num, den, classes.value), [], 0
+        sieve, held, n = Sieve(classes.value), [], 0
 
         def dealt() -> pa.RecordBatch:
-            names = np.sort(np.concatenate([*held, np.empty(0, U)]) & U(NAMES - 1))
+            names, tags = (np.concatenate([*x, np.empty(0, U)]) for x in (zip(*held, strict=True) if held else ((), ())))
+            order = np.argsort((names >> U(32)).astype(np.uint16), kind="stable")
+            names, tags = names[order], tags[order]
             slots, at = np.unique(names >> U(32), return_index=True)
-            ends = [*at[1:].tolist(), len(names)][: len(at)]
-            low = names.astype(np.uint32)
-            blobs = [low[i:j].tobytes() for i, j in zip(at.tolist(), ends, strict=True)]
-            return pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int64)), pa.array(blobs, pa.binary())], ["slot", "names"])
+            steps = np.diff(tags, prepend=U(0))
+            steps[at] = 0
+            widths = np.maximum.reduceat(steps, at).tolist() if len(at) else []
+            low, ends = names.astype(np.uint32), [*at[1:].tolist(), len(names)]
+            blobs = [(low[i:j].tobytes(), steps[i:j].astype(np.min_scalar_type(w)).tobytes()) for i, j, w in zip(at.tolist(), ends, widths, strict=False)]
+            columns = [pa.array([x[k] for x in blobs], pa.binary()) for k in (0, 1)]
+            return pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int64)), columns[0], pa.array(tags[at].view(np.int64)), columns[1]], ["slot", "names", "first", "steps"])
 
         for batch in batches:
-            held.append(of(batch)[1])
-            n += len(held[-1])
+            mine = np.flatnonzero(sieve.holds(batch.column(1).to_numpy()))
+            short = batch.column(2)
+            keys = block_keys([lengthened(short[i].as_buffer()) for i in mine.tolist()], num, den)
+            tags = np.repeat(batch.column(0).to_numpy()[mine], [len(k) for k in keys]).view(U)
+            held.append((np.concatenate([*keys, np.empty(0, U)]) & U(NAMES - 1), tags))
+            n += len(tags)
             if n >= HELD:
                 yield dealt()
                 held, n = [], 0
@@ -266,54 +286,67 @@ def _dealt_keys(num: int, den: int, classes):
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The names that occur more than once, of strings in order of their slots; slots are held until they are whole."""
-    held: list[np.ndarray] = []
+    """(key, row, pivot) of the names that more than one row has, the pivot being the least of them; of names alone, those that occur more than once.
 
-    def found(names: np.ndarray) -> pa.RecordBatch:
-        names.sort()
-        twice = names[1:][names[1:] == names[:-1]]
-        return pa.RecordBatch.from_arrays([pa.array(np.unique(twice).view(np.int64))], ["name"])
+    Strings come in order of their slots; slots are held until they are whole.
+    """
+    held: list[tuple[np.ndarray, ...]] = []
+
+    def found(names: np.ndarray, *rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        ordered = np.sort(names)
+        twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+        if not rows:
+            yield pa.RecordBatch.from_arrays([pa.array(twice.view(np.int64))], ["key"])
+        elif len(twice):
+            mine = twice[np.minimum(np.searchsorted(twice, names), len(twice) - 1)] == names
+            names, row = names[mine], rows[0][mine]
+            order = np.lexsort((row, names))
+            names, row = names[order], row[order]
+            other = np.append(True, names[1:] != names[:-1])
+            once = other | np.append(True, row[1:] != row[:-1])  # a row has a name once
+            names, row, first = names[once], row[once], np.flatnonzero(other[once])
+            n = np.diff(np.append(first, len(names)))
+            met = np.repeat(n > 1, n)
+            columns = [pa.array(x[met].view(np.int64)) for x in (names, row, np.repeat(row[first], n))]
+            out = pa.RecordBatch.from_arrays(columns, ["key", "row", "pivot"])
+            yield from (out.slice(i, MEMO_WORDS) for i in range(0, len(out), MEMO_WORDS))
 
     n = 0
     for batch in batches:
         parts = [np.frombuffer(x, np.uint32) for x in batch.column(1).to_pylist()]
         slot = np.repeat(batch.column(0).to_numpy().astype(U), [len(x) for x in parts])
-        held.append((slot << U(32)) | np.concatenate([*parts, np.empty(0, np.uint32)]).astype(U))
-        n += len(held[-1])
+        columns = [(slot << U(32)) | np.concatenate([*parts, np.empty(0, np.uint32)]).astype(U)]
+        if batch.num_columns > 2:
+            firsts = batch.column(2).to_numpy().view(U)
+            steps = (np.frombuffer(x, f"<u{len(x) // len(p)}") for x, p in zip(batch.column(3).to_pylist(), parts, strict=True))
+            columns.append(np.concatenate([*(f + np.cumsum(x, dtype=U) for f, x in zip(firsts, steps, strict=True)), np.empty(0, U)]))
+        held.append(tuple(columns))
+        n += len(slot)
         if n >= HELD:
-            names = np.concatenate(held)
-            whole = (names >> U(32)) < names[-1] >> U(32)
+            columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+            whole = (columns[0] >> U(32)) < columns[0][-1] >> U(32)
             if whole.any():
-                yield found(names[whole])
-            held = [names[~whole]]
-            n = len(held[0])
+                yield from found(*(x[whole] for x in columns))
+            held = [tuple(x[~whole] for x in columns)]
+            n = len(held[0][0])
     if held:
-        yield found(np.concatenate(held))
+        yield from found(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
 
-def _entries(num: int, den: int, classes, table):
-    """(key, node) of the sets' column blocks whose name may occur more than once."""
+def _wanted(n: int, table):
+    """(node, ngrams, sketch, n) of the texts of (hashed row, text) whose row may be wanted; a set that a task has just had is left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, sieve = _block_keys(num, den, classes.value), Sieve(table.value)
+        sieve, hashes, seen = Sieve(table.value), WordHashes(), set()
         for batch in batches:
-            node, key = of(batch)
-            some = sieve.holds(key.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)[some]), pa.array(node[some])], ["key", "node"])
-
-    return run
-
-
-def _wanted(table):
-    """(node, ngrams, sketch, n) of the sets whose tag may be wanted."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sieve = Sieve(table.value)
-        for batch in batches:
-            mine = pa.array(sieve.holds(batch.column(1).to_numpy()))
-            node, ngrams = batch.column(0).filter(mine), batch.column(2).filter(mine)
-            sets = [np.frombuffer(x, U) for x in ngrams.to_pylist()]
-            yield pa.RecordBatch.from_arrays([node, ngrams, pa.array([sketch(x) for x in sets], pa.binary()), pa.array([len(x) for x in sets], pa.int64())], ["node", "ngrams", "sketch", "n"])
+            batch = batch.filter(pa.array(sieve.holds(batch.column(0).to_numpy())))
+            sets = ngram_sets(as_bytes(batch, "text"), n, hashes)
+            if len(seen) > MEMO_WORDS:
+                seen.clear()
+            node = _sums(sets)
+            first = np.array([not (x in seen or seen.add(x)) for x in node.tolist()], bool)
+            sets = [s for s, f in zip(sets, first.tolist(), strict=True) if f]
+            yield pa.RecordBatch.from_arrays([pa.array(node[first]), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([sketch(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64())], ["node", "ngrams", "sketch", "n"])
 
     return run
 
@@ -393,30 +426,34 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
     columns are ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("tag"), F.col(text_col).cast("binary").alias("text"))
+    text = F.col(text_col).cast("binary")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("tag"), F.xxhash64(text).alias("digest"), text.alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    columns = f"doc_id {id_type}, tag long, n long, s1 long, s2 long, {', '.join(f'{k} long' for k in BITS)}, ngrams binary"
-    hashed, folder = written(rows.mapInArrow(tidy(_signatures(n)), columns), "ngram-rows")  # texts are cut into words once
-    signed = stored(hashed.drop("ngrams"), "ngram-signed")
+    columns = f"doc_id {id_type}, tag long, digest long, n long, s1 long, s2 long, {', '.join(f'{k} long' for k in BITS)}, short binary"
+    hashed, folder = written(rows.mapInArrow(tidy(_signatures(n)), columns), "ngram-rows")
+    signed = stored(hashed.drop("short"), "ngram-signed")
     some = signed.where("n > 0")
-    first_row = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id"))
+    first_row = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "digest"))
     classes = cut(some.groupBy("s1", "s2", "n").agg(first_row.alias("lead"), F.min("tag").alias("tag")))  # one document stands for an equal set
-    leads = classes.select("s1", "s2", "n", F.col("lead.doc_id").alias("lead"), "tag")
-    tagged = hashed.where("tag is not null").select(F.col("s1").alias("node"), F.xxhash64("tag").alias("slot"), "ngrams")
-    one = Sieve.of(leads, "tag").broadcast(spark)
-    dealt = tagged.mapInArrow(tidy(_dealt_keys(num, den, one)), "slot long, names binary")
-    shared = stored(dealt.repartition("slot").sortWithinPartitions("slot").mapInArrow(tidy(_repeated), "name long"), "ngram-shared")
-    del dealt
+    leads = classes.select("s1", "s2", "n", F.col("lead.doc_id").alias("lead"), F.col("lead.digest").alias("digest"), "tag")
+    tagged = hashed.where("tag is not null").select("tag", F.xxhash64("tag").alias("slot"), "short")
+    dealt = tagged.mapInArrow(tidy(_dealt_keys(num, den, Sieve.of(leads, "tag").broadcast(spark))), "slot long, names binary, first long, steps binary")
+    entries, entries_folder = written(dealt.repartition("slot").sortWithinPartitions("slot").mapInArrow(tidy(_repeated), "key long, row long, pivot long"), "ngram-entries")
+    del dealt, tagged
+    discard(spark, folder)
     released(spark)
-    entries, entries_folder = written(tagged.mapInArrow(tidy(_entries(num, den, one, Sieve.of(shared, "name", raw=True).broadcast(spark))), "key long, node long"), "ngram-entries")
-    pivots = entries.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("top")).where("pivot < top").select("key", "pivot")
-    met = cut(entries.join(shuffled(pivots), "key").distinct())
-    del entries, pivots
+    node = signed.where("tag is not null")  # a row that stands for none has its class's node all the same
+    node = {c: shuffled(node.select(F.col("tag").alias(c), F.col("s1").alias(f"{c}_node"))) for c in ("row", "pivot")}
+    met = cut(entries.join(node["row"], "row").join(node["pivot"], "pivot").select("key", F.col("row_node").alias("node"), F.col("pivot_node").alias("pivot")))
+    del entries
     discard(spark, entries_folder)
-    wanted = cut(met.select("node").distinct().join(shuffled(leads.select(F.col("s1").alias("node"), "tag")), "node"))
     released(spark)
-    sets = stored(tagged.mapInArrow(tidy(_wanted(Sieve.of(wanted, "tag").broadcast(spark))), "node long, ngrams binary, sketch binary, n long"), "ngram-sets")
-    discard(spark, folder)
+    wanted = cut(met.select("node").distinct().join(shuffled(leads.select(F.col("s1").alias("node"), "tag", "lead", "digest")), "node"))
+    # Most rows have no partner, so texts are cut into words again rather than whole sets kept. Rows are told by id and text: docs may come in another order.
+    asked = Sieve.of(wanted.select(F.xxhash64("lead", "digest").alias("slot")), "slot", raw=True).broadcast(spark)
+    released(spark)
+    again = docs.select(F.xxhash64(F.col(id_col), F.xxhash64(text)).alias("slot"), text.alias("text"))
+    sets = stored(again.mapInArrow(tidy(_wanted(n, asked)), "node long, ngrams binary, sketch binary, n long"), "ngram-sets")
     lead = some.join(shuffled(wanted.select("tag")), "tag", "left_semi")
     rough = cut(lead.select(F.col("s1").alias("node"), "n", *BITS).dropDuplicates(["node"]))
 
@@ -450,7 +487,19 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
         met = x.join(y, by).where(ordered & (F.col("acomp") != F.col("bcomp")) & may_link("a", "b"))
         return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
-    most = max(LEAST_SENT, rough.agg(F.sum("n")).first()[0] or 0)
+    total = rough.agg(F.sum("n")).first()[0] or 0
+    most = max(LEAST_SENT, total // 2)
+
+    def in_parts(df: DataFrame, sent: int, by: list[str], name: str, job) -> DataFrame:
+        """What the job makes of df's rows, in parts that send no more than half of all sets each, about; a part's shuffle files go before the next."""
+        parts, out = max(1, -(-sent // most)), None
+        for i in range(parts):
+            mine = df.where(F.pmod(F.xxhash64(*by), F.lit(parts)) == i) if parts > 1 else df
+            found = stored(job(mine), name)
+            out = found if out is None else out.union(found)
+            if parts > 1:
+                released(spark)
+        return out
 
     def tied(pairs: DataFrame, comps: DataFrame | None) -> DataFrame:
         """Components of the links so far and of those among the pairs."""
@@ -461,17 +510,11 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
         sent = listed.agg(F.sum("entries")).first()[0] or 0
         if not sent and comps is not None:
             return comps
-        parts, links = max(1, -(-sent // most)), None
-        for i in range(parts):  # each sends no more than all sets once, about, and its shuffle files go before the next
-            mine = listed.where(F.pmod(F.xxhash64("a", "b"), F.lit(parts)) == i) if parts > 1 else listed
-            found = stored(with_sets(mine).mapInArrow(tidy(_multiply(num, den)), "a long, b long"), "ngram-links")
-            links = found if links is None else links.union(found)
-            if parts > 1:
-                released(spark)
+        links = in_parts(listed, sent, ["a", "b"], "ngram-links", lambda mine: with_sets(mine).mapInArrow(tidy(_multiply(num, den)), "a long, b long"))
         return components(links if comps is None else links.union(comps.select("node", "comp")))
 
     # A row meets the least of its stars first; the others only if that has left the two apart.
-    stars = met.where("node > pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    stars = met.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     stars = stored(stars.join(side("a"), "a").join(side("b"), "b").where(may_link("a", "b")).select("a", "b"), "ngram-stars")
     comps = tied(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), None)
     released(spark)
@@ -486,6 +529,7 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
     names = hot.join(least, "node").groupBy("key").agg(F.min("name").alias("g"))
     groups = met.join(crowded, "key", "left_anti").select(F.col("key").alias("g"), "node").union(hot.join(names, "key").select("g", "node").distinct())
     groups = stored(groups, "ngram-groups")  # a round reads them twice
+    del crowded, hot, least, names  # and their shuffle files
     for rounds in count():
         released(spark)
         placed = groups.join(shuffled(comps), "node", "left").select("g", "node", F.coalesce("comp", "node").alias("comp"))
@@ -499,8 +543,13 @@ def link_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, i
         if rounds < ROUNDS and large.take(1):
             some = large.where(F.pmod(F.xxhash64("node"), "m") < CENTRE_ROWS).select("g", "node")
             centres = some.join(shuffled(sets_of(some)), "node").select("g", "ngrams").groupBy("g").applyInArrow(_centre, "g long, centre binary")
-            rows_there = large.select("g", "node", "comp").join(shuffled(sets_of(large)), "node").join(small_or_shuffled(stored(centres, "ngram-centres"), "centre"), "g", "left")
-            placed = stored(rows_there.mapInArrow(tidy(_columns(num, den)), "g long, node long, comp long, d long, w long, col long, place long"), "ngram-cells")
+            centres = small_or_shuffled(stored(centres, "ngram-centres"), "centre")
+
+            def cells_of(mine: DataFrame, centres: DataFrame = centres) -> DataFrame:
+                rows_there = mine.select("g", "node", "comp").join(shuffled(sets_of(mine)), "node").join(centres, "g", "left")
+                return rows_there.mapInArrow(tidy(_columns(num, den)), "g long, node long, comp long, d long, w long, col long, place long")
+
+            placed = in_parts(large, total, ["node"], "ngram-cells", cells_of)
             nearest = placed.where("place < 0").groupBy("g").agg(F.min_by(F.struct("node", "comp"), F.struct("w", "node")).alias("near"))
             nearest = large.join(shuffled(nearest), "g").where("near.node <> node and near.comp <> comp").select(F.least("near.node", "node").alias("a"), F.greatest("near.node", "node").alias("b"))
             placed = placed.where("place >= 0")
